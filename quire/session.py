@@ -35,6 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     confs = dict(SQL_CONFS)
     confs.update({
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("QUIRE_DRIVER_MEMORY", "16g"),
         # Paid or slow user functions must not run twice for the same row.
         "spark.speculation": "false",
