@@ -9,9 +9,15 @@ The per-(task, group) counts are a table of at most ``partitions + groups``
 rows; prefix sums over it are cheap, and AQE broadcasts it at run time when
 it is small (its size is measured, not assumed).
 
-The order keys must end in a unique tie-breaker: the numbering is then fully
-determined by the data, and a recomputed task (lost executor) yields the same
-numbers.
+The sorted rows, tagged with task id and position, are materialised once with
+a reliable ``checkpoint()`` into the cluster's shared checkpoint directory:
+both the counting pass and the numbering pass read those same files, so the
+numbers cannot drift between two evaluations (range-partition bounds come
+from sampling, and column pruning can make two copies of one plan sample
+differently), and a lost executor does not lose them.
+
+The order keys must end in a unique tie-breaker, so the result is fully
+determined by the data.
 """
 from __future__ import annotations
 
@@ -20,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 def _partitions(df: DataFrame, n: int | None) -> int:
     if n:
@@ -37,11 +45,11 @@ def number_rows(df: DataFrame, order_cols: Sequence[Column], group_cols: Sequenc
     """
     n = _partitions(df, num_partitions)
     keys = [F.col(g).asc_nulls_first() for g in group_cols] + list(order_cols)
-    # Explicit partition count: AQE never coalesces this exchange, so every
-    # consumer of the (reused) exchange sees the same partition layout.
     s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
+    checkpoint_dir(df.sparkSession)
+    s = s.checkpoint(eager=True)
     g = list(group_cols)
     blocks = s.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -71,3 +71,14 @@ def document_feed(documents: DataFrame) -> DataFrame:
 def date_key(c: Column | str) -> Column:
     """ISO day key ``YYYY-MM-DD`` (the file-name and comparison form)."""
     return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd")
+
+
+def enriched_view(documents: DataFrame) -> DataFrame:
+    """Papers with model fields: lines 2-6 of the text stand for tl;dr,
+    motivation, method, result and conclusion; a missing line is a missing
+    field (such rows are incomplete for the digest)."""
+    p = papers_view(documents)
+    line = lambda i: F.nullif(F.split_part(F.col("summary"), F.lit("\n"), F.lit(i)), F.lit(""))
+    ai = F.struct(*[line(i + 2).alias(f) for i, f in
+                    enumerate(["tldr", "motivation", "method", "result", "conclusion"])])
+    return p.withColumn("AI", ai).withColumn("abs", F.concat(F.lit("https://arxiv.org/abs/"), F.col("id")))
