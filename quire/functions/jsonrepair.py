@@ -12,7 +12,7 @@ would.  Duplicate keys keep the last value when the session's
 """
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
@@ -24,10 +24,12 @@ FENCE_PATTERN = r"(?is)```(?:json)?\s*(.*?)```"
 
 
 def flatten_parts(content: Column | str) -> Column:
-    """A message is either text or a JSON list of parts; parts are joined.
+    """Message content stored as a JSON list of parts -> its text.
 
     A part that is an object contributes its ``text`` field, anything else its
-    own text.  Plain text passes through unchanged.
+    own text.  Content that is not such a list passes through unchanged.  Use
+    it on stored structured content only: a model's *text* answer that happens
+    to be a JSON array is a response to parse, not a parts list.
     """
     c = _c(content)
     parts = F.from_json(c, "array<string>", JSON_OPTIONS)
@@ -63,20 +65,18 @@ def field_or_default(m: Column, key: str, default: str) -> Column:
     return F.coalesce(F.element_at(m, F.lit(key)), F.lit(default))
 
 
-def ai_struct(response: Column | str, status: Column | str | None = None) -> Column:
-    """X2 + X5: the five summary fields with their defaults.
+def ai_fields(m: Column, status: Column | str | None = None) -> Column:
+    """X2 + X5 from a parsed object ``m`` (see ``parse_object``).
 
     ``status`` (``ok`` / ``error``) comes from the batch call: an ``error``
     row gets the *Processing failed* set, an unparsable one the generation
     defaults.  Returns ``struct<tldr, motivation, method, result, conclusion,
-    parse_status>``.
+    parse_status>``.  ``m`` should be a column reference, so the parse runs once.
     """
-    m = parse_object(flatten_parts(response))
     failed = F.lit(False) if status is None else (_c(status) == "error")
     fields = []
     for f in fixed.AI_FIELDS:
-        v = F.when(failed, F.lit(fixed.AI_PROCESSING_FAILED)).otherwise(
-            F.when(m.isNull(), F.lit(fixed.AI_DEFAULTS[f])).otherwise(field_or_default(m, f, fixed.AI_DEFAULTS[f])))
+        v = F.when(failed, F.lit(fixed.AI_PROCESSING_FAILED)).otherwise(field_or_default(m, f, fixed.AI_DEFAULTS[f]))
         fields.append(v.alias(f))
     pstat = F.when(failed, F.lit("error")).when(m.isNull(), F.lit("bad_json")).otherwise(F.lit("ok"))
     return F.struct(*fields, pstat.alias("parse_status"))
@@ -89,14 +89,14 @@ def text_bool(v: Column) -> Column:
     return F.when(s == "true", True).when(s == "false", False).when(d.isNotNull(), d != 0).otherwise(False)
 
 
-def verdict_struct(response: Column | str, status: Column | str | None = None) -> Column:
-    """X3 + X5: ``struct<relevant, confidence, reason, topics, parse_status>``.
+def verdict_fields(m: Column, status: Column | str | None = None) -> Column:
+    """X3 + X5 from a parsed object ``m`` (parsed with ``required_key='relevant'``).
 
-    Needs key ``relevant``; confidence must be a number else 0; topics must be
-    a list, first 8 kept, each cut to 80 characters; reason cut to 500.  Bad
-    JSON and failed calls give the fail-closed default verdict.
+    Confidence must be a number else 0; topics must be a list, first 8 kept,
+    each cut to 80 characters; reason cut to 500.  Bad JSON and failed calls
+    give the fail-closed default verdict.  Returns ``struct<relevant,
+    confidence, reason, topics, parse_status>``.
     """
-    m = parse_object(flatten_parts(response), required_key="relevant")
     failed = F.lit(False) if status is None else (_c(status) == "error")
     ok = m.isNotNull() & ~failed
     conf = F.coalesce(F.element_at(m, F.lit("confidence")).try_cast("double"), F.lit(0.0))
@@ -111,3 +111,20 @@ def verdict_struct(response: Column | str, status: Column | str | None = None) -
         F.when(ok, topics).otherwise(F.array().cast("array<string>")).alias("topics"),
         F.when(failed, F.lit("error")).when(m.isNull(), F.lit("bad_json")).otherwise(F.lit("ok")).alias("parse_status"),
     )
+
+
+def with_ai(df: DataFrame, response_col: str = "response", status_col: str | None = None,
+            out: str = "AI") -> DataFrame:
+    """Parse model summaries into ``out`` (X1, X2, X5) in two projections:
+    the object is parsed once into a map column, the fields read from it."""
+    st = status_col if status_col and status_col in df.columns else None
+    return (df.withColumn("_obj", parse_object(response_col))
+            .withColumn(out, ai_fields(F.col("_obj"), st)).drop("_obj"))
+
+
+def with_verdict(df: DataFrame, response_col: str = "response", status_col: str | None = None,
+                 out: str = "topic_filter") -> DataFrame:
+    """Parse classifier verdicts into ``out`` (X1, X3, X5), staged like ``with_ai``."""
+    st = status_col if status_col and status_col in df.columns else None
+    return (df.withColumn("_obj", parse_object(response_col, required_key="relevant"))
+            .withColumn(out, verdict_fields(F.col("_obj"), st)).drop("_obj"))

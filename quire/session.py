@@ -69,3 +69,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared checkpoint directory.
+
+    Used where a result must not be recomputed (paid model output) or where a
+    plan must not be re-optimised through a deep expression chain.  Survives
+    the loss of executors, unlike a local checkpoint or an in-memory cache.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
