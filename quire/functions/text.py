@@ -14,15 +14,23 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# ASCII whitespace removed by a text node's strip().
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
+def strip_ws(c: Column | str) -> Column:
+    return F.trim(_c(c), F.lit(WHITESPACE))
+
+
 def clean_pieces(pieces: Column | str) -> Column:
-    """Trim every text piece, drop blank ones, join with one space."""
-    return F.array_join(F.filter(F.transform(_c(pieces), lambda x: F.trim(x)), lambda x: x != ""), " ")
+    """Strip every text piece, drop blank ones, join with one space."""
+    return F.array_join(F.filter(F.transform(_c(pieces), lambda x: strip_ws(x)), lambda x: x != ""), " ")
 
 
 def strip_descriptor(text: Column | str, descriptor: str) -> Column:
-    """Drop a leading label such as ``Title:`` and trim what follows."""
-    t = F.trim(_c(text))
-    return F.when(t.startswith(descriptor), F.trim(F.substring(t, len(descriptor) + 1, 1 << 30))).otherwise(t)
+    """Drop a leading label such as ``Title:`` and strip what follows."""
+    t = strip_ws(text)
+    return F.when(t.startswith(descriptor), strip_ws(F.substring(t, len(descriptor) + 1, 1 << 30))).otherwise(t)
 
 
 def csv_terms(param: Column | str) -> Column:
