@@ -1 +1,80 @@
-"""Checked queries (filled in as operators land)."""
+"""Checked queries: batch model calls (M1-M3, rows-only: a user function is
+not SQL) and prompt rendering (P16, with oracle).
+
+The model function used here is local and deterministic: it answers every
+prompt with a JSON object built from the prompt text, and fails on purpose
+for some prompts so the error path (retries exhausted, defaults) runs too.
+"""
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from ..operators import infer
+from ..session import apply_confs
+from ..sources.tables import enriched_view, load_table, papers_view
+from .oracle_views import PAPERS, with_
+from .registry import register
+
+
+def local_summarizer(prompt: str) -> str:
+    """Deterministic stand-in for a hosted model (fails when the prompt mentions 'zz')."""
+    if "zz" in prompt:
+        raise RuntimeError("service unavailable")
+    words = prompt.split()
+    body = {"tldr": " ".join(words[2:10]), "motivation": f"{len(words)} words", "method": words[-1] if words else "",
+            "result": str(len(prompt)), "conclusion": "ok"}
+    if len(words) % 3 == 0:
+        return "```json\n" + json.dumps(body) + "\n```"
+    return json.dumps(body)
+
+
+def local_classifier(prompt: str) -> str:
+    rel = "ouen" in prompt.lower()
+    conf = 0.9 if "the" in prompt else 0.4
+    return json.dumps({"relevant": rel, "confidence": conf, "reason": "keyword rule", "topics": ["feed"]})
+
+
+def local_safety(text: str) -> bool:
+    return "nicht" in text.lower()
+
+
+def _no_sleep(_s: float) -> None:
+    return None
+
+
+@register("m1_batch_enrich")
+def m1_batch_enrich(spark, sf_dir):
+    apply_confs(spark)
+    p = papers_view(load_table(spark, sf_dir, "documents"))
+    e = infer.enrich(p, local_summarizer, language="English", retries=1, sleep=_no_sleep)
+    return e.select("id", "AI.tldr", "AI.parse_status", "status", "attempts")
+
+
+@register("m2_batch_classify")
+def m2_batch_classify(spark, sf_dir):
+    apply_confs(spark)
+    p = papers_view(load_table(spark, sf_dir, "documents"))
+    c = infer.classify(p, local_classifier, keep_uncertain=True, sleep=_no_sleep)
+    return c.select("id", "topic_filter.relevant", "topic_filter.confidence", "topic_filter.reason", "status")
+
+
+@register("m3_batch_safety")
+def m3_batch_safety(spark, sf_dir):
+    apply_confs(spark)
+    e = enriched_view(load_table(spark, sf_dir, "documents"))
+    return infer.safety_verdicts(infer.scored_texts(e), local_safety, sleep=_no_sleep)
+
+
+@register("p16_prompt_render", with_(PAPERS) + """
+SELECT id, concat(chr(10), 'Title: ', title, chr(10), 'Categories: ', array_to_string(categories, ', '), chr(10),
+                  'Authors: ', authors, chr(10), 'Comment: ', '', chr(10), 'Abstract:', chr(10), summary, chr(10))
+       AS prompt
+FROM papers""")
+def p16_prompt_render(spark, sf_dir):
+    apply_confs(spark)
+    p = papers_view(load_table(spark, sf_dir, "documents"))
+    pr = infer.render_prompt(infer.CLASSIFY_TEMPLATE, title="title", categories=infer.list_slot("categories"),
+                             authors=infer.list_slot("authors"), comment=F.lit(""), summary="summary")
+    return p.select("id", pr.alias("prompt"))
