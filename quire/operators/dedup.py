@@ -99,11 +99,20 @@ def first_seen(df: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
     return agg.select(key, *[F.col("_row").getField(c).alias(c) for c in others])
 
 
-def kept_dates(feed: DataFrame, days: int = fixed.LOOKBACK_DAYS) -> DataFrame:
-    """Backfill fold: ``(id, date)`` pairs a day-by-day run would keep."""
+def kept_dates(feed: DataFrame, days: int = fixed.LOOKBACK_DAYS, prior: DataFrame | None = None) -> DataFrame:
+    """Backfill fold: ``(id, date)`` pairs a day-by-day run would keep.
+
+    ``prior`` (``id, last_kept``) seeds the fold with the last kept date of
+    each id from earlier runs (the streaming form passes what it stored).
+    """
     per_id = (feed.where(F.col("id").isNotNull())
               .groupBy("id").agg(F.array_sort(F.collect_set("date")).alias("_ds")))
-    init = F.struct(F.array().cast("array<date>").alias("kept"), F.lit(None).cast("date").alias("last"))
+    if prior is not None:
+        per_id = per_id.join(prior.select("id", F.col("last_kept").alias("_last")), "id", "left")
+        last0 = F.col("_last")
+    else:
+        last0 = F.lit(None).cast("date")
+    init = F.struct(F.array().cast("array<date>").alias("kept"), last0.alias("last"))
 
     def step(acc: Column, x: Column) -> Column:
         keep = acc.getField("last").isNull() | (F.datediff(x, acc.getField("last")) > days)
@@ -114,12 +123,12 @@ def kept_dates(feed: DataFrame, days: int = fixed.LOOKBACK_DAYS) -> DataFrame:
     return kept.select("id", F.explode("_k").alias("date"))
 
 
-def backfill_dedup(feed: DataFrame, days: int = fixed.LOOKBACK_DAYS) -> DataFrame:
+def backfill_dedup(feed: DataFrame, days: int = fixed.LOOKBACK_DAYS, prior: DataFrame | None = None) -> DataFrame:
     """All rows of the kept ``(id, date)`` pairs, plus rows with a null id (never duplicates).
 
     Left-semi join on ``(id, date)``; AQE splits a skewed pair.
     """
-    kept = feed.where(F.col("id").isNotNull()).join(kept_dates(feed, days), ["id", "date"], "left_semi")
+    kept = feed.where(F.col("id").isNotNull()).join(kept_dates(feed, days, prior), ["id", "date"], "left_semi")
     return kept.unionByName(feed.where(F.col("id").isNull()))
 
 

@@ -145,3 +145,57 @@ def u4_distinct_dates(spark, sf_dir):
 def u5_distinct_primary_categories(spark, sf_dir):
     apply_confs(spark)
     return papers_view(load_table(spark, sf_dir, "documents")).select("primary_category").distinct()
+
+
+# --- streaming ----------------------------------------------------------------
+def _stream_export(spark, sf_dir) -> str:
+    """Export the event feed as JSON lines, one folder per day."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    ev = _events(spark, sf_dir)
+    line = F.to_json(F.struct("id", "seq", "event_type"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stream-src-{uuid.uuid4().hex}"
+    ev.select("date", line.alias("value")).write.partitionBy("date").text(path)
+    return path
+
+
+@register("t2_stream_lookback_dedup", FOLD_SQL.format(view=EVENT_FEED, f="feed"))
+def t2_stream_lookback_dedup(spark, sf_dir):
+    """T2 exact as a stream (availableNow): equals the day-by-day fold."""
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from ..session import checkpoint_dir
+    from ..streaming import feed_stream as fs
+    src = _stream_export(spark, sf_dir)
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("seq", T.LongType()),
+                           T.StructField("event_type", T.StringType())])
+    part = T.StructType([T.StructField("date", T.DateType())])
+    stream = fs.read_feed_stream(spark, src, schema, part)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    q = fs.run_lookback_dedup(stream, f"{base}/store", f"{base}/ckpt")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/store")
+    return out.select("seq", "id", tf.iso_date("date").alias("date"))
+
+
+@register("t3_stream_daily_counts")
+def t3_stream_daily_counts(spark, sf_dir):
+    """Daily counts per event type from a stream (rows-only: the newest
+    days stay open behind the watermark)."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..streaming import feed_stream as fs
+    apply_confs(spark)
+    ev = load_table(spark, sf_dir, "events")
+    base = f"{checkpoint_dir(spark).rstrip('/')}/t3-{uuid.uuid4().hex}"
+    ev.write.parquet(f"{base}/src")
+    stream = spark.readStream.schema(ev.schema).parquet(f"{base}/src")
+    counts = fs.daily_counts(stream, "event_type", "ts")
+    q = (counts.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(tf.iso_date("date").alias("date"), "event_type", "n")
