@@ -3,15 +3,16 @@ matching with match reasons, term tables, match-first reading lists.
 
 Matching is case-insensitive substring search.  A literal term list becomes
 one ``contains`` per term inside a single projection (whole-stage codegen, no
-shuffle, no Python).  A term *table* (J5/J7) is joined: small tables are
-folded into the same literal form after a size check; larger ones use a
-broadcast nested-loop join against the distinct terms, then an equi-join back
-to whoever asked for them.
+shuffle, no Python).  A term *table* (J5/J7) is matched by its distinct
+terms: a small set is folded into the same literal form after a size check,
+a larger one runs through an Aho-Corasick automaton (one pass per text), and
+the (row, term) hits are equi-joined back to whoever asked for the terms.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +22,8 @@ from ..functions.text import haystack
 from .numbering import number_rows
 
 # A term table up to this many distinct terms is applied as literal
-# expressions; beyond it, as a broadcast join (see term_hits).
-MAX_LITERAL_TERMS = 512
+# expressions; beyond it, with a multi-pattern automaton (see term_hits).
+MAX_LITERAL_TERMS = 32
 # A term table is broadcast only below this many distinct terms.
 MAX_BROADCAST_TERMS = 200_000
 
@@ -69,14 +70,34 @@ def _lower_lit(t: str) -> Column:
 
 
 def literal_hits(hay: Column, terms: Sequence[str]) -> Column:
-    """The terms (original spelling, list order) contained in ``hay``.
+    """The distinct terms (original spelling, list order) contained in ``hay``.
 
-    ``hay`` must already be lower-case.  One ``contains`` per term in one
-    codegen'd projection.
+    ``hay`` must already be lower-case.  Built from ``CASE`` expressions and
+    ``array_except`` (drops the nulls of non-hits), which keeps the projection
+    inside whole-stage code generation; no higher-order function.
     """
     if not terms:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(hay.contains(_lower_lit(t)), F.lit(t)) for t in terms]))
+    return F.array_except(F.array(*[F.when(hay.contains(_lower_lit(t)), F.lit(t)) for t in terms]),
+                          F.array(F.lit(None).cast("string")))
+
+
+def any_hit(hay: Column, terms: Sequence[str]) -> Column:
+    """True when ``hay`` (lower-case) contains any term: a short-circuit OR of ``contains``."""
+    if not terms:
+        return F.lit(False)
+    c = None
+    for t in terms:
+        x = hay.contains(_lower_lit(t))
+        c = x if c is None else (c | x)
+    return c
+
+
+def hit_text(hay: Column, terms: Sequence[str]) -> Column:
+    """The hit terms joined with ', ' ('' when none); no arrays involved."""
+    if not terms:
+        return F.lit("")
+    return F.concat_ws(fixed.REASON_TERM_SEPARATOR, *[F.when(hay.contains(_lower_lit(t)), F.lit(t)) for t in terms])
 
 
 def keyword_haystack() -> Column:
@@ -96,7 +117,7 @@ def text_haystack() -> Column:
 
 
 def _reason(prefix: str, hits: Column) -> Column:
-    return F.when(F.size(hits) > 0, F.concat(F.lit(prefix), F.array_join(hits, fixed.REASON_TERM_SEPARATOR)))
+    return F.when(hits != "", F.concat(F.lit(prefix), hits))
 
 
 def match_terms(df: DataFrame, keywords: Sequence[str] | None = None,
@@ -106,20 +127,19 @@ def match_terms(df: DataFrame, keywords: Sequence[str] | None = None,
     A missing or empty list is *no condition* of that kind; with no terms at
     all every row matches (Q1: the documented rule).  ``match_reason`` lists
     the hits per kind, joined with `` | ``; NULL when nothing hit.
+
+    The flag is a plain OR of ``contains`` so a filter on it stays cheap when
+    the optimizer pushes it down to the scan; the reason is only computed
+    for the rows that reach the final projection.
     """
     keywords = [k for k in (keywords or []) if k]
     authors = [a for a in (authors or []) if a]
-    kw = literal_hits(keyword_haystack(), keywords)
-    au = literal_hits(author_haystack(), authors)
-    out = df.withColumn("_kw", kw).withColumn("_au", au)
-    if not keywords and not authors:
-        matched = F.lit(True)
-    else:
-        matched = (F.size("_kw") > 0) | (F.size("_au") > 0)
-    reason = F.nullif(F.concat_ws(fixed.REASON_KIND_SEPARATOR, _reason(fixed.KEYWORD_REASON_PREFIX, F.col("_kw")),
-                                  _reason(fixed.AUTHOR_REASON_PREFIX, F.col("_au"))), F.lit(""))
-    return (out.withColumn("is_matched", matched).withColumn("match_reason", reason)
-            .withColumnRenamed("_kw", "keyword_hits").withColumnRenamed("_au", "author_hits"))
+    kh, ah = keyword_haystack(), author_haystack()
+    matched = F.lit(True) if not keywords and not authors else (any_hit(kh, keywords) | any_hit(ah, authors))
+    reason = F.nullif(F.concat_ws(fixed.REASON_KIND_SEPARATOR,
+                                  _reason(fixed.KEYWORD_REASON_PREFIX, hit_text(kh, keywords)),
+                                  _reason(fixed.AUTHOR_REASON_PREFIX, hit_text(ah, authors))), F.lit(""))
+    return df.withColumn("is_matched", matched).withColumn("match_reason", reason)
 
 
 def match_text(df: DataFrame, query: str | None) -> DataFrame:
@@ -153,24 +173,67 @@ def term_hits(df: DataFrame, terms: DataFrame, hay: Column, key: str = "id",
               term_col: str = "term") -> DataFrame:
     """(key, term) for every row whose haystack contains a term.
 
-    Distinct terms are matched once.  A bounded term set (checked here) is
-    folded into literal ``contains`` expressions, then exploded; a larger
-    one is broadcast (checked bound) into a nested-loop join whose only
-    predicate is ``contains``.  Term tables are lists of search words, so even
-    the largest accepted one is a few megabytes.
+    Distinct terms are matched once, case-insensitively (terms are
+    lower-cased on the JVM like the haystack).  Strategy by the size of the
+    distinct term set, which is counted (bounded by ``MAX_BROADCAST_TERMS``):
+
+    * up to ``MAX_LITERAL_TERMS`` terms -- literal ``contains`` expressions in
+      one code-generated projection;
+    * more -- an Aho-Corasick automaton over all terms, built once per Python
+      worker and run over Arrow batches of haystacks (one pass per text,
+      whatever the number of terms); without the automaton library, a
+      broadcast nested-loop join on ``contains``.
     """
-    dterms = _distinct_terms(terms, term_col)
+    dterms = _distinct_terms(terms, term_col).select("term", F.lower("term").alias("lt"))
     n = dterms.limit(MAX_BROADCAST_TERMS + 1).count()
-    base = df.select(F.col(key), hay.alias("_hay"))
-    if n <= MAX_LITERAL_TERMS:
-        vals = [r[0] for r in dterms.orderBy("term").collect()]   # bounded by the check above
-        return (base.select(F.col(key), F.explode(literal_hits(F.col("_hay"), vals)).alias("term")))
     if n > MAX_BROADCAST_TERMS:
         raise ValueError(f"term table has more than {MAX_BROADCAST_TERMS} distinct terms; "
                          "split it and union the results")
-    t = dterms.select("term", F.lower("term").alias("_lt"))
-    return (base.join(F.broadcast(t), F.col("_hay").contains(F.col("_lt")), "inner")
-            .select(F.col(key), F.col("term")))
+    base = df.select(F.col(key), hay.alias("_hay"))
+    if n <= MAX_LITERAL_TERMS:
+        vals = [r[0] for r in dterms.orderBy("term").collect()]   # bounded by the check above
+        return base.select(F.col(key), F.explode(literal_hits(F.col("_hay"), vals)).alias("term"))
+    try:
+        import ahocorasick  # noqa: F401
+    except ImportError:
+        return (base.join(F.broadcast(dterms), F.col("_hay").contains(F.col("lt")), "inner")
+                .select(F.col(key), F.col("term")))
+    pairs = dterms.orderBy("lt", "term").collect()                # bounded by the check above
+    lowered = sorted({r["lt"] for r in pairs})
+    index = {t: i for i, t in enumerate(lowered)}
+    spark = df.sparkSession
+    lookup = spark.createDataFrame([(index[r["lt"]], r["term"]) for r in pairs], "_ti int, term string")
+    hits = _automaton_udf(spark, lowered)
+    found = base.select(F.col(key), F.explode(hits(F.col("_hay"))).alias("_ti"))
+    return found.join(F.broadcast(lookup), "_ti").select(F.col(key), F.col("term"))
+
+
+_AUTOMATA: dict = {}
+
+
+def _automaton_udf(spark, lowered: list[str]):
+    """Pandas UDF ``text -> array<int>``: indices of the terms found in the text."""
+    bterms = spark.sparkContext.broadcast(lowered)
+    ident = hash(tuple(lowered))
+
+    def automaton():
+        a = _AUTOMATA.get(ident)
+        if a is None:
+            import ahocorasick
+            a = ahocorasick.Automaton()
+            for i, t in enumerate(bterms.value):
+                a.add_word(t, i)
+            a.make_automaton()
+            _AUTOMATA.clear()
+            _AUTOMATA[ident] = a
+        return a
+
+    @F.pandas_udf("array<int>")
+    def hits(texts: pd.Series) -> pd.Series:
+        a = automaton()
+        return pd.Series([sorted({i for _, i in a.iter(t)}) if t else [] for t in texts])
+
+    return hits
 
 
 def preference_hits(df: DataFrame, preferences: DataFrame, key: str = "id") -> DataFrame:

@@ -20,8 +20,22 @@ N_DAYS = 30               # derived dates cycle over 30 days
 N_SOURCES = 20
 
 
+# Text-heavy tables: their per-row work is CPU-bound, so a scan with fewer
+# splits than cores (files with few row groups) is spread out first.
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balance(df) if name in TEXT_TABLES else df
+
+
+def balance(df: DataFrame) -> DataFrame:
+    """Scan-parallelism guard: round-robin to the cluster's parallelism when
+    the scan yields fewer splits than that.  On a large input the scan
+    already has many splits and this is a no-op (no shuffle is added)."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
 def papers_view(documents: DataFrame) -> DataFrame:
@@ -36,7 +50,9 @@ def papers_view(documents: DataFrame) -> DataFrame:
     cats_csv = F.concat(F.col("source"), F.lit(",src"), ((d * 7 + 3) % N_SOURCES).cast("string"))
     return documents.select(
         d.cast("string").alias("id"),
-        F.substring(F.split_part(F.col("text"), F.lit("\n"), F.lit(1)), 1, 120).alias("title"),
+        # First line: substring_index stops at the first newline (split_part
+        # would split the whole text into lines first).
+        F.substring(F.substring_index(F.col("text"), "\n", 1), 1, 120).alias("title"),
         F.col("text").alias("summary"),
         F.col("source").alias("primary_category"),
         F.split(cats_csv, ",").alias("categories"),
@@ -78,7 +94,10 @@ def enriched_view(documents: DataFrame) -> DataFrame:
     motivation, method, result and conclusion; a missing line is a missing
     field (such rows are incomplete for the digest)."""
     p = papers_view(documents)
-    line = lambda i: F.nullif(F.split_part(F.col("summary"), F.lit("\n"), F.lit(i)), F.lit(""))
+    # The first seven pieces only: lines 2-6 exactly, the rest of the text in the last piece.
+    p = p.withColumn("_lines", F.split(F.col("summary"), "\n", 7))
+    line = lambda i: F.nullif(F.try_element_at(F.col("_lines"), F.lit(i)), F.lit(""))
     ai = F.struct(*[line(i + 2).alias(f) for i, f in
                     enumerate(["tldr", "motivation", "method", "result", "conclusion"])])
-    return p.withColumn("AI", ai).withColumn("abs", F.concat(F.lit("https://arxiv.org/abs/"), F.col("id")))
+    return (p.withColumn("AI", ai).drop("_lines")
+            .withColumn("abs", F.concat(F.lit("https://arxiv.org/abs/"), F.col("id"))))
