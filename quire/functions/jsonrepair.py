@@ -7,8 +7,7 @@ object wins; text after a complete object is ignored.  ``from_json`` with a
 ``map<string,string>`` schema has exactly these properties: it stops after the
 first value, and yields NULL for arrays, scalars, cut-off objects and garbage.
 Single quotes are rejected (``allowSingleQuotes=false``) as a strict parser
-would.  Duplicate keys keep the last value when the session's
-``spark.sql.mapKeyDedupPolicy`` is ``LAST_WIN`` (set by ``quire.session``).
+would.  With a repeated key the last value wins (``get_last``).
 """
 from __future__ import annotations
 
@@ -60,9 +59,16 @@ def parse_object(text: Column | str, required_key: str | None = None) -> Column:
     return F.coalesce(*parsed)
 
 
+def get_last(m: Column, key: str) -> Column:
+    """Value of ``key``; with a repeated key the last one wins, as in a JSON decoder
+    (a parsed map keeps every entry and a plain lookup would return the first)."""
+    return F.try_element_at(F.filter(F.map_entries(m), lambda e: e.getField("key") == key), F.lit(-1)) \
+        .getField("value")
+
+
 def field_or_default(m: Column, key: str, default: str) -> Column:
     """Value as text (nested values keep their JSON text); null or absent -> default."""
-    return F.coalesce(F.element_at(m, F.lit(key)), F.lit(default))
+    return F.coalesce(get_last(m, key), F.lit(default))
 
 
 def ai_fields(m: Column, status: Column | str | None = None) -> Column:
@@ -99,13 +105,13 @@ def verdict_fields(m: Column, status: Column | str | None = None) -> Column:
     """
     failed = F.lit(False) if status is None else (_c(status) == "error")
     ok = m.isNotNull() & ~failed
-    conf = F.coalesce(F.element_at(m, F.lit("confidence")).try_cast("double"), F.lit(0.0))
-    topics_raw = F.from_json(F.element_at(m, F.lit("topics")), "array<string>", JSON_OPTIONS)
+    conf = F.coalesce(get_last(m, "confidence").try_cast("double"), F.lit(0.0))
+    topics_raw = F.from_json(get_last(m, "topics"), "array<string>", JSON_OPTIONS)
     topics = F.transform(F.slice(F.coalesce(topics_raw, F.array().cast("array<string>")), 1, fixed.TOPIC_MAX_TOPICS),
                          lambda t: F.substring(F.coalesce(t, F.lit("")), 1, fixed.TOPIC_MAX_TOPIC_CHARS))
-    reason = F.substring(F.coalesce(F.element_at(m, F.lit("reason")), F.lit("")), 1, fixed.TOPIC_MAX_REASON_CHARS)
+    reason = F.substring(F.coalesce(get_last(m, "reason"), F.lit("")), 1, fixed.TOPIC_MAX_REASON_CHARS)
     return F.struct(
-        F.when(ok, text_bool(F.element_at(m, F.lit("relevant")))).otherwise(F.lit(False)).alias("relevant"),
+        F.when(ok, text_bool(get_last(m, "relevant"))).otherwise(F.lit(False)).alias("relevant"),
         F.when(ok, conf).otherwise(F.lit(0.0)).alias("confidence"),
         F.when(ok, reason).otherwise(F.lit(fixed.TOPIC_DEFAULT_REASON)).alias("reason"),
         F.when(ok, topics).otherwise(F.array().cast("array<string>")).alias("topics"),

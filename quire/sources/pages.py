@@ -142,3 +142,33 @@ def pair_entries(entries: DataFrame, first_tag: str = "dt", second_tag: str = "d
     e = e.withColumn("_next_tag", F.lead("tag").over(w)).withColumn("_next_text", F.lead("text").over(w))
     return e.where((F.col("tag") == first_tag) & (F.col("_next_tag") == second_tag)).select(
         "page_id", "pos", F.col("text").alias("entry"), F.col("_next_text").alias("description"))
+
+
+def _by_class(tag: str, cls: str) -> str:
+    return rf'(?s)<{tag}[^>]*class="[^"]*\b{cls}\b[^"]*"[^>]*>(.*?)</{tag}>'
+
+
+def abstract_record(pages: DataFrame, fallback_categories: Column | None = None) -> DataFrame:
+    """S15 for abstract pages: id (last part of the URL), title, authors in
+    order, abstract, comment and categories (codes in parentheses of the
+    subjects cell, else ``fallback_categories`` from the listing)."""
+    h = F.col("html")
+    authors_html = F.regexp_extract(h, _by_class("div", "authors"), 1)
+    names = F.regexp_extract_all(authors_html, F.lit(r"(?s)<a[^>]*>(.*?)</a>"), 1)
+    authors = F.filter(F.transform(names, lambda n: F.trim(unescape(F.regexp_replace(n, r"<[^>]*>", "")),
+                                                          F.lit(" \t\n\r\x0b\x0c"))), lambda n: n != "")
+    comment_html = F.regexp_extract(
+        h, r'(?s)<td[^>]*class="[^"]*\blabel\b[^"]*"[^>]*>\s*Comments:\s*</td>\s*<td[^>]*>(.*?)</td>', 1)
+    subjects = text_of(F.regexp_extract(h, _by_class("td", "subjects"), 1))
+    cats = subject_codes(subjects)
+    if fallback_categories is not None:
+        cats = F.when(F.size(cats) > 0, cats).otherwise(fallback_categories)
+    return pages.select(
+        F.element_at(F.split(F.regexp_replace("url", r"/+$", ""), "/"), -1).alias("id"),
+        strip_descriptor(text_of(F.regexp_extract(h, _by_class("h1", "title"), 1)), "Title:").alias("title"),
+        authors.alias("authors"),
+        strip_descriptor(text_of(F.regexp_extract(h, _by_class("blockquote", "abstract"), 1)), "Abstract:")
+        .alias("summary"),
+        text_of(comment_html).alias("comment"),
+        cats.alias("categories"),
+    )
