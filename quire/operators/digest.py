@@ -154,8 +154,11 @@ def write_digest(lines: DataFrame, path: str, num_partitions: int | None = None)
     makes part files ordered: their name order is the line order.
     """
     n = num_partitions or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (lines.repartitionByRange(n, "date", "line_no").sortWithinPartitions("date", "line_no")
-     .select(F.date_format("date", "yyyy-MM-dd").alias("date"), "line")
+    # The folder key is derived before sorting, so the sort already provides
+    # the ordering the partitioned writer needs and no other sort replaces it.
+    keyed = lines.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "line_no", "line")
+    (keyed.repartitionByRange(n, "date", "line_no").sortWithinPartitions("date", "line_no")
+     .select("date", "line")
      .write.mode("overwrite").partitionBy("date").text(path))
 
 
