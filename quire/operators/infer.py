@@ -135,6 +135,14 @@ def save_results(results: DataFrame, path: str) -> DataFrame:
     return results.sparkSession.read.parquet(path)
 
 
+CALL_COLUMNS = ("response", "kind", "status", "attempts", "error")
+
+
+def _without_call_columns(df: DataFrame) -> DataFrame:
+    """Drop the bookkeeping of an earlier call before joining a new one."""
+    return df.drop(*[c for c in CALL_COLUMNS if c in df.columns])
+
+
 def response_text() -> Column:
     """X4 applied where the function answered with message parts."""
     from ..functions.jsonrepair import flatten_parts
@@ -146,6 +154,7 @@ def enrich(df: DataFrame, fn: Callable[[str], object], language: str = "English"
     """M1: first-seen distinct rows (W1) -> prompt -> call -> ``AI`` struct."""
     from ..functions.jsonrepair import with_ai
     from .dedup import first_seen
+    df = _without_call_columns(df)
     rows = first_seen(df, key, "seq") if "seq" in df.columns else df
     prompt = render_prompt(template, language=F.lit(language), content="summary")
     res = batch_call(rows, fn, prompt, key=key, **kw).withColumn("response", response_text())
@@ -161,6 +170,7 @@ def classify(df: DataFrame, fn: Callable[[str], object], key: str = "id", keep_u
              min_confidence: float = fixed.TOPIC_MIN_CONFIDENCE, **kw) -> DataFrame:
     """M2: prompt -> call -> verdict (fail-closed) -> keep-uncertain rule."""
     from . import topic
+    df = _without_call_columns(df)
     comment = F.col("comment") if "comment" in df.columns else F.lit("")
     prompt = render_prompt(CLASSIFY_TEMPLATE, title="title", categories=list_slot("categories"),
                            authors=list_slot("authors"), comment=comment, summary="summary")

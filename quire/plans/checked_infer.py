@@ -78,3 +78,19 @@ def p16_prompt_render(spark, sf_dir):
     pr = infer.render_prompt(infer.CLASSIFY_TEMPLATE, title="title", categories=infer.list_slot("categories"),
                              authors=infer.list_slot("authors"), comment=F.lit(""), summary="summary")
     return p.select("id", pr.alias("prompt"))
+
+
+@register("c1_daily_pipeline")
+def c1_daily_pipeline(spark, sf_dir):
+    """One day through fill, dedup, topic filter, safety gate, enrichment and
+    digest (rows-only: model functions are Python).  Paper ids are content
+    hashes, so exact copies from earlier days are removed by the look-back."""
+    from ..plans.daily import DailyConfig, run_daily
+    apply_confs(spark)
+    p = papers_view(load_table(spark, sf_dir, "documents")).withColumn("id", F.md5("summary"))
+    run = "2024-01-15"
+    today = p.where(F.col("date") == F.lit(run).cast("date")).drop("date")
+    history = p.where(F.col("date") < F.lit(run).cast("date")).select("id", "date")
+    r = run_daily(today, history, DailyConfig(run_date=run, topic_filter=True, keep_uncertain=True),
+                  local_summarizer, local_classifier, local_safety, sleep=_no_sleep)
+    return r.published.select("id", "title", "primary_category", F.col("AI.tldr").alias("tldr"))
