@@ -92,6 +92,8 @@ def digest_entries(df: DataFrame, preference: Sequence[str] = fixed.DEFAULT_PREF
                    num_partitions: int | None = None) -> DataFrame:
     """F15 + W4 + S10: numbered Markdown entries ``(date, primary_category, cat_rank, idx, md)``."""
     d = with_primary(df).where(_has_primary() & complete_ai())
+    if "seq" not in d.columns:   # no listing order recorded: order by id within a section
+        d = d.withColumn("seq", F.lit(0).cast("long"))
     d = d.withColumn("cat_rank", preference_rank("primary_category", preference))
     order = [F.col("cat_rank").asc(), F.col("primary_category").asc(), F.col("seq").asc(), F.col("id").asc()]
     n = number_rows(d, order, ["date"], name="idx", num_partitions=num_partitions)

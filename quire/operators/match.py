@@ -252,6 +252,21 @@ def preference_hits(df: DataFrame, preferences: DataFrame, key: str = "id") -> D
     return out.select("user_id", key, "kind", "term")
 
 
+def preference_export(prefs: DataFrame, sep: str = ",") -> DataFrame:
+    """Each user's list per kind, duplicates removed, in the order terms
+    were added (``pos``; term order when absent), joined with ``sep``.
+
+    A user's list is small and bounded, so it is gathered per (user, kind).
+    """
+    pos = F.col("pos") if "pos" in prefs.columns else F.lit(0)
+    d = (prefs.where(F.col("term").isNotNull() & (F.trim("term") != ""))
+         .withColumn("term", F.trim("term"))
+         .groupBy("user_id", "kind", "term").agg(F.min(pos).alias("_pos")))
+    g = d.groupBy("user_id", "kind").agg(F.array_sort(F.collect_list(F.struct("_pos", "term"))).alias("_l"))
+    return g.select("user_id", "kind", F.array_join(F.transform("_l", lambda x: x.getField("term")), sep)
+                    .alias("terms"))
+
+
 def reason_from_hits(hits: DataFrame, key: str = "id", group: Sequence[str] = ()) -> DataFrame:
     """A7 + P15 over long-form hits ``(group..., key, kind, term)``: one reason per row.
 

@@ -239,3 +239,19 @@ def p12_csv_terms(spark, sf_dir):
     c = load_table(spark, sf_dir, "customer")
     raw = F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit(" ,, "), F.col("c_name"), F.lit(" ,"))
     return c.select("c_custkey", F.array_join(tf.csv_terms(raw), "|").alias("terms"))
+
+
+@register("p18_preference_export", with_(PREFS_SQL) + """
+SELECT user_id, kind, string_agg(term, ',' ORDER BY term) AS terms
+FROM (SELECT DISTINCT user_id, kind, trim(term) AS term FROM prefs WHERE trim(term) <> '')
+GROUP BY ALL""")
+def p18_preference_export(spark, sf_dir):
+    apply_confs(spark)
+    return match.preference_export(preferences(spark, sf_dir))
+
+
+@register("o8_random_pick")
+def o8_random_pick(spark, sf_dir):
+    """One random paper (rows-only: a random choice has no oracle)."""
+    from ..sources import feed
+    return feed.random_pick(_papers(spark, sf_dir).select("id", "title"), seed=7)

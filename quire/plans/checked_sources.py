@@ -221,3 +221,14 @@ def j8_entry_pairing(spark, sf_dir):
     apply_confs(spark)
     e = pages.listing_entries(load_table(spark, sf_dir, "pages"), tags=("h1", "p"))
     return pages.pair_entries(e, "h1", "p")
+
+
+@register("f18_date_ceiling", with_(PAPERS) + """
+, req AS (SELECT CAST(d AS DATE) AS date FROM range(DATE '2024-01-20', DATE '2024-02-10', INTERVAL 1 DAY) t(d))
+SELECT strftime(date, '%Y-%m-%d') AS date FROM req WHERE date <= (SELECT max(date) FROM papers)""")
+def f18_date_ceiling(spark, sf_dir):
+    """requested days after the newest available day are dropped."""
+    apply_confs(spark)
+    p = papers_view(load_table(spark, sf_dir, "documents"))
+    req = spark.range(0, 21).select(F.date_add(F.lit("2024-01-20").cast("date"), F.col("id").cast("int")).alias("date"))
+    return feed.up_to_newest(req, p).select(tf.iso_date("date").alias("date"))

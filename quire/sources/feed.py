@@ -72,6 +72,23 @@ def date_range(df: DataFrame, date_from: str, date_to: str) -> DataFrame:
     return r
 
 
+def up_to_newest(requested: DataFrame, available: DataFrame, col: str = "date") -> DataFrame:
+    """nothing after the newest available date.
+
+    The newest date is a scalar subquery: computed once, then applied as a
+    constant predicate (no join, no single-partition window).
+    """
+    newest = available.select(F.max(col)).scalar()
+    return requested.where(F.col(col) <= newest)
+
+
+def random_pick(df: DataFrame, seed: int | None = None) -> DataFrame:
+    """One random row.  ``orderBy(rand).limit(1)`` plans as a top-1 per
+    task and one merge, never a full sort."""
+    r = F.rand(seed) if seed is not None else F.rand()
+    return df.orderBy(r).limit(1)
+
+
 def newest_first(df: DataFrame) -> DataFrame:
     """Dates newest first (a sort for presentation; ``date`` is low-cardinality)."""
     return df.orderBy(F.col("date").desc())

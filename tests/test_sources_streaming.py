@@ -120,3 +120,40 @@ def test_incremental_ingest_reads_only_new_files(spark, tmpdir_path):
     assert run() == 1
     _write(src, "b.jsonl", [_paper(2, ["cs.RO"]), _paper(3, ["cs.RO"])])
     assert run() == 3                    # the first file is not read again
+
+
+def test_absent_day_is_empty(spark, tmpdir_path):
+    df = feed.read_day(spark, os.path.join(tmpdir_path, "nothing-here"), "2026-01-01")
+    assert df.count() == 0
+
+
+def test_split_sink_and_empty_guard(spark, tmpdir_path):
+    from quire.operators import topic
+    rows = [(1, json.dumps({"relevant": True, "confidence": 0.9}), "ok", dt.date(2026, 1, 1)),
+            (2, json.dumps({"relevant": False, "confidence": 0.9}), "ok", dt.date(2026, 1, 1))]
+    df = spark.createDataFrame(rows, "i int, response string, status string, date date")
+    kept_p, excl_p = os.path.join(tmpdir_path, "kept"), os.path.join(tmpdir_path, "excl")
+    assert topic.write_split(topic.classify(df), kept_p, excl_p) == topic.STATUS_OK
+    assert [r.i for r in spark.read.parquet(kept_p).collect()] == [1]
+    assert [r.i for r in spark.read.parquet(excl_p).collect()] == [2]
+    none_kept = df.where("i = 2")
+    assert topic.write_split(topic.classify(none_kept), kept_p + "2", excl_p + "2") == topic.STATUS_EMPTY
+    assert not os.path.exists(kept_p + "2")              # input left unchanged, nothing written
+
+
+def test_publish_per_batch(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    ai = {"tldr": "t", "motivation": "m", "method": "x", "result": "r", "conclusion": "c"}
+    lines = [json.dumps({"id": f"p{i}", "title": f"T{i}", "summary": "s", "authors": ["a"], "categories": ["cs.CV"],
+                         "AI": ai}) for i in range(3)]
+    _write(src, "day.jsonl", lines)
+    s = fs.read_feed_stream(spark, src).withColumn("date", F.lit("2026-01-03").cast("date")) \
+        .withColumn("language", F.lit("English"))
+    out, dig = os.path.join(tmpdir_path, "feed"), os.path.join(tmpdir_path, "digest")
+    q = (s.writeStream.foreachBatch(fs.publish_writer(out, dig)).option("checkpointLocation",
+         os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 3
+    text = spark.read.text(dig).collect()
+    assert any(r.value.startswith("### [3]") for r in text)
