@@ -9,10 +9,11 @@ complete model fields are skipped and take no number, but are counted in the
 section totals (A2 before F15).
 
 At scale the document is never built as one string: it is a table of lines
-``(date, line_no, line)``.  Lines are numbered skew-safely (a day holding a
-third of all rows is spread over many tasks) and written range-partitioned
-and sorted, so concatenating one day's part files in name order gives the
-document (``write_digest``).
+``(date, frag_no, sub, line)``.  Entries are numbered skew-safely (a day
+holding a third of all rows is spread over many tasks); every other position
+follows from small per-section aggregates; lines are written
+range-partitioned and sorted, so concatenating one day's part files in name
+order gives the document (``write_digest``).
 """
 from __future__ import annotations
 
@@ -108,58 +109,70 @@ def digest_entries(df: DataFrame, preference: Sequence[str] = fixed.DEFAULT_PREF
 
 def digest_fragments(df: DataFrame, preference: Sequence[str] = fixed.DEFAULT_PREFERRED_CATEGORIES,
                      num_partitions: int | None = None) -> DataFrame:
-    """Document pieces ``(date, part, cat_rank, primary_category, idx, text)`` in document order.
-
-    part 0: contents header; 1: contents line; 2: section header (idx 0) and
-    entries (idx >= 1, every entry but a section's first prefixed by a blank line).
+    """Document pieces ``(date, frag_no, text)``, ``frag_no`` = position in the day's document.
+
+    Only the entries need skew-safe numbering (W4, ``idx``).  Every other
+    position follows from per-section aggregates, a table with one row per
+    (day, category): with ``C`` sections, section ``s`` (1-based, in digest
+    order) having ``b`` entries before it, the pieces are numbered
+    contents header 1, contents line ``1 + s``, section header
+    ``1 + C + s + b``, entry ``1 + C + s + idx``.  Every entry but a
+    section's first is prefixed by the blank-line separator.
     """
+    from pyspark.sql import Window
     totals = section_totals(df, preference)
     entries = digest_entries(df, preference, num_partitions)
-    first = entries.groupBy("date", "primary_category").agg(F.min("idx").alias("_first"))
-    days = totals.select("date").distinct()
-    head = days.select("date", F.lit(0).alias("part"), F.lit(-1).alias("cat_rank"),
-                       F.lit("").alias("primary_category"), F.lit(0).cast("long").alias("idx"),
-                       F.lit(fixed.DIGEST_TOC_HEADER).alias("text"))
-    toc = totals.select("date", F.lit(1).alias("part"), "cat_rank", "primary_category",
-                        F.lit(0).cast("long").alias("idx"),
-                        render(fixed.DIGEST_TOC_LINE, cate=F.col("primary_category"), count=F.col("total")).alias("text"))
-    sec = totals.select("date", F.lit(2).alias("part"), "cat_rank", "primary_category",
-                        F.lit(0).cast("long").alias("idx"),
-                        render(fixed.DIGEST_SECTION_HEADER, cate=F.col("primary_category")).alias("text"))
-    ent = entries.join(first, ["date", "primary_category"]).select(
-        "date", F.lit(2).alias("part"), "cat_rank", "primary_category", "idx",
+    counts = entries.groupBy("date", "primary_category").agg(
+        F.count(F.lit(1)).alias("_ne"), F.min("idx").alias("_first"))
+    # One row per (day, category): windows over a day's sections are small.
+    order = Window.partitionBy("date").orderBy("cat_rank", "primary_category")
+    secs = (totals.join(counts, ["date", "primary_category"], "left")
+            .withColumn("_ne", F.coalesce("_ne", F.lit(0)).cast("long"))
+            .withColumn("_ord", F.row_number().over(order).cast("long"))
+            .withColumn("_ncat", F.count(F.lit(1)).over(Window.partitionBy("date")).cast("long"))
+            .withColumn("_before", F.coalesce(F.sum("_ne").over(order.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)).cast("long")))
+    head = totals.select("date").distinct().select(
+        "date", F.lit(1).cast("long").alias("frag_no"), F.lit(fixed.DIGEST_TOC_HEADER).alias("text"))
+    toc = secs.select("date", (F.col("_ord") + 1).alias("frag_no"),
+                      render(fixed.DIGEST_TOC_LINE, cate=F.col("primary_category"), count=F.col("total")).alias("text"))
+    hdr = secs.select("date", (F.col("_ncat") + F.col("_ord") + F.col("_before") + 1).alias("frag_no"),
+                      render(fixed.DIGEST_SECTION_HEADER, cate=F.col("primary_category")).alias("text"))
+    ent = entries.join(secs.select("date", "primary_category", "_ord", "_ncat", "_first"),
+                       ["date", "primary_category"]).select(
+        "date", (F.col("_ncat") + F.col("_ord") + F.col("idx") + 1).alias("frag_no"),
         F.when(F.col("idx") == F.col("_first"), F.col("md"))
         .otherwise(F.concat(F.lit(fixed.DIGEST_ENTRY_SEPARATOR), F.col("md"))).alias("text"))
-    return head.unionByName(toc).unionByName(sec).unionByName(ent)
+    return head.unionByName(toc).unionByName(hdr).unionByName(ent)
 
 
 def digest_lines(df: DataFrame, preference: Sequence[str] = fixed.DEFAULT_PREFERRED_CATEGORIES,
                  num_partitions: int | None = None) -> DataFrame:
-    """The digest as numbered lines ``(date, line_no, line)``.
+    """The digest as lines ``(date, frag_no, sub, line)``; ``(frag_no, sub)``
+    is the line's position in the day's document.
 
     Every fragment ends with a newline, so splitting fragments into lines and
-    writing each line with a newline reproduces the document byte for byte.
+    writing each line with a newline, in position order, reproduces the
+    document byte for byte.
     """
     fr = digest_fragments(df, preference, num_partitions)
     body = F.expr("substring(text, 1, length(text) - 1)")
-    lines = fr.select("date", "part", "cat_rank", "primary_category", "idx",
-                      F.posexplode(F.split(body, "\n", -1)).alias("sub", "line"))
-    order = [F.col(c).asc() for c in ("part", "cat_rank", "primary_category", "idx", "sub")]
-    return number_rows(lines, order, ["date"], name="line_no", num_partitions=num_partitions).select(
-        "date", "line_no", "line")
+    lines = fr.select("date", "frag_no", F.posexplode(F.split(body, "\n", -1)).alias("sub", "line"))
+    return lines.select("date", "frag_no", (F.col("sub") + 1).cast("long").alias("sub"), "line")
 
 
 def write_digest(lines: DataFrame, path: str, num_partitions: int | None = None) -> None:
     """Write one text document per date: ``path/date=YYYY-MM-DD/part-*``.
 
-    Range partitioning on ``(date, line_no)`` plus a sort inside each task
-    makes part files ordered: their name order is the line order.
+    Range partitioning on ``(date, frag_no, sub)`` plus a sort inside each
+    task makes part files ordered: their name order is the line order, and a
+    day with many entries is written by many tasks.
     """
     n = num_partitions or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The folder key is derived before sorting, so the sort already provides
     # the ordering the partitioned writer needs and no other sort replaces it.
-    keyed = lines.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "line_no", "line")
-    (keyed.repartitionByRange(n, "date", "line_no").sortWithinPartitions("date", "line_no")
+    keyed = lines.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "frag_no", "sub", "line")
+    (keyed.repartitionByRange(n, "date", "frag_no", "sub").sortWithinPartitions("date", "frag_no", "sub")
      .select("date", "line")
      .write.mode("overwrite").partitionBy("date").text(path))
 

@@ -119,18 +119,17 @@ SEP_LIT = "'" + fixed.DIGEST_ENTRY_SEPARATOR + "'"
   UNION ALL SELECT e.date, 2, e.cat_rank, e.primary_category, e.idx,
                    CASE WHEN e.idx = f.f THEN e.md ELSE concat({SEP_LIT}, e.md) END
             FROM entries e JOIN firsts f USING (date, primary_category))
-, ln AS (SELECT date, part, cat_rank, primary_category, idx,
+, fn AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY part, cat_rank, primary_category, idx) AS frag_no
+         FROM fr)
+, ln AS (SELECT date, frag_no,
                 unnest(string_split(substring(text, 1, length(text) - 1), chr(10))) AS line,
                 generate_subscripts(string_split(substring(text, 1, length(text) - 1), chr(10)), 1) AS sub
-         FROM fr)
-SELECT strftime(date, '%Y-%m-%d') AS date,
-       CAST(row_number() OVER (PARTITION BY date ORDER BY part, cat_rank, primary_category, idx, sub) AS BIGINT)
-         AS line_no,
-       line
+         FROM fn)
+SELECT strftime(date, '%Y-%m-%d') AS date, CAST(frag_no AS BIGINT) AS frag_no, CAST(sub AS BIGINT) AS sub, line
 FROM ln""")
 def s10_digest_lines(spark, sf_dir):
     ln = digest.digest_lines(_enriched(spark, sf_dir), PREFERENCE)
-    return ln.select(tf.iso_date("date").alias("date"), "line_no", "line")
+    return ln.select(tf.iso_date("date").alias("date"), "frag_no", "sub", "line")
 
 
 @register("s12_archive_index", with_(PAPERS) + """
