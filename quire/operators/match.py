@@ -24,7 +24,8 @@ from .numbering import number_rows
 # A term table up to this many distinct terms is applied as literal
 # expressions; beyond it, with a multi-pattern automaton (see term_hits).
 MAX_LITERAL_TERMS = 32
-# A term table is broadcast only below this many distinct terms.
+# At most this many distinct terms go into one automaton (or broadcast);
+# larger term sets are matched in hash chunks of this size.
 MAX_BROADCAST_TERMS = 200_000
 
 
@@ -175,33 +176,47 @@ def term_hits(df: DataFrame, terms: DataFrame, hay: Column, key: str = "id",
 
     Distinct terms are matched once, case-insensitively (terms are
     lower-cased on the JVM like the haystack).  Strategy by the size of the
-    distinct term set, which is counted (bounded by ``MAX_BROADCAST_TERMS``):
+    distinct term set, which is counted first:
 
     * up to ``MAX_LITERAL_TERMS`` terms -- literal ``contains`` expressions in
       one code-generated projection;
-    * more -- an Aho-Corasick automaton over all terms, built once per Python
-      worker and run over Arrow batches of haystacks (one pass per text,
-      whatever the number of terms); without the automaton library, a
-      broadcast nested-loop join on ``contains``.
+    * up to ``MAX_BROADCAST_TERMS`` -- an Aho-Corasick automaton over all
+      terms, built once per Python worker and run over Arrow batches of
+      haystacks (one pass per text, whatever the number of terms); without
+      the automaton library, a broadcast nested-loop join on ``contains``;
+    * more -- the term set is split by hash into chunks of at most
+      ``MAX_BROADCAST_TERMS`` and each chunk is matched the same way; the
+      union is exact (every term is in exactly one chunk).
     """
     dterms = _distinct_terms(terms, term_col).select("term", F.lower("term").alias("lt"))
-    n = dterms.limit(MAX_BROADCAST_TERMS + 1).count()
-    if n > MAX_BROADCAST_TERMS:
-        raise ValueError(f"term table has more than {MAX_BROADCAST_TERMS} distinct terms; "
-                         "split it and union the results")
+    n = dterms.count()
     base = df.select(F.col(key), hay.alias("_hay"))
     if n <= MAX_LITERAL_TERMS:
         vals = [r[0] for r in dterms.orderBy("term").collect()]   # bounded by the check above
         return base.select(F.col(key), F.explode(literal_hits(F.col("_hay"), vals)).alias("term"))
+    chunks = -(-n // MAX_BROADCAST_TERMS)
+    if chunks > 1:
+        base = base.persist()    # scanned once per chunk
+        parts = [_automaton_hits(base, dterms.where((F.abs(F.hash("lt")) % chunks) == i), key)
+                 for i in range(chunks)]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    return _automaton_hits(base, dterms, key)
+
+
+def _automaton_hits(base: DataFrame, dterms: DataFrame, key: str) -> DataFrame:
+    """Match one bounded term set (``term, lt``) against ``base(key, _hay)``."""
     try:
         import ahocorasick  # noqa: F401
     except ImportError:
         return (base.join(F.broadcast(dterms), F.col("_hay").contains(F.col("lt")), "inner")
                 .select(F.col(key), F.col("term")))
-    pairs = dterms.orderBy("lt", "term").collect()                # bounded by the check above
+    pairs = dterms.orderBy("lt", "term").collect()                # at most MAX_BROADCAST_TERMS rows
     lowered = sorted({r["lt"] for r in pairs})
     index = {t: i for i, t in enumerate(lowered)}
-    spark = df.sparkSession
+    spark = base.sparkSession
     lookup = spark.createDataFrame([(index[r["lt"]], r["term"]) for r in pairs], "_ti int, term string")
     hits = _automaton_udf(spark, lowered)
     found = base.select(F.col(key), F.explode(hits(F.col("_hay"))).alias("_ti"))
@@ -324,20 +339,37 @@ def circular_neighbours(ranked: DataFrame, group_cols: Sequence[str] = ("date",)
     return side("_pr", "prev_id").join(side("_nr", "next_id").select(*g, key, "next_id"), [*g, key])
 
 
-def response_document(df: DataFrame, category: str, keywords: Sequence[str] | None,
-                      authors: Sequence[str] | None, group_cols: Sequence[str] = ("date",)) -> DataFrame:
-    """The JSON answer of a search request, one document per group.
+def response_parts(df: DataFrame, category: str, keywords: Sequence[str] | None,
+                   authors: Sequence[str] | None, group_cols: Sequence[str] = ("date",)) -> DataFrame:
+    """The JSON answer of a search request as ordered parts, one group per day.
 
-    ``{category, author, keywords, count, papers:[{id,title,authors,
-    categories,summary,date,url,reason}]}``.  Papers keep listing order.
+    ``part = 0`` is the header object ``{category, author, keywords, count}``
+    (count from an aggregate); ``part = 1`` rows are the papers
+    ``{id, title, authors, categories, summary, date, url, reason}`` with
+    their listing position ``pos`` (``seq``).  A writer emits the header with
+    a ``papers`` array of the part-1 rows in ``pos`` order; no day is ever
+    gathered into a single row, however many papers match.
     """
     kw = F.array(*[F.lit(k) for k in keywords]) if keywords else F.lit(None).cast("array<string>")
     au = F.array(*[F.lit(a) for a in authors]) if authors else F.lit(None).cast("array<string>")
-    paper = F.struct(F.col("seq"), F.struct(
-        "id", "title", "authors", "categories", "summary",
-        F.date_format("date", "yyyy-MM-dd").alias("date"), "url", F.col("match_reason").alias("reason")).alias("p"))
-    g = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("count"),
-                                    F.array_sort(F.collect_list(paper)).alias("_ps"))
-    return g.select(*group_cols, F.to_json(F.struct(
-        F.lit(category).alias("category"), au.alias("author"), kw.alias("keywords"), F.col("count"),
-        F.transform("_ps", lambda x: x.getField("p")).alias("papers"))).alias("response"))
+    g = list(group_cols)
+    head = df.groupBy(*g).agg(F.count(F.lit(1)).alias("count")).select(
+        *g, F.lit(0).alias("part"), F.lit(0).cast("long").alias("pos"),
+        F.to_json(F.struct(F.lit(category).alias("category"), au.alias("author"), kw.alias("keywords"),
+                           F.col("count"))).alias("json"))
+    papers = df.select(*g, F.lit(1).alias("part"), F.col("seq").cast("long").alias("pos"), F.to_json(F.struct(
+        "id", "title", "authors", "categories", "summary", F.date_format("date", "yyyy-MM-dd").alias("date"),
+        "url", F.col("match_reason").alias("reason"))).alias("json"))
+    return head.unionByName(papers)
+
+
+def response_document(parts: DataFrame) -> str:
+    """Assemble one small response (a single request's day) on the driver.
+
+    For interactive use only: it collects the parts of *one* group; large
+    answers should be written from ``response_parts`` instead.
+    """
+    rows = sorted(parts.select("part", "pos", "json").collect(), key=lambda r: (r["part"], r["pos"]))
+    head = rows[0]["json"][:-1] if rows else "{"
+    papers = ",".join(r["json"] for r in rows[1:])
+    return f'{head},"papers":[{papers}]}}'

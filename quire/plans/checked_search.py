@@ -186,10 +186,11 @@ def j7_preference_join(spark, sf_dir):
 
 @register("s13_response_document")
 def s13_response_document(spark, sf_dir):
-    """One JSON answer per day (rows-only check: JSON text layout is engine-specific)."""
+    """The JSON answer per day as ordered parts (rows-only: JSON text
+    layout is engine-specific)."""
     r = search.search_request(_papers(spark, sf_dir), fixed.ALL_CATEGORIES, KEYWORDS, AUTHORS)
-    return match.response_document(r, fixed.ALL_CATEGORIES, KEYWORDS, AUTHORS).select(
-        tf.iso_date("date").alias("date"), "response")
+    return match.response_parts(r, fixed.ALL_CATEGORIES, KEYWORDS, AUTHORS).select(
+        tf.iso_date("date").alias("date"), "part", "pos", "json")
 
 
 @register("p6_author_display", with_(PAPERS) + """

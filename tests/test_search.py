@@ -121,3 +121,21 @@ def test_summary_choice_and_defaults(spark):
     got = [r[0] for r in df.select(pf.display_summary("tldr", "summary")).collect()]
     assert got == ["t", "abs", "abs"]
     assert fixed.KEYWORD_REASON_PREFIX.endswith(": ")
+
+
+def test_response_document(spark):
+    import json as _json
+    r = search.search_request(base(spark), "all", ["robot"], ["cy"])
+    doc = _json.loads(match.response_document(match.response_parts(r, "all", ["robot"], ["cy"])))
+    assert doc["count"] == 3 and doc["keywords"] == ["robot"] and doc["author"] == ["cy"]
+    assert [p["id"] for p in doc["papers"]] == ["1", "2", "3"]
+    assert doc["papers"][1]["reason"] == "作者: cy"
+
+
+def test_chunked_term_matching_is_exact(spark, monkeypatch):
+    v = match.search_view(base(spark))
+    terms = spark.createDataFrame([(t,) for t in ["robot", "A.B", "c++"] + [f"nohit{i}" for i in range(60)]],
+                                  "term string")
+    monkeypatch.setattr(match, "MAX_BROADCAST_TERMS", 20)       # force 4 chunks
+    got = sorted(map(tuple, match.term_hits(v, terms, match.keyword_haystack()).collect()))
+    assert got == [("1", "A.B"), ("1", "c++"), ("1", "robot"), ("3", "robot"), ("4", "A.B")]
