@@ -95,18 +95,18 @@ def top_keywords(counts: DataFrame, k: int = fixed.CLOUD_TOP) -> DataFrame:
                       cloud_weight("count").alias("size"))
 
 
-def trend_grid(kw: DataFrame, top: DataFrame, dates: DataFrame, k: int = fixed.TREND_TOP) -> DataFrame:
+def trend_grid(day_counts: DataFrame, top: DataFrame, dates: DataFrame, k: int = fixed.TREND_TOP) -> DataFrame:
     """O6 + J6 + O7: every top-``k`` keyword on every date of the range, 0 when absent.
 
-    The grid is ``k`` keywords x the distinct dates: both sides are bounded
-    (k is a parameter, dates a calendar range), so it is built by a join of
-    the two small tables on a constant key, then left-joined to the counts
-    restricted to those keywords.
+    ``day_counts`` is ``(date, keyword, count)`` (A4).  The grid is ``k``
+    keywords x the distinct dates: both sides are bounded (k is a parameter,
+    dates a calendar range), so it is built by a join of the two small tables
+    on a constant key, then left-joined to the day counts of those keywords.
     """
     tk = top.where(F.col("rank") <= k).select("keyword", F.lit(1).alias("_one"))
     ds = dates.select("date").distinct().withColumn("_one", F.lit(1))
     grid = F.broadcast(tk).join(ds, "_one").drop("_one")
-    counts = keyword_day_counts(kw.join(F.broadcast(tk.drop("_one")), "keyword", "left_semi"))
+    counts = day_counts.join(F.broadcast(tk.drop("_one")), "keyword", "left_semi")
     return (grid.join(counts, ["keyword", "date"], "left")
             .select("keyword", "date", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
@@ -150,9 +150,13 @@ def keyword_statistics(papers: DataFrame, date_from: str | None = None, date_to:
     if date_to:
         df = df.where(F.col("date") <= F.lit(date_to).cast("date"))
     kw = title_keywords(df)
-    top = top_keywords(keyword_counts(kw), k_cloud)
-    grid = trend_grid(kw, top, df.select("date"), k_trend)
-    return {"keywords": kw, "cloud": top, "trend": grid}
+    # Keywords are extracted once: totals are sums of the per-day counts,
+    # and the cloud and the grid share that one aggregation.
+    day = keyword_day_counts(kw)
+    totals = day.groupBy("keyword").agg(F.sum("count").alias("count")).where(F.col("count") > 1)
+    top = top_keywords(totals, k_cloud)
+    grid = trend_grid(day, top, df.select("date"), k_trend)
+    return {"keywords": kw, "day_counts": day, "cloud": top, "trend": grid}
 
 
 def related(papers: DataFrame, keywords: Sequence[str]) -> DataFrame:
