@@ -48,17 +48,6 @@ def normalize_title(title: Column | str) -> Column:
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once per row and pass it to ``body`` (a let-binding).
-
-    Expressions that reuse a costly value (a lower-cased text searched for
-    many terms) are otherwise re-evaluated for each use once the optimizer
-    inlines them, e.g. into a pushed-down filter.  A one-element
-    ``transform`` binds the value to a lambda variable instead.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def haystack(*parts: Column | str) -> Column:
     """Fields joined by one space and lower-cased; a missing field is ''
     (an array join in the browser prints null as empty, keeping the separator)."""

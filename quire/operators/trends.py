@@ -157,9 +157,3 @@ def keyword_statistics(papers: DataFrame, date_from: str | None = None, date_to:
     top = top_keywords(totals, k_cloud)
     grid = trend_grid(day, top, df.select("date"), k_trend)
     return {"keywords": kw, "day_counts": day, "cloud": top, "trend": grid}
-
-
-def related(papers: DataFrame, keywords: Sequence[str]) -> DataFrame:
-    """F9 for several chart keywords at once: (keyword, id)."""
-    from .match import keyword_haystack, literal_hits
-    return papers.select("id", F.explode(literal_hits(keyword_haystack(), list(keywords))).alias("keyword"))
