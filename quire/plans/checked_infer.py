@@ -80,8 +80,8 @@ def p16_prompt_render(spark, sf_dir):
     return p.select("id", pr.alias("prompt"))
 
 
-@register("c1_daily_pipeline")
-def c1_daily_pipeline(spark, sf_dir):
+@register("c1_daily_run")
+def c1_daily_run(spark, sf_dir):
     """One day through fill, dedup, topic filter, safety gate, enrichment and
     digest (rows-only: model functions are Python).  Paper ids are content
     hashes, so exact copies from earlier days are removed by the look-back."""
