@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import cloud_weight, normalize_title
+from ..session import materialize
 
 # Function words of the stop list that break candidate runs.
 BREAK_WORDS = ["the", "is", "at", "which", "and", "or", "in", "to", "for", "of",
@@ -98,15 +99,15 @@ def top_keywords(counts: DataFrame, k: int = fixed.CLOUD_TOP) -> DataFrame:
 def trend_grid(day_counts: DataFrame, top: DataFrame, dates: DataFrame, k: int = fixed.TREND_TOP) -> DataFrame:
     """O6 + J6 + O7: every top-``k`` keyword on every date of the range, 0 when absent.
 
-    ``day_counts`` is ``(date, keyword, count)`` (A4).  The grid is ``k``
-    keywords x the distinct dates: both sides are bounded (k is a parameter,
-    dates a calendar range), so it is built by a join of the two small tables
-    on a constant key, then left-joined to the day counts of those keywords.
+    ``day_counts`` is ``(date, keyword, count)`` (A4).  The top ``k``
+    keywords (``k`` rows at most) are read as a list and exploded over the
+    distinct dates, so the grid needs no join of its own; the day counts of
+    those keywords are then left-joined on ``(keyword, date)``.
     """
-    tk = top.where(F.col("rank") <= k).select("keyword", F.lit(1).alias("_one"))
-    ds = dates.select("date").distinct().withColumn("_one", F.lit(1))
-    grid = F.broadcast(tk).join(ds, "_one").drop("_one")
-    counts = day_counts.join(F.broadcast(tk.drop("_one")), "keyword", "left_semi")
+    keys = [r["keyword"] for r in top.where(F.col("rank") <= k).orderBy("rank").collect()]   # <= k rows
+    kws = F.array(*[F.lit(x) for x in keys]) if keys else F.array().cast("array<string>")
+    grid = dates.select("date").distinct().select("date", F.explode(kws).alias("keyword"))
+    counts = day_counts.where(F.col("keyword").isin(keys)) if keys else day_counts.limit(0)
     return (grid.join(counts, ["keyword", "date"], "left")
             .select("keyword", "date", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
@@ -150,9 +151,9 @@ def keyword_statistics(papers: DataFrame, date_from: str | None = None, date_to:
     if date_to:
         df = df.where(F.col("date") <= F.lit(date_to).cast("date"))
     kw = title_keywords(df)
-    # Keywords are extracted once: totals are sums of the per-day counts,
-    # and the cloud and the grid share that one aggregation.
-    day = keyword_day_counts(kw)
+    # Keywords are extracted once: the per-day counts (a small aggregate) are
+    # checkpointed, totals are their sums, and the cloud and the grid read them.
+    day = materialize(keyword_day_counts(kw))
     totals = day.groupBy("keyword").agg(F.sum("count").alias("count")).where(F.col("count") > 1)
     top = top_keywords(totals, k_cloud)
     grid = trend_grid(day, top, df.select("date"), k_trend)
