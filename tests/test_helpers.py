@@ -74,5 +74,7 @@ def test_approximate_stream_dedup(spark, tmpdir_path):
     q = (fs.dedup_approx(s).writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
-    got = sorted((r.id, r.ts.day) for r in spark.read.parquet(out).collect())
-    assert ("a", 1) in got and ("b", 1) in got and ("a", 2) not in got
+    got = [r.id for r in spark.read.parquet(out).collect()]
+    # One batch: duplicates of an id within it collapse to one row (which one
+    # is processing order); the exact rule would keep a on days 1 and 18.
+    assert sorted(got) == ["a", "b"]
