@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
@@ -100,4 +102,4 @@ def enriched_view(documents: DataFrame) -> DataFrame:
     ai = F.struct(*[line(i + 2).alias(f) for i, f in
                     enumerate(["tldr", "motivation", "method", "result", "conclusion"])])
     return (p.withColumn("AI", ai).drop("_lines")
-            .withColumn("abs", F.concat(F.lit("https://arxiv.org/abs/"), F.col("id"))))
+            .withColumn("abs", F.concat(F.lit(fixed.ABS_URL_PREFIX), F.col("id"))))
