@@ -353,13 +353,14 @@ def response_parts(df: DataFrame, category: str, keywords: Sequence[str] | None,
     kw = F.array(*[F.lit(k) for k in keywords]) if keywords else F.lit(None).cast("array<string>")
     au = F.array(*[F.lit(a) for a in authors]) if authors else F.lit(None).cast("array<string>")
     g = list(group_cols)
+    keep_nulls = {"ignoreNullFields": "false"}     # absent author / reason appear as null
     head = df.groupBy(*g).agg(F.count(F.lit(1)).alias("count")).select(
         *g, F.lit(0).alias("part"), F.lit(0).cast("long").alias("pos"),
         F.to_json(F.struct(F.lit(category).alias("category"), au.alias("author"), kw.alias("keywords"),
-                           F.col("count"))).alias("json"))
+                           F.col("count")), keep_nulls).alias("json"))
     papers = df.select(*g, F.lit(1).alias("part"), F.col("seq").cast("long").alias("pos"), F.to_json(F.struct(
         "id", "title", "authors", "categories", "summary", F.date_format("date", "yyyy-MM-dd").alias("date"),
-        "url", F.col("match_reason").alias("reason"))).alias("json"))
+        "url", F.col("match_reason").alias("reason")), keep_nulls).alias("json"))
     return head.unionByName(papers)
 
 

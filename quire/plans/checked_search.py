@@ -184,10 +184,20 @@ def j7_preference_join(spark, sf_dir):
     return match.preference_hits(v, preferences(spark, sf_dir))
 
 
-@register("s13_response_document")
+@register("s13_response_document", with_(PAPERS) + f"""
+, m AS (SELECT *, {REASON_SQL} AS reason FROM papers WHERE ({KW_ANY}) OR ({AU_ANY}))
+SELECT strftime(date, '%Y-%m-%d') AS date, 0 AS part, CAST(0 AS BIGINT) AS pos,
+       CAST(to_json({{'category': 'all', 'author': [{_sql_list(AUTHORS)}], 'keywords': [{_sql_list(KEYWORDS)}],
+                      'count': count(*)}}) AS VARCHAR) AS json
+FROM m GROUP BY date
+UNION ALL
+SELECT strftime(date, '%Y-%m-%d'), 1, seq,
+       CAST(to_json({{'id': id, 'title': title, 'authors': authors, 'categories': categories, 'summary': summary,
+                      'date': strftime(date, '%Y-%m-%d'), 'url': concat('https://arxiv.org/abs/', id),
+                      'reason': reason}}) AS VARCHAR)
+FROM m""")
 def s13_response_document(spark, sf_dir):
-    """The JSON answer per day as ordered parts (rows-only: JSON text
-    layout is engine-specific)."""
+    """The JSON answer per day as ordered parts."""
     r = search.search_request(_papers(spark, sf_dir), fixed.ALL_CATEGORIES, KEYWORDS, AUTHORS)
     return match.response_parts(r, fixed.ALL_CATEGORIES, KEYWORDS, AUTHORS).select(
         tf.iso_date("date").alias("date"), "part", "pos", "json")
