@@ -47,19 +47,50 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
 def apply_confs(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session."""
+    """Apply the runtime SQL settings to an existing session and make sure
+    the executors' Python workers can import this package."""
     for k, v in SQL_CONFS.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked conf: keep the cluster's choice
             pass
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application (``addPyFile``).
+
+    Python functions defined in the package (batch model calls, the
+    automaton UDF, listing extraction, streaming state) are pickled by
+    reference; executors import them from the shipped archive.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="quire-pyfiles-"), "quire.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint directory of the cluster; a scratch dir only if unset."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
