@@ -196,7 +196,8 @@ def term_hits(df: DataFrame, terms: DataFrame, hay: Column, key: str = "id",
         return base.select(F.col(key), F.explode(literal_hits(F.col("_hay"), vals)).alias("term"))
     chunks = -(-n // MAX_BROADCAST_TERMS)
     if chunks > 1:
-        base = base.persist()    # scanned once per chunk
+        from ..session import materialize
+        base = materialize(base)    # haystacks computed once, read once per chunk
         parts = [_automaton_hits(base, dterms.where((F.abs(F.hash("lt")) % chunks) == i), key)
                  for i in range(chunks)]
         out = parts[0]
