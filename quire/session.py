@@ -39,6 +39,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.driver.memory": os.environ.get("QUIRE_DRIVER_MEMORY", "16g"),
         # Paid or slow user functions must not run twice for the same row.
         "spark.speculation": "false",
+        # Checkpoint files of row numbering / materialised steps are removed
+        # once nothing references them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     })
     if shuffle_partitions:
         confs["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
