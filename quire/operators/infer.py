@@ -186,8 +186,9 @@ def safety_verdicts(texts: DataFrame, fn: Callable[[str], object], text_col: str
     errors and anything else do not (fail-open).
     """
     from .fill import text_hash
-    d = texts.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
-    d = d.withColumn("text_hash", text_hash("text"))
+    # Distinct by hash: the shuffle key is 64 characters, not the whole text.
+    d = (texts.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+         .withColumn("text_hash", text_hash("text")).dropDuplicates(["text_hash"]))
     res = batch_call(d, fn, "text", key="text_hash", **kw)
     flagged = (F.col("status") == "ok") & (
         (F.lower(F.trim("response")) == "true")
