@@ -43,8 +43,10 @@ def search_view(papers: DataFrame) -> DataFrame:
         else F.col("authors")
     pdf = F.col("pdf") if "pdf" in cols else F.lit(None).cast("string")
     abs_ = F.col("abs") if "abs" in cols else F.lit(None).cast("string")
+    # Without a recorded listing order, rows order by id (seq 0 for all).
+    seq = F.col("seq") if "seq" in cols else F.lit(0).cast("long")
     return papers.select(
-        F.col("id"), F.col("seq"), F.col("date"),
+        F.col("id"), seq.alias("seq"), F.col("date"),
         F.col("title"),
         reader_url(abs_, pdf, F.col("id")).alias("url"),
         authors.alias("authors"),
