@@ -139,3 +139,13 @@ def test_chunked_term_matching_is_exact(spark, monkeypatch):
     monkeypatch.setattr(match, "MAX_BROADCAST_TERMS", 20)       # force 4 chunks
     got = sorted(map(tuple, match.term_hits(v, terms, match.keyword_haystack()).collect()))
     assert got == [("1", "A.B"), ("1", "c++"), ("1", "robot"), ("3", "robot"), ("4", "A.B")]
+
+
+def test_search_without_listing_sequence(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("b", dt.date(2026, 1, 5), "Robot arms", "x", ["A"], ["cs.RO"]),
+                                ("a", dt.date(2026, 1, 5), "Robot legs", "y", ["B"], ["cs.RO"])],
+                               "id string, date date, title string, summary string, authors array<string>, "
+                               "categories array<string>")
+    ranked = search.reading_list(df, "all", ["robot"], None)
+    assert [r.id for r in ranked.orderBy("rank").collect()] == ["a", "b"]     # ordered by id
