@@ -6,10 +6,12 @@ import pytest
 
 import __spark_entry__ as entry
 from harness import compare, duck
+from quire.plans import registry
 
 SF = os.environ.get("QUIRE_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+entry.queries()                       # loads every module that registers queries
+QUERIES = dict(registry.QUERIES)
+ORACLES = dict(registry.ORACLES)
 
 
 @pytest.fixture(scope="module")
