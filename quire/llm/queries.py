@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding
+from . import containment, packing, quality, sharding, spotsigs
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,25 @@ def _register(name: str, sql: str | None = None):
     return deco
 
 
+@_register("op1_quality")
+def _quality(spark, sf_dir):
+    """All documents scored; fitted on the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@_register("op2_spotsigs")
+def _spotsigs(spark, sf_dir):
+    """All documents and their edited texts fingerprinted."""
+    return spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_register("op9_containment")
+def _containment(spark, sf_dir):
+    """All documents against all benchmark items."""
+    return containment.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_register("op4_packing")
 def _packing(spark, sf_dir):
     """All documents packed into sequences of at most 2048 tokens."""
