@@ -75,3 +75,9 @@ def chunked(batches: Iterable[pa.RecordBatch], text: str | list[str], size: int
             hold.append(batch.slice(start))
     if hold:
         yield pa.Table.from_batches(hold)
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows whose key is in ``gone`` (materialised): by a
+    broadcast of the keys within the bound, else by a shuffled anti join."""
+    return docs.join(small(gone.select(key)), key, "left_anti").select(*docs.columns)

@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, packing, quality, sharding, spotsigs
+from . import containment, licenses, ngram_join, packing, quality, sharding, spotsigs
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,18 @@ def _spotsigs(spark, sf_dir):
     return spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@_register("op3_licenses", licenses.oracle())
+def _licenses(spark, sf_dir):
+    """All documents against known licence texts, all their lines against known notices."""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known(spark, licenses.TEXTS), licenses.known(spark, licenses.NOTICES))
+
+
+@_register("op5_ngram_join")
+def _ngram_join(spark, sf_dir):
+    """Components of all documents under 5-word Jaccard 0.8."""
+    return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 @_register("op9_containment")
 def _containment(spark, sf_dir):
     """All documents against all benchmark items."""
