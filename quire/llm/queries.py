@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, licenses, ngram_join, packing, quality, sharding, spotsigs
+from . import containment, licenses, line_dedup, ngram_join, packing, passage_dedup, quality, sharding, spotsigs, wrappers
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,12 +49,30 @@ def _ngram_join(spark, sf_dir):
     return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+@_register("op6_line_dedup")
+def _line_dedup(spark, sf_dir):
+    """All documents without the lines that are fuzzy copies of earlier ones."""
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@_register("op7_passage_dedup")
+def _passage_dedup(spark, sf_dir):
+    """All documents without the bytes of 100-byte passages that start earlier."""
+    return passage_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @_register("op9_containment")
 def _containment(spark, sf_dir):
     """All documents against all benchmark items."""
     return containment.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@_register("op10_wrappers")
+def _wrappers(spark, sf_dir):
+    """The main text of every page."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 @_register("op4_packing")
 def _packing(spark, sf_dir):
     """All documents packed into sequences of at most 2048 tokens."""
@@ -67,6 +85,13 @@ def _sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+@_register("pipeline")
+def _pipeline(spark, sf_dir):
+    """All stages of corpus_pipeline over ``documents``."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
