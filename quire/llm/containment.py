@@ -50,6 +50,7 @@ class Block:
     item_id: list
     sets: np.ndarray                       # sorted distinct shingles of all items, item by item
     first: np.ndarray
+    all: np.ndarray                        # all of them, sorted
     known: np.ndarray                      # bitmap of their low bits
     partitions: dict[int, tuple[np.ndarray, np.ndarray]]   # size class -> (hash number x value keys, sorted; item of each)
 
@@ -64,9 +65,9 @@ def _low(values: np.ndarray) -> np.ndarray:
     return (values & np.uint64((1 << _BITMAP) - 1)).astype(np.int64)
 
 
-def _keys(i: int, values: np.ndarray) -> np.ndarray:
+def _keys(i, values: np.ndarray) -> np.ndarray:
     """MinHash i's values, made distinct from those of other hash numbers."""
-    return bw.mix(values + np.uint64(i))
+    return bw.mix(values ^ bw.mix(np.asarray(i, np.uint64)))
 
 
 def build(item_id: list, text: pa.Array) -> Block:
@@ -79,31 +80,37 @@ def build(item_id: list, text: pa.Array) -> Block:
         own = v[first[k]:first[k + 1]]
         keys, items = parts.setdefault(int(sizes[k]).bit_length() - 1, ([], []))
         for i, seed in enumerate(_SEEDS):
-            keys.append(_keys(i, bw.mix(own ^ seed).min(keepdims=True))[0])
+            keys.append(_keys(i, bw.mix(own ^ seed).min()))
             items.append(k)
     done = {}
     for c, (keys, items) in parts.items():
         keys, items = np.array(keys, np.uint64), np.array(items)
         order = np.argsort(keys, kind="stable")
         done[c] = (keys[order], items[order])
-    return Block(item_id, v, first, known, done)
+    return Block(item_id, v, first, np.unique(v), known, done)
 
 
-def candidates(block: Block, values: np.ndarray) -> set[int]:
-    """Items that share a MinHash with a window of a document's shingles (in order)."""
+def candidates(block: Block, values: np.ndarray, hits: np.ndarray) -> set[int]:
+    """Items that share a MinHash with a window of a document's shingles (in
+    order).  ``hits`` are the places of item shingles: only windows with one of
+    them can share a MinHash, so only these are hashed."""
     out: set[int] = set()
     n = len(values)
     for c, (keys, items) in block.partitions.items():
         stretch = 2 << c
-        starts = np.arange(0, n, stretch)
-        for i, seed in enumerate(_SEEDS):
-            low = np.minimum.reduceat(bw.mix(values ^ seed), starts)
-            windows = np.minimum(low[:-1], low[1:]) if len(low) > 1 else low
-            k = _keys(i, windows)
-            lo = np.searchsorted(keys, k, "left")
-            hi = np.searchsorted(keys, k, "right")
-            for a, b in zip(lo[hi > lo], hi[hi > lo]):
-                out.update(items[a:b].tolist())
+        last = (n - 1) // stretch
+        at = np.unique(hits // stretch)
+        windows = np.unique(np.clip(np.concatenate([at - 1, at]), 0, max(last - 1, 0)))
+        needed = np.unique(np.minimum(np.concatenate([windows, windows + 1]), last))
+        size = np.minimum(stretch, n - needed * stretch)
+        begin = np.cumsum(size) - size
+        place = np.arange(size.sum()) + np.repeat(needed * stretch - begin, size)
+        low = np.minimum.reduceat(bw.mix(values[place][None, :] ^ _SEEDS[:, None]), begin, axis=1)
+        low = np.minimum(low[:, np.searchsorted(needed, windows)], low[:, np.searchsorted(needed, np.minimum(windows + 1, last))])
+        k = _keys(np.arange(HASHES, dtype=np.uint64)[:, None], low).ravel()
+        lo, hi = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
+        for x, y in set(zip(lo[hi > lo].tolist(), hi[hi > lo].tolist())):
+            out.update(items[x:y].tolist())
     return out
 
 
@@ -111,11 +118,14 @@ def matches(block: Block, data: np.ndarray, offsets: np.ndarray, threshold: floa
     """(text, item, item's shingles, shared) for a chunk of texts."""
     v, first = _shingles(data, offsets)
     hit = np.flatnonzero(block.known[_low(v)])
+    at = np.minimum(np.searchsorted(block.all, v[hit]), max(len(block.all) - 1, 0))
+    hit = hit[block.all[at] == v[hit]] if len(block.all) else hit[:0]
+    owner = np.searchsorted(first, hit, "right") - 1
     out = []
-    for t in np.unique(np.searchsorted(first, hit, "right") - 1):
+    for t, places in zip(*_runs(owner, hit)):
         own = v[first[t]:first[t + 1]]
         whole = None
-        for k in sorted(candidates(block, own)):
+        for k in sorted(candidates(block, own, places - first[t])):
             if whole is None:
                 whole = np.unique(own)
             item = block.sets[block.first[k]:block.first[k + 1]]
@@ -125,6 +135,14 @@ def matches(block: Block, data: np.ndarray, offsets: np.ndarray, threshold: floa
     return out
 
 
+def _runs(owner: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Values gathered by their (ascending) owner."""
+    if not len(owner):
+        return [], []
+    cut = np.flatnonzero(owner[1:] != owner[:-1]) + 1
+    return owner[np.concatenate([[0], cut])].tolist(), np.split(values, cut)
+
+
 def blocks(items: DataFrame, size: int = BLOCK_BYTES) -> Iterator[Block]:
     """Index blocks of (item_id, text), each made from at most about ``size`` bytes."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
