@@ -19,7 +19,6 @@ from .text import _c
 
 MAP_SCHEMA = "map<string,string>"
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
-FENCE_PATTERN = r"(?is)```(?:json)?\s*(.*?)```"
 
 
 def flatten_parts(content: Column | str) -> Column:
@@ -40,7 +39,7 @@ def flatten_parts(content: Column | str) -> Column:
 def candidates(text: Column | str) -> list[Column]:
     """The three candidate texts, in the order they are tried."""
     t = F.trim(F.coalesce(_c(text), F.lit("")))
-    fenced = F.trim(F.regexp_extract(t, FENCE_PATTERN, 1))
+    fenced = F.trim(F.regexp_extract(t, fixed.FENCE_PATTERN, 1))
     start = F.instr(t, "{")
     end = F.length(t) - F.instr(F.reverse(t), "}") + 1
     braces = F.when((start > 0) & (F.instr(t, "}") > 0) & (end > start), F.substring(t, start, end - start + 1))
@@ -74,15 +73,17 @@ def field_or_default(m: Column, key: str, default: str) -> Column:
 def ai_fields(m: Column, status: Column | str | None = None) -> Column:
     """X2 + X5 from a parsed object ``m`` (see ``parse_object``).
 
-    ``status`` (``ok`` / ``error``) comes from the batch call: an ``error``
-    row gets the *Processing failed* set, an unparsable one the generation
-    defaults.  Returns ``struct<tldr, motivation, method, result, conclusion,
+    ``status`` comes from the batch call: a failed call (``error``) and an
+    unparsable answer get the generation defaults; only a row whose own
+    processing died (``failed``) gets the *Processing failed* set.  Returns ``struct<tldr, motivation, method, result, conclusion,
     parse_status>``.  ``m`` should be a column reference, so the parse runs once.
     """
-    failed = F.lit(False) if status is None else (_c(status) == "error")
+    failed = F.lit(False) if status is None else _c(status).isin("error", "failed")
+    died = F.lit(False) if status is None else (_c(status) == "failed")
     fields = []
     for f in fixed.AI_FIELDS:
-        v = F.when(failed, F.lit(fixed.AI_PROCESSING_FAILED)).otherwise(field_or_default(m, f, fixed.AI_DEFAULTS[f]))
+        v = (F.when(died, F.lit(fixed.AI_PROCESSING_FAILED)).when(failed, F.lit(fixed.AI_DEFAULTS[f]))
+             .otherwise(field_or_default(m, f, fixed.AI_DEFAULTS[f])))
         fields.append(v.alias(f))
     pstat = F.when(failed, F.lit("error")).when(m.isNull(), F.lit("bad_json")).otherwise(F.lit("ok"))
     return F.struct(*fields, pstat.alias("parse_status"))

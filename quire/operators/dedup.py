@@ -18,6 +18,8 @@ Semantics
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +65,8 @@ def dedup_report(feed: DataFrame, run_date: str, days: int = fixed.LOOKBACK_DAYS
 
     One aggregation on id (partial aggregation map-side), then one global
     fold; no join.  Status: ``no_data`` without rows today,
-    ``no_new_content`` when every row is a duplicate, else ``has_new_content``.
+    ``no_new_content`` when every row is a duplicate, else ``has_new_content``
+    (``run_status`` adds ``error`` for a feed that cannot be read).
     """
     d = _day(run_date)
     is_today = F.col("date") == d
@@ -87,16 +90,21 @@ def dedup_report(feed: DataFrame, run_date: str, days: int = fixed.LOOKBACK_DAYS
     return r.withColumn("status", status)
 
 
-def first_seen(df: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
-    """The first row (lowest ``order``) of every key.
+def first_seen(df: DataFrame, key: str = "id", order: str | None = "seq") -> DataFrame:
+    """The first row (lowest ``order``, nulls last) of every key.
 
-    ``min_by`` over a struct of the row is a hash aggregate with map-side
-    partial aggregation, so each task sends at most one row per key: a key
-    holding a third of the table still shuffles one row per task.
+    Rows of equal order are told apart by a hash of the row, so the choice
+    does not depend on the partitioning; rows with a null key are not copies
+    of each other and all stay (Q9).  ``min_by`` over a struct of the row has
+    map-side partial aggregation: a key holding a third of the table still
+    shuffles one row per task.
     """
     others = [c for c in df.columns if c != key]
-    agg = df.groupBy(key).agg(F.min_by(F.struct(*others), F.col(order)).alias("_row"))
-    return agg.select(key, *[F.col("_row").getField(c).alias(c) for c in others])
+    tie = F.xxhash64(F.to_json(F.struct(*others)))
+    first = F.struct(F.col(order).isNull(), F.col(order), tie) if order else tie
+    agg = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*others), first).alias("_row"))
+    kept = agg.select(key, *[F.col("_row").getField(c).alias(c) for c in others])
+    return kept.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
 
 
 def kept_dates(feed: DataFrame, days: int = fixed.LOOKBACK_DAYS, prior: DataFrame | None = None) -> DataFrame:
@@ -132,6 +140,14 @@ def backfill_dedup(feed: DataFrame, days: int = fixed.LOOKBACK_DAYS, prior: Data
     return kept.unionByName(feed.where(F.col("id").isNull()))
 
 
+def run_status(read: Callable[[], DataFrame], run_date: str, days: int = fixed.LOOKBACK_DAYS) -> str:
+    """A5: the status of a day's run; ``error`` when the feed cannot be read."""
+    try:
+        return dedup_report(read(), run_date, days).first()["status"]
+    except Exception:  # whatever the source raises, the run is reported, not lost
+        return fixed.STATUS_ERROR
+
+
 def quarantine_null_ids(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Q9: (rows with an id, rows without one)."""
     return feed.where(F.col("id").isNotNull()), feed.where(F.col("id").isNull())

@@ -174,7 +174,7 @@ def write_digest(lines: DataFrame, path: str, num_partitions: int | None = None)
     keyed = lines.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "frag_no", "sub", "line")
     (keyed.repartitionByRange(n, "date", "frag_no", "sub").sortWithinPartitions("date", "frag_no", "sub")
      .select("date", "line")
-     .write.mode("overwrite").partitionBy("date").text(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").text(path))
 
 
 def archive_index(dates: DataFrame, folder: str = "data") -> DataFrame:

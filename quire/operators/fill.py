@@ -46,8 +46,10 @@ def fill_metadata(papers: DataFrame, metadata: DataFrame, key: str = "id") -> Da
     flagged = papers.withColumn("_complete", complete)
     done = flagged.where("_complete").withColumn("comment", F.coalesce("comment", F.lit(""))).drop("_complete")
     todo = flagged.where(~F.col("_complete")).drop("_complete")
-    look = metadata.select(F.col(key), F.lit(True).alias("_found"),
-                           *[F.col(c).alias(f"_m_{c}") for c in FILLED if c in metadata.columns])
+    names = [c for c in FILLED if c in metadata.columns]
+    # One row a key (the smallest by value): a repeated lookup row never multiplies papers.
+    look = (metadata.groupBy(key).agg(F.min(F.struct(*names)).alias("_m"))
+            .select(key, F.lit(True).alias("_found"), *[F.col(f"_m.{c}").alias(f"_m_{c}") for c in names]))
     j = todo.join(look, key, "left")
     for c in FILLED:
         if f"_m_{c}" in look.columns:
@@ -61,12 +63,17 @@ def repo_facts(df: DataFrame, repo_stats: DataFrame, text_col: str = "summary")
     last-push day (first 10 characters) for ``github.com`` repositories."""
     x = df.withColumn("code_url", code_url(text_col)) \
           .withColumn("_owner", repo_owner(text_col)).withColumn("_repo", repo_name(text_col))
-    stats = repo_stats.select(F.col("owner").alias("_owner"), F.col("repo").alias("_repo"),
-                              F.col("stars").cast("long").alias("_stars"), F.col("pushed_at").alias("_pushed"))
-    j = x.join(stats, ["_owner", "_repo"], "left")
-    return (j.withColumn("code_stars", F.coalesce(F.col("_stars"), F.lit(0)).cast("long"))
+    # One row a repository (the latest push), so facts never multiply papers.
+    stats = (repo_stats.groupBy(F.col("owner").alias("_owner"), F.col("repo").alias("_repo"))
+             .agg(F.max(F.struct(F.col("pushed_at").alias("p"), F.col("stars").cast("long").alias("s"))).alias("_f")))
+    known = F.col("_owner").isNotNull() & F.col("_repo").isNotNull()
+    # Rows without a repository (most rows) have nothing to look up: they are not shuffled.
+    j = x.where(known).join(stats, ["_owner", "_repo"], "left")
+    j = j.withColumn("_stars", F.col("_f.s")).withColumn("_pushed", F.col("_f.p")).drop("_f")
+    rest = x.where(~known).withColumn("_stars", F.lit(None).cast("long")).withColumn("_pushed", F.lit(None).cast("string"))
+    return (j.unionByName(rest).withColumn("code_stars", F.coalesce(F.col("_stars"), F.lit(0)).cast("long"))
             .withColumn("code_last_update", F.coalesce(F.substring("_pushed", 1, 10), F.lit("")))
-            .drop("_owner", "_repo", "_stars", "_pushed"))
+            .select(*df.columns, "code_url", "code_stars", "code_last_update"))
 
 
 def text_hash(c: Column | str) -> Column:
@@ -76,7 +83,8 @@ def text_hash(c: Column | str) -> Column:
 def verdict_lookup(df: DataFrame, verdicts: DataFrame, text_col: str = "summary",
                    out: str = "flagged") -> DataFrame:
     """Safety verdict per text, fail-open (no verdict = not flagged)."""
-    v = verdicts.select(F.col("text_hash").alias("_h"), F.col("flagged").alias("_f"))
+    # One verdict a text: flagged if any says so.
+    v = verdicts.groupBy(F.col("text_hash").alias("_h")).agg(F.bool_or("flagged").alias("_f"))
     j = df.withColumn("_h", text_hash(text_col)).join(v, "_h", "left")
     return j.withColumn(out, F.coalesce(F.col("_f"), F.lit(False))).drop("_h", "_f")
 
@@ -86,19 +94,21 @@ def safety_gate(df: DataFrame, verdicts: DataFrame, key: str = "id",
                 ) -> tuple[DataFrame, DataFrame]:
     """F13 + Q17: drop a row when its abstract or any produced field is flagged.
 
-    Returns ``(kept, quarantine)``; the quarantine keeps the row key and the
-    first flagged field as ``reason``.  Texts are exploded to ``(key, field,
-    hash)`` and semi-joined to the *flagged* verdicts only (usually a small,
-    broadcastable set); the flagged keys are then anti-joined away.
+    Returns ``(kept, quarantine)``; the quarantine has one row per dropped row
+    with its key and the first flagged field as ``reason``.  The decision is
+    made per row, from its own texts (``_row`` stands for the row's texts, so
+    a null or repeated key changes nothing).  Texts are exploded to ``(row,
+    field, hash)`` and semi-joined to the *flagged* verdicts only (usually a
+    small, broadcastable set).
     """
     present = [f for f in fields if f.split(".")[0] in df.columns]
-    texts = df.select(F.col(key), F.explode(F.array(*[
+    rows = df.withColumn("_row", F.xxhash64(*[F.coalesce(text_hash(f), F.lit("")) for f in present]))
+    texts = rows.select("_row", F.explode(F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(f).alias("field"), F.col(f).alias("t")) for i, f in enumerate(present)
     ])).alias("x")).where(F.col("x.t").isNotNull())
-    hashed = texts.select(key, F.col("x.pos").alias("pos"), F.col("x.field").alias("field"),
-                          text_hash("x.t").alias("text_hash"))
-    bad = verdicts.where(F.col("flagged")).select("text_hash")
-    hits = hashed.join(bad, "text_hash", "left_semi")
-    quarantine = hits.groupBy(key).agg(F.min_by("field", "pos").alias("reason"))
-    kept = df.join(quarantine.select(key), key, "left_anti")
-    return kept, quarantine
+    hashed = texts.select("_row", "x.pos", "x.field", text_hash("x.t").alias("text_hash"))
+    bad = verdicts.where(F.col("flagged")).select("text_hash").distinct()
+    flagged = (hashed.join(bad, "text_hash", "left_semi").groupBy("_row")
+               .agg(F.min_by("field", "pos").alias("reason")))
+    kept = rows.join(flagged.select("_row"), "_row", "left_anti").drop("_row")
+    return kept, rows.select(key, "_row").join(flagged, "_row").select(key, "reason")

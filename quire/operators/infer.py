@@ -8,14 +8,17 @@ bounded retries, exponential backoff with jitter and an optional start
 stagger.  Concurrency is the number of partitions (``repartition(n)``) times
 the optional threads per task, which bounds the load on the service.
 
-A failed call never loses its row: it comes back with ``status = 'error'``
-and the parsers give it the failure-class defaults (X5).  Results should be
-written to a table keyed by id right away (``save_results``): paid calls must
-not be recomputed when a later stage fails or an executor is lost, and a
-re-run only calls the ids that have no result yet (``pending``).
+Each distinct prompt is called once and its answer joined back to every row
+that asked for it, so repeated or null ids neither pay twice nor multiply
+rows.  A failed call never loses its row: it comes back with ``status =
+'error'`` and the parsers give it the generation defaults (X5).  Results
+should be written to a table keyed by id right away (``save_results``): paid
+calls must not be recomputed when a later stage fails or an executor is lost,
+and a re-run only calls the ids that have no result yet (``pending``).
 """
 from __future__ import annotations
 
+import itertools
 import json
 import random
 import time
@@ -45,42 +48,48 @@ def list_slot(c: Column | str) -> Column:
     return F.coalesce(F.array_join(F.col(c) if isinstance(c, str) else c, ", "), F.lit(""))
 
 
+def backoff(retries: int, base: float, cap: float, rng: random.Random) -> Iterator[float]:
+    """The pauses between attempts: doubling from ``base`` up to ``cap``, each
+    with a random addition of at most ``base`` (or the pause itself)."""
+    base = max(0.1, base)
+    pause = base
+    for _ in range(retries):
+        pause = min(pause, max(base, cap))
+        yield pause + rng.uniform(0, min(base, pause))
+        pause *= 2
+
+
 def call_with_retries(fn: Callable[[str], object], prompt: str, retries: int = fixed.RETRIES,
                       base: float = fixed.RETRY_BASE_SECONDS, cap: float = fixed.RETRY_MAX_SECONDS,
                       stagger: float = 0.0, sleep: Callable[[float], None] = time.sleep,
                       rng: random.Random | None = None) -> tuple[object, int]:
-    """Call ``fn`` up to ``retries + 1`` times; delay ``min(cap, base * 2**k)``
-    plus jitter up to ``min(base, delay)``.  Returns ``(result, attempts)``;
-    re-raises the last error."""
-    r = rng or random.Random()
-    base = max(0.1, base)
-    cap = max(base, cap)
+    """``(result, attempts)`` of the first attempt that succeeds, pausing by
+    ``backoff`` after each failure; the last error is raised when none does."""
+    rng = rng or random.Random()
+    pauses = backoff(max(0, retries), base, cap, rng)
     if stagger > 0:
-        sleep(r.uniform(0, stagger))
-    for attempt in range(max(0, retries) + 1):
+        sleep(rng.uniform(0, stagger))
+    for attempt in itertools.count(1):
         try:
-            return fn(prompt), attempt + 1
+            return fn(prompt), attempt
         except Exception:
-            if attempt >= retries:
+            pause = next(pauses, None)
+            if pause is None:
                 raise
-            delay = min(cap, base * (2 ** attempt))
-            sleep(delay + r.uniform(0, min(base, delay)))
-    raise AssertionError("unreachable")
-
-
-def _as_text(result: object) -> tuple[str, str]:
-    """Response text and its kind: plain text, or a list of message parts (kept
-    as JSON so ``flatten_parts`` can join them on the JVM side)."""
-    if isinstance(result, str):
-        return result, "text"
-    content = getattr(result, "content", result)
-    if isinstance(content, str):
-        return content, "text"
-    if isinstance(content, (list, tuple)):
-        return json.dumps(list(content), ensure_ascii=False, default=str), "parts"
-    if isinstance(content, (dict, bool, int, float)) or content is None:
-        return json.dumps(content, ensure_ascii=False, default=str), "json"
-    return str(content), "text"
+        sleep(pause)
+
+
+#: How an answer's type is stored: its text form and the kind that tells the
+#: parsers how to read it (parts are joined on the JVM side).
+ANSWER_KINDS = (((str,), "text"), ((list, tuple), "parts"), ((dict, bool, int, float, type(None)), "json"))
+
+
+def answer_text(result: object) -> tuple[str, str]:
+    """``(text, kind)`` of an answer, or of its ``content`` where it is a message."""
+    if not isinstance(result, str):
+        result = getattr(result, "content", result)
+    kind = next((k for types, k in ANSWER_KINDS if isinstance(result, types)), "text")
+    return (str(result) if kind == "text" else json.dumps(result, ensure_ascii=False, default=str)), kind
 
 
 def batch_call(df: DataFrame, fn: Callable[[str], object], prompt: Column | str, key: str = "id",
@@ -96,10 +105,10 @@ def batch_call(df: DataFrame, fn: Callable[[str], object], prompt: Column | str,
     def one(pr: str) -> tuple:
         try:
             res, n = call_with_retries(fn, pr, retries, base, cap, stagger, sleep)
-            text, kind = _as_text(res)
+            text, kind = answer_text(res)
             return text, kind, "ok", n, None
         except Exception as e:  # failure never loses the row
-            return None, None, "error", retries + 1, f"{type(e).__name__}: {e}"[:500]
+            return None, None, "error", retries + 1, f"{type(e).__name__}: {e}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pool = None
@@ -143,6 +152,16 @@ def _without_call_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in CALL_COLUMNS if c in df.columns])
 
 
+def call_rows(df: DataFrame, fn: Callable[[str], object], prompt: Column, **kw) -> DataFrame:
+    """Every row of ``df`` with its answer's columns; one call a distinct prompt.
+
+    Answers are unique by prompt hash, so the join keeps the row count."""
+    asked = _without_call_columns(df).withColumn("_ask", prompt).withColumn("_ask_hash", F.sha2("_ask", 256))
+    each = asked.select("_ask_hash", "_ask").dropDuplicates(["_ask_hash"])
+    answers = batch_call(each, fn, "_ask", key="_ask_hash", **kw).withColumn("response", response_text())
+    return asked.drop("_ask").join(answers, "_ask_hash", "left").drop("_ask_hash")
+
+
 def response_text() -> Column:
     """X4 applied where the function answered with message parts."""
     from ..functions.jsonrepair import flatten_parts
@@ -154,28 +173,30 @@ def enrich(df: DataFrame, fn: Callable[[str], object], language: str = "English"
     """M1: first-seen distinct rows (W1) -> prompt -> call -> ``AI`` struct."""
     from ..functions.jsonrepair import with_ai
     from .dedup import first_seen
-    df = _without_call_columns(df)
-    rows = first_seen(df, key, "seq") if "seq" in df.columns else df
+    rows = first_seen(_without_call_columns(df), key, "seq" if "seq" in df.columns else None)
     prompt = render_prompt(template, language=F.lit(language), content="summary")
-    res = batch_call(rows, fn, prompt, key=key, **kw).withColumn("response", response_text())
-    out = rows.withColumn(key, F.col(key).cast("string")).join(res, key, "left")
+    out = call_rows(rows, fn, prompt, **kw).withColumn(key, F.col(key).cast("string"))
     return with_ai(out, "response", "status").drop("response", "kind")
 
 
-CLASSIFY_TEMPLATE = ("\nTitle: {title}\nCategories: {categories}\nAuthors: {authors}\nComment: {comment}\n"
-                     "Abstract:\n{summary}\n")
+#: Default question of the topic classifier; ``scope`` says what is wanted.
+CLASSIFY_TEMPLATE = ("Is this paper within the scope below? Answer with a JSON object (relevant, confidence, reason, topics).\n"
+                     "Scope: {scope}\n\nPaper: {title}\nBy: {authors}\nFiled under: {categories}\nRemarks: {comment}\n\n{summary}")
+
+
+def classify_prompt(df: DataFrame, scope: str = "", template: str = CLASSIFY_TEMPLATE) -> Column:
+    """The classifier's question for each row of ``df``."""
+    comment = F.coalesce(F.col("comment"), F.lit("")) if "comment" in df.columns else F.lit("")
+    return render_prompt(template, scope=F.lit(scope), title="title", categories=list_slot("categories"),
+                         authors=list_slot("authors"), comment=comment, summary="summary")
 
 
 def classify(df: DataFrame, fn: Callable[[str], object], key: str = "id", keep_uncertain: bool = False,
-             min_confidence: float = fixed.TOPIC_MIN_CONFIDENCE, **kw) -> DataFrame:
-    """M2: prompt -> call -> verdict (fail-closed) -> keep-uncertain rule."""
+             min_confidence: float = fixed.TOPIC_MIN_CONFIDENCE, scope: str = "", template: str = CLASSIFY_TEMPLATE,
+             **kw) -> DataFrame:
+    """M2: prompt -> call -> verdict (fail-closed) -> keep-uncertain rule; one row out per row in."""
     from . import topic
-    df = _without_call_columns(df)
-    comment = F.col("comment") if "comment" in df.columns else F.lit("")
-    prompt = render_prompt(CLASSIFY_TEMPLATE, title="title", categories=list_slot("categories"),
-                           authors=list_slot("authors"), comment=comment, summary="summary")
-    res = batch_call(df, fn, prompt, key=key, **kw).withColumn("response", response_text())
-    out = df.withColumn(key, F.col(key).cast("string")).join(res, key, "left")
+    out = call_rows(df, fn, classify_prompt(df, scope, template), **kw).withColumn(key, F.col(key).cast("string"))
     return topic.classify(out, "response", "status", keep_uncertain, min_confidence).drop("response", "kind")
 
 

@@ -3,30 +3,29 @@ matching with match reasons, term tables, match-first reading lists.
 
 Matching is case-insensitive substring search.  A literal term list becomes
 one ``contains`` per term inside a single projection (whole-stage codegen, no
-shuffle, no Python).  A term *table* (J5/J7) is matched by its distinct
-terms: a small set is folded into the same literal form after a size check,
-a larger one runs through an Aho-Corasick automaton (one pass per text), and
-the (row, term) hits are equi-joined back to whoever asked for the terms.
+shuffle, no Python).  A term *table* (J5/J7) of any size is matched by one
+plan: each distinct term is keyed by its first characters (its seed), texts
+offer their distinct character runs of that length, an equi-join on the seed
+gives candidates, and ``contains`` verifies them.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.papers import display_summary, join_authors, primary_category, reader_url
+from ..functions.papers import display_summary, join_authors, or_default, primary_category, reader_url
 from ..functions.text import haystack
 from .numbering import number_rows
 
-# A term table up to this many distinct terms is applied as literal
-# expressions; beyond it, with a multi-pattern automaton (see term_hits).
-MAX_LITERAL_TERMS = 32
-# At most this many distinct terms go into one automaton (or broadcast);
-# larger term sets are matched in hash chunks of this size.
-MAX_BROADCAST_TERMS = 200_000
+# Characters of a term that key it in the seed join (all of a shorter term's).
+SEED_CHARS = 5
+
+
+#: P5: what a paper without code facts shows.
+CODE_DEFAULTS = {"code_url": "", "code_stars": 0, "code_last_update": ""}
 
 
 def search_view(papers: DataFrame) -> DataFrame:
@@ -56,6 +55,7 @@ def search_view(papers: DataFrame) -> DataFrame:
         display_summary(tldr, F.col("summary")).alias("summary"),
         F.coalesce(F.col("summary"), F.lit("")).alias("details"),
         *[ai_field(f).alias(f) for f in ("motivation", "method", "result", "conclusion")],
+        *[(or_default(c, d) if c in cols else F.lit(d)).alias(c) for c, d in CODE_DEFAULTS.items()],
         *[F.col(c) for c in ("language",) if c in cols],
     )
 
@@ -172,102 +172,68 @@ def _distinct_terms(terms: DataFrame, term_col: str) -> DataFrame:
     return terms.select(F.col(term_col).alias("term")).where(F.col("term").isNotNull() & (F.col("term") != "")).distinct()
 
 
+def _seeds(text: Column, length: int) -> Column:
+    """The distinct character runs of ``length`` in a text."""
+    last = F.length(text) - F.lit(length) + F.lit(1)
+    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(length)))
+    return F.when(last >= 1, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+
 def term_hits(df: DataFrame, terms: DataFrame, hay: Column, key: str = "id",
               term_col: str = "term") -> DataFrame:
     """(key, term) for every row whose haystack contains a term.
 
-    Distinct terms are matched once, case-insensitively (terms are
-    lower-cased on the JVM like the haystack).  Strategy by the size of the
-    distinct term set, which is counted first:
-
-    * up to ``MAX_LITERAL_TERMS`` terms -- literal ``contains`` expressions in
-      one code-generated projection;
-    * up to ``MAX_BROADCAST_TERMS`` -- an Aho-Corasick automaton over all
-      terms, built once per Python worker and run over Arrow batches of
-      haystacks (one pass per text, whatever the number of terms); without
-      the automaton library, a broadcast nested-loop join on ``contains``;
-    * more -- the term set is split by hash into chunks of at most
-      ``MAX_BROADCAST_TERMS`` and each chunk is matched the same way; the
-      union is exact (every term is in exactly one chunk).
+    Distinct terms are matched once, case-insensitively (lower-cased on the
+    JVM like the haystack).  One plan for any number of terms: a term's seed
+    is its first ``SEED_CHARS`` characters, or all of them; the runs of a text
+    that are no term's seed end at the join, the candidates that are left are
+    verified with ``contains``.  Only the seed lengths that occur (at most
+    ``SEED_CHARS`` numbers) are read by the driver.  Joins are on equal seeds
+    and keys; the engine broadcasts or shuffles a side by its size and splits
+    a frequent seed.
     """
     dterms = _distinct_terms(terms, term_col).select("term", F.lower("term").alias("lt"))
-    n = dterms.count()
+    seeded = dterms.withColumn("_seed", F.substring("lt", 1, SEED_CHARS))
+    lengths = sorted(r[0] for r in seeded.select(F.length("_seed")).distinct().collect())
     base = df.select(F.col(key), hay.alias("_hay"))
-    if n <= MAX_LITERAL_TERMS:
-        vals = [r[0] for r in dterms.orderBy("term").collect()]   # bounded by the check above
-        return base.select(F.col(key), F.explode(literal_hits(F.col("_hay"), vals)).alias("term"))
-    chunks = -(-n // MAX_BROADCAST_TERMS)
-    if chunks > 1:
-        from ..session import materialize
-        base = materialize(base)    # haystacks computed once, read once per chunk
-        parts = [_automaton_hits(base, dterms.where((F.abs(F.hash("lt")) % chunks) == i), key)
-                 for i in range(chunks)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    return _automaton_hits(base, dterms, key)
-
-
-def _automaton_hits(base: DataFrame, dterms: DataFrame, key: str) -> DataFrame:
-    """Match one bounded term set (``term, lt``) against ``base(key, _hay)``."""
-    try:
-        import ahocorasick  # noqa: F401
-    except ImportError:
-        return (base.join(F.broadcast(dterms), F.col("_hay").contains(F.col("lt")), "inner")
-                .select(F.col(key), F.col("term")))
-    pairs = dterms.orderBy("lt", "term").collect()                # at most MAX_BROADCAST_TERMS rows
-    lowered = sorted({r["lt"] for r in pairs})
-    index = {t: i for i, t in enumerate(lowered)}
-    spark = base.sparkSession
-    lookup = spark.createDataFrame([(index[r["lt"]], r["term"]) for r in pairs], "_ti int, term string")
-    hits = _automaton_udf(spark, lowered)
-    found = base.select(F.col(key), F.explode(hits(F.col("_hay"))).alias("_ti"))
-    return found.join(F.broadcast(lookup), "_ti").select(F.col(key), F.col("term"))
-
-
-_AUTOMATA: dict = {}
-
-
-def _automaton_udf(spark, lowered: list[str]):
-    """Pandas UDF ``text -> array<int>``: indices of the terms found in the text."""
-    bterms = spark.sparkContext.broadcast(lowered)
-    ident = hash(tuple(lowered))
-
-    def automaton():
-        a = _AUTOMATA.get(ident)
-        if a is None:
-            import ahocorasick
-            a = ahocorasick.Automaton()
-            for i, t in enumerate(bterms.value):
-                a.add_word(t, i)
-            a.make_automaton()
-            _AUTOMATA.clear()
-            _AUTOMATA[ident] = a
-        return a
-
-    @F.pandas_udf("array<int>")
-    def hits(texts: pd.Series) -> pd.Series:
-        a = automaton()
-        return pd.Series([sorted({i for _, i in a.iter(t)}) if t else [] for t in texts])
-
-    return hits
-
-
-def preference_hits(df: DataFrame, preferences: DataFrame, key: str = "id") -> DataFrame:
-    """Each user's stored keyword / author terms against the papers.
-
-    Terms of all users are matched once (J5 over distinct terms), then the
-    (paper, term) hits are equi-joined to ``preferences(user_id, kind, term)``.
-    Returns ``(user_id, key, kind, term)``.
+    if not lengths:
+        return base.where("false").select(key, F.lit("").alias("term"))
+    runs = F.concat(*[_seeds(F.col("_hay"), n) for n in lengths])
+    near = (base.select(F.col(key), F.explode(runs).alias("_seed")).where(F.col(key).isNotNull())
+            .join(seeded, "_seed").select(key, "term", "lt").distinct())
+    return base.join(near, key).where(F.col("_hay").contains(F.col("lt"))).select(key, "term")
+
+
+HAYSTACKS = (("keyword", keyword_haystack), ("author", author_haystack))
+
+
+def preference_counts(df: DataFrame, preferences: DataFrame, key: str = "id") -> DataFrame:
+    """Each stored preference ``(user_id, kind, term)`` with the number of
+    papers that it matches: one row per preference.
+
+    Terms of all users are matched once (J5 over distinct terms) and counted
+    per term before they meet the users, so a popular term never multiplies
+    its papers by its users.
     """
     out = None
-    for kind, hay in (("keyword", keyword_haystack()), ("author", author_haystack())):
-        p = preferences.where(F.col("kind") == kind)
-        hits = term_hits(df, p, hay, key=key)
-        j = hits.join(p.select("user_id", "kind", "term"), "term", "inner")
+    for kind, hay in HAYSTACKS:
+        p = preferences.where(F.col("kind") == kind).select("user_id", "kind", "term")
+        n = term_hits(df, p, hay(), key=key).groupBy("term").agg(F.count(F.lit(1)).alias("n_papers"))
+        j = p.join(n, "term", "left").select("user_id", "kind", "term", F.coalesce("n_papers", F.lit(0)).alias("n_papers"))
         out = j if out is None else out.unionByName(j)
-    return out.select("user_id", key, "kind", "term")
+    return out
+
+
+def preference_hits(df: DataFrame, preferences: DataFrame, user_id, key: str = "id") -> DataFrame:
+    """J7 for one user: ``(user_id, key, kind, term)`` of the papers that the
+    user's stored terms match (a reading list of at most papers x own terms)."""
+    own = preferences.where(F.col("user_id") == F.lit(user_id))
+    out = None
+    for kind, hay in HAYSTACKS:
+        hits = term_hits(df, own.where(F.col("kind") == kind), hay(), key=key)
+        j = hits.select(F.lit(user_id).alias("user_id"), key, F.lit(kind).alias("kind"), "term")
+        out = j if out is None else out.unionByName(j)
+    return out
 
 
 def preference_export(prefs: DataFrame, sep: str = ",") -> DataFrame:
@@ -285,21 +251,6 @@ def preference_export(prefs: DataFrame, sep: str = ",") -> DataFrame:
                     .alias("terms"))
 
 
-def reason_from_hits(hits: DataFrame, key: str = "id", group: Sequence[str] = ()) -> DataFrame:
-    """A7 + P15 over long-form hits ``(group..., key, kind, term)``: one reason per row.
-
-    Terms are listed in term order (a table has no list order)."""
-    g = [*group, key]
-    per_kind = hits.groupBy(*g, "kind").agg(F.array_join(F.array_sort(F.collect_set("term")), ", ").alias("_t"))
-    pk = per_kind.withColumn("_r", F.concat(
-        F.when(F.col("kind") == "keyword", F.lit(fixed.KEYWORD_REASON_PREFIX)).otherwise(F.lit(fixed.AUTHOR_REASON_PREFIX)),
-        F.col("_t")))
-    return pk.groupBy(*g).agg(
-        F.concat_ws(fixed.REASON_KIND_SEPARATOR,
-                    F.max(F.when(F.col("kind") == "keyword", F.col("_r"))),
-                    F.max(F.when(F.col("kind") == "author", F.col("_r")))).alias("match_reason"))
-
-
 def rank_reading_list(df: DataFrame, group_cols: Sequence[str] = ("date",),
                       by_category: bool = True, num_partitions: int | None = None) -> DataFrame:
     """O3 + W3 + W6: matched rows first, otherwise the listing order.
@@ -311,7 +262,8 @@ def rank_reading_list(df: DataFrame, group_cols: Sequence[str] = ("date",),
     """
     order = [F.col("is_matched").desc()]
     if by_category:
-        order.append(F.col("primary_category").asc())
+        # O1's order: the collation that lists and digests use, then by name.
+        order += [F.collate(F.col("primary_category"), "UNICODE").asc(), F.col("primary_category").asc()]
     order += [F.col("seq").asc(), F.col("id").asc()]
     return number_rows(df, order, group_cols, name="rank", size_name="n", num_partitions=num_partitions)
 
@@ -325,21 +277,19 @@ def position_text(rank: Column | str = "rank", n: Column | str = "n") -> Column:
 def circular_neighbours(ranked: DataFrame, group_cols: Sequence[str] = ("date",), key: str = "id") -> DataFrame:
     """Previous / next item in the ranked list, wrapping at both ends.
 
-    Computed as an equi-join on ``(group, rank)`` rather than a window, so a
-    hot group is not funnelled into one task.
+    Two equi-joins on ``(group, rank)``, which is unique, so repeated or null
+    ids neither multiply nor vanish; no window funnels a hot group into one task.
     """
     g = list(group_cols)
     prev_rank = F.when(F.col("rank") > 1, F.col("rank") - 1).otherwise(F.col("n"))
     next_rank = F.when(F.col("rank") < F.col("n"), F.col("rank") + 1).otherwise(F.lit(1).cast("long"))
-    base = ranked.select(*g, key, "rank", "n", prev_rank.alias("_pr"), next_rank.alias("_nr"))
-    look = ranked.select(*[F.col(c).alias(f"_lg{i}") for i, c in enumerate(g)],
-                         F.col("rank").alias("_lr"), F.col(key).alias("_lk"))
-
-    def side(rcol: str, out: str) -> DataFrame:
-        cond = [F.col(rcol) == F.col("_lr")] + [F.col(c) == F.col(f"_lg{i}") for i, c in enumerate(g)]
-        return base.join(look, cond, "left").select(*g, key, "rank", "n", F.col("_lk").alias(out))
-
-    return side("_pr", "prev_id").join(side("_nr", "next_id").select(*g, key, "next_id"), [*g, key])
+    out = ranked.select(*g, key, "rank", "n", prev_rank.alias("_pr"), next_rank.alias("_nr"))
+    for rank, name in (("_pr", "prev_id"), ("_nr", "next_id")):
+        look = ranked.select(*[F.col(c).alias(f"_lg{i}") for i, c in enumerate(g)],
+                             F.col("rank").alias("_lr"), F.col(key).alias(name))
+        cond = [F.col(rank) == F.col("_lr")] + [F.col(c).eqNullSafe(F.col(f"_lg{i}")) for i, c in enumerate(g)]
+        out = out.join(look, cond, "left").drop(rank, "_lr", *[f"_lg{i}" for i in range(len(g))])
+    return out
 
 
 def response_parts(df: DataFrame, category: str, keywords: Sequence[str] | None,
@@ -349,7 +299,8 @@ def response_parts(df: DataFrame, category: str, keywords: Sequence[str] | None,
     ``part = 0`` is the header object ``{category, author, keywords, count}``
     (count from an aggregate); ``part = 1`` rows are the papers
     ``{id, title, authors, categories, summary, date, url, reason}`` with
-    their listing position ``pos`` (``seq``).  A writer emits the header with
+    their position ``pos`` in the answer: by category, then listing order when
+    the request spans categories, else by listing order.  A writer emits the header with
     a ``papers`` array of the part-1 rows in ``pos`` order; no day is ever
     gathered into a single row, however many papers match.
     """
@@ -361,7 +312,11 @@ def response_parts(df: DataFrame, category: str, keywords: Sequence[str] | None,
         *g, F.lit(0).alias("part"), F.lit(0).cast("long").alias("pos"),
         F.to_json(F.struct(F.lit(category).alias("category"), au.alias("author"), kw.alias("keywords"),
                            F.col("count")), keep_nulls).alias("json"))
-    papers = df.select(*g, F.lit(1).alias("part"), F.col("seq").cast("long").alias("pos"), F.to_json(F.struct(
+    order = [F.col("seq").asc(), F.col("id").asc()]
+    if category in (None, fixed.ALL_CATEGORIES):
+        order = [F.collate(F.col("primary_category"), "UNICODE").asc(), F.col("primary_category").asc(), *order]
+    placed = number_rows(df, order, g, name="pos")
+    papers = placed.select(*g, F.lit(1).alias("part"), "pos", F.to_json(F.struct(
         "id", "title", "authors", "categories", "summary", F.date_format("date", "yyyy-MM-dd").alias("date"),
         "url", F.col("match_reason").alias("reason")), keep_nulls).alias("json"))
     return head.unionByName(papers)

@@ -78,6 +78,7 @@ def write_split(classified: DataFrame, kept_path: str, excluded_path: str,
     if kept.isEmpty():
         return STATUS_EMPTY
     pc = [p for p in partition_cols if p in kept.columns]
-    kept.write.mode("overwrite").partitionBy(*pc).parquet(kept_path)
-    excluded.write.mode("overwrite").partitionBy(*pc).parquet(excluded_path)
+    for rows, path in ((kept, kept_path), (excluded, excluded_path)):
+        # Replace only the partitions at hand, whatever the session's default.
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*pc).parquet(path)
     return STATUS_OK

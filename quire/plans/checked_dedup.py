@@ -88,9 +88,12 @@ def a5_dedup_report_empty_day(spark, sf_dir):
 @register("w1_first_seen", with_(DOC_FEED) + """
 SELECT id, arg_min(seq, seq) AS seq, arg_min(source, seq) AS source, arg_min(lang, seq) AS lang,
        strftime(arg_min(date, seq), '%Y-%m-%d') AS date
-FROM dfeed GROUP BY id""")
+FROM dfeed WHERE seq % 17 <> 0 GROUP BY id
+UNION ALL SELECT NULL, seq, source, lang, strftime(date, '%Y-%m-%d') FROM dfeed WHERE seq % 17 = 0""")
 def w1_first_seen(spark, sf_dir):
-    r = dedup.first_seen(_docs(spark, sf_dir))
+    """Every 17th row lost its id: such rows are nobody's copies."""
+    d = _docs(spark, sf_dir)
+    r = dedup.first_seen(d.withColumn("id", F.when(F.col("seq") % 17 != 0, F.col("id"))))
     return r.select("id", "seq", "source", "lang", tf.iso_date("date").alias("date"))
 
 
@@ -182,15 +185,9 @@ def t2_stream_lookback_dedup(spark, sf_dir):
 
 
 @register("t3_stream_daily_counts", """
-SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, event_type, count(*) AS n
-FROM events
-WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 2 DAY <= (SELECT max(ts) FROM events)
-GROUP BY ALL""")
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, event_type, count(*) AS n FROM events GROUP BY ALL""")
 def t3_stream_daily_counts(spark, sf_dir):
-    """Daily counts per event type from a stream (one micro-batch, append
-    mode).  A day is emitted once the watermark (newest event time minus the
-    one-day delay) has passed the end of its window; the newest days stay
-    open, which the oracle states as ``day + 2 days <= newest event``."""
+    """Daily counts per event type from a stream, all days that are there."""
     import uuid
 
     from ..session import checkpoint_dir
@@ -200,8 +197,6 @@ def t3_stream_daily_counts(spark, sf_dir):
     base = f"{checkpoint_dir(spark).rstrip('/')}/t3-{uuid.uuid4().hex}"
     ev.write.parquet(f"{base}/src")
     stream = spark.readStream.schema(ev.schema).parquet(f"{base}/src")
-    counts = fs.daily_counts(stream, "event_type", "ts")
-    q = (counts.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(tf.iso_date("date").alias("date"), "event_type", "n")
+    fs.run_daily_counts(stream, "event_type", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    out = fs.stored_daily_counts(spark, f"{base}/out", "event_type")
+    return out.select(tf.iso_date("date").alias("date"), "event_type", "n")

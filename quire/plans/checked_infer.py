@@ -68,16 +68,15 @@ def m3_batch_safety(spark, sf_dir):
 
 
 @register("p16_prompt_render", with_(PAPERS) + """
-SELECT id, concat(chr(10), 'Title: ', title, chr(10), 'Categories: ', array_to_string(categories, ', '), chr(10),
-                  'Authors: ', authors, chr(10), 'Comment: ', '', chr(10), 'Abstract:', chr(10), summary, chr(10))
+SELECT id, concat('Is this paper within the scope below? Answer with a JSON object (relevant, confidence, reason, topics).',
+                  chr(10), 'Scope: robots', chr(10), chr(10), 'Paper: ', title, chr(10), 'By: ', authors, chr(10),
+                  'Filed under: ', array_to_string(categories, ', '), chr(10), 'Remarks: ', '', chr(10), chr(10), summary)
        AS prompt
 FROM papers""")
 def p16_prompt_render(spark, sf_dir):
     apply_confs(spark)
     p = papers_view(load_table(spark, sf_dir, "documents"))
-    pr = infer.render_prompt(infer.CLASSIFY_TEMPLATE, title="title", categories=infer.list_slot("categories"),
-                             authors=infer.list_slot("authors"), comment=F.lit(""), summary="summary")
-    return p.select("id", pr.alias("prompt"))
+    return p.select("id", infer.classify_prompt(p, scope="robots").alias("prompt"))
 
 
 @register("c1_daily_run")

@@ -94,7 +94,7 @@ def _ai_sql(obj: str, failed: str = "false") -> str:
     cols = []
     for f in fixed.AI_FIELDS:
         d = fixed.AI_DEFAULTS[f]
-        cols.append(f"CASE WHEN {failed} THEN '{fixed.AI_PROCESSING_FAILED}' "
+        cols.append(f"CASE WHEN {failed} THEN '{d}' "
                     f"ELSE coalesce(json_extract_string({obj}, '$.{f}'), '{d}') END AS {f}")
     cols.append(f"CASE WHEN {failed} THEN 'error' WHEN {obj} IS NULL THEN 'bad_json' ELSE 'ok' END AS parse_status")
     return ",\n       ".join(cols)

@@ -141,12 +141,16 @@ def w5_circular_neighbours(spark, sf_dir):
     return nb.select("id", tf.iso_date("date").alias("date"), "rank", "prev_id", "next_id")
 
 
-J5_TERMS = "terms AS (SELECT DISTINCT lower(substring(text, 1, 24)) AS term FROM benchmark)"
+J5_TERMS = """terms AS (
+  SELECT DISTINCT term FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS term FROM benchmark
+                             UNION ALL SELECT text FROM benchmark) WHERE length(term) > 3)"""
 
 
 def benchmark_terms(spark, sf_dir):
+    """Search terms: every word of a benchmark item of over three characters, and every whole item."""
     b = load_table(spark, sf_dir, "benchmark")
-    return b.select(F.lower(F.substring("text", 1, 24)).alias("term")).distinct()
+    words = b.select(F.explode(F.split("text", r"\s+")).alias("term")).unionByName(b.select(F.col("text").alias("term")))
+    return words.where(F.length("term") > 3).distinct()
 
 
 @register("j5_term_join", with_(PAPERS, J5_TERMS) + f"""
@@ -175,13 +179,16 @@ def preferences(spark, sf_dir):
 
 
 @register("j7_preference_join", with_(PAPERS, PREFS_SQL) + f"""
-SELECT u.user_id, p.id, u.kind, u.term
-FROM papers p JOIN prefs u
-  ON (u.kind = 'keyword' AND contains({KW_HAY.replace('title', 'p.title').replace('summary', 'p.summary')}, lower(u.term)))
-  OR (u.kind = 'author' AND contains(lower(p.authors), lower(u.term)))""")
+, t AS (SELECT DISTINCT kind, term FROM prefs)
+, n AS (SELECT t.kind, t.term, count(*) AS n_papers FROM papers p JOIN t
+  ON (t.kind = 'keyword' AND contains({KW_HAY.replace('title', 'p.title').replace('summary', 'p.summary')}, lower(t.term)))
+  OR (t.kind = 'author' AND contains(lower(p.authors), lower(t.term))) GROUP BY ALL)
+SELECT u.user_id, u.kind, u.term, CAST(coalesce(n.n_papers, 0) AS BIGINT) AS n_papers
+FROM prefs u LEFT JOIN n USING (kind, term)""")
 def j7_preference_join(spark, sf_dir):
+    """Every stored preference with its number of matching papers."""
     v = match.search_view(_papers(spark, sf_dir))
-    return match.preference_hits(v, preferences(spark, sf_dir))
+    return match.preference_counts(v, preferences(spark, sf_dir))
 
 
 @register("s13_response_document", with_(PAPERS) + f"""
@@ -191,7 +198,7 @@ SELECT strftime(date, '%Y-%m-%d') AS date, 0 AS part, CAST(0 AS BIGINT) AS pos,
                       'count': count(*)}}) AS VARCHAR) AS json
 FROM m GROUP BY date
 UNION ALL
-SELECT strftime(date, '%Y-%m-%d'), 1, seq,
+SELECT strftime(date, '%Y-%m-%d'), 1, row_number() OVER (PARTITION BY date ORDER BY primary_category, seq, id),
        CAST(to_json({{'id': id, 'title': title, 'authors': authors, 'categories': categories, 'summary': summary,
                       'date': strftime(date, '%Y-%m-%d'), 'url': concat('https://arxiv.org/abs/', id),
                       'reason': reason}}) AS VARCHAR)
@@ -261,8 +268,8 @@ def p18_preference_export(spark, sf_dir):
     return match.preference_export(preferences(spark, sf_dir))
 
 
-@register("o8_random_pick")
+@register("o8_random_pick", with_(PAPERS) + "SELECT id, title FROM papers ORDER BY md5(concat('7', id)), id LIMIT 1")
 def o8_random_pick(spark, sf_dir):
-    """One random paper (rows-only: a random choice has no oracle)."""
+    """One paper, random by seed: the order of the hashes of (seed, id)."""
     from ..sources import feed
     return feed.random_pick(_papers(spark, sf_dir).select("id", "title"), seed=7)

@@ -200,11 +200,10 @@ def p10_subject_codes(spark, sf_dir):
 
 @register("f1_target_overlap", with_(SUBJ_SQL) + f"""
 , c AS (SELECT c_custkey, regexp_extract_all(s, '\\(([^)]+)\\)', 1) AS codes FROM subj)
-SELECT c_custkey FROM c
-WHERE len(codes) = 0 OR list_has_any(codes, {'[' + ', '.join(repr(t) for t in TARGETS) + ']'})""")
+SELECT c_custkey FROM c JOIN subj USING (c_custkey)
+WHERE s IS NULL OR list_has_any(codes, {'[' + ', '.join(repr(t) for t in TARGETS) + ']'})""")
 def f1_target_overlap(spark, sf_dir):
-    s = _subjects(spark, sf_dir).select("c_custkey", pages.subject_codes("s").alias("codes"))
-    return s.where(pages.target_overlap("codes", TARGETS)).select("c_custkey")
+    return _subjects(spark, sf_dir).where(pages.target_overlap("s", TARGETS)).select("c_custkey")
 
 
 @register("s14_listing_entries")

@@ -6,7 +6,7 @@ identical rows.
 
 PAPERS = """papers AS (
   SELECT CAST(doc_id AS VARCHAR) AS id,
-         substring(split_part(text, chr(10), 1), 1, 120) AS title,
+         split_part(text, chr(10), 1) AS title,
          text AS summary,
          source AS primary_category,
          string_split(concat(source, ',src', CAST((doc_id*7+3) % 20 AS VARCHAR)), ',') AS categories,

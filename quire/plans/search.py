@@ -8,13 +8,36 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import match
+from ..sources import feed
+
+
+def as_terms(terms: Sequence[str] | str | None) -> list[str]:
+    """P12 on a request parameter: a comma-separated text is a list of its trimmed items."""
+    if isinstance(terms, str):
+        terms = [t.strip() for t in terms.split(",")]
+    return [t for t in terms or [] if t]
+
+
+def in_language(papers: DataFrame, preferred: str | None, default: str | None = None) -> DataFrame:
+    """S5 before any query: of each date only the chosen language variant (no
+    choice without a preference or a ``language`` column)."""
+    if preferred is None or "language" not in papers.columns:
+        return papers
+    pos = F.col("listing_pos") if "listing_pos" in papers.columns else F.lit(0)
+    avail = papers.groupBy("date", "language").agg(F.min(pos).alias("listing_pos"))
+    chosen = feed.choose_language(avail, preferred, default or preferred)
+    return papers.join(chosen, ["date", "language"], "left_semi")
 
 
 def search_request(papers: DataFrame, category: str | None = fixed.ALL_CATEGORIES,
-                   keywords: Sequence[str] | None = None, authors: Sequence[str] | None = None,
-                   date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+                   keywords: Sequence[str] | str | None = None, authors: Sequence[str] | str | None = None,
+                   date_from: str | None = None, date_to: str | None = None,
+                   preferred: str | None = None, default: str | None = None) -> DataFrame:
     """Category AND (keyword OR author), matched rows only, with reasons.
 
+    Terms are lists or comma-separated texts (P12); ``preferred`` and
+    ``default`` choose one language variant per date (S5).
+
     Date bounds are plain predicates on ``date`` so a partitioned table is
     pruned to the requested days; the rest is one narrow projection.
     """
@@ -23,18 +46,20 @@ def search_request(papers: DataFrame, category: str | None = fixed.ALL_CATEGORIE
         df = df.where(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to:
         df = df.where(F.col("date") <= F.lit(date_to).cast("date"))
+    df = in_language(df, preferred, default)
     view = match.category_filter(match.search_view(df), category)
-    return match.matched_only(match.match_terms(view, keywords, authors))
+    return match.matched_only(match.match_terms(view, as_terms(keywords), as_terms(authors)))
 
 
 def reading_list(papers: DataFrame, category: str | None = fixed.ALL_CATEGORIES,
                  keywords: Sequence[str] | None = None, authors: Sequence[str] | None = None,
-                 text_query: str | None = None, group_cols: Sequence[str] = ("date",)) -> DataFrame:
+                 text_query: str | None = None, group_cols: Sequence[str] = ("date",),
+                 preferred: str | None = None, default: str | None = None) -> DataFrame:
     """Nothing is hidden; matched rows first, listing order otherwise.
 
     A non-empty text query takes precedence over keyword/author terms (Q11).
     """
-    view = match.category_filter(match.search_view(papers), category)
+    view = match.category_filter(match.search_view(in_language(papers, preferred, default)), category)
     if text_query and text_query.strip():
         flagged = match.match_text(view, text_query)
     elif keywords or authors:
@@ -45,7 +70,8 @@ def reading_list(papers: DataFrame, category: str | None = fixed.ALL_CATEGORIES,
                                    by_category=(category in (None, fixed.ALL_CATEGORIES)))
 
 
-def keyword_drilldown(papers: DataFrame, keyword: str, date_from: str, date_to: str) -> DataFrame:
+def keyword_drilldown(papers: DataFrame, keyword: str, date_from: str, date_to: str,
+                      preferred: str | None = None, default: str | None = None) -> DataFrame:
     """Papers of a date range whose title + summary contain the keyword."""
     df = papers.where(F.col("date").between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date")))
-    return match.drilldown(match.search_view(df), keyword)
+    return match.drilldown(match.search_view(in_language(df, preferred, default)), keyword)

@@ -55,19 +55,23 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType = PAPER_JSON,
     return good, bad
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of its own file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_day(spark: SparkSession, path: str, day: str, **kw) -> DataFrame:
     """One day; an absent or empty day is simply zero rows."""
-    try:
-        good, _ = read_feed(spark, path, **kw)
-    except Exception as e:  # no files at all under path
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], PAPER_JSON)
-        raise
+    if not path_exists(spark, path):
+        empty = T.StructType([*PAPER_JSON.fields, T.StructField("date", T.DateType())])
+        return spark.createDataFrame([], empty)
+    good, _ = read_feed(spark, path, **kw)
     return good.where(F.col("date") == F.lit(day).cast("date"))
 
 
 def date_range(df: DataFrame, date_from: str, date_to: str) -> DataFrame:
-    """Inclusive on both ends; only dates that exist; newest first."""
+    """Inclusive on both ends; only dates that exist (``newest_first`` orders them)."""
     r = df.where(F.col("date").between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date")))
     return r
 
@@ -82,11 +86,14 @@ def up_to_newest(requested: DataFrame, available: DataFrame, col: str = "date")
     return requested.where(F.col(col) <= newest)
 
 
-def random_pick(df: DataFrame, seed: int | None = None) -> DataFrame:
-    """One random row.  ``orderBy(rand).limit(1)`` plans as a top-1 per
-    task and one merge, never a full sort."""
-    r = F.rand(seed) if seed is not None else F.rand()
-    return df.orderBy(r).limit(1)
+def random_pick(df: DataFrame, seed: int | None = None, key: str = "id") -> DataFrame:
+    """One random row: the least hash of (seed, key), the same row for a
+    seed however the data are partitioned.  Plans as a top-1 per task and one
+    merge, never a full sort."""
+    import random
+    salt = str(seed if seed is not None else random.getrandbits(63))
+    k = F.col(key).cast("string")
+    return df.orderBy(F.md5(F.concat(F.lit(salt), F.coalesce(k, F.lit("")))), k).limit(1)
 
 
 def newest_first(df: DataFrame) -> DataFrame:

@@ -75,10 +75,13 @@ def listing_cutoff(items: Column | str, is_anchor) -> Column:
     return F.when(cut.isNull(), arr).otherwise(F.slice(arr, 1, cut))
 
 
-def target_overlap(categories: Column | str, targets: Sequence[str]) -> Column:
-    """keep when any category is targeted; a row without categories is kept."""
-    c = F.col(categories) if isinstance(categories, str) else categories
-    return F.coalesce(F.size(c) == 0, F.lit(True)) | F.arrays_overlap(c, F.array(*[F.lit(t) for t in targets]))
+def target_overlap(subjects_text: Column | str, targets: Sequence[str]) -> Column:
+    """keep a row when its subjects text has a targeted code in
+    parentheses; a row without a subjects text is kept, a text without any
+    targeted code is not."""
+    t = F.col(subjects_text) if isinstance(subjects_text, str) else subjects_text
+    hit = F.arrays_overlap(subject_codes(t), F.array(*[F.lit(x) for x in targets]))
+    return F.when(F.coalesce(F.trim(t), F.lit("")) == "", True).otherwise(F.coalesce(hit, F.lit(False)))
 
 
 def subject_codes(subjects_text: Column | str) -> Column:

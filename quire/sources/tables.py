@@ -54,7 +54,7 @@ def papers_view(documents: DataFrame) -> DataFrame:
         d.cast("string").alias("id"),
         # First line: substring_index stops at the first newline (split_part
         # would split the whole text into lines first).
-        F.substring(F.substring_index(F.col("text"), "\n", 1), 1, 120).alias("title"),
+        F.substring_index(F.col("text"), "\n", 1).alias("title"),
         F.col("text").alias("summary"),
         F.col("source").alias("primary_category"),
         F.split(cats_csv, ",").alias("categories"),
@@ -86,11 +86,6 @@ def document_feed(documents: DataFrame) -> DataFrame:
     )
 
 
-def date_key(c: Column | str) -> Column:
-    """ISO day key ``YYYY-MM-DD`` (the file-name and comparison form)."""
-    return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd")
-
-
 def enriched_view(documents: DataFrame) -> DataFrame:
     """Papers with model fields: lines 2-6 of the text stand for tl;dr,
     motivation, method, result and conclusion; a missing line is a missing

@@ -29,17 +29,20 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import fixed
 from ..operators import dedup
+from ..sources.feed import path_exists
 from ..schema import CORRUPT_COL, PAPER_JSON
 
 JSON_OPTS = {"allowSingleQuotes": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
 
 
 def read_feed_stream(spark: SparkSession, path: str, schema: T.StructType = PAPER_JSON,
-                     partition_schema: T.StructType | None = None, max_files: int | None = None) -> DataFrame:
-    """JSON-lines files under ``path`` as a stream of parsed rows (bad lines dropped).
+                     partition_schema: T.StructType | None = None, max_files: int | None = None,
+                     bad_lines: bool = False) -> DataFrame:
+    """JSON-lines files under ``path`` as a stream of parsed rows.
 
     ``partition_schema`` lists Hive partition columns (e.g. ``date``) found in
-    the folder names.
+    the folder names.  With ``bad_lines`` the stream is the quarantine
+    instead: the lines that do not parse, with their file.
     """
     text_schema = T.StructType([T.StructField("value", T.StringType())] +
                                (list(partition_schema.fields) if partition_schema else []))
@@ -50,18 +53,20 @@ def read_feed_stream(spark: SparkSession, path: str, schema: T.StructType = PAPE
     s = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     parsed = lines.withColumn("_j", F.from_json("value", s, JSON_OPTS))
     keep = [c for c in lines.columns if c != "value"]
+    if bad_lines:
+        return parsed.where(F.col(f"_j.{CORRUPT_COL}").isNotNull()).select(
+            F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), *keep)
     return parsed.where(F.col(f"_j.{CORRUPT_COL}").isNull()).select(
         *[F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields], *keep)
 
 
-def _stored_last_kept(spark: SparkSession, store: str, batch: DataFrame, days: int) -> DataFrame | None:
-    """Last kept date per id among stored rows within ``days`` of the batch start."""
-    try:
-        stored = spark.read.parquet(store)
-    except Exception as e:  # nothing stored yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
-            return None
-        raise
+def _stored_last_kept(spark: SparkSession, store: str, batch: DataFrame, days: int, batch_id: int) -> DataFrame | None:
+    """Last kept date per id among the rows that earlier batches stored within
+    ``days`` of the batch start (a replayed batch never sees its own output)."""
+    if not path_exists(spark, store):
+        return None
+    stored = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])).parquet(store)
+    stored = stored.where(F.col("batch") < batch_id)
     lo = batch.agg(F.min("date")).first()[0]
     if lo is None:
         return None
@@ -73,10 +78,10 @@ def dedup_batch_writer(store: str, days: int = fixed.LOOKBACK_DAYS) -> Callable[
     """``foreachBatch`` body for exact look-back dedup into ``store`` (parquet)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        prior = _stored_last_kept(spark, store, batch, days)
-        kept = dedup.backfill_dedup(batch, days, prior).withColumn("batch", F.lit(batch_id))
-        kept.write.mode("overwrite").partitionBy("date", "batch").parquet(store)
+        prior = _stored_last_kept(spark, store, batch, days, batch_id)
+        kept = dedup.backfill_dedup(batch, days, prior).withColumn("batch", F.lit(batch_id).cast("long"))
+        (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date", "batch").parquet(store))
     return write
 
 
@@ -88,21 +93,30 @@ def run_lookback_dedup(stream: DataFrame, store: str, checkpoint: str, days: int
     return w.start()
 
 
-def dedup_with_state(stream: DataFrame, days: int = fixed.LOOKBACK_DAYS) -> DataFrame:
+def dedup_with_state(stream: DataFrame, days: int = fixed.LOOKBACK_DAYS, expire: bool = False) -> DataFrame:
     """T2 as a per-id state machine (state = last kept date).
 
     Rows of an id arrive in pandas chunks; each chunk is handled in date
     order, so a source that delivers one day per trigger gives the exact
-    day-by-day result.  Rows of the kept day pass; others are dropped.
+    day-by-day result.  Rows of the kept day pass; others are dropped.  Rows
+    with a null id are not copies of each other and all pass (Q9).  With
+    ``expire`` (for a stream that never ends: the processing clock keeps such
+    a query running) the state of an id ends one day after its look-back.
     """
     cols = stream.columns
     out_schema = stream.schema
     state_schema = "last_kept date"
 
     def fn(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if expire and state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
         for pdf in chunks:
             pdf = pdf.sort_values("date", kind="stable")
+            if key[0] is None:
+                yield pdf[cols]
+                continue
             keep = []
             for d in pdf["date"]:
                 if last is None or (d - last).days > days:
@@ -113,9 +127,11 @@ def dedup_with_state(stream: DataFrame, days: int = fixed.LOOKBACK_DAYS) -> Data
                 yield out[cols]
         if last is not None:
             state.update((last,))
+            if expire:
+                state.setTimeoutDuration((days + 1) * 24 * 3600 * 1000)
 
     return stream.groupBy("id").applyInPandasWithState(
-        fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+        fn, out_schema, state_schema, "append", GroupStateTimeout.ProcessingTimeTimeout if expire else GroupStateTimeout.NoTimeout)
 
 
 def dedup_approx(stream: DataFrame, ts_col: str = "ts", days: int = fixed.LOOKBACK_DAYS) -> DataFrame:
@@ -138,18 +154,56 @@ def daily_counts(stream: DataFrame, key_col: str, ts_col: str = "ts", delay: str
         F.to_date(F.col("window.start")).alias("date"), key_col, "n")
 
 
+def counts_writer(store: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body for T3 in update mode: each batch's changed counts
+    replace its own earlier output, so a replay changes nothing."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(store))
+    return write
+
+
+def run_daily_counts(stream: DataFrame, key_col: str, store: str, checkpoint: str, ts_col: str = "ts",
+                     delay: str = "1 day") -> StreamingQuery:
+    """T3 over all that is there (``availableNow``): every day is counted,
+    the newest ones too; ``stored_daily_counts`` reads the result."""
+    return (daily_counts(stream, key_col, ts_col, delay).writeStream.outputMode("update")
+            .foreachBatch(counts_writer(store)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def stored_daily_counts(spark: SparkSession, store: str, key_col: str) -> DataFrame:
+    """(date, key, n): the last count of each day and key (counts only grow)."""
+    return spark.read.parquet(store).groupBy("date", key_col).agg(F.max("n").alias("n"))
+
+
 def publish_writer(feed_path: str, digest_path: str | None = None,
-                   preference=fixed.DEFAULT_PREFERRED_CATEGORIES) -> Callable[[DataFrame, int], None]:
-    """T4: ``foreachBatch`` body: feed slices (S8), digest lines (S10), replay-safe."""
+                   preference=fixed.DEFAULT_PREFERRED_CATEGORIES, manifest_path: str | None = None
+                   ) -> Callable[[DataFrame, int], None]:
+    """T4: ``foreachBatch`` body: feed slices (S8), digest lines (S10) and the
+    manifest (S11), replay-safe.
+
+    A slice is one (date, language, batch), so a day's second batch stands
+    beside its first and a replay replaces its own; the digests of the batch's
+    days are made from everything that is stored for them.
+    """
     from ..operators import digest
     from ..sources import feed
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        feed.write_feed(batch, feed_path, fmt="parquet")
+        spark = batch.sparkSession
+        parts = [c for c in ("date", "language") if c in batch.columns] + ["batch"]
+        (batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(feed_path))
+        schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+        stored = spark.read.schema(schema).parquet(feed_path)
         if digest_path and "AI" in batch.columns:
-            lines = digest.digest_lines(feed.normalize(batch) if "primary_category" not in batch.columns
-                                        else batch, preference)
+            days = batch.select("date").distinct()
+            day_rows = stored.join(days, "date", "left_semi").drop("batch")
+            lines = digest.digest_lines(feed.normalize(day_rows) if "primary_category" not in batch.columns
+                                        else day_rows, preference)
             digest.write_digest(lines, digest_path)
+        if manifest_path:
+            feed.manifest(stored).write.mode("overwrite").text(manifest_path)
     return write

@@ -81,3 +81,16 @@ def test_hot_key_first_seen(spark):
     rows = [("hot", day(1 + i % 30), i) for i in range(3000)] + [(f"k{i}", day(1), 10_000 + i) for i in range(50)]
     out = {r.id: r.seq for r in dedup.first_seen(feed(spark, rows).repartition(8)).collect()}
     assert out["hot"] == 0 and len(out) == 51
+
+
+def test_first_seen_keeps_null_ids_and_rows_without_order(spark):
+    rows = [(None, 1, "a"), (None, 2, "b"), ("x", None, "c"), ("x", None, "d"), ("y", None, "e"), ("y", 5, "f"), ("y", 5, "g")]
+    df = spark.createDataFrame(rows, "id string, seq long, v string")
+    runs = [sorted(map(str, dedup.first_seen(df.repartition(n)).collect())) for n in (1, 4)]
+    assert runs[0] == runs[1] and len(runs[0]) == 4
+    got = dedup.first_seen(df).collect()
+    assert {r.v for r in got if r.id is None} == {"a", "b"} and [r.seq for r in got if r.id == "y"] == [5]
+
+
+def test_run_status_of_an_unreadable_feed(spark):
+    assert dedup.run_status(lambda: spark.read.parquet("/nowhere/at/all"), "2026-01-10") == "error"

@@ -6,18 +6,11 @@ import os
 from pyspark.sql import functions as F
 
 from quire.functions import papers as pf
-from quire.operators import dedup, infer, match, trends
+from quire.operators import dedup, infer, trends
 from quire.sources import feed
 from quire.streaming import feed_stream as fs
 
 
-def test_reason_from_long_hits(spark):
-    hits = spark.createDataFrame([("1", "keyword", "b"), ("1", "keyword", "a"), ("1", "author", "x"),
-                                  ("2", "author", "y")], "id string, kind string, term string")
-    got = {r.id: r.match_reason for r in match.reason_from_hits(hits).collect()}
-    assert got == {"1": "关键词: a, b | 作者: x", "2": "作者: y"}
-
-
 def test_discover_names_and_choice(spark):
     names = ["2026-01-02_AI_enhanced_English.jsonl", "2026-01-01_AI_enhanced_Chinese.jsonl",
              "2026-01-01_AI_enhanced_English.jsonl", "2026-01-02_AI_enhanced_German.jsonl", "notes.txt"]

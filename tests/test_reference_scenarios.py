@@ -184,4 +184,20 @@ def test_batch_enrich_keeps_failed_rows(spark):
     out = {r.id: r for r in infer.enrich(df, fn, retries=1, sleep=lambda s: None).collect()}
     assert set(out) == {"1", "2"}                                   # first-seen distinct by id
     assert out["1"].AI["tldr"] == "ok"
-    assert out["2"].AI["tldr"] == fixed.AI_PROCESSING_FAILED and out["2"].attempts == 2
+    # A failed call gets the generation defaults; only a died row the processing set.
+    assert out["2"].AI["tldr"] == fixed.AI_DEFAULTS["tldr"] and out["2"].attempts == 2
+    died = jr.with_ai(spark.createDataFrame([(None, "failed")], "response string, status string"), "response", "status")
+    assert died.collect()[0].AI["tldr"] == fixed.AI_PROCESSING_FAILED
+
+
+def test_repeated_and_null_ids_neither_multiply_nor_pay_twice(spark):
+    calls = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame([("1", "a", "T", ["x"], ["c"])] * 3 + [(None, "b", "T", ["x"], ["c"])] * 2,
+                               "id string, summary string, title string, authors array<string>, categories array<string>")
+
+    def fn(prompt):
+        calls.add(1)
+        return json.dumps({"relevant": True, "confidence": 1})
+    got = infer.classify(df, fn, sleep=lambda s: None, scope="robots").collect()
+    assert len(got) == 5 and all(r.topic_filter["relevant"] for r in got) and calls.value == 2
+    assert len(infer.enrich(df, fn, sleep=lambda s: None).collect()) == 3        # one of id 1, both without id

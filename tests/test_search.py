@@ -67,22 +67,29 @@ def test_text_search_over_nine_fields(spark):
     assert hits == {"1"}
 
 
-def test_term_table_paths_agree(spark):
+def test_term_tables_of_any_size(spark):
     v = match.search_view(base(spark))
-    few = spark.createDataFrame([("robot",), ("A.B",), ("c++",)], "term string")
+    few = spark.createDataFrame([("robot",), ("A.B",), ("c++",), ("",), (None,), ("robot",)], "term string")
     many = spark.createDataFrame([(t,) for t in ["robot", "A.B", "c++"] + [f"nohit{i}" for i in range(60)]],
                                  "term string")
     a = sorted(map(tuple, match.term_hits(v, few, match.keyword_haystack()).collect()))
     b = sorted(map(tuple, match.term_hits(v, many, match.keyword_haystack()).collect()))
     assert a == b == [("1", "A.B"), ("1", "c++"), ("1", "robot"), ("3", "robot"), ("4", "A.B")]
+    assert match.term_hits(v, few.where("false"), match.keyword_haystack()).count() == 0
+    one = spark.createDataFrame([("x",), ("zz",), ("Robots We use a.b",)], "term string")
+    got = sorted(map(tuple, match.term_hits(v, one, match.keyword_haystack()).collect()))
+    assert got == [("1", "Robots We use a.b"), ("4", "x")]
 
 
 def test_preferences_per_user(spark):
     v = match.search_view(base(spark))
-    prefs = spark.createDataFrame([(1, "keyword", "vision"), (1, "author", "Cy"), (2, "keyword", "fleet")],
-                                  "user_id long, kind string, term string")
-    got = sorted(map(tuple, match.preference_hits(v, prefs).collect()))
-    assert got == [(1, "2", "author", "Cy"), (1, "2", "keyword", "vision"), (2, "3", "keyword", "fleet")]
+    prefs = spark.createDataFrame([(1, "keyword", "vision"), (1, "author", "Cy"), (2, "keyword", "fleet"), (3, "keyword", "absent"),
+                                   (3, "author", "ann")], "user_id long, kind string, term string")
+    got = sorted(map(tuple, match.preference_hits(v, prefs, 1).collect()))
+    assert got == [(1, "2", "author", "Cy"), (1, "2", "keyword", "vision")]
+    counts = sorted(map(tuple, match.preference_counts(v, prefs).collect()))
+    assert counts == [(1, "author", "Cy", 1), (1, "keyword", "vision", 1), (2, "keyword", "fleet", 1),
+                      (3, "author", "ann", 2), (3, "keyword", "absent", 0)]
 
 
 def test_author_abbreviation(spark):
@@ -128,17 +135,8 @@ def test_response_document(spark):
     r = search.search_request(base(spark), "all", ["robot"], ["cy"])
     doc = _json.loads(match.response_document(match.response_parts(r, "all", ["robot"], ["cy"])))
     assert doc["count"] == 3 and doc["keywords"] == ["robot"] and doc["author"] == ["cy"]
-    assert [p["id"] for p in doc["papers"]] == ["1", "2", "3"]
-    assert doc["papers"][1]["reason"] == "作者: cy"
-
-
-def test_chunked_term_matching_is_exact(spark, monkeypatch):
-    v = match.search_view(base(spark))
-    terms = spark.createDataFrame([(t,) for t in ["robot", "A.B", "c++"] + [f"nohit{i}" for i in range(60)]],
-                                  "term string")
-    monkeypatch.setattr(match, "MAX_BROADCAST_TERMS", 20)       # force 4 chunks
-    got = sorted(map(tuple, match.term_hits(v, terms, match.keyword_haystack()).collect()))
-    assert got == [("1", "A.B"), ("1", "c++"), ("1", "robot"), ("3", "robot"), ("4", "A.B")]
+    assert [p["id"] for p in doc["papers"]] == ["2", "1", "3"]          # by category, then listing order
+    assert doc["papers"][0]["reason"] == "作者: cy"
 
 
 def test_search_without_listing_sequence(spark):
@@ -149,3 +147,24 @@ def test_search_without_listing_sequence(spark):
                                "categories array<string>")
     ranked = search.reading_list(df, "all", ["robot"], None)
     assert [r.id for r in ranked.orderBy("rank").collect()] == ["a", "b"]     # ordered by id
+
+
+def test_neighbours_with_repeated_and_null_ids(spark):
+    ranked = spark.createDataFrame([("a", 1, 3), ("a", 2, 3), (None, 3, 3)], "id string, rank long, n long").selectExpr("*", "date'2026-01-05' as date")
+    got = [(r["rank"], r.prev_id, r.next_id) for r in match.circular_neighbours(ranked).orderBy("rank").collect()]
+    assert got == [(1, None, "a"), (2, "a", None), (3, "a", "a")]
+
+
+def test_one_language_variant_per_date(spark):
+    import datetime as dt
+    d1, d2 = dt.date(2026, 1, 5), dt.date(2026, 1, 6)
+    ai = lambda t: {"tldr": t, "motivation": None, "method": "", "result": None, "conclusion": None}
+    rows = [("1", d1, "Robot", "abs", ["A"], ["cs.RO"], "English", ai("short robot")), ("1", d1, "Robot", "abs", ["A"], ["cs.RO"], "Chinese", ai("")),
+            ("2", d2, "Robot", "abs", ["A"], ["cs.RO"], "English", ai(None))]
+    df = spark.createDataFrame(rows, "id string, date date, title string, summary string, authors array<string>, categories array<string>, "
+                                     "language string, AI struct<tldr:string,motivation:string,method:string,result:string,conclusion:string>")
+    both = search.search_request(df, "all", "robot, zz").collect()
+    assert len(both) == 3
+    one = {(r.id, r.language): (r.summary, r.code_url, r.code_stars) for r in search.search_request(df, "all", ["robot"], preferred="Chinese").collect()}
+    assert one == {("1", "Chinese"): ("abs", "", 0), ("2", "English"): ("abs", "", 0)}
+    assert {r.summary for r in search.search_request(df, "all", ["robot"], preferred="English").collect()} == {"short robot", "abs"}
