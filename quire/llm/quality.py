@@ -156,21 +156,21 @@ def fit(labelled: DataFrame, alpha: float = ALPHA, beta: float = BETA, ridge: fl
     return Model(mean, np.stack(factor), np.array([np.log(np.diag(f)).sum() for f in factor]), np.log(prior))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on the labelled documents that are not held out."""
+def train(features: DataFrame, labels: DataFrame) -> Model:
+    """Fit on the labelled documents that are not held out.  ``features``
+    (doc_id, x) are a few numbers a document: they meet the labels, not texts."""
     y = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("_hi"))
          .where("label = _hi").where(~held_out()).select("doc_id", "label"))
-    rows = docs.selectExpr("cast(doc_id as long) as doc_id", "text").join(y, "doc_id")
-    return fit(with_features(rows).join(y, "doc_id"))
+    return fit(features.join(y, "doc_id"))
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, held_out, score, predicted); one pass, no shuffle."""
+def score(features: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """features (doc_id, x) -> (doc_id, held_out, score, predicted); no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunked(batches, "text"):
-            s = model.score(features(*bw.text_bytes(part.column("text"))))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").combine_chunks(), pa.array(s)], names=["doc_id", "score"])
-    scored = docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text").mapInArrow(run, "doc_id long, score double")
+        for b in batches:
+            x = np.array(b.column(1).flatten()).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.score(x))], names=["doc_id", "score"])
+    scored = features.select("doc_id", "x").mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import containment, licenses, line_dedup, ngram_join, packing, passage_dedup, quality, sharding, spotsigs, wrappers
-from .common import prepare, table
+from .common import materialize, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,8 +27,8 @@ def _register(name: str, sql: str | None = None):
 @_register("op1_quality")
 def _quality(spark, sf_dir):
     """All documents scored; fitted on the labelled ones that are not held out."""
-    docs = table(spark, sf_dir, "documents")
-    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    features = materialize(quality.with_features(table(spark, sf_dir, "documents")))
+    return quality.score(features, quality.train(features, table(spark, sf_dir, "labels")))
 
 
 @_register("op2_spotsigs")
