@@ -39,6 +39,7 @@ SALTS = 32
 COPY_SHARE = 0.5          # of the reference's content texts: beyond it a page is a copy
 CONSTANT_SHARE = 0.5      # of the votes
 LEAST_VOTES = 2
+DEPTH = 60                # of slots; what lies deeper belongs to its ancestor there
 
 # --- fixed values: what is not the article ---
 NOT_ARTICLE = {"head", "nav", "footer", "aside", "form", "fieldset", "button", "select", "dialog", "menu", "svg", "object", "audio", "video", "canvas", "search", "option"}
@@ -101,10 +102,13 @@ def reduced(root: Node) -> list[Slot]:
 
     def build(n: Node) -> Slot:
         top = Slot(n.label)
-        work = [(n, top)]
+        work = [(n, top, 0)]
         while work:
-            node, slot = work.pop()
+            node, slot, depth = work.pop()
             slot.items += [(t, node) for t in node.texts()]
+            if depth == DEPTH:
+                work += [(kid, slot, DEPTH) for kid in reversed(node.nodes())]
+                continue
             for kid in node.nodes():
                 leaf = not kid.nodes()
                 last = slot.kids[-1] if slot.kids else None
@@ -113,7 +117,7 @@ def reduced(root: Node) -> list[Slot]:
                     continue
                 s = Slot(kid.label)
                 slot.kids.append(s)
-                work.append((kid, s))
+                work.append((kid, s, depth + 1))
         return top
     first = build(root)
     stack = [first]
