@@ -45,8 +45,11 @@ def free_shuffles(spark: SparkSession) -> None:
     """Ask the driver to drop shuffle files of finished steps whose frames are
     no longer referenced (their results are in the checkpoint folder)."""
     import gc
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    import time
+    for _ in range(2):          # the first round frees the proxies, the second what they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def text_or_empty(c: str | Column) -> Column:

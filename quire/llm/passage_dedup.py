@@ -42,7 +42,7 @@ from .common import BROADCAST_ROWS, chunked, free_shuffles, materialize
 LENGTH = 100                 # of a passage, in bytes
 GRAM = 16                    # of an anchor
 TASK_ANCHORS = 2_000_000     # that a task holds at a time
-BLOCK_BYTES = 4 << 20        # of contested text that one index holds
+BLOCK_BYTES = 1 << 20        # of contested text that one index holds
 _POS = 36                    # low bits of a packed (hash, place) pair
 
 
@@ -73,21 +73,35 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """All suffixes in order, by doubling of ranks.  Symbols over 255 are
-    unique separators, so ranks are distinct once a piece's length is passed."""
-    n, done = len(text), 1
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
+    """All suffixes in order, by doubling of ranks from the first five symbols
+    on.  Symbols over 255 are unique separators, so ranks are distinct once a
+    piece's length is passed."""
+    n = len(text)
+    padded = np.concatenate([np.minimum(text, 256), np.zeros(5, np.int64)])
+    key = np.zeros(n, np.int64)
+    ended = np.zeros(n, bool)
+    which = np.concatenate([np.cumsum(text > 255), np.zeros(5, np.int64)])
+    border = np.zeros(n, np.int64)
+    for j in range(5):                  # nothing behind a separator counts; its number does
+        sym = padded[j:j + n]
+        key = key * 512 + np.where(ended, 0, sym + 1)
+        at = (sym == 256) & ~ended
+        border[at] = which[j:j + n][at]
+        ended |= at
+    # Five symbols of nine bits and the separator's number (a block has far fewer than 2 ** 18).
+    key = key * (1 << 18) + border
+    done = 5
     while True:
-        nxt = np.zeros(n, np.int64)
-        nxt[:max(n - done, 0)] = rank[done:] + 1
-        key = rank * (n + 1) + nxt
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         k = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.concatenate([np.zeros(1, np.int64), np.cumsum(k[1:] != k[:-1])])
-        done *= 2
         if rank[order[-1]] == n - 1 or done >= 2 * n:
             return order
+        nxt = np.zeros(n, np.int64)
+        nxt[:max(n - done, 0)] = rank[done:] + 1
+        key = rank * (n + 1) + nxt
+        done *= 2
 
 
 def _symbol_hashes(symbols: np.ndarray) -> np.ndarray:
@@ -147,10 +161,11 @@ def _identity(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Per anchor (kind 0): h, ctx (hash of its context), left and right (hashes
-    of the half window beside it), d, at (t and place).  Kind 1: an occurrence
-    whose class has an earlier one in the same task (only d and at count)."""
-    names = ["kind", "h", "ctx", "left", "right", "d", "at"]
+    """Per anchor (kind 0): h, ctx (hash of its context), sides (32 bits of hash
+    of the half window before it, 32 of the one behind), d, at (t and place).
+    Kind 1: an occurrence whose class has an earlier one in the same task (only
+    d and at count)."""
+    names = ["kind", "h", "ctx", "sides", "d", "at"]
     reach, half = length - gram, (length - gram) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +173,7 @@ def occurrences(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         count = 0
 
         def out():
-            h, ctx, left, right, d, at = (np.concatenate(c) for c in zip(*held))
+            h, ctx, sides, d, at = (np.concatenate(c) for c in zip(*held))
             held.clear()
             key = bw.mix(h ^ bw.mix(ctx))
             order = np.lexsort((at, d, key))
@@ -166,8 +181,8 @@ def occurrences(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             repeat[order[1:]] = key[order[1:]] == key[order[:-1]]
             # Repeats need no meeting: they are dealt by place.
             h = np.where(repeat, bw.mix(at.view(np.uint64) ^ bw.mix(d.view(np.uint64))), h)
-            cols = [pa.array(repeat.astype(np.int8)), *[pa.array(np.where(repeat, np.uint64(0), x).view(np.int64) if x is not h else h.view(np.int64)) for x in (h, ctx, left, right)], pa.array(d), pa.array(at)]
-            return pa.RecordBatch.from_arrays(cols, names=names)
+            own = [pa.array(np.where(repeat, np.uint64(0), x).view(np.int64)) for x in (ctx, sides)]
+            return pa.RecordBatch.from_arrays([pa.array(repeat.astype(np.int8)), pa.array(h.view(np.int64)), *own, pa.array(d), pa.array(at)], names=names)
         for part in chunked(batches, "text"):
             data, offsets = bw.text_bytes(part.column("text"))
             place = anchors(data, offsets, length, gram)
@@ -184,34 +199,36 @@ def occurrences(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             right = np.where(place + gram + half <= end, span(place + gram, np.minimum(place + gram + half, end)), bw.mix(ctx ^ np.uint64(1)))
             d = np.array(part.column("d"))[of]
             t = np.array(part.column("t"))[of]
-            held.append((span(place, place + gram), ctx, left, right, d, (t << 32) | (place - begin)))
+            sides = (left >> np.uint64(32) << np.uint64(32)) | (right >> np.uint64(32))
+            held.append((span(place, place + gram), ctx, sides, d, (t << 32) | (place - begin)))
             count += len(place)
             if count >= TASK_ANCHORS:
                 yield out()
                 count = 0
         if held:
             yield out()
-    return rows.select("d", "t", "text").mapInArrow(run, "kind byte, h long, ctx long, left long, right long, d long, at long")
+    return rows.select("d", "t", "text").mapInArrow(run, "kind byte, h long, ctx long, sides long, d long, at long")
 
 
 def classified(found: DataFrame) -> DataFrame:
-    """Rows that matter: ``repeat`` (all windows of the anchor are repeats) or
-    the first occurrence of a contested context."""
+    """Rows that matter: (d, at, first): ``first`` is null for a repeat (all
+    windows of the anchor are), else (h, ctx, sides) of a contested context's
+    first occurrence."""
     by_class = Window.partitionBy("h", "ctx")
     by_anchor = Window.partitionBy("h")
     rows = (found.repartition("h")
             .withColumn("first", F.min(F.struct("d", "at")).over(by_class))
             .withColumn("lo", F.min("ctx").over(by_anchor)).withColumn("hi", F.max("ctx").over(by_anchor))
             .withColumn("repeat", F.expr("kind = 1 or not (d = first.d and at = first.at)")))
-    return rows.where("repeat or lo <> hi").select("repeat", "h", "ctx", "left", "right", "d", "at")
+    return rows.where("repeat or lo <> hi").select("d", "at", F.when(~F.col("repeat"), F.struct("h", "ctx", "sides")).alias("first"))
 
 
 def contested(rows: DataFrame) -> DataFrame:
     """First occurrences that share an anchor and a half window beside it with
     another context: (key, side, d, at)."""
-    sides = rows.where("not repeat").select("ctx", "d", "at", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.xxhash64("h", "left", F.lit(0)).alias("key")),
-        F.struct(F.lit(1).alias("side"), F.xxhash64("h", "right", F.lit(1)).alias("key")))).alias("s")).select("s.key", "s.side", "ctx", "d", "at")
+    sides = rows.where("first is not null").select("first.ctx", "d", "at", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.xxhash64("first.h", F.shiftrightunsigned("first.sides", 32), F.lit(0)).alias("key")),
+        F.struct(F.lit(1).alias("side"), F.xxhash64("first.h", F.col("first.sides").bitwiseAND(F.lit((1 << 32) - 1)), F.lit(1)).alias("key")))).alias("s")).select("s.key", "s.side", "ctx", "d", "at")
     w = Window.partitionBy("key")
     return sides.withColumn("_lo", F.min("ctx").over(w)).withColumn("_hi", F.max("ctx").over(w)).where("_lo <> _hi").select("key", "side", "d", "at")
 
@@ -224,18 +241,24 @@ def _by_document(marks: DataFrame, size: int, cols: list[str], docs: DataFrame,
 
 def shared_windows(rows: DataFrame, claims: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """claims (key, side, d, at) -> (d, t, lo, hi): stretches of the claimants'
-    contexts whose windows start earlier in another claimant of the key."""
-    reach = length - gram
+    contexts whose windows start earlier in another claimant of the key.
+
+    A window belongs to side 0 if half of its bytes beside the anchor or more
+    lie before it, else to side 1, so each side needs only its part of the
+    context."""
+    reach, half = length - gram, (length - gram) // 2
     claims = materialize(claims)
     free_shuffles(rows.sparkSession)
-    listed = claims.select("key", "d", "at", F.shiftright("at", 32).alias("t"), F.expr("cast(at & 4294967295L as int)").alias("p")).select("d", "t", F.struct("key", "p").alias("claim"))
+    listed = claims.select("key", "side", "d", "at", F.shiftright("at", 32).alias("t"), F.expr("cast(at & 4294967295L as int)").alias("p")).select("d", "t", F.struct("key", "side", "p").alias("claim"))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunked(batches, "text"):
             out = []
             for d, t, text, cl in zip(*[part.column(c).to_pylist() for c in ("d", "t", "text", "claim")]):
                 raw = text.encode()
-                out += [(c["key"], d, t, max(0, c["p"] - reach), raw[max(0, c["p"] - reach):c["p"] + gram + reach]) for c in cl]
+                for c in cl:
+                    lo, hi = (c["p"] - reach, c["p"] + gram + reach - half) if c["side"] == 0 else (c["p"] - half + 1, c["p"] + gram + reach)
+                    out.append((c["key"], d, t, max(0, lo), raw[max(0, lo):hi]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64()] * 4 + [pa.binary()])], names=["key", "d", "t", "lo", "bytes"])
     held = _by_document(listed, claims.count(), ["claim"], rows.select("d", "t", "text"), "inner")
@@ -281,7 +304,7 @@ def shared_windows(rows: DataFrame, claims: DataFrame, length: int = LENGTH, gra
                 size += len(row[4])
         if block and (o := out()) is not None:
             yield o
-    return (pieces.dropDuplicates(["key", "d", "t", "lo"]).repartition("key").sortWithinPartitions("key", "d", "t", "lo").mapInArrow(match, "d long, t long, lo long, hi long"))
+    return (pieces.repartition("key").sortWithinPartitions("key", "d", "t", "lo").mapInArrow(match, "d long, t long, lo long, hi long"))
 
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -296,7 +319,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     partial = materialize(shared_windows(rows, contested(found), length, gram))
     free_shuffles(spark)
     reach = length - gram
-    whole = found.where("repeat").select("d", F.shiftright("at", 32).alias("t"), F.expr(f"cast(at & 4294967295L as int) - {reach}").alias("lo"), F.expr(f"cast(at & 4294967295L as int) + {gram + reach}").alias("hi"))
+    whole = found.where("first is null").select("d", F.shiftright("at", 32).alias("t"), F.expr(f"cast(at & 4294967295L as int) - {reach}").alias("lo"), F.expr(f"cast(at & 4294967295L as int) + {gram + reach}").alias("hi"))
     marks = whole.unionByName(partial.select("d", "t", F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).select("d", "t", F.struct("lo", "hi").alias("gone"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
