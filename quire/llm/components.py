@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import BROADCAST_ROWS, materialize, small
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,21 +21,23 @@ def components(edges: DataFrame) -> DataFrame:
     the checkpoint folder; a node with many neighbours is pre-aggregated."""
     e = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .where("u <> v").distinct())
-    state = None
+    n, state = e.count(), None
     while True:
+        # Both tables have at most two rows an edge: counted, so a broadcast has a known bound.
+        hint = F.broadcast if 2 * n <= BROADCAST_ROWS else (lambda df: df)
         # Large star: every larger neighbour of u is hung onto u's smallest one.
         sym = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = sym.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = sym.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = sym.where("v > u").join(hint(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: u and its smaller neighbours are hung onto the smallest.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(low, "u")
+        hung = large.join(hint(low), "u")
         e = materialize(hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(hung.select("u", F.col("m").alias("v")))
                         .where("u <> v").distinct())
         row = e.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if tuple(row) == state:
             break
-        state = tuple(row)
+        n, state = row[0], tuple(row)
     node = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return node.unionByName(node.select(F.col("component").alias("node"), "component").distinct())
 
@@ -44,7 +46,8 @@ def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
     """entries (key, node, rank, ...) -> edges (a, b) whose components are
     those of all verified pairs that share a key.
 
-    ``verify`` takes candidate pairs (a, b) and returns those that link;
+    ``verify`` takes candidate pairs (a, b), a being the pivot that many others
+    share, and returns those that link;
     ``pair_filter(left, right)`` is a lossless condition on two entries of one
     key (columns prefixed l_ and r_).  In each round the member of lowest
     (rank, node) in every unfinished key is its pivot: all others are compared
@@ -58,7 +61,8 @@ def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
     left = entries
     edges = None
     for i in range(rounds + 1):
-        pivot = (left.groupBy("key").agg(F.min(F.struct("rank", "node", *[c for c in extra if c != "rank"])).alias("p")))
+        if i < rounds:
+            pivot = small(materialize(left.groupBy("key").agg(F.min(F.struct("rank", "node", *[c for c in extra if c != "rank"])).alias("p"))))
         other = [F.col(f"p.{c}").alias(f"l_{c}") for c in ["node", *extra]]
         if i < rounds:
             pairs = left.join(pivot, "key").where("node <> p.node").select(*other, *[F.col(c).alias(f"r_{c}") for c in ["node", *extra]], *([] if i == 0 else ["comp", F.col("p.comp").alias("pcomp")]))
@@ -69,7 +73,7 @@ def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
             pairs = left.select("key", *[F.col(c).alias(f"l_{c}") for c in ["node", *extra]]).join(r, "key").where("l_node < r_node and l_comp <> r_comp")
         if pair_filter is not None:
             pairs = pairs.where(pair_filter)
-        pairs = materialize(pairs.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")).distinct())
+        pairs = materialize(pairs.select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct())
         found = materialize(verify(pairs))
         edges = found if edges is None else edges.unionByName(found)
         if i == rounds:
@@ -78,9 +82,9 @@ def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
         # A key is finished once its members are of one component.
         cols = [c for c in left.columns if c != "comp"]
         left = (left.select(*cols).join(pivot.select("key", F.col("p.node").alias("_p")), "key").where("node <> _p").drop("_p")
-                .join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component"))
+                .join(small(comp), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component"))
         many = left.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("key")
-        left = materialize(left.join(many, "key", "left_semi"))
+        left = materialize(left.join(small(materialize(many)), "key", "left_semi"))
         extra = [c for c in left.columns if c not in ("key", "node")]
         if left.isEmpty():
             break

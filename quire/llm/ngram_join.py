@@ -108,8 +108,9 @@ def rarity(scanned: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, level: np.ndarray, num: int, den: int, k: int) -> DataFrame:
-    """(key, node, n, pos): the n-grams of each distinct set's prefix, rare ones
-    first; a set that a task meets again is not emitted again."""
+    """(key, node, n, pos, rank): the n-grams of each distinct set's prefix, rare
+    ones first; a set that a task meets again is not emitted again.  ``rank``
+    is lowest for sets of the most common n-grams, the centres of families."""
     shared = docs.sparkSession.sparkContext.broadcast(level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,22 +126,25 @@ def prefixes(docs: DataFrame, level: np.ndarray, num: int, den: int, k: int) ->
                     seen.add(s)
                     fresh[i] = True
             owner = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((v, rank[_cells(v)], owner))
+            level = rank[_cells(v)]
+            centre = (-1000 * bw.per_text_sum(level.astype(np.int64), first) // np.maximum(n, 1))
+            order = np.lexsort((v, level, owner))
             pos = np.arange(len(v)) - np.repeat(first[:-1], n)
             length = n - -(-n * num // den) + 1
             keep = (pos < length[owner]) & fresh[owner]
             o = owner[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(v[order][keep].view(np.int64)), pa.array(sig[o]), pa.array(n[o]), pa.array(pos[keep])], names=["key", "node", "n", "pos"])
-    return _texts(docs).mapInArrow(run, "key long, node long, n long, pos long")
+            yield pa.RecordBatch.from_arrays([pa.array(v[order][keep].view(np.int64)), pa.array(sig[o]), pa.array(n[o]), pa.array(pos[keep]), pa.array(centre[o])], names=["key", "node", "n", "pos", "rank"])
+    return _texts(docs).mapInArrow(run, "key long, node long, n long, pos long, rank long")
 
 
 def shared_columns(prefix: DataFrame) -> DataFrame:
-    """Columns that two nodes or more meet in, as (key, node, rank, n, pos);
-    columns of one and the same family of nodes are one, at the nodes' first position."""
+    """Columns that two nodes or more meet in, as (key, node, rank, n, pos, w);
+    columns of one and the same family of nodes are one, at the nodes' first
+    position and with their number (at least) as its weight."""
     w = Window.partitionBy("key")
     met = (prefix.withColumn("_lo", F.min("node").over(w)).withColumn("_hi", F.max("node").over(w))
            .withColumn("_sum", F.sum(F.shiftrightunsigned(F.xxhash64("node"), 34)).over(w)).where("_lo <> _hi"))
-    return (met.groupBy(F.xxhash64("_lo", "_hi", "_sum").alias("key"), "node").agg(F.min("n").alias("rank"), F.min("n").alias("n"), F.min("pos").alias("pos")))
+    return (met.groupBy(F.xxhash64("_lo", "_hi", "_sum").alias("key"), "node").agg(F.min("rank").alias("rank"), F.min("n").alias("n"), F.min("pos").alias("pos"), F.count(F.lit(1)).alias("w")))
 
 
 def may_link(num: int, den: int) -> str:
@@ -150,32 +154,58 @@ def may_link(num: int, den: int) -> str:
             f"least(l_n - l_pos, r_n - r_pos) * {num + den} >= {num} * (l_n + r_n)")
 
 
-def wanted_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(node, set) of the documents in ``wanted`` (doc_id, node)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunked(batches, "text"):
-            v, first = shingle_sets(*bw.text_bytes(part.column("text")), k)
-            yield pa.RecordBatch.from_arrays([pa.array(_signatures(v, first).view(np.int64)), pa.array([v[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())], names=["node", "set"])
-    rows = _texts(docs).join(small(wanted.select("doc_id")), "doc_id", "left_semi")
-    return rows.mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
+def enough_overlap(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
+    """The candidate pairs whose overlap, as accumulated over the first block,
+    can still reach the threshold.
+
+    ``rows`` (node, n, cols) holds each node's columns with their weights.  Of
+    two nodes, the one whose prefix ends first in the common order has all of
+    its shared prefix columns in the other's prefix, so the overlap is at most
+    what both prefixes share plus the longer of the two suffixes."""
+    suffix = lambda n: f"(ceil({n} * {num} / {den}) - 1)"
+    a, b = (rows.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("cols").alias(f"{s}_cols")) for s in "ab")
+    shared = (f"aggregate(filter(a_cols, x -> array_contains(transform(b_cols, y -> y.key), x.key)), 0L, (s, x) -> s + x.w)")
+    return (pairs.join(a, "a").join(b, "b")
+            .where(f"{num + den} * ({shared} + greatest({suffix('a_n')}, {suffix('b_n')})) >= {num} * (a_n + b_n)").select("a", "b"))
+
 
+def verifier(docs: DataFrame, named: DataFrame, rows: DataFrame, num: int, den: int, k: int):
+    """The second block: exact overlap of candidate pairs, over all columns.
+
+    ``named`` (node, doc_id, materialised) tells a document of each node.  The
+    texts of a pair's documents meet in one task and are cut into n-grams
+    there: a text takes half the room of its hashes, and each is moved once."""
+    named, rows = small(named), small(rows)
+
+    def texts_of(keys: DataFrame) -> DataFrame:
+        return docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text").join(small(keys), "doc_id").drop("doc_id")
 
-def verifier(sets: DataFrame, num: int, den: int):
-    """The second block: exact overlap of candidate pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
-            ok = []
-            for s, t in zip(x, y):
-                s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-                both = int(np.isin(s, t, assume_unique=True).sum())
-                ok.append(den * both >= num * (len(s) + len(t) - both))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        hub: tuple = (None, None, None)
+        for part in chunked(batches, ["y"]):
+            a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
+            v, first = shingle_sets(*bw.text_bytes(part.column("y")), k)
+            sig = _signatures(v, first).view(np.int64)
+            ok = np.zeros(part.num_rows, bool)
+            x = part.column("x")
+            for i in range(part.num_rows):
+                if hub[0] != a[i]:
+                    hv, hf = shingle_sets(*bw.text_bytes(x.slice(i, 1)), k)
+                    hub = (a[i], hv, _signatures(hv, hf).view(np.int64)[0])
+                t = v[first[i]:first[i + 1]]
+                both = int(np.isin(t, hub[1], assume_unique=True).sum())
+                # Rows that repeat a doc_id may bring another text: its signature tells.
+                ok[i] = sig[i] == b[i] and hub[2] == a[i] and den * both >= num * (len(t) + len(hub[1]) - both)
+                if hub[2] != a[i]:
+                    hub = (None, None, None)
+            yield pa.RecordBatch.from_arrays([part.column("a").combine_chunks(), part.column("b").combine_chunks()], names=["a", "b"]).filter(pa.array(ok))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = sets.join(small(pairs), F.col("node") == F.col("a")).select("a", "b", F.col("set").alias("x"))
-        right = sets.join(small(pairs.select("b").distinct()), F.col("node") == F.col("b"), "left_semi").select(F.col("node").alias("b"), F.col("set").alias("y"))
-        return left.join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+        pairs = enough_overlap(pairs, rows, num, den)
+        ids = materialize(pairs.join(named.withColumnsRenamed({"node": "a", "doc_id": "a_doc"}), "a").join(named.withColumnsRenamed({"node": "b", "doc_id": "b_doc"}), "b"))
+        hubs = texts_of(ids.select(F.col("a_doc").alias("doc_id"), "a").distinct()).withColumnRenamed("text", "x")
+        others = texts_of(ids.select(F.col("b_doc").alias("doc_id"), "a", "b")).withColumnRenamed("text", "y")
+        return others.join(hubs, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
     return verify
 
 
@@ -189,9 +219,8 @@ def jaccard_groups(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = WOR
     free_shuffles(spark)
     reps = sigs.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     wanted = materialize(columns.select(F.col("node").alias("sig")).distinct().join(reps, "sig").select("doc_id", F.col("sig").alias("node")))
-    sets = materialize(wanted_sets(docs, wanted, k))
-    free_shuffles(spark)
-    links = linked_groups(columns, verifier(sets, num, den), may_link(num, den))
+    rows = materialize(columns.groupBy("node").agg(F.min("n").alias("n"), F.collect_list(F.struct("key", "w")).alias("cols")))   # at most a prefix
+    links = linked_groups(columns.drop("w"), verifier(docs, wanted, rows, num, den, k), may_link(num, den))
     comp = components(links).select(F.col("node").alias("sig"), "component")
     named = reps.join(comp, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     low = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
