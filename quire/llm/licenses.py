@@ -108,8 +108,9 @@ def scan(docs: DataFrame, texts: DataFrame, notices: DataFrame) -> DataFrame:
     texts."""
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"))
-    lines = (rows.select("_row", "doc_id", digest(F.col("text")).alias("whole"), F.explode(F.split("text", "\n")).alias("line"))
-             .select("_row", "doc_id", "whole", digest(F.col("line")).alias("digest")))
+    # The whole text's digest is made below the explode, once a document.
+    rows = rows.withColumn("whole", digest(F.col("text")))
+    lines = rows.select("_row", "doc_id", "whole", F.explode(F.split("text", "\n")).alias("line")).select("_row", "doc_id", "whole", digest(F.col("line")).alias("digest"))
     texts = small(texts.select(F.col("digest").alias("whole"), "license_id"))
     notices = small(notices.select("digest", F.col("license_id").alias("notice")))
     per_row = lines.join(notices, "digest", "left").groupBy("_row", "doc_id", "whole").agg(
