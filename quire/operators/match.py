@@ -173,10 +173,9 @@ def _distinct_terms(terms: DataFrame, term_col: str) -> DataFrame:
 
 
 def _seeds(text: Column, length: int) -> Column:
-    """The distinct character runs of ``length`` in a text."""
-    last = F.length(text) - F.lit(length) + F.lit(1)
-    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(length)))
-    return F.when(last >= 1, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+    """The distinct character runs of ``length`` in a text (one linear scan:
+    an empty match that looks ahead at every place)."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), 1))
 
 
 def term_hits(df: DataFrame, terms: DataFrame, hay: Column, key: str = "id",

@@ -143,14 +143,14 @@ def w5_circular_neighbours(spark, sf_dir):
 
 J5_TERMS = """terms AS (
   SELECT DISTINCT term FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS term FROM benchmark
-                             UNION ALL SELECT text FROM benchmark) WHERE length(term) > 3)"""
+                             UNION ALL SELECT text FROM benchmark) WHERE length(term) > 8)"""
 
 
 def benchmark_terms(spark, sf_dir):
-    """Search terms: every word of a benchmark item of over three characters, and every whole item."""
+    """Search terms: every word of a benchmark item of over eight characters, and every whole item."""
     b = load_table(spark, sf_dir, "benchmark")
     words = b.select(F.explode(F.split("text", r"\s+")).alias("term")).unionByName(b.select(F.col("text").alias("term")))
-    return words.where(F.length("term") > 3).distinct()
+    return words.where(F.length("term") > 8).distinct()
 
 
 @register("j5_term_join", with_(PAPERS, J5_TERMS) + f"""

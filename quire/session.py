@@ -8,6 +8,7 @@ back to a fresh local scratch directory when nothing is configured (tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -97,6 +98,8 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint directory of the cluster; a scratch dir only if unset."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="quire-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
