@@ -177,8 +177,12 @@ def occurrences(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             held.clear()
             key = bw.mix(h ^ bw.mix(ctx))
             order = np.lexsort((at, d, key))
+            opens = np.ones(len(h), bool)
+            opens[1:] = key[order[1:]] != key[order[:-1]]
+            first = order[np.maximum.accumulate(np.where(opens, np.arange(len(h)), 0))]
             repeat = np.zeros(len(h), bool)
-            repeat[order[1:]] = key[order[1:]] == key[order[:-1]]
+            # A repeated row stands at the first occurrence's own place: it is no repeat of it.
+            repeat[order] = (d[order] != d[first]) | (at[order] != at[first])
             # Repeats need no meeting: they are dealt by place.
             h = np.where(repeat, bw.mix(at.view(np.uint64) ^ bw.mix(d.view(np.uint64))), h)
             own = [pa.array(np.where(repeat, np.uint64(0), x).view(np.int64)) for x in (ctx, sides)]

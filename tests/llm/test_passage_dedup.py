@@ -78,3 +78,15 @@ def test_edges(llm):
     assert of(1) == [(n, 0, 0)] and of(5) == [(n, n, 1)] * 2 and of(2) == [(0, 0, 0)] and of(8) == [(n + 5, n, 1)]
     assert of(10)[0][1] == of(10)[0][0] and of(None)[0][1] == 0
     assert passage_dedup.remove_repeats(no_docs(llm)).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_repeated_rows_without_an_earlier_copy_keep_their_text(llm, parts):
+    from pyspark.sql import functions as F
+    one, other = prose(4, 80), prose(11, 80)
+    rows = [(1, one, 0), (1, one, parts - 1), (2, other + one, 0), (2, other + one, parts - 1), (3, other, 0)]
+    frame = llm.createDataFrame(rows, "doc_id long, text string, part int").repartitionByRange(parts, F.col("part"))
+    assert frame.rdd.getNumPartitions() == parts
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in passage_dedup.remove_repeats(frame).collect())
+    want = brute([(1, one), (2, other + one), (3, other)])
+    assert got == [(i, *want[i]) for i in (1, 1, 2, 2, 3)] and want[1][1] == 0
