@@ -19,6 +19,9 @@ every suffix of a corpus is neither bounded nor needed, so the work is split:
    Match lengths are computed at the run ends only (the irreducible ones) and
    streamed along the text, where each next one is one less; suffixes whose
    match lengths reach 100 are one window, and all but its first are repeats.
+   A key with more contested text than an index holds is not gathered: the
+   hashes of its windows (43 at most a claimant) become rows, and each
+   window's first place is a pre-aggregated minimum.
 
 Defined results: a null or empty text has 0 bytes; texts under 100 bytes lose
 nothing; repeated rows (equal doc_id and text) are one document, each row
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import BROADCAST_ROWS, chunked, free_shuffles, materialize
+from .common import BROADCAST_ROWS, chunked, free_shuffles, materialize, small
 
 LENGTH = 100                 # of a passage, in bytes
 GRAM = 16                    # of an anchor
@@ -250,23 +253,71 @@ def shared_windows(rows: DataFrame, claims: DataFrame, length: int = LENGTH, gra
     A window belongs to side 0 if half of its bytes beside the anchor or more
     lie before it, else to side 1, so each side needs only its part of the
     context."""
-    reach, half = length - gram, (length - gram) // 2
+    half = (length - gram) // 2
     claims = materialize(claims)
     free_shuffles(rows.sparkSession)
+    hot = materialize(claims.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * (length + half) > BLOCK_BYTES).select("key"))
+    some_hot = not hot.isEmpty()
+    if some_hot:
+        crowded = materialize(claims.join(small(hot), "key", "left_semi"))
+        claims = materialize(claims.join(small(hot), "key", "left_anti"))
+    stretches = _indexed_windows(rows, claims, length, gram)
+    return stretches.unionByName(_hashed_windows(rows, crowded, length, gram)) if some_hot else stretches
+
+
+def _claimed(rows: DataFrame, claims: DataFrame) -> DataFrame:
+    """(d, t, text, claim): the claims of each text that has some."""
     listed = claims.select("key", "side", "d", "at", F.shiftright("at", 32).alias("t"), F.expr("cast(at & 4294967295L as int)").alias("p")).select("d", "t", F.struct("key", "side", "p").alias("claim"))
+    return _by_document(listed, claims.count(), ["claim"], rows.select("d", "t", "text"), "inner")
+
+
+def _stretch(side: int, p: int, length: int, gram: int) -> tuple[int, int]:
+    """The part of a text that a claim at place ``p`` needs."""
+    reach, half = length - gram, (length - gram) // 2
+    lo, hi = (p - reach, p + gram + reach - half) if side == 0 else (p - half + 1, p + gram + reach)
+    return max(0, lo), hi
 
+
+def _hashed_windows(rows: DataFrame, claims: DataFrame, length: int, gram: int) -> DataFrame:
+    """The same stretches as of ``_indexed_windows``, one row a repeated window:
+    no key is gathered, whatever its claimants."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunked(batches, "text"):
+            data, offsets = bw.text_bytes(part.column("text"))
+            h = bw.prefix(data)
+            for i, (d, t, cl) in enumerate(zip(*[part.column(c).to_pylist() for c in ("d", "t", "claim")])):
+                begin, n = int(offsets[i]), int(offsets[i + 1] - offsets[i])
+                keys, places = [], []
+                for c in cl:
+                    lo, hi = _stretch(c["side"], c["p"], length, gram)
+                    at = np.arange(lo, min(hi, n) - length + 1)
+                    keys.append(np.full(len(at), c["key"], np.int64))
+                    places.append(at)
+                key, at = np.concatenate(keys), np.concatenate(places)
+                if len(at):
+                    window = bw.span_hash(h, begin + at, begin + at + length).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(window), pa.array(np.full(len(at), d, np.int64)), pa.array((t << 32) | at)], names=["key", "window", "d", "at"])
+    found = materialize(_claimed(rows, claims).mapInArrow(run, "key long, window long, d long, at long"))
+    at = F.struct("d", "at")
+    first = (found.groupBy("key", "window").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last")
+             .select("key", "window", F.col("first.d").alias("first_d"), F.col("first.at").alias("first_at")))
+    return (found.join(small(materialize(first)), ["key", "window"]).where("d <> first_d or at <> first_at")
+            .select("d", F.shiftright("at", 32).alias("t"), F.expr("at & 4294967295L").alias("lo")).distinct().withColumn("hi", F.col("lo") + length))
+
+
+def _indexed_windows(rows: DataFrame, claims: DataFrame, length: int, gram: int) -> DataFrame:
+    """Stretches of the claims' repeated windows, by a run-length index a block of keys."""
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunked(batches, "text"):
             out = []
             for d, t, text, cl in zip(*[part.column(c).to_pylist() for c in ("d", "t", "text", "claim")]):
                 raw = text.encode()
                 for c in cl:
-                    lo, hi = (c["p"] - reach, c["p"] + gram + reach - half) if c["side"] == 0 else (c["p"] - half + 1, c["p"] + gram + reach)
-                    out.append((c["key"], d, t, max(0, lo), raw[max(0, lo):hi]))
+                    lo, hi = _stretch(c["side"], c["p"], length, gram)
+                    out.append((c["key"], d, t, lo, raw[lo:hi]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64()] * 4 + [pa.binary()])], names=["key", "d", "t", "lo", "bytes"])
-    held = _by_document(listed, claims.count(), ["claim"], rows.select("d", "t", "text"), "inner")
-    pieces = held.mapInArrow(texts, "key long, d long, t long, lo long, bytes binary")
+    pieces = _claimed(rows, claims).mapInArrow(texts, "key long, d long, t long, lo long, bytes binary")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted by (key, d, t, lo): indexes whole keys, as many as a block holds."""

@@ -90,3 +90,18 @@ def test_repeated_rows_without_an_earlier_copy_keep_their_text(llm, parts):
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in passage_dedup.remove_repeats(frame).collect())
     want = brute([(1, one), (2, other + one), (3, other)])
     assert got == [(i, *want[i]) for i in (1, 1, 2, 2, 3)] and want[1][1] == 0
+
+
+def test_no_index_holds_more_than_a_block_of_one_key(llm, monkeypatch):
+    monkeypatch.setattr(passage_dedup, "BLOCK_BYTES", 4000)
+    line = prose(6, 10)[:72]                      # under a passage long, in every document with neighbours of its own
+    texts = [(k, f"{prose(100 + k, 30)} {k % 7} {'same words on both sides ' * (k % 3)}{line}{' and behind it' * (k % 5)} {k} {prose(300 + k, 30)}") for k in range(150)]
+    frame = llm.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    rows = passage_dedup._identity(frame)
+    claims = passage_dedup.contested(passage_dedup.classified(passage_dedup.occurrences(rows)))
+    assert claims.groupBy("key").count().agg({"count": "max"}).first()[0] * 142 > 3 * 4000
+    frames = []
+    indexed = passage_dedup._indexed_windows
+    monkeypatch.setattr(passage_dedup, "_indexed_windows", lambda r, c, *a: frames.append(c) or indexed(r, c, *a))
+    assert result(passage_dedup.remove_repeats(frame)) == brute(texts)
+    assert all(f.groupBy("key").count().where("count * 142 > 4000").count() == 0 for f in frames) and frames
