@@ -231,7 +231,24 @@ def jaccard_groups(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = WOR
 
 def keep_one(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = WORDS) -> DataFrame:
     """The rows of ``docs`` (all columns) without those whose component has a
-    smaller doc_id; of repeated rows with one doc_id the first by text stays."""
+    row of smaller doc_id (nulls last), then text hash; of repeated rows (equal
+    doc_id and text) of a component's kept document one stays.  Rows without
+    an n-gram all stay."""
     from .common import drop_rows
-    groups = materialize(jaccard_groups(docs, num, den, k).where("component_id < doc_id").select("doc_id").distinct())
-    return drop_rows(docs, groups, "doc_id")
+    # Rows are told apart by doc_id and text, so a doc_id may be null or have several texts.
+    row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    named = docs.withColumn("__keep_row", row)
+    found = materialize(jaccard_groups(named.select(F.col("__keep_row").alias("doc_id"), "text"), num, den, k).where("n_shingles > 0")
+                        .groupBy(F.col("doc_id").alias("__keep_row")).agg(F.min("component_id").alias("component"), F.count(F.lit(1)).alias("copies")))
+    many = materialize(found.groupBy("component").agg(F.sum("copies").alias("rows")).where("rows > 1").select("component"))
+    members = materialize(found.join(small(many), "component"))
+    ids = named.select("__keep_row", F.col("doc_id").cast("long").alias("doc_id")).join(small(members), "__keep_row")
+    kept = materialize(ids.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__keep_row")).alias("first")))
+    judged = members.join(small(kept), "component").withColumn("keep", F.expr("__keep_row = first.__keep_row"))
+    gone = materialize(judged.where("not keep").select("__keep_row"))
+    doubled = materialize(judged.where("keep and copies > 1").select("__keep_row"))
+    rest = drop_rows(named, gone, "__keep_row")
+    if not doubled.isEmpty():
+        once = rest.join(small(doubled), "__keep_row", "left_semi").select(*named.columns).dropDuplicates(["__keep_row"])
+        rest = drop_rows(rest, doubled, "__keep_row").unionByName(once)
+    return rest.drop("__keep_row")

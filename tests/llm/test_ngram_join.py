@@ -64,3 +64,19 @@ def test_components_of_random_graphs(llm):
         groups.link(a, b)
     got = {r.node: r.component for r in components.components(llm.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: groups.find(x) for x in groups.up if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_one_row_of_each_group_stays(llm):
+    base, other, third = prose(1, 120), prose(2, 120), prose(9, 90)
+    near = lambda x, k: f"{x} tail{k}"
+    rows = [(1, base), (1, base), (1, base), (2, near(base, 2)),            # the smallest row doubled
+            (None, near(base, 3)), (None, base),                           # copies without an id
+            (None, third), (None, near(third, 1)), (None, near(third, 1)),     # a group without any id
+            (7, near(base, 7)), (7, other), (8, near(other, 1)), (9, ""), (9, ""), (None, None)]
+    frame = llm.createDataFrame([(i, x, "z") for i, x in rows], "doc_id long, text string, __keep string").repartition(4)
+    out = ngram_join.keep_one(frame)
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert out.columns == frame.columns
+    assert [r for r in got if r[0] is not None] == [(1, base), (7, other), (9, ""), (9, "")]
+    none = [x for i, x in got if i is None]
+    assert len(none) == 2 and None in none and set(none) - {None} <= {third, near(third, 1)}
