@@ -13,6 +13,9 @@ reported each; other columns are ignored; an empty table gives no row.
 """
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +70,27 @@ Permission is granted to anyone to use this software for any purpose, including
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""),
 ]
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+#: Lines that copies of a text have before it or not.
+OPENINGS = {"BSD-2-Clause": ["BSD 2-Clause License", "All rights reserved."], "BSD-3-Clause": ["BSD 3-Clause License", "All rights reserved."]}
+
+
+def _forms(name: str, text: str) -> list[str]:
+    """A text as it is handed out: with its line breaks and with one line a
+    paragraph (a line break before "copyright" makes a copyright line), each
+    also without what follows the terms."""
+    whole = re.sub(r"(?<=\S)[^\S\n]*\n(?=[^\S\n]*\S)", " ", text)
+    ended = [x[:x.index(TERMS_END) + len(TERMS_END)] for x in (text, whole) if TERMS_END in x]
+    forms = [text, whole, *ended]
+    for line in reversed(OPENINGS.get(name, [])):
+        forms += [f"{line}\n\n{x}" for x in forms]
+    return list(dict.fromkeys(forms))
+
+
+#: Longer texts, one file an identifier.
+TEXTS += [(p.stem, form) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt")) for form in _forms(p.stem, p.read_text(encoding="utf-8"))]
 
 COPYRIGHT_LINE = r"(?m)^[^a-z\n]*(copyright|\(c\)|©)[^\n]*$"
 NOT_WORD = r"[^a-z0-9]+"

@@ -27,3 +27,24 @@ def test_edges(llm):
     got = licenses.scan(edge_docs(llm), *known(llm)).collect()
     assert len(got) == edge_docs(llm).count() and all(r.license_id is None and r.notices == "" for r in got)
     assert licenses.scan(no_docs(llm), *known(llm)).count() == 0
+
+
+def test_whole_texts_of_the_noticed_licenses(llm):
+    from pathlib import Path
+    folder = Path(licenses.__file__).parent / "license_texts"
+    rows, want = [], {}
+    for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "LGPL-2.1", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-SA-4.0", "CC0-1.0", "Unlicense"):
+        text = (folder / f"{name}.txt").read_text(encoding="utf-8")
+        for x in (text, text.upper(), text.replace("\n", "\r\n"), "Copyright 2021 Some One\n\n" + text):
+            want[len(rows)] = name
+            rows.append((len(rows), x))
+        rows.append((len(rows), text[:-60]))
+    end = licenses.TERMS_END
+    apache = rows[0][1]
+    want[len(rows)] = "Apache-2.0"
+    rows.append((len(rows), apache[:apache.index(end) + len(end)]))
+    for name in ("BSD-2-Clause", "BSD-3-Clause"):
+        want[len(rows)] = name
+        rows.append((len(rows), f"{name.replace('-', ' ', 1)} License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n" + (folder / f"{name}.txt").read_text(encoding="utf-8")))
+    got = {r.doc_id: r.license_id for r in licenses.scan(llm.createDataFrame(rows, "doc_id long, text string"), *known(llm)).collect()}
+    assert got == {i: want.get(i) for i, _ in rows}
