@@ -52,7 +52,7 @@ def _ngram_join(spark, sf_dir):
 @_register("op6_line_dedup")
 def _line_dedup(spark, sf_dir):
     """All documents without the lines that are fuzzy copies of earlier ones."""
-    return line_dedup.report(table(spark, sf_dir, "documents"))
+    return line_dedup.report(table(spark, sf_dir, "documents"), line_dedup.ALL_LINES)
 
 
 @_register("op7_passage_dedup")
