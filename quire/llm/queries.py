@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, licenses, line_dedup, ngram_join, packing, passage_dedup, quality, sharding, spotsigs, wrappers
+from . import containment, licenses, line_dedup, ngram_join, packing, passage_dedup, quality, sharding, spotsigs, token_counts, wrappers
 from .common import materialize, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,12 @@ def _sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+@_register("op11_token_counts")
+def _token_counts(spark, sf_dir):
+    """Tokens of all documents, told from their prefix tables."""
+    return token_counts.answers(token_counts.prefix_table(table(spark, sf_dir, "documents")))
+
+
 @_register("pipeline")
 def _pipeline(spark, sf_dir):
     """All stages of corpus_pipeline over ``documents``."""
