@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, licenses, line_dedup, ngram_join, packing, passage_dedup, quality, sharding, spotsigs, token_counts, wrappers
+from . import containment, licenses, line_dedup, ngram_join, packing, passage_dedup, quality, resampling, sharding, spelling, spotsigs, token_counts, wrappers
 from .common import materialize, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,18 @@ def _token_counts(spark, sf_dir):
     return token_counts.answers(token_counts.prefix_table(table(spark, sf_dir, "documents")))
 
 
+@_register("op12_spelling")
+def _spelling(spark, sf_dir):
+    """Spelling variants of all documents' words."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@_register("op13_resampling")
+def _resampling(spark, sf_dir):
+    """All documents weighted towards the benchmark texts, a tenth of them drawn."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_register("pipeline")
 def _pipeline(spark, sf_dir):
     """All stages of corpus_pipeline over ``documents``."""
