@@ -26,8 +26,10 @@ an empty table gives no row.
 """
 from __future__ import annotations
 
+import functools
 import json
 import os
+import re
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -47,16 +49,16 @@ KEPT_PAIRS = 250_000
 #: Characters up to which a stretch is kept.
 KEPT_LENGTH = 48
 OPEN, CLOSES = 1, 2
-NONE: dict[str, bool] = {}
 CHUNK_BYTES = 512 << 10
 
 TABLE = "doc_id long, n_bytes long, steps binary"
 ANSWERS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long"
 
-#: Texts of these characters need no library for normalising and splitting:
-#: ASCII, Latin letters and signs without combining marks, dashes and quotes.
-_PLAIN = regex.compile("[\t\n\r -~¡-¬®-įı-ſ‐-‧]*")
-_BLANKS = regex.compile("[\t\n\r ]+")
+#: Texts without any other character need no library for normalising and
+#: splitting: ASCII, Latin letters and signs without combining marks, dashes
+#: and quotes.
+_ODD = re.compile("[^\t\n\r -~¡-¬®-įı-ſ‐-‧]")
+BLANKS = "\t\n\r "
 
 
 class PrefixTokens:
@@ -84,29 +86,26 @@ class PrefixTokens:
         special = sorted((t["content"] for t in spec["added_tokens"] if t["special"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special)))
         self.alphabet = self._byte_alphabet()
-        self.open_fits: dict[str, dict[str, bool]] = {}
-        self.close_fits: dict[str, dict[str, bool]] = {}
-        self.n_pairs = 0
+        self._forget()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.state: tuple[str, list[str], list[int], list[int]] = ("", [""], [0], [])
 
     @staticmethod
     def _byte_alphabet() -> list[str]:
         from .word_tokens import _byte_alphabet
         return [chr(c) for _, c in sorted(_byte_alphabet().items())]
 
-    def _fits(self, left: str, right: str, closes: bool) -> bool:
-        """Does ``left`` (may be '') before ``right`` encode to just these two?"""
-        if self.n_pairs >= KEPT_PAIRS:
-            self.open_fits.clear()
-            self.close_fits.clear()
-            self.n_pairs = 0
+    def _fits(self, behind: dict, right: str, kind: int) -> int:
+        """Whether ``right`` is the next token, and the last one, where the open
+        encoding so far ends in the token that ``behind`` belongs to: it is if
+        the two, joined, encode to just these two."""
+        left, out = behind[""], 0
+        for place, model, end in ((OPEN, self.open_model, ""), (CLOSES, self.close_model, self.suffix)):
+            if kind & place and model.encode([left + right], is_pretokenized=True).tokens == [t for t in (left, right + end) if t]:
+                out |= place
+        behind[right] = out
         self.n_pairs += 1
-        got = (self.close_model if closes else self.open_model).encode([left + right], is_pretokenized=True).tokens
-        fits = got == [t for t in (left, right + self.suffix if closes else right) if t]
-        (self.close_fits if closes else self.open_fits).setdefault(left, {})[right] = fits
-        return fits
+        return out
 
     def piece_counts(self, piece: str) -> list[int]:
         """Token counts of all prefixes of one piece, by code points.  What the
@@ -117,39 +116,51 @@ class PrefixTokens:
             units = [[self.alphabet[b] for b in c.encode()] for c in piece]
             s = "".join(u for unit in units for u in unit)
             ends = np.cumsum([len(u) for u in units]).tolist()
-        before, last, count, closed = self.state
-        same = min(len(os.path.commonprefix((before, s))), len(last) - 1)
-        del last[same + 1:], count[same + 1:], closed[same:]
+        if self.n_pairs >= KEPT_PAIRS:
+            self._forget()
+        before, behind, count, closed = self.state
+        same = min(len(os.path.commonprefix((before, s))), len(behind) - 1)
+        del behind[same + 1:], count[same + 1:], closed[same:]
         at = None if len(ends) == len(s) else set(ends)
-        kinds, longest, open_fits, close_fits = self.kinds, self.longest, self.open_fits, self.close_fits
-        for i in range(same + 1, len(s) + 1):
+        kinds, longest, known, size = self.kinds, self.longest, self.known, len(s)
+        for i in range(same + 1, size + 1):
             # Inside a code point no prefix ends; behind the last one nothing goes on.
-            closing, going = at is None or i in at, i < len(s)
+            want = (CLOSES if at is None or i in at else 0) | (OPEN if i < size else 0)
             ended = 0
-            for j in range(max(0, i - longest), i):
+            for j in range(i - 1, max(0, i - longest) - 1, -1):
                 t = s[j:i]
-                kind = kinds.get(t)
-                if kind is None:
-                    continue
-                left = last[j]
-                if closing and kind & CLOSES:
-                    fits = close_fits.get(left, NONE).get(t)
-                    if self._fits(left, t, True) if fits is None else fits:
+                fits = behind[j].get(t)
+                if fits is None:
+                    if t not in kinds:
+                        continue
+                    fits = self._fits(behind[j], t, kinds[t])
+                fits &= want
+                if fits:
+                    if fits & CLOSES:
                         ended = count[j] + 1
-                        closing = False
-                if going and kind & OPEN:
-                    fits = open_fits.get(left, NONE).get(t)
-                    if self._fits(left, t, False) if fits is None else fits:
-                        last.append(t)
+                    if fits & OPEN:
+                        after = known.get(t)
+                        if after is None:
+                            after = known[t] = {"": t}
+                        behind.append(after)
                         count.append(count[j] + 1)
-                        going = False
-                if not closing and not going:
-                    break
+                    want &= ~fits
+                    if not want:
+                        break
             closed.append(ended)
-        self.state = (s, last, count, closed)
-        if len(s) > KEPT_LENGTH:
-            self.state = ("", [""], [0], [])
-        return list(closed) if at is None else [closed[e - 1] for e in ends]
+        self.state = (s, behind, count, closed)
+        out = list(closed) if at is None else [closed[e - 1] for e in ends]
+        if size > KEPT_LENGTH:
+            self.state = ("", [self.known[""]], [0], [])
+        return out
+
+    def _forget(self) -> None:
+        #: Token -> what is known of the tokens behind it ('' -> the token itself).
+        self.known: dict[str, dict] = {"": {"": ""}}
+        self.n_pairs = 0
+        #: The last piece, what is behind each of its prefixes' open encodings,
+        #: their counts and the closed counts.
+        self.state: tuple[str, list[dict], list[int], list[int]] = ("", [self.known[""]], [0], [])
 
     def piece_steps(self, piece: str) -> bytes:
         counts = self.piece_counts(piece)
@@ -187,14 +198,18 @@ class PrefixTokens:
 
     def _gap(self, text: str) -> tuple[bytes, str]:
         """Steps of a text without special strings, and its last piece."""
-        if _PLAIN.fullmatch(text):
-            units = _BLANKS.sub(" ", text.lower()).split(" ")
-            for u in sorted(set(units).difference(self.young)):    # neighbours share their beginnings
-                if u:
-                    self._unit(u)
-            young = self.young
-            tail = self.split.findall(units[-1])[-1:] if len(units[-1]) <= KEPT_LENGTH else [units[-1]]
-            return b"\0".join([young[u] if u in young else self._unit(u) if u else b"" for u in units]), "".join(tail)
+        if not _ODD.search(text):
+            units = text.lower().split()
+            if not units:
+                return b"\0" * bool(text), ""
+            got = list(map(self.young.get, units))
+            if None in got:
+                missing = {u for u, steps in zip(units, got) if steps is None}
+                found = {u: self._unit(u) for u in sorted(missing)}        # neighbours share their beginnings
+                got = [found[u] if steps is None else steps for u, steps in zip(units, got)]
+            last = "" if text[-1] in BLANKS else units[-1]
+            tail = self.split.findall(last)[-1:] if len(last) <= KEPT_LENGTH else [last]
+            return b"\0" * (text[0] in BLANKS) + b"\0".join(got) + b"\0" * (text[-1] in BLANKS), "".join(tail)
         text = self.whole.normalizer.normalize_str(text)
         out, end, piece = [], 0, ""
         for _, (a, b) in self.whole.pre_tokenizer.pre_tokenize_str(text):
@@ -221,9 +236,11 @@ class PrefixTokens:
         return b"".join([*out, self._gap(text[end:])[0]])
 
 
-def _path(tokenizer: str) -> str:
+@functools.cache
+def _counter(tokenizer: str) -> PrefixTokens:
+    """A worker's counter: what it has kept serves all tasks of the worker."""
     import public_tokenizers
-    return tokenizer if os.path.exists(tokenizer) else public_tokenizers.path(tokenizer)
+    return PrefixTokens(tokenizer if os.path.exists(tokenizer) else public_tokenizers.path(tokenizer))
 
 
 def prefix_table(docs: DataFrame, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
@@ -233,7 +250,7 @@ def prefix_table(docs: DataFrame, tokenizer: str = "word_bpe_49k.json") -> DataF
     path that every executor has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixTokens(_path(tokenizer))
+        counter = _counter(tokenizer)
         for part in chunked(batches, "text", CHUNK_BYTES):
             texts = part.column("text")
             size = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64()).combine_chunks()
