@@ -49,6 +49,8 @@ PDF_URL_PREFIX = "https://arxiv.org/pdf/"
 
 # --- fixed values: files and languages -------------------------------------
 ENRICHED_FILE_PATTERN = r"(\d{4}-\d{2}-\d{2})_AI_enhanced_(English|Chinese)\.jsonl"
+ENRICHED_FILE_MIDDLE = "_AI_enhanced_"
+FEED_FILE_SUFFIX = ".jsonl"
 LANGUAGES = ["English", "Chinese"]
 LIST_PAGE_LANGUAGE = "Chinese"        # list page: preferred and fallback
 STATS_PAGE_LANGUAGE = "English"       # statistics page: preferred and fallback

@@ -83,9 +83,11 @@ def complete_ai() -> Column:
 
 
 def section_totals(df: DataFrame, preference: Sequence[str] = fixed.DEFAULT_PREFERRED_CATEGORIES) -> DataFrame:
-    """A2 + O2: per (date, category) all rows, with the section rank."""
+    """A2 + O2: per (date, category) all rows, with the section rank, and
+    (where rows have model fields) those of them that become ``entries``."""
     d = with_primary(df).where(_has_primary())
-    t = d.groupBy("date", "primary_category").agg(F.count(F.lit(1)).alias("total"))
+    aggs = [F.count(F.lit(1)).alias("total")] + ([F.count_if(complete_ai()).alias("entries")] if "AI" in df.columns else [])
+    t = d.groupBy("date", "primary_category").agg(*aggs)
     return t.withColumn("cat_rank", preference_rank("primary_category", preference))
 
 
@@ -96,7 +98,7 @@ def digest_entries(df: DataFrame, preference: Sequence[str] = fixed.DEFAULT_PREF
     if "seq" not in d.columns:   # no listing order recorded: order by id within a section
         d = d.withColumn("seq", F.lit(0).cast("long"))
     d = d.withColumn("cat_rank", preference_rank("primary_category", preference))
-    order = [F.col("cat_rank").asc(), F.col("primary_category").asc(), F.col("seq").asc(), F.col("id").asc()]
+    order = [F.col("cat_rank"), F.col("primary_category"), F.col("seq"), F.col("id")]
     n = number_rows(d, order, ["date"], name="idx", num_partitions=num_partitions)
     authors = join_authors("authors", fixed.DIGEST_AUTHOR_SEPARATOR) \
         if dict(df.dtypes).get("authors", "").startswith("array") else F.col("authors")
@@ -122,16 +124,13 @@ def digest_fragments(df: DataFrame, preference: Sequence[str] = fixed.DEFAULT_PR
     from pyspark.sql import Window
     totals = section_totals(df, preference)
     entries = digest_entries(df, preference, num_partitions)
-    counts = entries.groupBy("date", "primary_category").agg(
-        F.count(F.lit(1)).alias("_ne"), F.min("idx").alias("_first"))
-    # One row per (day, category): windows over a day's sections are small.
+    # One row per (day, category): windows over a day's sections are small.  How
+    # many entries a section has, and so its first number, needs no numbering.
     order = Window.partitionBy("date").orderBy("cat_rank", "primary_category")
-    secs = (totals.join(counts, ["date", "primary_category"], "left")
-            .withColumn("_ne", F.coalesce("_ne", F.lit(0)).cast("long"))
-            .withColumn("_ord", F.row_number().over(order).cast("long"))
+    secs = (totals.withColumn("_ord", F.row_number().over(order).cast("long"))
             .withColumn("_ncat", F.count(F.lit(1)).over(Window.partitionBy("date")).cast("long"))
-            .withColumn("_before", F.coalesce(F.sum("_ne").over(order.rowsBetween(Window.unboundedPreceding, -1)),
-                                              F.lit(0)).cast("long")))
+            .withColumn("_before", F.coalesce(F.sum("entries").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
+            .withColumn("_first", F.col("_before") + 1))
     head = totals.select("date").distinct().select(
         "date", F.lit(1).cast("long").alias("frag_no"), F.lit(fixed.DIGEST_TOC_HEADER).alias("text"))
     toc = secs.select("date", (F.col("_ord") + 1).alias("frag_no"),

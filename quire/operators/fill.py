@@ -76,6 +76,15 @@ def repo_facts(df: DataFrame, repo_stats: DataFrame, text_col: str = "summary")
             .select(*df.columns, "code_url", "code_stars", "code_last_update"))
 
 
+def code_links(df: DataFrame, repo_stats: DataFrame | None = None, text_col: str = "summary") -> DataFrame:
+    """P11 with J3 where facts are at hand: the link never needs them; without
+    them stars are 0 and the last push is ''.  No join is made then."""
+    if repo_stats is not None:
+        return repo_facts(df, repo_stats, text_col)
+    return (df.withColumn("code_url", code_url(text_col)).withColumn("code_stars", F.lit(0).cast("long"))
+            .withColumn("code_last_update", F.lit("")))
+
+
 def text_hash(c: Column | str) -> Column:
     return F.sha2(F.col(c) if isinstance(c, str) else c, 256)
 

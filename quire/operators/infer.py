@@ -11,10 +11,10 @@ the optional threads per task, which bounds the load on the service.
 Each distinct prompt is called once and its answer joined back to every row
 that asked for it, so repeated or null ids neither pay twice nor multiply
 rows.  A failed call never loses its row: it comes back with ``status =
-'error'`` and the parsers give it the generation defaults (X5).  Results
-should be written to a table keyed by id right away (``save_results``): paid
-calls must not be recomputed when a later stage fails or an executor is lost,
-and a re-run only calls the ids that have no result yet (``pending``).
+'error'`` and the parsers give it the generation defaults (X5).  With a
+ledger (``ledger.py``) every finished call is kept in a table keyed by prompt
+hash as soon as its task ends, and a re-run only makes the calls that have no
+good answer yet.
 """
 from __future__ import annotations
 
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import render
+from . import ledger
 
 RESULT_SCHEMA = "{key} string, response string, kind string, status string, attempts int, error string"
 
@@ -130,20 +131,6 @@ def batch_call(df: DataFrame, fn: Callable[[str], object], prompt: Column | str,
     return src.mapInPandas(run, RESULT_SCHEMA.format(key=key))
 
 
-def pending(df: DataFrame, results: DataFrame | None, key: str = "id") -> DataFrame:
-    """Rows that still need a call: ids without an ``ok`` result (resume after failure)."""
-    if results is None:
-        return df
-    done = results.where(F.col("status") == "ok").select(F.col(key).cast("string").alias("_k"))
-    return df.join(done, F.col(key).cast("string") == F.col("_k"), "left_anti")
-
-
-def save_results(results: DataFrame, path: str) -> DataFrame:
-    """Append call results to a keyed table and read them back (no recomputation)."""
-    results.write.mode("append").parquet(path)
-    return results.sparkSession.read.parquet(path)
-
-
 CALL_COLUMNS = ("response", "kind", "status", "attempts", "error")
 
 
@@ -152,14 +139,26 @@ def _without_call_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in CALL_COLUMNS if c in df.columns])
 
 
-def call_rows(df: DataFrame, fn: Callable[[str], object], prompt: Column, **kw) -> DataFrame:
+def answers_to(each: DataFrame, fn: Callable[[str], object], ledger_path: str | None, label: str, **kw) -> DataFrame:
+    """Answers for distinct prompts ``(_ask_hash, _ask)``: called now, or
+    (with a ledger) taken from the ledger and called only where it has none."""
+    if ledger_path is None:
+        return batch_call(each, fn, "_ask", key=ledger.HASH, **kw)
+    tasks = kw.pop("partitions", None)
+    return ledger.answered(each, ledger_path, label, lambda rows: batch_call(rows, fn, "_ask", key=ledger.HASH, **kw), tasks=tasks)
+
+
+def call_rows(df: DataFrame, fn: Callable[[str], object], prompt: Column, ledger_path: str | None = None,
+              label: str = "call", **kw) -> DataFrame:
     """Every row of ``df`` with its answer's columns; one call a distinct prompt.
 
-    Answers are unique by prompt hash, so the join keeps the row count."""
-    asked = _without_call_columns(df).withColumn("_ask", prompt).withColumn("_ask_hash", F.sha2("_ask", 256))
-    each = asked.select("_ask_hash", "_ask").dropDuplicates(["_ask_hash"])
-    answers = batch_call(each, fn, "_ask", key="_ask_hash", **kw).withColumn("response", response_text())
-    return asked.drop("_ask").join(answers, "_ask_hash", "left").drop("_ask_hash")
+    Answers are unique by prompt hash, so the join keeps the row count.  With
+    ``ledger_path`` finished calls are kept there under ``label`` (what is
+    asked of which model) and never made again."""
+    asked = _without_call_columns(df).withColumn("_ask", F.coalesce(prompt, F.lit(""))).withColumn(ledger.HASH, ledger.ask_hash(label, "_ask"))
+    each = asked.select(ledger.HASH, "_ask").dropDuplicates([ledger.HASH])
+    answers = answers_to(each, fn, ledger_path, label, **kw).withColumn("response", response_text())
+    return asked.drop("_ask").join(answers, ledger.HASH, "left").drop(ledger.HASH)
 
 
 def response_text() -> Column:
@@ -169,13 +168,13 @@ def response_text() -> Column:
 
 
 def enrich(df: DataFrame, fn: Callable[[str], object], language: str = "English", key: str = "id",
-           template: str = "Language: {language}\nContent:\n{content}", **kw) -> DataFrame:
+           template: str = "Language: {language}\nContent:\n{content}", label: str = "enrich", **kw) -> DataFrame:
     """M1: first-seen distinct rows (W1) -> prompt -> call -> ``AI`` struct."""
     from ..functions.jsonrepair import with_ai
     from .dedup import first_seen
     rows = first_seen(_without_call_columns(df), key, "seq" if "seq" in df.columns else None)
     prompt = render_prompt(template, language=F.lit(language), content="summary")
-    out = call_rows(rows, fn, prompt, **kw).withColumn(key, F.col(key).cast("string"))
+    out = call_rows(rows, fn, prompt, label=label, **kw).withColumn(key, F.col(key).cast("string"))
     return with_ai(out, "response", "status").drop("response", "kind")
 
 
@@ -193,14 +192,15 @@ def classify_prompt(df: DataFrame, scope: str = "", template: str = CLASSIFY_TEM
 
 def classify(df: DataFrame, fn: Callable[[str], object], key: str = "id", keep_uncertain: bool = False,
              min_confidence: float = fixed.TOPIC_MIN_CONFIDENCE, scope: str = "", template: str = CLASSIFY_TEMPLATE,
-             **kw) -> DataFrame:
+             label: str = "classify", **kw) -> DataFrame:
     """M2: prompt -> call -> verdict (fail-closed) -> keep-uncertain rule; one row out per row in."""
     from . import topic
-    out = call_rows(df, fn, classify_prompt(df, scope, template), **kw).withColumn(key, F.col(key).cast("string"))
+    out = call_rows(df, fn, classify_prompt(df, scope, template), label=label, **kw).withColumn(key, F.col(key).cast("string"))
     return topic.classify(out, "response", "status", keep_uncertain, min_confidence).drop("response", "kind")
 
 
-def safety_verdicts(texts: DataFrame, fn: Callable[[str], object], text_col: str = "text", **kw) -> DataFrame:
+def safety_verdicts(texts: DataFrame, fn: Callable[[str], object], text_col: str = "text",
+                    ledger_path: str | None = None, label: str = "safety", **kw) -> DataFrame:
     """M3: score each *distinct* text once -> ``(text_hash, flagged)``.
 
     Only an explicit ``True`` (or ``{"sensitive": true}``) flags a text;
@@ -208,9 +208,10 @@ def safety_verdicts(texts: DataFrame, fn: Callable[[str], object], text_col: str
     """
     from .fill import text_hash
     # Distinct by hash: the shuffle key is 64 characters, not the whole text.
-    d = (texts.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-         .withColumn("text_hash", text_hash("text")).dropDuplicates(["text_hash"]))
-    res = batch_call(d, fn, "text", key="text_hash", **kw)
+    d = (texts.select(F.col(text_col).alias("_ask")).where(F.col("_ask").isNotNull())
+         .withColumn("text_hash", text_hash("_ask")).dropDuplicates(["text_hash"]).withColumn(ledger.HASH, ledger.ask_hash(label, "_ask")))
+    answers = answers_to(d.select(ledger.HASH, "_ask"), fn, ledger_path, label, **kw)
+    res = d.select("text_hash", ledger.HASH).join(answers, ledger.HASH)
     flagged = (F.col("status") == "ok") & (
         (F.lower(F.trim("response")) == "true")
         | F.coalesce(F.get_json_object("response", "$.sensitive") == "true", F.lit(False)))

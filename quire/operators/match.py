@@ -4,9 +4,9 @@ matching with match reasons, term tables, match-first reading lists.
 Matching is case-insensitive substring search.  A literal term list becomes
 one ``contains`` per term inside a single projection (whole-stage codegen, no
 shuffle, no Python).  A term *table* (J5/J7) of any size is matched by one
-plan: each distinct term is keyed by its first characters (its seed), texts
-offer their distinct character runs of that length, an equi-join on the seed
-gives candidates, and ``contains`` verifies them.
+plan: each distinct term is keyed by one of its character runs (its seed),
+texts offer those of their runs that a bitmap of all seeds lets through, an
+equi-join on the seed gives candidates, and ``contains`` verifies them.
 """
 from __future__ import annotations
 
@@ -18,11 +18,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.papers import display_summary, join_authors, or_default, primary_category, reader_url
 from ..functions.text import haystack
+from . import seeds
 from .numbering import number_rows
 
-# Characters of a term that key it in the seed join (all of a shorter term's).
-SEED_CHARS = 5
-
 
 #: P5: what a paper without code facts shows.
 CODE_DEFAULTS = {"code_url": "", "code_stars": 0, "code_last_update": ""}
@@ -172,35 +170,31 @@ def _distinct_terms(terms: DataFrame, term_col: str) -> DataFrame:
     return terms.select(F.col(term_col).alias("term")).where(F.col("term").isNotNull() & (F.col("term") != "")).distinct()
 
 
-def _seeds(text: Column, length: int) -> Column:
-    """The distinct character runs of ``length`` in a text (one linear scan:
-    an empty match that looks ahead at every place)."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), 1))
-
-
 def term_hits(df: DataFrame, terms: DataFrame, hay: Column, key: str = "id",
               term_col: str = "term") -> DataFrame:
     """(key, term) for every row whose haystack contains a term.
 
     Distinct terms are matched once, case-insensitively (lower-cased on the
-    JVM like the haystack).  One plan for any number of terms: a term's seed
-    is its first ``SEED_CHARS`` characters, or all of them; the runs of a text
-    that are no term's seed end at the join, the candidates that are left are
-    verified with ``contains``.  Only the seed lengths that occur (at most
-    ``SEED_CHARS`` numbers) are read by the driver.  Joins are on equal seeds
-    and keys; the engine broadcasts or shuffles a side by its size and splits
-    a frequent seed.
+    JVM like the haystack).  One seed a term (``seeds.py``) stands for it; a
+    bitmap of the seeds' hashes is tested inside each row, so only runs that
+    may be a seed leave it, and the candidates that meet a term on an equal
+    seed are verified with ``contains``.  A term table within a measured size
+    is sent to the texts, and no text moves; beyond it only (key, seed) pairs
+    are shuffled and the texts are joined back by key.
     """
     dterms = _distinct_terms(terms, term_col).select("term", F.lower("term").alias("lt"))
-    seeded = dterms.withColumn("_seed", F.substring("lt", 1, SEED_CHARS))
-    lengths = sorted(r[0] for r in seeded.select(F.length("_seed")).distinct().collect())
-    base = df.select(F.col(key), hay.alias("_hay"))
-    if not lengths:
+    seeded = seeds.seeded_terms(dterms)
+    table = seeds.SeedTable.of(seeded)
+    base = df.select(F.col(key), hay.alias("_hay")).where(F.col(key).isNotNull())
+    if not table.lengths:
         return base.where("false").select(key, F.lit("").alias("term"))
-    runs = F.concat(*[_seeds(F.col("_hay"), n) for n in lengths])
-    near = (base.select(F.col(key), F.explode(runs).alias("_seed")).where(F.col(key).isNotNull())
-            .join(seeded, "_seed").select(key, "term", "lt").distinct())
-    return base.join(near, key).where(F.col("_hay").contains(F.col("lt"))).select(key, "term")
+    candidates = F.explode(table.runs(F.col("_hay"))).alias("_seed")
+    if table.small:
+        near = base.select(key, "_hay", candidates).join(F.broadcast(seeded), "_seed")
+    else:
+        pairs = base.select(key, candidates).join(seeded, "_seed").select(key, "term", "lt").distinct()
+        near = base.join(pairs, key)
+    return near.where(F.col("_hay").contains(F.col("lt"))).select(key, "term")
 
 
 HAYSTACKS = (("keyword", keyword_haystack), ("author", author_haystack))
@@ -259,11 +253,11 @@ def rank_reading_list(df: DataFrame, group_cols: Sequence[str] = ("date",),
     Adds ``rank`` (1-based within each group) and ``n`` (group size);
     numbering is skew-safe (see ``numbering``).
     """
-    order = [F.col("is_matched").desc()]
+    order = [~F.col("is_matched")]
     if by_category:
         # O1's order: the collation that lists and digests use, then by name.
-        order += [F.collate(F.col("primary_category"), "UNICODE").asc(), F.col("primary_category").asc()]
-    order += [F.col("seq").asc(), F.col("id").asc()]
+        order += [F.collate(F.col("primary_category"), "UNICODE"), F.col("primary_category")]
+    order += [F.col("seq"), F.col("id")]
     return number_rows(df, order, group_cols, name="rank", size_name="n", num_partitions=num_partitions)
 
 
@@ -311,9 +305,9 @@ def response_parts(df: DataFrame, category: str, keywords: Sequence[str] | None,
         *g, F.lit(0).alias("part"), F.lit(0).cast("long").alias("pos"),
         F.to_json(F.struct(F.lit(category).alias("category"), au.alias("author"), kw.alias("keywords"),
                            F.col("count")), keep_nulls).alias("json"))
-    order = [F.col("seq").asc(), F.col("id").asc()]
+    order = [F.col("seq"), F.col("id")]
     if category in (None, fixed.ALL_CATEGORIES):
-        order = [F.collate(F.col("primary_category"), "UNICODE").asc(), F.col("primary_category").asc(), *order]
+        order = [F.collate(F.col("primary_category"), "UNICODE"), F.col("primary_category"), *order]
     placed = number_rows(df, order, g, name="pos")
     papers = placed.select(*g, F.lit(1).alias("part"), "pos", F.to_json(F.struct(
         "id", "title", "authors", "categories", "summary", F.date_format("date", "yyyy-MM-dd").alias("date"),

@@ -8,11 +8,12 @@ be rescued, a failed call cannot (Q8: ``parse_status`` tells which).
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..session import materialize
+from . import versions
 
 STATUS_OK = 0
 STATUS_EMPTY = 2     # nothing kept: input left unchanged
@@ -66,19 +67,51 @@ def report(classified: DataFrame) -> DataFrame:
                         .otherwise(F.lit(STATUS_OK)))
 
 
-def write_split(classified: DataFrame, kept_path: str, excluded_path: str,
-                partition_cols: tuple[str, ...] = ("date",)) -> int:
-    """S9 + F12: write kept and excluded rows, each with its verdict.
+def write_split(classified: DataFrame, root: str, partition_cols: tuple[str, ...] = ("date",)) -> int:
+    """S9 + F12: write kept and excluded rows, each with its verdict, so that
+    readers (``read_split``) see both of a run or neither.
 
-    Both outputs read one checkpoint of the classified rows (paid verdicts
-    are never recomputed).  When nothing is kept the outputs are left
-    untouched and status 2 is returned.
-    """
+    Both outputs are written to a new version's folder from one checkpoint of
+    the classified rows (paid verdicts are never recomputed); the pointer that
+    says which version holds which day is switched last.  A failure before that
+    leaves the old pair as it was; other days keep their versions.  When nothing
+    is kept nothing is written and status 2 is returned."""
     kept, excluded = split(classified)
     if kept.isEmpty():
         return STATUS_EMPTY
-    pc = [p for p in partition_cols if p in kept.columns]
-    for rows, path in ((kept, kept_path), (excluded, excluded_path)):
-        # Replace only the partitions at hand, whatever the session's default.
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*pc).parquet(path)
+    spark = classified.sparkSession
+    parts = [p for p in partition_cols if p in kept.columns]
+    version = versions.new_version()
+    for rows, name in ((kept, "kept"), (excluded, "excluded")):
+        w = rows.write.partitionBy(*parts) if parts else rows.write
+        w.parquet(versions.folder(root, version, name))
+    # A day belongs to this run whichever of the two outputs has rows of it.
+    days = [r[0] for r in classified_days(kept, excluded, parts)]
+    versions.switch(spark, root, {d: version for d in days})
     return STATUS_OK
+
+
+def classified_days(kept: DataFrame, excluded: DataFrame, parts: list[str]) -> list:
+    """The days of a run (a calendar-bounded list; one name without a day column)."""
+    if not parts:
+        return [(versions.WHOLE,)]
+    day = F.col(parts[0]).cast("string").alias("day")
+    return kept.select(day).union(excluded.select(day)).distinct().where(F.col("day").isNotNull()).collect()
+
+
+def read_split(spark: SparkSession, root: str, name: str = "kept", partition_col: str = "date") -> DataFrame | None:
+    """One output (``kept`` or ``excluded``) as the pointer has it; None before
+    the first run.  Each version's files are pruned to the days it holds."""
+    by_version: dict[str, list[str]] = {}
+    for day, version in versions.current(spark, root).items():
+        by_version.setdefault(version, []).append(day)
+    out = None
+    for version, days in sorted(by_version.items()):
+        path = versions.folder(root, version, name)
+        if not versions.has_rows(spark, path):
+            continue
+        rows = spark.read.parquet(path)
+        if days != [versions.WHOLE]:
+            rows = rows.where(F.col(partition_col).cast("string").isin(days))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out

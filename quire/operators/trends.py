@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.text import cloud_weight, normalize_title
 from ..session import materialize
+from ..sources.feed import in_language
 
 # Function words of the stop list that break candidate runs.
 BREAK_WORDS = ["the", "is", "at", "which", "and", "or", "in", "to", "for", "of",
@@ -143,9 +144,13 @@ def candidates_from_tags(tokens: Column | str, tags: Column | str) -> Column:
 
 
 def keyword_statistics(papers: DataFrame, date_from: str | None = None, date_to: str | None = None,
-                       k_cloud: int = fixed.CLOUD_TOP, k_trend: int = fixed.TREND_TOP) -> dict[str, DataFrame]:
-    """C4: cloud (top keywords) and trend grid over a date range."""
-    df = papers
+                       k_cloud: int = fixed.CLOUD_TOP, k_trend: int = fixed.TREND_TOP, preferred: str | None = None,
+                       default: str | None = None, listed: DataFrame | None = None) -> dict[str, DataFrame]:
+    """C4: cloud (top keywords) and trend grid over a date range.
+
+    With ``preferred`` each day is counted in one language variant (S5): the
+    preferred, else the default, else the first listed (``feed.in_language``)."""
+    df = in_language(papers, preferred, default, listed)
     if date_from:
         df = df.where(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to:

@@ -160,6 +160,20 @@ def j5_term_join(spark, sf_dir):
     return match.term_hits(v, benchmark_terms(spark, sf_dir), match.keyword_haystack())
 
 
+@register("j5_short_terms", with_(PAPERS) + f"""
+, terms AS (SELECT DISTINCT unnest(string_split_regex(text, '\\s+')) AS term FROM benchmark)
+SELECT t.term, count(*) AS n_papers FROM papers p JOIN terms t
+  ON contains({KW_HAY.replace('title', 'p.title').replace('summary', 'p.summary')}, lower(t.term))
+WHERE length(t.term) BETWEEN 1 AND 8 GROUP BY t.term""")
+def j5_short_terms(spark, sf_dir):
+    """J5 on the hard case: every word of up to eight characters, single letters
+    and signs too, with the number of papers that hold it."""
+    b = load_table(spark, sf_dir, "benchmark")
+    terms = b.select(F.explode(F.split("text", r"\s+")).alias("term")).where(F.length("term").between(1, 8))
+    hits = match.term_hits(match.search_view(_papers(spark, sf_dir)), terms, match.keyword_haystack())
+    return hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_papers"))
+
+
 PREFS_SQL = f"""prefs AS (
   SELECT c_custkey AS user_id, 'author' AS kind, concat('Author ', CAST(c_custkey % 37 AS VARCHAR)) AS term
   FROM customer

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tf
 from ..session import apply_confs, checkpoint_dir
-from ..sources import feed, pages
+from ..sources import feed, listing, pages
 from ..sources.tables import load_table, papers_view
 from .oracle_views import PAPERS, with_
 from .registry import register
@@ -71,23 +71,35 @@ def s2_strict_scan(spark, sf_dir):
     return good.groupBy(tf.iso_date("date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("s4_partition_discovery", with_(PAPERS) + """
-SELECT strftime(date, '%Y-%m-%d') AS date, array_to_string(list_sort(list_distinct(list(language))), ',') AS languages
-FROM papers GROUP BY date""")
+EMPTY_DAY = ("2024-02-07", "en")        # a slice whose only file is empty
+
+
+def _export_with_empty(spark, sf_dir) -> str:
+    """A clean export and one more slice with an empty file."""
+    path = _export(spark, sf_dir, clean=True)
+    feed.touch(spark, f"{path}/date={EMPTY_DAY[0]}/language={EMPTY_DAY[1]}/part-empty.txt")
+    return path
+
+
+SLICES_SQL = with_(PAPERS) + f"""
+, slices AS (SELECT DISTINCT date, language FROM papers UNION SELECT DATE '{EMPTY_DAY[0]}', '{EMPTY_DAY[1]}')
+"""
+
+
+@register("s4_partition_discovery", SLICES_SQL + """
+SELECT strftime(date, '%Y-%m-%d') AS date, array_to_string(list_sort(list(language)), ',') AS languages FROM slices GROUP BY date""")
 def s4_partition_discovery(spark, sf_dir):
-    good, _ = _read(spark, sf_dir, clean=True)
-    d = feed.discover(good)
+    """S4 from the folder's listing: no file is read, an empty one counts."""
+    d = feed.available(spark, _export_with_empty(spark, sf_dir))
     return d.select(tf.iso_date("date").alias("date"), F.array_join("languages", ",").alias("languages"))
 
 
-@register("s5_language_choice", with_(PAPERS) + f"""
-, a AS (SELECT DISTINCT date, language FROM papers)
-SELECT strftime(date, '%Y-%m-%d') AS date, language FROM a
+@register("s5_language_choice", SLICES_SQL + f"""
+SELECT strftime(date, '%Y-%m-%d') AS date, language FROM slices
 QUALIFY row_number() OVER (PARTITION BY date ORDER BY
   CASE WHEN language = '{PREFERRED}' THEN 0 WHEN language = '{DEFAULT}' THEN 1 ELSE 2 END, language) = 1""")
 def s5_language_choice(spark, sf_dir):
-    good, _ = _read(spark, sf_dir, clean=True)
-    avail = good.select("date", "language").distinct().withColumn("listing_pos", F.lit(0))
+    avail = feed.slices(feed.list_files(spark, _export_with_empty(spark, sf_dir)))
     ch = feed.choose_language(avail, PREFERRED, DEFAULT)
     return ch.select(tf.iso_date("date").alias("date"), "language")
 
@@ -121,11 +133,11 @@ def s8_overwrite_sink(spark, sf_dir):
     return back.select("id", "title", tf.iso_date("date").alias("date"))
 
 
-@register("s11_manifest")
+@register("s11_manifest", SLICES_SQL + """
+SELECT concat(strftime(date, '%Y-%m-%d'), '_AI_enhanced_', language, '.jsonl') AS file FROM slices""")
 def s11_manifest(spark, sf_dir):
-    """Data files of the exported feed (rows-only: paths are engine-specific)."""
-    good, _ = _read(spark, sf_dir, clean=True)
-    return feed.manifest(good)
+    """Bare names of the exported feed's data files, sorted."""
+    return feed.manifest(feed.list_files(spark, _export_with_empty(spark, sf_dir)))
 
 
 # --- pages -------------------------------------------------------------------
@@ -222,6 +234,48 @@ def j8_entry_pairing(spark, sf_dir):
     return pages.pair_entries(e, "h1", "p")
 
 
+# Listing pages of 25 entries each, made of the documents; no dt, dd, li or p is closed.
+PER_PAGE = 25
+ITEMS_SQL = f"""items AS (
+  SELECT doc_id // {PER_PAGE} AS page_id, doc_id % {PER_PAGE} + 1 AS item_no, CAST(doc_id AS VARCHAR) AS id, concat('/abs/', doc_id) AS href,
+         concat(source, ' (', lang, ')') AS subjects, 18 + (doc_id // {PER_PAGE}) % 5 AS cutoff,
+         trim(concat(source, ' (', lang, ') ', trim(coalesce(text, ''), {WS}))) AS description
+  FROM documents)"""
+
+
+def _escaped(c):
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(sign), F.lit(name))
+    return c
+
+
+def listing_pages(spark, sf_dir):
+    """``(page_id, html)``: a page's entries are bounded, so they are gathered by page."""
+    d = load_table(spark, sf_dir, "documents")
+    no = F.col("doc_id") % PER_PAGE + 1
+    entry = F.format_string("<dt><a name='item%d'>[%d]</a> <a href=\"/abs/%d\" title=\"Abstract\">link</a>"
+                            "<dd><div class='list-subjects'><span class=\"primary-subject\">%s (%s)</span></div><p>%s",
+                            no, no, F.col("doc_id"), "source", "lang", _escaped(F.coalesce("text", F.lit(""))))
+    page = F.floor(F.col("doc_id") / PER_PAGE)
+    rows = d.groupBy(page.alias("page_id")).agg(F.array_sort(F.collect_list(F.struct("doc_id", entry.alias("e")))).alias("x"))
+    index = F.format_string("<div id=dlpage><ul><li><a href='#item1'>New</a><li><a href='#item%d'>Replaced</a></ul>", 18 + F.col("page_id") % 5)
+    return rows.select("page_id", F.concat(F.lit("<html><body>"), index, F.lit("<dl>"), F.array_join(F.transform("x", lambda s: s.getField("e")), "\n"),
+                                           F.lit("</dl></div></body></html>")).alias("html"))
+
+
+@register("s14_listing_items", with_(ITEMS_SQL) + "SELECT page_id, item_no, id, href, subjects, description, cutoff FROM items")
+def s14_listing_items(spark, sf_dir):
+    """S14 + J8: numbered entries with their descriptions."""
+    return listing.listing_items(listing_pages(spark, sf_dir)).drop("pos")
+
+
+@register("f2_listing_items", with_(ITEMS_SQL) + "SELECT page_id, item_no, id FROM items WHERE item_no < cutoff AND subjects LIKE '%(de)'")
+def f2_listing_items(spark, sf_dir):
+    """F2 + F1: entries before the last section, with a targeted code."""
+    items = listing.listing_items(listing_pages(spark, sf_dir))
+    return listing.targeted(listing.cut(items), ["de"]).select("page_id", "item_no", "id")
+
+
 @register("f18_date_ceiling", with_(PAPERS) + """
 , req AS (SELECT CAST(d AS DATE) AS date FROM range(DATE '2024-01-20', DATE '2024-02-10', INTERVAL 1 DAY) t(d))
 SELECT strftime(date, '%Y-%m-%d') AS date FROM req WHERE date <= (SELECT max(date) FROM papers)""")

@@ -2,6 +2,8 @@
 O5-O7, J6, P13, P17)."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -9,6 +11,7 @@ from ..functions import text as tf
 from ..operators import trends
 from ..session import apply_confs
 from ..sources.tables import load_table, papers_view
+from ..streaming import feed_stream as fs
 from .oracle_views import PAPERS, with_
 from .registry import register
 
@@ -144,3 +147,58 @@ SELECT keyword, count, CAST(rank AS BIGINT) AS rank, CAST(greatest(12, least(50,
 FROM top""")
 def o5_top_keywords_range(spark, sf_dir):
     return _stats(spark, sf_dir)["cloud"]
+
+
+# --- C4 on a feed with language variants (S5) --------------------------------
+STATS_LANGUAGES = ("de", "en")         # preferred, default
+VARIANT_SQL = CANDS_SQL.replace("FROM papers)", """FROM (
+  SELECT * FROM papers SEMI JOIN (SELECT date, language FROM (SELECT DISTINCT date, language FROM papers)
+    QUALIFY row_number() OVER (PARTITION BY date ORDER BY CASE WHEN language = '%s' THEN 0 WHEN language = '%s' THEN 1 ELSE 2 END, language) = 1) c
+  USING (date, language)))""" % STATS_LANGUAGES, 1)
+assert VARIANT_SQL != CANDS_SQL
+
+
+def variant_statistics(spark, sf_dir):
+    """Keyword statistics over a published feed, each day in one language."""
+    from ..session import checkpoint_dir
+    from ..sources import feed
+    path = f"{checkpoint_dir(spark).rstrip('/')}/variants-{uuid.uuid4().hex}"
+    papers = _papers(spark, sf_dir).select("id", "title", "summary", "date", "language")
+    papers.write.partitionBy("date", "language").parquet(path)
+    return trends.keyword_statistics(spark.read.parquet(path), preferred=STATS_LANGUAGES[0], default=STATS_LANGUAGES[1],
+                                     listed=feed.slices(feed.list_files(spark, path)))
+
+
+@register("c4_variant_day_counts", VARIANT_SQL + """
+SELECT strftime(date, '%Y-%m-%d') AS date, keyword, count(*) AS count FROM kw GROUP BY ALL""")
+def c4_variant_day_counts(spark, sf_dir):
+    c = variant_statistics(spark, sf_dir)["day_counts"]
+    return c.select(tf.iso_date("date").alias("date"), "keyword", "count")
+
+
+# --- T3 on titles ---------------------------------------------------------------
+def _paper_stream(spark, sf_dir):
+    """(stream of all papers, folder for its outputs)."""
+    from ..session import checkpoint_dir
+    base = f"{checkpoint_dir(spark).rstrip('/')}/t3-{uuid.uuid4().hex}"
+    papers = _papers(spark, sf_dir).select("id", "title", "date", "primary_category")
+    papers.write.parquet(f"{base}/src")
+    return spark.readStream.schema(papers.schema).parquet(f"{base}/src"), base
+
+
+@register("t3_stream_keyword_trends", CANDS_SQL + """
+SELECT strftime(date, '%Y-%m-%d') AS date, keyword, count(*) AS n FROM kw GROUP BY ALL""")
+def t3_stream_keyword_trends(spark, sf_dir):
+    """Keywords per day as a stream; equals the batch counts of all days."""
+    stream, base = _paper_stream(spark, sf_dir)
+    fs.run_keyword_trends(stream, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return fs.stored_daily_counts(spark, f"{base}/out", "keyword").select(tf.iso_date("date").alias("date"), "keyword", "n")
+
+
+@register("t3_stream_category_counts", with_(PAPERS) + """
+SELECT strftime(date, '%Y-%m-%d') AS date, primary_category, count(*) AS n FROM papers
+WHERE primary_category IS NOT NULL AND primary_category <> '' GROUP BY ALL""")
+def t3_stream_category_counts(spark, sf_dir):
+    stream, base = _paper_stream(spark, sf_dir)
+    fs.run_category_counts(stream, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return fs.stored_daily_counts(spark, f"{base}/out", "primary_category").select(tf.iso_date("date").alias("date"), "primary_category", "n")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import match
-from ..sources import feed
+from ..sources.feed import in_language
 
 
 def as_terms(terms: Sequence[str] | str | None) -> list[str]:
@@ -18,17 +18,6 @@ def as_terms(terms: Sequence[str] | str | None) -> list[str]:
     return [t for t in terms or [] if t]
 
 
-def in_language(papers: DataFrame, preferred: str | None, default: str | None = None) -> DataFrame:
-    """S5 before any query: of each date only the chosen language variant (no
-    choice without a preference or a ``language`` column)."""
-    if preferred is None or "language" not in papers.columns:
-        return papers
-    pos = F.col("listing_pos") if "listing_pos" in papers.columns else F.lit(0)
-    avail = papers.groupBy("date", "language").agg(F.min(pos).alias("listing_pos"))
-    chosen = feed.choose_language(avail, preferred, default or preferred)
-    return papers.join(chosen, ["date", "language"], "left_semi")
-
-
 def search_request(papers: DataFrame, category: str | None = fixed.ALL_CATEGORIES,
                    keywords: Sequence[str] | str | None = None, authors: Sequence[str] | str | None = None,
                    date_from: str | None = None, date_to: str | None = None,

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def in_language(papers: DataFrame, preferred: str | None, default: str | None = None, listed: DataFrame | None = None) -> DataFrame:
+    """S5 on rows: of each date only the chosen language variant (all rows
+    where nothing is preferred or no language is known).
+
+    ``listed`` (``slices`` of the feed's listing) tells the variants without a
+    look at the rows; the join with the chosen (date, language) pairs then
+    prunes a partitioned feed's folders while it runs, so the other variants'
+    files are never opened."""
+    if preferred is None or "language" not in papers.columns:
+        return papers
+    if listed is None:
+        pos = F.col("listing_pos") if "listing_pos" in papers.columns else F.lit(0)
+        listed = papers.groupBy("date", "language").agg(F.min(pos).alias("listing_pos"))
+    return papers.join(choose_language(listed, preferred, default or preferred), ["date", "language"], "left_semi")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file (a day without rows is a file too)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+
 def read_day(spark: SparkSession, path: str, day: str, **kw) -> DataFrame:
     """One day; an absent or empty day is simply zero rows."""
     if not path_exists(spark, path):
@@ -144,14 +166,88 @@ def write_feed(df: DataFrame, path: str, fmt: str = "json") -> None:
     """Replace exactly the (date, language) slices present in ``df``.
 
     Dynamic partition overwrite: other days and languages stay untouched, and
-    a re-run of the same day is idempotent.
+    a re-run of the same day is idempotent.  The session's own setting is
+    neither read nor changed.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parts = [c for c in ("date", "language") if c in df.columns]
-    df.write.mode("overwrite").partitionBy(*parts).format(fmt).save(path)
-
-
-def manifest(df: DataFrame) -> DataFrame:
-    """Sorted list of the data files behind a feed (from file metadata)."""
-    return df.select(F.col("_metadata.file_path").alias("file")).distinct().orderBy("file")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).format(fmt).save(path)
+
+
+def _day_folders(spark: SparkSession, path: str, date_from: str | None, date_to: str | None) -> list[str]:
+    """The ``date=`` folders of a feed within a range, from one listing of its top folder."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(top)]
+    days = [n for n in names if n.startswith("date=") and (date_from or "") <= n[len("date="):] <= (date_to or "9999")]
+    return [f"{path.rstrip('/')}/{n}" for n in sorted(days)]
+
+
+def list_files(spark: SparkSession, path: str, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """The files of a feed folder, told from its listing alone: ``file_name`` and
+    the folder keys (``date``, ``language``) where the layout has them.
+
+    No file is opened and an empty file is a file: the names come from the
+    engine's file index, which lists folders in parallel where they are many (a
+    scan, even one of file metadata, passes over empty files).  A date range
+    leaves out the folders of other days before they are listed."""
+    ranged = date_from is not None or date_to is not None
+    roots = _day_folders(spark, path, date_from, date_to) if ranged else [path]
+    names = spark.read.format("binaryFile").option("basePath", path).load(roots).inputFiles() if roots else []
+    files = spark.createDataFrame([(n,) for n in names], "path string")
+    # Listed paths are percent-encoded; a plus sign in them is itself.
+    told = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    keys = ["date", "language"] if ranged or any("/date=" in n for n in names) else []
+    values = [F.nullif(F.regexp_extract(told, f"/{k}=([^/]+)/", 1), F.lit("")) for k in keys]
+    return files.select(F.substring_index(told, "/", -1).alias("file_name"),
+                        *[(F.try_to_date(v) if k == "date" else F.url_decode(v)).alias(k) for k, v in zip(keys, values)])
+
+
+def slices(files: DataFrame, pattern: str = fixed.ENRICHED_FILE_PATTERN, languages: Sequence[str] | None = None) -> DataFrame:
+    """The ``(date, language)`` slices behind a file listing with
+    ``listing_pos``, the slice's place in the sorted listing.
+
+    Folder keys tell a slice where the layout has them, else the file's name
+    does (``languages`` are then the ones that count); contents never do, so an
+    empty file makes its slice available."""
+    if "date" in files.columns:
+        found = files.select("date", "language")
+        name = slice_name("date", "language")
+    else:
+        wanted = list(languages or fixed.LANGUAGES)
+        found = files.select(F.try_to_date(F.regexp_extract("file_name", pattern, 1)).alias("date"),
+                             F.regexp_extract("file_name", pattern, 2).alias("language"))
+        found = found.where(F.col("date").isNotNull())
+        languages, name = wanted, slice_name("date", "language")
+    if languages is not None:
+        found = found.where(F.col("language").isin(*languages))
+    # One row a slice: a calendar-bounded table, so its numbering is one small task.
+    w = Window.orderBy("name")
+    one = found.where(F.col("language").isNotNull()).distinct().withColumn("name", name)
+    return one.select("date", "language", (F.row_number().over(w) - 1).cast("long").alias("listing_pos"))
+
+
+def slice_name(date: str, language: str) -> Column:
+    """The bare file name of a slice, as listings have it."""
+    return F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(fixed.ENRICHED_FILE_MIDDLE), F.col(language), F.lit(fixed.FEED_FILE_SUFFIX))
+
+
+def available(spark: SparkSession, path: str, **kw) -> DataFrame:
+    """S4 + A9: ``(date, languages)`` of a feed folder by its listing, newest first."""
+    return discover(slices(list_files(spark, path), **kw))
+
+
+def manifest(files: DataFrame) -> DataFrame:
+    """Sorted bare names of a feed's data files.
+
+    A flat folder's files are named one by one; a partitioned feed's slices are
+    named as the one file that each stands for, whatever part files it has."""
+    if "date" in files.columns:
+        day = F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit(fixed.FEED_FILE_SUFFIX))
+        names = files.select(F.coalesce(slice_name("date", "language"), day).alias("file")).where(F.col("file").isNotNull())
+    else:
+        names = files.where(F.col("file_name").endswith(fixed.FEED_FILE_SUFFIX)).select(F.col("file_name").alias("file"))
+    return names.distinct().orderBy("file")
+
+
+def write_manifest(files: DataFrame, path: str) -> None:
+    """S11 as one sorted text (a row a data file: a calendar-bounded list)."""
+    manifest(files).coalesce(1).sortWithinPartitions("file").write.mode("overwrite").text(path)

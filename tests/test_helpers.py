@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from quire.functions import papers as pf
-from quire.operators import dedup, infer, trends
+from quire.operators import dedup, trends
 from quire.sources import feed
 from quire.streaming import feed_stream as fs
 
@@ -35,22 +35,6 @@ def test_tagger_candidates(spark):
     assert got == ["sensing", "deep tactile sensing", "robot hands"]
 
 
-def test_resume_only_missing_ids(spark, tmpdir_path):
-    df = spark.createDataFrame([("1", "a"), ("2", "zz"), ("3", "c")], "id string, p string")
-    calls = []
-
-    def fn(x):
-        if x == "zz":
-            raise RuntimeError("down")
-        return x.upper()
-    path = os.path.join(tmpdir_path, "results")
-    res = infer.save_results(infer.batch_call(df, fn, "p", retries=0, sleep=lambda s: None), path)
-    assert {r.id for r in res.where("status = 'ok'").collect()} == {"1", "3"}
-    todo = infer.pending(df, res)
-    assert [r.id for r in todo.collect()] == ["2"]
-    calls.append(1)
-
-
 def test_null_id_quarantine_and_newest_first(spark):
     f = spark.createDataFrame([("a", dt.date(2026, 1, 1)), (None, dt.date(2026, 1, 3))], "id string, date date")
     ok, bad = dedup.quarantine_null_ids(f)

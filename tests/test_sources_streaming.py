@@ -30,8 +30,43 @@ def test_flat_files_languages_broken_lines(spark, tmpdir_path):
     rows = {r.id: (r.language, r.categories) for r in feed.normalize(good).collect()}
     assert rows == {"2601": ("Chinese", ["cs.CV"]), "2602": ("Chinese", ["cs.RO"]), "2603": ("English", ["cs.CL", "cs.AI"])}
     assert [r.line for r in bad.collect()] == ["{broken"]
-    d = {r.date: r.languages for r in feed.discover(good).collect()}
-    assert d == {dt.date(2026, 1, 1): ["Chinese", "English"]}
+    # Files decide by their names, the empty one too; other names do not count.
+    _write(tmpdir_path, "2026-01-03.jsonl", [_paper(5, ["cs.LG"])])
+    _write(tmpdir_path, "notes.txt", ["x"])
+    files = feed.list_files(spark, tmpdir_path)
+    assert [(r.date, r.languages) for r in feed.discover(feed.slices(files)).collect()] == [
+        (dt.date(2026, 1, 2), ["English"]), (dt.date(2026, 1, 1), ["Chinese", "English"])]
+    assert [r.file for r in feed.manifest(files).collect()] == [
+        "2026-01-01_AI_enhanced_Chinese.jsonl", "2026-01-01_AI_enhanced_English.jsonl", "2026-01-02_AI_enhanced_English.jsonl",
+        "2026-01-02_AI_enhanced_French.jsonl", "2026-01-03.jsonl"]
+
+
+def test_discovery_reads_no_file_and_prunes_folders(spark, tmpdir_path):
+    tmpdir_path = os.path.join(tmpdir_path, "feed")
+    days = [dt.date(2026, 1, d) for d in range(1, 6)]
+    rows = spark.createDataFrame([("x" * 50, d, lang) for d in days for lang in ("English", "Chinese")], "value string, date date, language string")
+    rows.write.partitionBy("date", "language").text(tmpdir_path)
+    feed.touch(spark, f"{tmpdir_path}/date=2026-01-09/language=English/part-0.txt")
+    files = feed.list_files(spark, tmpdir_path, "2026-01-04", "2026-01-31")
+    assert {r.date for r in feed.discover(feed.slices(files)).collect()} == {dt.date(2026, 1, 4), dt.date(2026, 1, 5), dt.date(2026, 1, 9)}
+    assert feed.discover(feed.slices(files)).first().languages == ["English"]
+    plan = feed.manifest(files)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and files.count() == 5                    # two slices a day and the empty one
+    assert [r.file for r in feed.manifest(files).collect()][-1] == "2026-01-09_AI_enhanced_English.jsonl"
+
+
+def test_chosen_language_prunes_while_running(spark, tmpdir_path):
+    from quire.operators import trends
+    tmpdir_path = os.path.join(tmpdir_path, "feed")
+    d1, d2 = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    rows = [("1", "robot grasping", d1, "English"), ("1", "Roboter greifen", d1, "German"), ("2", "robot walking", d2, "German"),
+            ("3", "robot vision", d2, "French")]
+    spark.createDataFrame(rows, "id string, title string, date date, language string").write.partitionBy("date", "language").parquet(tmpdir_path)
+    papers, listed = spark.read.parquet(tmpdir_path), feed.slices(feed.list_files(spark, tmpdir_path))
+    stats = trends.keyword_statistics(papers, preferred="English", default="German", listed=listed)
+    assert sorted((r.id, r.keyword) for r in stats["keywords"].collect()) == [("1", "robot grasping"), ("2", "robot walking")]
+    plan = feed.in_language(papers, "English", "German", listed)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
 
 
 def test_language_choice(spark):
@@ -92,18 +127,44 @@ def test_stream_exact_dedup_equals_fold(spark, tmpdir_path):
     assert got == want
 
 
-def test_stream_state_machine_one_day_per_trigger(spark, tmpdir_path):
+def test_stream_state_machine_with_timers(spark, tmpdir_path):
+    """One day per trigger: equals the fold; null ids all pass; an id's state ends with its look-back."""
     src = os.path.join(tmpdir_path, "src")
-    df = _daily_files(spark, src, _rows())
-    stream = fs.read_feed_stream(spark, src, SCHEMA, PART, max_files=1)
-    out = fs.dedup_with_state(stream)
-    q = (out.writeStream.format("parquet").option("path", os.path.join(tmpdir_path, "out"))
-         .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    rows = [*_rows(), (None, dt.date(2026, 1, 2), 300), (None, dt.date(2026, 1, 3), 301), ("late", dt.date(2026, 1, 20), 400)]
+    df = _daily_files(spark, src, rows)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, fs.STATE_STORE)
+    try:
+        stream = fs.read_feed_stream(spark, src, SCHEMA, PART, max_files=1)
+        out = fs.dedup_with_state(stream)
+        q = (out.writeStream.format("parquet").option("path", os.path.join(tmpdir_path, "out"))
+             .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
     got = sorted(r.seq for r in spark.read.parquet(os.path.join(tmpdir_path, "out")).collect())
     want = sorted(r.seq for r in dedup.backfill_dedup(df).collect())
-    assert got == want
+    assert got == want and {300, 301} <= set(got)
+    held = spark.read.format("statestore").option("stateVarName", "last_kept").load(os.path.join(tmpdir_path, "ck"))
+    assert sorted(r.key.id for r in held.collect()) == ["a", "late"]        # b's and c's look-backs are over
+
+
+def test_lookback_state_stays_compact(spark, tmpdir_path):
+    src, store, ck = (os.path.join(tmpdir_path, x) for x in ("src", "store", "ck"))
+    df = _daily_files(spark, src, [*_rows(), (None, dt.date(2026, 1, 2), 300), (None, dt.date(2026, 1, 3), 301)])
+    stream = fs.read_feed_stream(spark, src, SCHEMA, PART, max_files=1)
+    fs.run_lookback_dedup(stream, store, ck).awaitTermination()
+    assert sorted(r.seq for r in spark.read.parquet(store).collect()) == sorted(r.seq for r in dedup.backfill_dedup(df).collect())
+    versions = sorted(os.listdir(ck + "-state"))
+    assert len(versions) == 2                                               # the newest and the one a replay needs
+    newest = max(versions, key=lambda v: int(v.partition("=")[2]))
+    assert [(r.id, r.last_kept) for r in spark.read.parquet(os.path.join(ck + "-state", newest)).collect()] == [("a", dt.date(2026, 1, 17))]
+    # A replayed batch reads the version before its own and replaces its own output.
+    last = int(newest.partition("=")[2])
+    fs.dedup_batch_writer(store, ck + "-state")(df.where("date = '2026-01-20'"), last)
+    assert sorted(r.seq for r in spark.read.parquet(store).collect()) == sorted(r.seq for r in dedup.backfill_dedup(df).collect())
 
 
 def test_incremental_ingest_reads_only_new_files(spark, tmpdir_path):
@@ -127,18 +188,83 @@ def test_absent_day_is_empty(spark, tmpdir_path):
     assert df.count() == 0
 
 
-def test_split_sink_and_empty_guard(spark, tmpdir_path):
+def _classified(spark, rows):
     from quire.operators import topic
-    rows = [(1, json.dumps({"relevant": True, "confidence": 0.9}), "ok", dt.date(2026, 1, 1)),
-            (2, json.dumps({"relevant": False, "confidence": 0.9}), "ok", dt.date(2026, 1, 1))]
-    df = spark.createDataFrame(rows, "i int, response string, status string, date date")
-    kept_p, excl_p = os.path.join(tmpdir_path, "kept"), os.path.join(tmpdir_path, "excl")
-    assert topic.write_split(topic.classify(df), kept_p, excl_p) == topic.STATUS_OK
-    assert [r.i for r in spark.read.parquet(kept_p).collect()] == [1]
-    assert [r.i for r in spark.read.parquet(excl_p).collect()] == [2]
-    none_kept = df.where("i = 2")
-    assert topic.write_split(topic.classify(none_kept), kept_p + "2", excl_p + "2") == topic.STATUS_EMPTY
-    assert not os.path.exists(kept_p + "2")              # input left unchanged, nothing written
+    return topic.classify(spark.createDataFrame(rows, "i int, response string, status string, date date"))
+
+
+YES, NO = json.dumps({"relevant": True, "confidence": 0.9}), json.dumps({"relevant": False, "confidence": 0.9})
+
+
+def _pair(spark, root):
+    from quire.operators import topic
+    out = []
+    for name in ("kept", "excluded"):
+        rows = topic.read_split(spark, root, name)
+        out.append(sorted(r.i for r in rows.collect()) if rows is not None else None)
+    return out
+
+
+def test_split_sink_and_empty_guard(spark, tmpdir_path):
+    from quire.operators import topic, versions
+    d1, d2 = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    root = os.path.join(tmpdir_path, "split")
+    assert _pair(spark, root) == [None, None]
+    assert topic.write_split(_classified(spark, [(1, YES, "ok", d1), (2, NO, "ok", d1), (3, YES, "ok", d2)]), root) == topic.STATUS_OK
+    assert _pair(spark, root) == [[1, 3], [2]]
+    assert topic.write_split(_classified(spark, [(9, NO, "ok", d1)]), root) == topic.STATUS_EMPTY
+    assert _pair(spark, root) == [[1, 3], [2]]                       # input left unchanged, nothing written
+    assert topic.write_split(_classified(spark, [(4, YES, "ok", d1), (5, NO, "ok", d2), (6, YES, "ok", dt.date(2026, 1, 3))]), root) == 0
+    assert _pair(spark, root) == [[4, 6], [5]]                       # both days are the new run's, in both outputs
+    versions.sweep(spark, root)
+    assert _pair(spark, root) == [[4, 6], [5]] and len(os.listdir(os.path.join(root, "versions"))) == 1
+
+
+def test_failure_between_the_writes_leaves_the_old_pair(spark, tmpdir_path, monkeypatch):
+    from quire.operators import topic, versions
+    d1 = dt.date(2026, 1, 1)
+    root = os.path.join(tmpdir_path, "split")
+    topic.write_split(_classified(spark, [(1, YES, "ok", d1), (2, NO, "ok", d1)]), root)
+    real = versions.folder
+
+    def broken(root, version, name):
+        if name == "excluded":
+            raise OSError("no space left")
+        return real(root, version, name)
+    monkeypatch.setattr(versions, "folder", broken)
+    try:
+        topic.write_split(_classified(spark, [(3, YES, "ok", d1), (4, NO, "ok", d1)]), root)
+        raise AssertionError("the second write should have failed")
+    except OSError:
+        pass
+    monkeypatch.undo()
+    assert _pair(spark, root) == [[1], [2]]
+    monkeypatch.setattr(versions, "_pointers", lambda spark, root: [])      # a run that does not see the other's pointer
+    try:
+        versions.switch(spark, root, {"2026-01-01": "x"})
+        raise AssertionError("the number is taken")
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    assert _pair(spark, root) == [[1], [2]]
+
+
+def test_ingest_reads_once_into_two_sinks(spark, tmpdir_path):
+    src, ck, rows, bad = (os.path.join(tmpdir_path, x) for x in ("src", "ck", "rows", "bad"))
+    os.makedirs(src)
+    _write(src, "a.jsonl", [_paper(1, ["cs.CV"]), '{"id": "cut', "", _paper(2, ["cs.CV"])])
+    fs.run_ingest(fs.read_lines_stream(spark, src), rows, bad, ck).awaitTermination()
+    _write(src, "b.jsonl", [_paper(3, ["cs.RO"]), "not json"])
+    q = fs.run_ingest(fs.read_lines_stream(spark, src), rows, bad, ck)
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) <= 2            # only the new file, read once
+    assert sorted(r.id for r in spark.read.parquet(rows).collect()) == ["p1", "p2", "p3"] or spark.read.parquet(rows).count() == 3
+    assert sorted((r.line, os.path.basename(r.file)) for r in spark.read.parquet(bad).collect()) == [("not json", "b.jsonl"), ('{"id": "cut', "a.jsonl")]
+    write = fs.ingest_writer(rows, bad)
+    again = spark.createDataFrame([("not json", "b.jsonl")], "value string, file string")
+    write(again, 7)
+    write(again, 7)                                                         # a replay replaces its own output
+    assert spark.read.parquet(bad).where("batch = 7").count() == 1
 
 
 def test_publish_per_batch(spark, tmpdir_path):
