@@ -113,6 +113,12 @@ def trend_grid(day_counts: DataFrame, top: DataFrame, dates: DataFrame, k: int =
             .select("keyword", "date", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 
+def chronological(grid: DataFrame) -> DataFrame:
+    """Each keyword's series in date order (a sort for presentation: a grid
+    has at most ``k`` x dates rows)."""
+    return grid.orderBy("keyword", "date")
+
+
 def trend_extent(grid: DataFrame) -> DataFrame:
     """A10: peak count and date extent per keyword series."""
     return grid.groupBy("keyword").agg(F.max("count").alias("peak"), F.min("date").alias("first_date"),

@@ -39,4 +39,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from . import checked_search, checked_dedup, checked_trends, checked_digest, checked_json  # noqa: F401
-    from . import checked_sources, checked_fill, checked_infer, checked_daily  # noqa: F401
+    from . import checked_sources, checked_fill, checked_infer, checked_daily, checked_view  # noqa: F401

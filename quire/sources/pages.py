@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.papers import parenthesised
+from ..functions.papers import abs_url, parenthesised, pdf_url
 from ..functions.text import clean_pieces, strip_descriptor
 
 # --- fixed values: HTML entities decoded in extracted text -----------------
@@ -152,9 +152,10 @@ def _by_class(tag: str, cls: str) -> str:
 
 
 def abstract_record(pages: DataFrame, fallback_categories: Column | None = None) -> DataFrame:
-    """S15 for abstract pages: id (last part of the URL), title, authors in
-    order, abstract, comment and categories (codes in parentheses of the
-    subjects cell, else ``fallback_categories`` from the listing)."""
+    """S15 for abstract pages: id (last part of the URL), the links derived from
+    it (P1), title, authors in order, abstract, comment and categories (codes
+    in parentheses of the subjects cell, else ``fallback_categories`` from the
+    listing)."""
     h = F.col("html")
     authors_html = F.regexp_extract(h, _by_class("div", "authors"), 1)
     names = F.regexp_extract_all(authors_html, F.lit(r"(?s)<a[^>]*>(.*?)</a>"), 1)
@@ -166,8 +167,9 @@ def abstract_record(pages: DataFrame, fallback_categories: Column | None = None)
     cats = subject_codes(subjects)
     if fallback_categories is not None:
         cats = F.when(F.size(cats) > 0, cats).otherwise(fallback_categories)
+    page_id = F.element_at(F.split(F.regexp_replace("url", r"/+$", ""), "/"), -1)
     return pages.select(
-        F.element_at(F.split(F.regexp_replace("url", r"/+$", ""), "/"), -1).alias("id"),
+        page_id.alias("id"), pdf_url(page_id).alias("pdf"), abs_url(page_id).alias("abs"),
         strip_descriptor(text_of(F.regexp_extract(h, _by_class("h1", "title"), 1)), "Title:").alias("title"),
         authors.alias("authors"),
         strip_descriptor(text_of(F.regexp_extract(h, _by_class("blockquote", "abstract"), 1)), "Abstract:")
