@@ -17,6 +17,7 @@ _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 _STEP = _rng.integers(1, 1 << 63, 16, dtype=np.uint64) * U(2) + U(1)
 _pow = np.ones(1, U)
 _inv = np.ones(1, U)
+KEPT_POWERS = 1 << 20
 
 #: ASCII upper case to lower case, other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -43,13 +44,17 @@ def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, 0 to ``n``; a worker keeps them up
+    to ``KEPT_POWERS``, those for a longer text go with it."""
     global _pow, _inv
-    if len(_pow) < n + 1:
-        size = max(n + 1, 1 << 16)
-        with np.errstate(over="ignore"):
-            _pow = np.concatenate([np.ones(1, U), np.cumprod(np.full(size, _P, U))])
-            _inv = np.concatenate([np.ones(1, U), np.cumprod(np.full(size, _PINV, U))])
-    return _pow, _inv
+    if len(_pow) > n:
+        return _pow, _inv
+    size = max(n, min(KEPT_POWERS, 2 * n))
+    with np.errstate(over="ignore"):
+        power, inverse = (np.concatenate([np.ones(1, U), np.cumprod(np.full(size, x, U))]) for x in (_P, _PINV))
+    if size <= KEPT_POWERS:
+        _pow, _inv = power, inverse
+    return power, inverse
 
 
 def mix(x: np.ndarray) -> np.ndarray:

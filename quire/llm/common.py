@@ -13,8 +13,9 @@ from ..session import apply_confs, checkpoint_dir, materialize  # noqa: F401
 #: Rows of text that one Arrow batch may hold: bounds a Python worker's memory
 #: whatever the texts' length.
 ARROW_ROWS = 256
-#: Bytes of text that the vectorised helpers take at a time.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text that the vectorised helpers take at a time; they need up to
+#: some 100 bytes of memory for each.
+CHUNK_BYTES = 512 << 10
 #: Rows up to which a narrow (few numbers a row) table may be broadcast.
 BROADCAST_ROWS = 400_000
 

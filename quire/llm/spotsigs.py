@@ -35,6 +35,9 @@ el los las una uno unos y o del que es son por para con no se su al lo como más
 """.split())
 CHAIN = 2
 BITS = 48                     # of a signature
+#: Texts taken at a time, in bytes: each stands in memory as itself, edited,
+#: and as two fingerprints.
+CHUNK_BYTES = 256 << 10
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -170,7 +173,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry: list[tuple] = []
-        for part in chunked(batches, "text", 2 << 20):
+        for part in chunked(batches, "text", CHUNK_BYTES):
             cols = [part.column(c).to_pylist() for c in ("doc_id", "text", "range", "extra")]
             held = carry + [(i, t or "", r, e) for i, t, r, e in zip(*cols)]
             if (out := rows_of(held)) is not None:
