@@ -36,10 +36,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
     """``df`` (narrow, already materialised) with a broadcast hint where its
-    counted rows are within the bound; beyond it the join stays a shuffle join."""
-    return F.broadcast(df) if df.count() <= limit else df
+    counted rows are within the bound; beyond it the join stays a shuffle join.
+    Rows that hold lists are counted by ``weight``, their length."""
+    rows = df.count() if weight is None else df.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(df) if rows <= limit else df
 
 
 def free_shuffles(spark: SparkSession) -> None:

@@ -7,6 +7,7 @@ pivot, and members that are already in one component need no comparison.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -42,7 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
     return node.unionByName(node.select(F.col("component").alias("node"), "component").distinct())
 
 
-def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame], pair_filter=None, rounds: int = 2) -> DataFrame:
+def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame], pair_filter=None, rounds: int = 2, size: str | None = None) -> DataFrame:
     """entries (key, node, rank, ...) -> edges (a, b) whose components are
     those of all verified pairs that share a key.
 
@@ -54,7 +55,9 @@ def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
     with it, and as all of its pairs are then decided it leaves the key.
     Pairs inside one component are never compared.  What is left after the
     rounds is compared across components by a join (split by the engine where
-    a key is large), so no link is lost.
+    a key is large), so no link is lost.  ``size`` names a column whose values
+    have a ratio of 0.8 or more in every linked pair: the join is then by key
+    and size band, each member meeting its own band and the two beside it.
     """
     spark = entries.sparkSession
     extra = [c for c in entries.columns if c not in ("key", "node")]
@@ -69,8 +72,12 @@ def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
             if i:
                 pairs = pairs.where("comp <> pcomp")
         else:
-            r = left.select("key", *[F.col(c).alias(f"r_{c}") for c in ["node", *extra]])
-            pairs = left.select("key", *[F.col(c).alias(f"l_{c}") for c in ["node", *extra]]).join(r, "key").where("l_node < r_node and l_comp <> r_comp")
+            # Values whose ratio is 0.8 lie one band apart at most (a little wider, for rounding).
+            band = F.floor(F.log(F.greatest(F.col(size), F.lit(1))) / math.log(1.26)) if size else F.lit(0).cast("long")
+            beside = F.explode(F.array(band - 1, band, band + 1)) if size else band
+            r = left.select("key", beside.alias("band"), *[F.col(c).alias(f"r_{c}") for c in ["node", *extra]])
+            pairs = (left.select("key", band.alias("band"), *[F.col(c).alias(f"l_{c}") for c in ["node", *extra]])
+                     .join(r, ["key", "band"]).where("l_node < r_node and l_comp <> r_comp"))
         if pair_filter is not None:
             pairs = pairs.where(pair_filter)
         pairs = materialize(pairs.select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct())

@@ -1,46 +1,57 @@
 """Fuzzy line dedup in DataFrame operations only.
 
 Every line is normalised to its words (lower case, split at ASCII signs and
-blanks).  A line's SimHash has 63 bits: its words' hash bits are counted, three
-counters of 21 bits to a long, so 21 sums give all of them and one comparison
-a sum decides three bits.  The bits form two blocks (31 and 32); SimHashes that
-differ in at most one bit share a block (pigeonhole), and all lines that share
-a block are candidates.  Candidates whose edit similarity (1 - Levenshtein /
-longer length, on normalised lines) reaches the threshold link; of each
-connected group of lines the first occurrence by (doc_id, line) stays and the
-others go.
+blanks).  Its SimHash is made in blocks: each content word (common words of the
+corpus's languages vote only where a line has no other) votes in the one block
+that its own hash names, some four words to a block, so a changed word touches
+the block that it leaves and the one that it enters and no other.  Two lines
+whose changes touch fewer than all blocks have an equal one (pigeonhole), and
+all lines that share a block are candidates.  As blocks meet only when they are
+equal, a block's votes are taken as one hash of the words that vote in it.
+Blocks are a power of two by the line's content words; a line near the border of
+two powers has both, so lines of slightly different length still meet.
+
+Candidates whose edit similarity (1 - Levenshtein / longer length, on normalised
+lines) reaches the threshold link; of each connected group of lines the first
+occurrence by (doc_id, line) stays and the others go.
 
 Equal lines are one node, so copies are never paired; inside a block value
 members are compared with pivots across groups only.  Only line numbers and
 hashes are shuffled; line texts are fetched for candidates alone.
 
+Not found are linked lines whose changes touch every block: the tests measure
+the share against all pairs of lines.
+
 Defined results: a null text has one empty line and becomes an empty text;
 lines of fewer than ``min_words`` words are never removed and never keep
 another line from staying (the query and the pipeline take ``ALL_LINES``: only
 lines without a word stay as they are); repeated rows
 (equal doc_id and text) are one document, each row losing the same lines; a
-null doc_id comes first in the order; a line of a million words or more is
-matched as a whole only; other columns pass through
-``dedup_lines`` unchanged but for ``n_chars``, which follows the text; an empty
-table gives no row.
+null doc_id comes first in the order; lines of any length are treated alike;
+other columns pass through ``dedup_lines`` unchanged but for ``n_chars``, which
+follows the text; an empty table gives no row.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, free_shuffles, materialize, small
 from .components import components, linked_groups
+from .spotsigs import COMMON
 
 MIN_WORDS = 5
 ALL_LINES = 1                # as min_words: every line that has a word
 SIMILARITY = 0.8
-BLOCK_BITS = (31, 32)
-SUMS = 21
+#: Content words a block (about), and the blocks of lines with fewer than
+#: ``SHORT`` content words and of others at least (as powers of two).
+BLOCK_WORDS = 4
+SHORT, SHORT_BITS, LEAST_BITS = 12, 2, 3
+#: A block of fewer votes is no candidate's reason, but in short lines any is.
+VOTES = 2
+#: Lines this near (by ratio of content words) to the border of two powers have both.
+BORDER = 1.06
 PAIR_ROWS = 1_500_000        # pairs up to which they are broadcast
-MAX_WORDS = 1 << 20          # of a line that the counters hold
-#: The lowest bit of each of a sum's three lanes.
-_LANES = 1 | 1 << 21 | 1 << 42
 _SIGNS = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 
 
@@ -60,38 +71,60 @@ def _lines(rows: DataFrame) -> DataFrame:
     return rows.select("_doc", "_key", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
 
 
-def simhashes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_key, _pos, _doc, node, n, simhash) of every line of enough words; node
-    is the normalised line's hash."""
-    lines = (_lines(_identity(docs)).select("_doc", "_key", "_pos", words_of(F.col("_line")).alias("_words"))
-             .where(F.size("_words") >= min_words))
-    # A line that would overflow the counters is matched as a whole only (its hash is its SimHash).
-    counted = F.when(F.size("_words") < MAX_WORDS, F.col("_words")).otherwise(F.array(F.lit("")))
-    # The line's hash is made below the explode, once a line.
-    lines = lines.select("_doc", "_key", "_pos", F.xxhash64("_words").alias("node"), counted.alias("_words"))
-    words = (lines.select("_doc", "_key", "_pos", "node", F.explode("_words").alias("w"))
-             .select("_doc", "_key", "_pos", "node", F.xxhash64("w").alias("h")))
-    counted = words.groupBy("_key", "_pos").agg(
-        F.min("_doc").alias("_doc"), F.min("node").alias("node"), F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.expr(f"shiftrightunsigned(h, {i}) & {_LANES}L")).alias(f"s{i}") for i in range(SUMS)])
-    # A lane holds a count c <= n; 2 c + (2 ** 20 - n - 1) has bit 20 set where 2 c > n.
-    bits = " | ".join(f"shiftleft(shiftrightunsigned(2 * s{i} + bias, 20) & {_LANES}L, {i})" for i in range(SUMS))
-    return (counted.withColumn("bias", F.expr(f"({1 << 20} - n - 1) * {_LANES}L"))
-            .select("_key", "_pos", "_doc", "node", "n", F.when(F.col("n") == 1, F.col("node")).otherwise(F.expr(bits)).alias("simhash")))
-
-
-def blocks_of(simhash: Column) -> list[Column]:
-    """The SimHash's blocks."""
-    low = (1 << BLOCK_BITS[0]) - 1
-    return [simhash.bitwiseAND(F.lit(low)), F.shiftrightunsigned(simhash, BLOCK_BITS[0])]
-
-
-def line_links(docs: DataFrame, occurrences: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def _normal_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """(_doc, _key, _pos, _words) of every line of enough words."""
+    return (_lines(_identity(docs)).select("_doc", "_key", "_pos", words_of(F.col("_line")).alias("_words"))
+            .where(F.size("_words") >= min_words))
+
+
+def line_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(_doc, _key, _pos, node): each line's place and its normalised hash."""
+    return _normal_lines(docs, min_words).select("_doc", "_key", "_pos", F.xxhash64("_words").alias("node"))
+
+
+def _bits(n: str) -> str:
+    """The number of blocks of a line with ``n`` content words, as a power of two."""
+    return f"case when {n} < {SHORT} then {SHORT_BITS} else greatest({LEAST_BITS}, cast(floor(log2({n} / {BLOCK_WORDS}) + 1e-9) as int)) end"
+
+
+def block_keys(words: Column) -> list[tuple[str, Column]]:
+    """The steps, each over the columns of those before, that lead from a line's
+    words to ``_keys``, its blocks' SimHashes."""
+    common = F.array(*[F.lit(w) for w in sorted(COMMON)])
+    content = F.array_except(words, common)
+    # Equal high bits of a word's hash are one block, so in order of the hashes blocks are runs.
+    edge = ("filter(transform(_h, (x, i) -> if(i = 0 or shiftright(x, 64 - b) <> shiftright(_h[i - 1], 64 - b), i, cast(null as int))), "
+            "i -> i is not null)")
+    runs = f"transform({edge}, s -> s)"
+    cut = (f"transform(array({runs}), e -> transform(e, (s, j) -> slice(_h, s + 1, if(j + 1 < size(e), e[j + 1], size(_h)) - s)))[0]")
+    held = f"filter({cut}, g -> size(g) >= if(size(_h) < {SHORT}, 1, {VOTES}))"
+    return [
+        ("_content", F.when(F.size(content) > 0, content).otherwise(F.array_distinct(words))),
+        ("_h", F.expr("sort_array(transform(_content, w -> xxhash64(w)))")),
+        ("_powers", F.expr(f"array_distinct(array({_bits(f'(size(_h) * {BORDER})')}, {_bits(f'(size(_h) / {BORDER})')}))")),
+        ("_keys", F.expr(f"flatten(transform(_powers, b -> transform({held}, g -> xxhash64(b, g))))")),
+    ]
+
+
+def line_blocks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Distinct (key, node, copies, size): every line's blocks; ``copies`` are the
+    line's occurrences, ``size`` its normalised length."""
+    rows = _normal_lines(docs, min_words).select(
+        F.xxhash64("_words").alias("node"), "_words",
+        F.expr("aggregate(_words, size(_words) - 1, (n, w) -> n + length(w))").alias("size"))
+    for name, step in block_keys(F.col("_words")):
+        rows = rows.withColumn(name, step)
+    keyed = rows.select(F.explode("_keys").alias("key"), "node", "size")
+    return keyed.groupBy("key", "node").agg(F.count(F.lit(1)).alias("copies"), F.min("size").alias("size"))
+
+
+def line_links(docs: DataFrame, occurrences: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): linked normalised lines (nodes) among the occurrences."""
-    nodes = occurrences.groupBy("node").agg(F.min("simhash").alias("simhash"), F.min("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-    keyed = nodes.select(F.explode(F.array(*[F.xxhash64(F.lit(b), v) for b, v in enumerate(blocks_of(F.col("simhash")))])).alias("key"), "node", (-F.col("copies")).alias("rank"), "n")
-    w = Window.partitionBy("key")
-    met = materialize(keyed.withColumn("_lo", F.min("node").over(w)).withColumn("_hi", F.max("node").over(w)).where("_lo <> _hi").drop("_lo", "_hi"))
+    keyed = materialize(line_blocks(docs, min_words))
+    free_shuffles(docs.sparkSession)
+    # Which blocks are shared is told by two numbers a block, whatever its number of lines.
+    shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
+    met = materialize(keyed.join(small(materialize(shared)), "key").select("key", "node", (-F.col("copies")).alias("rank"), "size"))
     free_shuffles(docs.sparkSession)
     wanted = met.select("node").distinct()
     # Any occurrence shows a node's text; it is fetched for these nodes alone.
@@ -110,14 +143,14 @@ def line_links(docs: DataFrame, occurrences: DataFrame, similarity: float = SIMI
         hubs = texts.join(small(materialize(pairs.select("a").distinct())), F.col("node") == F.col("a"), "left_semi").select(F.col("node").alias("a"), F.col("norm").alias("x"))
         p = others.join(hubs, "a")
         return p.where(f"abs(length(x) - length(y)) <= {most}").where(near).select("a", "b")
-    return linked_groups(met, verify)
+    like = f"least(l_size, r_size) >= {similarity} * greatest(l_size, r_size) - 1e-9"
+    return linked_groups(met, verify, like, size="size")
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(_key, gone): the line numbers (from 0) that each document loses."""
-    occurrences = materialize(simhashes(docs, min_words))
-    free_shuffles(docs.sparkSession)
-    comp = materialize(components(line_links(docs, occurrences, similarity)))
+    occurrences = materialize(line_places(docs, min_words))
+    comp = materialize(components(line_links(docs, occurrences, min_words, similarity)))
     repeated = occurrences.groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
     grouped = (repeated.join(comp, "node", "left").where("component is not null or copies > 1")
                .select("node", F.coalesce("component", "node").alias("component")))

@@ -175,7 +175,7 @@ def verifier(docs: DataFrame, named: DataFrame, rows: DataFrame, num: int, den:
     ``named`` (node, doc_id, materialised) tells a document of each node.  The
     texts of a pair's documents meet in one task and are cut into n-grams
     there: a text takes half the room of its hashes, and each is moved once."""
-    named, rows = small(named), small(rows)
+    named, rows = small(named), small(rows, weight=F.size("cols") + 1)
 
     def texts_of(keys: DataFrame) -> DataFrame:
         return docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text").join(small(keys), "doc_id").drop("doc_id")
@@ -220,7 +220,7 @@ def jaccard_groups(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = WOR
     reps = sigs.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     wanted = materialize(columns.select(F.col("node").alias("sig")).distinct().join(reps, "sig").select("doc_id", F.col("sig").alias("node")))
     rows = materialize(columns.groupBy("node").agg(F.min("n").alias("n"), F.collect_list(F.struct("key", "w")).alias("cols")))   # at most a prefix
-    links = linked_groups(columns.drop("w"), verifier(docs, wanted, rows, num, den, k), may_link(num, den))
+    links = linked_groups(columns.drop("w"), verifier(docs, wanted, rows, num, den, k), may_link(num, den), size="n" if 5 * num >= 4 * den else None)
     comp = components(links).select(F.col("node").alias("sig"), "component")
     named = reps.join(comp, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     low = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

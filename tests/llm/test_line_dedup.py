@@ -1,11 +1,17 @@
+import math
 import random
 import re
 
+import duckdb
+import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
 from cases import Groups, edge_docs, edge_rows, no_docs, prose
 from quire.llm import line_dedup, queries
+from quire.llm.components import components
+from quire.llm.spotsigs import COMMON
+
 
 def h64(word):
     return xxhash.xxh64(word.encode(), seed=42).intdigest()
@@ -16,11 +22,18 @@ def normal(line):
 
 
 def blocks(norm):
-    words = norm.split(" ")
-    hashes = [h64(w) for w in words]
-    bits = [2 * sum(h >> i & 1 for h in hashes) > len(words) for i in range(63)]
-    n = line_dedup.BLOCK_BITS[0]
-    return [tuple(bits[:n]), tuple(bits[n:])]
+    """The keys of a line's blocks, as sets of words with the number of blocks."""
+    words = set(norm.split(" "))
+    content = words - COMMON or words
+    n, out = len(content), []
+    for v in {min(max(n * f, 0), 1e9) for f in (line_dedup.BORDER, 1 / line_dedup.BORDER)}:
+        bits = 2 if v < 12 else max(3, int(math.floor(math.log2(v / 4) + 1e-9)))
+        held = {}
+        for w in content:
+            held.setdefault((h64(w) ^ 1 << 63) >> (64 - bits), []).append(w)
+        need = 1 if n < 12 else 2
+        out += [(bits, frozenset(x)) for x in held.values() if len(x) >= need]
+    return set(out)
 
 
 def edits(a, b):
@@ -45,8 +58,8 @@ def brute(texts):
     groups.link = lambda a, b: groups.up.__setitem__(groups.find(b), groups.find(a)) if groups.find(a) != groups.find(b) else None
     meet = {}
     for norm in first:
-        for b, v in enumerate(blocks(norm)):
-            meet.setdefault((b, v), []).append(norm)
+        for key in blocks(norm):
+            meet.setdefault(key, []).append(norm)
     for members in meet.values():
         for k, a in enumerate(members):
             for b in members[k + 1:]:
@@ -78,6 +91,37 @@ def test_fuzzy_lines_against_brute_force(llm):
     assert got == want and sum(n for _, n in want.values()) > 50
 
 
+def found_share(llm, frame):
+    """(share of linked pairs of distinct lines that end in one group, their
+    number), against all pairs, whatever their blocks."""
+    places = line_dedup.line_places(frame, line_dedup.ALL_LINES)
+    texts = line_dedup._normal_lines(frame, 1).select(F.xxhash64("_words").alias("node"), F.array_join("_words", " ").alias("norm")).distinct()
+    lines = pd.DataFrame([tuple(r) for r in texts.collect()], columns=["node", "norm"])
+    group = {r.node: r.component for r in components(line_dedup.line_links(frame, places, line_dedup.ALL_LINES)).collect()}
+    con = duckdb.connect()
+    con.register("lines", lines)
+    pairs = con.execute("""SELECT a.node, b.node FROM lines a JOIN lines b ON a.node < b.node AND length(a.norm) >= 0.8 * length(b.norm) AND length(b.norm) >= 0.8 * length(a.norm)
+        WHERE levenshtein(a.norm, b.norm) <= 0.2 * greatest(length(a.norm), length(b.norm)) + 1e-9""").fetchall()
+    return sum(group.get(a, a) == group.get(b, b) for a, b in pairs) / max(len(pairs), 1), len(pairs)
+
+
+def test_linked_lines_are_found(llm, docs):
+    share, n = found_share(llm, docs)
+    assert n > 20 and share >= 0.9
+    rng = random.Random(4)
+    words = sorted({w for r in docs.limit(40).collect() for w in normal(r.text or "").split(" ")})
+    rows = []
+    for length, changes in ((8, 1), (15, 1), (15, 2), (40, 3), (40, 6), (150, 20)):
+        for _ in range(60):
+            line = [rng.choice(words) for _ in range(length)]
+            other = list(line)
+            for at in rng.sample(range(length), changes):
+                other[at] = rng.choice([w for w in words[::7] if len(w) <= len(line[at]) + 1] or ["x"])
+            rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(other))]
+    share, n = found_share(llm, llm.createDataFrame(rows, "doc_id long, text string"))
+    assert n > 250 and share >= 0.9
+
+
 def test_table_keeps_one_of_each_equal_line(llm, sf, docs):
     rows = queries.QUERIES["op6_line_dedup"](llm, sf).collect()
     text = dict(map(tuple, docs.select("doc_id", "text").collect()))
@@ -96,7 +140,7 @@ def test_table_keeps_one_of_each_equal_line(llm, sf, docs):
 
 
 def test_only_native_operators(llm, docs):
-    plan = line_dedup.simhashes(docs)._jdf.queryExecution().executedPlan().toString()
+    plan = "".join(f(docs)._jdf.queryExecution().executedPlan().toString() for f in (line_dedup.line_blocks, line_dedup.line_places))
     assert not re.search("Python|Pandas|Arrow", plan)
 
 

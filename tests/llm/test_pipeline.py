@@ -8,7 +8,7 @@ from quire.llm import queries
 
 def test_every_operator_has_one_query():
     names = [n for n in queries.QUERIES if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries.QUERIES
 
 
 def test_stages_on_their_own_input(llm, sf, tmp_path):
