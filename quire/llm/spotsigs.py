@@ -16,6 +16,7 @@ Other columns are ignored; an empty table gives no row.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import chunked, partitions
+from .common import chunked, materialize, partitions
+from .components import components, linked_groups
 
 #: Common words of the four languages that the corpus is written in.
 COMMON = frozenset("""
@@ -102,12 +104,6 @@ def likeness(a: np.ndarray, b: np.ndarray, at_least: float = 0.0) -> float:
     return shared / (lo + hi - shared)
 
 
-def length_class(n: int, threshold: float) -> int:
-    """The length partition of a set: partners of likeness t lie in the same
-    class or a neighbouring one."""
-    return int(np.floor(np.log(max(n, 1)) / -np.log(threshold) + 1e-9))
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> (doc_id, n_spots, fingerprint); no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,6 +113,56 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text").mapInArrow(run, "doc_id long, n_spots long, fingerprint string")
 
 
+def _prefix_entries(sets: DataFrame, threshold: float) -> DataFrame:
+    """(key, node, n, pos, rank) of each set's rare signatures.
+
+    Two sets of likeness ``threshold`` share one of the first n - ceil(t n) + 1
+    signatures of a common order; the rarest come first, so few sets meet.  The
+    key is a signature in a length class, and a set stands in its own class and
+    in the one below: partners lie in one class or in neighbouring ones."""
+    spots = sets.select("node", "n", F.explode("spots").alias("spot"))
+    often = spots.groupBy("spot").agg(F.count(F.lit(1)).alias("often"))
+    order = F.array_sort(F.collect_list(F.struct("often", "spot")))
+    ordered = spots.join(often, "spot").groupBy("node", "n").agg(order.alias("o"))                  # a set's own signatures
+    keep = F.expr(f"n - cast(ceil({threshold} * n - 1e-9) as int) + 1")
+    near = ordered.select("node", "n", F.col("o")[0]["often"].alias("rank"), F.posexplode(F.slice("o", F.lit(1), keep)).alias("pos", "s"))
+    klass = F.floor(F.log(F.col("n")) / -math.log(threshold) + 1e-9)
+    return near.select(F.explode(F.array(klass, klass - 1)).alias("class"), "node", "n", "pos", "rank", "s.spot").select(
+        F.xxhash64("class", "spot").alias("key"), "node", "n", "pos", "rank")
+
+
+def near_groups(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """docs (doc_id, text) -> (doc_id, n_spots, component_id): documents whose
+    fingerprints are alike by ``threshold`` or more, directly or through others,
+    are one component, named by its smallest doc_id.
+
+    Documents with equal fingerprints are one node; a text without signatures
+    is linked with nothing.  Nodes meet by rare signature and length class;
+    pairs whose lengths, or whose places of meeting, keep them below the
+    threshold are pruned, the rest compared exactly, all as joins."""
+    prints = fingerprints(docs)
+    width = BITS // 4
+    spots = F.expr(f"transform(sequence(1, length(fingerprint), {width}), i -> conv(substring(fingerprint, i, {width}), 16, 10))")
+    rows = materialize(prints.select("doc_id", "n_spots", F.when(F.col("n_spots") > 0, F.xxhash64("fingerprint")).alias("node"), "fingerprint"))
+    sets = materialize(rows.where("node is not null").groupBy("node").agg(F.max("n_spots").alias("n"), F.max("fingerprint").alias("fingerprint"))
+                       .select("node", "n", spots.cast("array<long>").alias("spots")))
+    entries = materialize(_prefix_entries(sets, threshold).distinct())
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        a, b = (sets.select(F.col("node").alias(x), F.col("spots").alias(f"{x}_spots")) for x in "ab")
+        met = pairs.join(a, "a").join(b, "b").withColumn("both", F.size(F.array_intersect("a_spots", "b_spots")))
+        return met.where(f"both >= {threshold} * (size(a_spots) + size(b_spots) - both) - 1e-9").select("a", "b")
+
+    # What both can share is bounded by the lengths and by what follows the meeting signature.
+    may = (f"least(l_n, r_n) >= {threshold} * greatest(l_n, r_n) - 1e-9 and "
+           f"least(l_n - l_pos, r_n - r_pos) * {1 + threshold} >= {threshold} * (l_n + r_n) - 1e-9")
+    first = entries.groupBy("key", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("rank").alias("rank"))
+    comp = components(linked_groups(materialize(first), verify, may, size="n" if threshold >= 0.8 else None))
+    named = rows.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    low = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return named.join(low, "component", "left").select("doc_id", "n_spots", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
 def in_order(docs: DataFrame, pieces: int | None = None) -> DataFrame:
     """Deal rows into ranges of doc_id, sorted, each followed by the rows that
     open the next range (``extra``; the last range by those of the first), so

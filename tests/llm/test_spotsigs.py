@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cases import edge_docs, edge_rows, no_docs
+from cases import Groups, edge_docs, edge_rows, no_docs
 from quire.llm import bytewords as bw
 from quire.llm import queries, spotsigs
 
@@ -54,16 +54,34 @@ def test_edges(llm):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
-def test_length_partitions_lose_no_likeness():
-    rng = np.random.default_rng(5)
-    for _ in range(300):
-        a = np.unique(rng.integers(0, 60, rng.integers(0, 50)).astype(np.uint64))
-        b = np.unique(rng.integers(0, 60, rng.integers(0, 50)).astype(np.uint64))
-        exact = spotsigs.likeness(a, b)
-        for t in (0.5, 0.8):
-            if exact >= t and len(a) and len(b):
-                assert spotsigs.likeness(a, b, t) == exact
-                assert abs(spotsigs.length_class(len(a), t) - spotsigs.length_class(len(b), t)) <= 1
+def all_pairs(texts, threshold):
+    """doc_id -> smallest doc_id of its component, by all pairs of signature sets."""
+    v, first = spotsigs.signatures(*bw.text_bytes(pa.array([x or "" for _, x in texts], pa.large_string())))
+    sets = [set(v[a:b].tolist()) for a, b in zip(first, first[1:])]
+    groups = Groups(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and len(a & sets[j]) >= threshold * len(a | sets[j]) - 1e-9:
+                groups.link(i, j)
+    out = {}
+    for i, (doc, _) in enumerate(texts):
+        out.setdefault(groups.find(i), []).append(doc)
+    return sorted((d, min(members)) for members in out.values() for d in members), sum(len(m) > 1 for m in out.values())
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_near_groups_are_those_of_all_pairs(llm, docs, threshold):
+    texts = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want, groups = all_pairs(texts, threshold)
+    assert sorted((r.doc_id, r.component_id) for r in spotsigs.near_groups(docs, threshold).collect()) == want and groups > 3
+
+
+def test_near_groups_of_odd_rows(llm):
+    frame = edge_docs(llm).where("doc_id is not null")
+    got = sorted((r.doc_id, r.component_id) for r in spotsigs.near_groups(frame).collect())
+    want, _ = all_pairs([r for r in edge_rows() if r[0] is not None], 0.8)
+    assert got == want
+    assert spotsigs.near_groups(no_docs(llm)).count() == 0
 
 
 def test_signatures_depend_on_the_text_alone():
