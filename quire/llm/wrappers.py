@@ -1,19 +1,27 @@
 """Main text of web pages by wrapper induction.
 
-The pages of a host are made from one template.  One page of each host is its
-reference; every other page's block tree is aligned with the reference's by
-simple tree matching, where runs of like siblings count as one repeated node.
-Aligned texts that are equal vote for "constant", others for "varying"; votes
-are summed per host and reference node.  Constant texts are the template, the
-varying slots are content.  A page's main text is what its own alignment
-leaves, inside the article element where there is one, without elements whose
-kind, role or name says that they are not the article.
-
-A copy of the reference says nothing about its template, so a page that shares
-most of the reference's content does not vote; a host with one page has no
+The pages of a host are made from few templates.  Pages of a host whose blocks
+near the root are alike form a layout, and one page with text of each layout is
+its reference; every other page's block tree is aligned with it by simple tree
+matching, where runs of like siblings count as one repeated node.  Aligned texts
+that are equal vote for "constant", others for "varying"; votes are summed per
+layout and reference node.  Constant texts are the template, the varying slots
+are content.  A page's main text is what its own alignment leaves inside the
+article.
+
+The article is the element that says so, unless another that is named as
+content holds more than twice its text; a page without either is taken whole.
+Elements whose kind or role excludes them (navigation, asides, forms), adverts
+and reader comments go.  Other names are only a hint: an element that is named
+like a notice, a share bar or a sidebar goes unless it reads as prose, that is
+has ``PROSE_WORDS`` words of which links are a small share; paragraphs, headings
+and lists are never judged by their names, an article's own header neither.
+
+A copy of the reference says nothing about its template, so a page whose
+article is the reference's does not vote; a layout with one page has no
 template.  Votes are summed inside tasks before they are shuffled, and the
-wrapper of a host (one page and its constant texts) travels to the pages: by
-broadcast within a byte bound, else by a join on (host, salt), so a host that
+wrapper of a layout (one page and its constant texts) travels to the pages: by
+broadcast within a byte bound, else by a join on (layout, salt), so a host that
 holds a large part of all pages is spread.
 
 Defined results: null or empty html gives an empty text; a null url or one
@@ -31,12 +39,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunked, materialize, small
-from .htmltree import Node, parse
+from .htmltree import ADVERTS, Node, parse
 
 SCHEMA = "page_id long, url string, text string, n_chars long"
 BROADCAST_BYTES = 16 << 20
 SALTS = 32
-COPY_SHARE = 0.5          # of the reference's content texts: beyond it a page is a copy
+COPY_SHARE = 0.5          # of the reference's article: beyond it a page is a copy
+WHOLE_SHARE = 0.95        # the same where no element is the article
+LAYOUT_DEPTH = 3          # of the blocks that tell a layout
+PROSE_WORDS, LINK_SHARE = 40, 0.3
+ARTICLE_SHARE = 0.5       # of the text of another content element that an article has at least
 CONSTANT_SHARE = 0.5      # of the votes
 LEAST_VOTES = 2
 DEPTH = 60                # of slots; what lies deeper belongs to its ancestor there
@@ -55,12 +67,44 @@ NOT_ARTICLE_NAMES = {
 ARTICLE_NAMES = {"article", "content", "post", "entry", "story", "main", "body"}
 
 
+#: Decisive wherever they stand: adverts and reader comments.
+COMMENT_NAMES = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply", "reactions"}
+#: Words beside which a name tells of the page, not of the element ("with-sidebar").
+ABOUT_PAGE = {"with", "has", "no", "without"}
+#: Elements that are never judged by their names.
+TEXT_TAGS = {"article", "main", "body", "html", "h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "blockquote", "pre", "td", "th", "dd", "dt", "figcaption"}
+
+
+def _prose(n: Node) -> bool:
+    """Does an element read as prose: enough words, few of them links?"""
+    words = letters = links = 0
+    stack = [n]
+    while stack:
+        k = stack.pop()
+        links += k.links
+        for c in k.content:
+            if isinstance(c, str):
+                words += c.count(" ") + 1
+                letters += len(c)
+            else:
+                stack.append(c)
+    return words >= PROSE_WORDS and links <= LINK_SHARE * letters
+
+
 def _outside(n: Node, in_article: bool) -> bool:
     if n.tag in NOT_ARTICLE or n.role in NOT_ARTICLE_ROLES or n.hidden or n.tag == "header" and not in_article:
         return True
-    if n.tag in ("article", "main", "body", "html", "h1", "h2", "h3"):
-        return n.tag == "article" and bool({"comment", "reply"} & set(n.names))
-    return bool(NOT_ARTICLE_NAMES & set(n.names))
+    names = set(n.names)
+    if n.tag in TEXT_TAGS:
+        return n.tag == "article" and bool({"comment", "reply"} & names)
+    if (ADVERTS | COMMENT_NAMES) & names:
+        return True
+    hints = NOT_ARTICLE_NAMES & names
+    if in_article:
+        hints -= {"header"}
+    if not hints or ABOUT_PAGE & names and ARTICLE_NAMES & names:
+        return False
+    return not _prose(n)
 
 
 def _roots(node: Node, wanted) -> list[Node]:
@@ -79,12 +123,31 @@ def _roots(node: Node, wanted) -> list[Node]:
     return out
 
 
+def _letters(nodes: list[Node]) -> int:
+    """Letters of the text that stays of the given roots."""
+    total = 0
+    for top in nodes:
+        stack = [top]
+        while stack:
+            n = stack.pop()
+            if n is top or not _outside(n, True):
+                total += sum(map(len, n.texts()))
+                stack += n.nodes()
+    return total
+
+
 def article_roots(root: Node) -> list[Node]:
-    for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or n.role == "main",
-                   lambda n: n.tag in ("div", "section") and bool(ARTICLE_NAMES & set(n.names))):
-        if found := _roots(root, wanted):
-            return found
-    return [root]
+    """The elements that hold the article, by the clearest sign that holds a
+    fair share of the text; the whole page without one."""
+    kinds = [_roots(root, wanted) for wanted in (
+        lambda n: n.tag == "article", lambda n: n.tag == "main" or n.role == "main",
+        lambda n: n.tag in ("div", "section") and bool(ARTICLE_NAMES & set(n.names)))]
+    if not any(kinds):
+        return [root]
+    if sum(map(bool, kinds)) == 1:
+        return next(found for found in kinds if found)
+    size = [_letters(found) for found in kinds]
+    return next(found for found, n in zip(kinds, size) if found and n >= ARTICLE_SHARE * max(size))
 
 
 class Slot:
@@ -184,29 +247,59 @@ def _mark(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def votes(reference: list[Slot], page: list[Slot]) -> list[tuple[int, int, bool]]:
+class Reference:
+    """A layout's reference page: its slots, and the marks and size of its article's texts."""
+
+    def __init__(self, page: str):
+        root = parse(page)
+        self.slots = reduced(root)
+        self.size = {_mark(t): len(t) for s in self.slots for t, _ in s.items}
+        tops = article_roots(root)
+        self.whole = tops == [root]
+        self.article: set[int] = set()
+        stack = list(tops)
+        while stack:
+            n = stack.pop()
+            self.article |= {_mark(t) for t in n.texts()}
+            stack += n.nodes()
+
+
+def votes(reference: Reference, page: list[Slot]) -> list[tuple[int, int, bool]]:
     """(slot, text mark, constant) of the reference's texts against one page;
-    none where the page is a copy of the reference."""
+    none where the page's article is the reference's."""
     out = []
-    for x, y in tree_match(reference[0], page[0]):
+    for x, y in tree_match(reference.slots[0], page[0]):
         here = {t for t, _ in y.items}
         out += [(x.index, _mark(t), t in here) for t in dict.fromkeys(t for t, _ in x.items)]
-    size = {_mark(t): len(t) for s in reference for t, _ in s.items}
-    whole = sum(size[m] for _, m, _ in out)
-    same = sum(size[m] for _, m, c in out if c)
-    return [] if same > COPY_SHARE * whole else out
+    whole = sum(reference.size[m] for m in reference.article)
+    same = sum(reference.size[m] for m in {m for _, m, c in out if c and m in reference.article})
+    return [] if same > (WHOLE_SHARE if reference.whole else COPY_SHARE) * whole else out
+
+
+def layout(root: Node) -> str:
+    """What a page's blocks near the root are, whatever their number; empty for
+    a page without text."""
+    labels, some = set(), False
+    stack = [(root, 0)]
+    while stack:
+        n, depth = stack.pop()
+        some = some or bool(n.texts())
+        if depth <= LAYOUT_DEPTH:
+            labels.add(f"{depth}{n.label}")
+        stack += [(kid, depth + 1) for kid in n.nodes()]
+    return hashlib.blake2b("\n".join(sorted(labels)).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest() if some else ""
 
 
-def main_text(page: str | None, reference: list[Slot] | None = None, template: set[tuple[int, int]] = frozenset()) -> str:
+def main_text(page: str | None, reference: Reference | None = None, template: set[tuple[int, int]] = frozenset()) -> str:
     """A page's main text: article blocks that are not the host's template."""
     root = parse(page)
     gone: set[tuple[int, str]] = set()
     if reference and template:
-        for x, y in tree_match(reference[0], reduced(root)[0]):
+        for x, y in tree_match(reference.slots[0], reduced(root)[0]):
             gone |= {(id(n), t) for t, n in y.items if (x.index, _mark(t)) in template}
     blocks: list[str] = []
     for top in article_roots(root):
-        inside = top.tag == "article"
+        inside = top is not root
         stack: list[Node | str | tuple] = [top]
         while stack:
             n = stack.pop()
@@ -238,18 +331,31 @@ class _References:
     def __init__(self, keep: int = 64):
         self.keep, self.held = keep, OrderedDict()
 
-    def get(self, name: str, page: str) -> list[Slot]:
+    def get(self, name: str, page: str) -> Reference:
         if name not in self.held:
-            self.held[name] = reduced(parse(page))
+            self.held[name] = Reference(page)
             if len(self.held) > self.keep:
                 self.held.popitem(last=False)
         self.held.move_to_end(name)
         return self.held[name]
 
 
+def with_layout(rows: DataFrame) -> DataFrame:
+    """(page_id, url, host, html) -> the same with ``host`` made the key of host
+    and layout, '' for pages without a host or without text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunked(batches, "html"):
+            keys = []
+            for name, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
+                kind = layout(parse(page)) if name else ""
+                keys.append(f"{name} {kind}" if kind else "")
+            yield pa.RecordBatch.from_arrays([part.column(c).combine_chunks() if c != "host" else pa.array(keys, pa.string()) for c in part.column_names], names=part.column_names)
+    return rows.mapInArrow(run, rows.schema)
+
+
 def induce(pages: DataFrame) -> DataFrame:
-    """pages (page_id, url, host, html) -> (host, reference, template): the
-    reference page and the (slot, mark) pairs of its constant texts."""
+    """pages (page_id, url, host, html), by host and layout -> (host, reference,
+    template): the reference page and the (slot, mark) pairs of its constant texts."""
     first = materialize(pages.where("host <> '' and html is not null").groupBy("host").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n")).where("n > 1").select("host", "page_id"))
     seeds = materialize(pages.where("html is not null").join(small(first), ["host", "page_id"]).groupBy("host").agg(F.min("html").alias("reference"), F.first("page_id").alias("seed")).withColumn("template", F.expr("cast(array() as array<long>)")))
 
@@ -291,4 +397,5 @@ def extract(pages: DataFrame) -> DataFrame:
                 marks = {(t["slot"], t["mark"]) for t in template or ()}
                 texts.append(main_text(page, refs.get(name, ref) if marks else None, marks))
             yield pa.RecordBatch.from_arrays([part.column("page_id").combine_chunks(), part.column("url").combine_chunks(), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+    rows = with_layout(rows)
     return _with_wrapper(rows, induce(rows)).select("page_id", "url", "host", "html", "reference", "template").mapInArrow(run, SCHEMA)

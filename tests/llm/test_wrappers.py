@@ -69,3 +69,35 @@ def test_tree_match_is_a_largest_alignment():
     b = wrappers.reduced(parse("<div><p>1</p><h2>z</h2><p>5</p><h3>c</h3><ul><li>x</ul></div>"))
     pairs = {(x.label, y.label) for x, y in wrappers.tree_match(a[0], b[0])}
     assert pairs == {("#root.", "#root."), ("div.", "div."), ("h2.", "h2."), ("p.", "p."), ("ul.", "ul."), ("li.", "li.")}
+
+
+@pytest.mark.parametrize("body,want", [
+    ('<article><header class="entry-header"><h1>The title</h1></header><p>Own text</p></article>', ["The title", "Own text"]),
+    (f'<div id="content" class="with-sidebar"><p>{prose(1, 20)}</p></div>', [prose(1, 20)]),
+    (f'<article><p>One</p><section id="related-work"><h2>Related work</h2><p>{prose(2, 60)}</p></section><p class="notice">Mind this.</p></article>',
+     ["One", "Related work", prose(2, 60), "Mind this."]),
+    (f'<article><p>A</p></article><div class="post-body"><p>{prose(3, 40)}</p><p>{prose(4, 20)}</p></div>', [prose(3, 40), prose(4, 20)]),
+    ('<article><p>Before <span class="ad">buy <b>now</b></span>after</p><p>x <a id="sponsored-1" href=/b>y</a></p></article>', ["Before after", "x"]),
+    (f'<article><p>{prose(5, 30)}</p><div class="related"><ul>' + "".join(f"<li><a href=/{k}>{prose(k, 12)}</a>" for k in range(6)) + "</ul></div></article>", [prose(5, 30)]),
+    (f'<article><p>{prose(5, 30)}</p><div class="share">Send to a friend</div><div class="comments"><p>{prose(6, 80)}</p></div></article>', [prose(5, 30)]),
+])
+def test_names_are_hints(body, want):
+    assert wrappers.main_text(f"<html><body><nav>Menu</nav>{body}<footer>end</footer></body></html>") == "\n\n".join(want)
+
+
+def test_the_template_decides_where_nothing_says_article(llm):
+    """Hosts without an article element or telling names: two layouts, an empty
+    and an odd page of smallest id, more boilerplate than text."""
+    def made(k, host, kind):
+        menu = "".join(f"<div>Section {i} of the house and its many rooms</div>" for i in range(12))
+        own = f"<div><h2>Head {k}</h2><p>{prose(k, 25)}</p></div>"
+        if kind:
+            return (k, f"http://{host}/{k}", f"<html><body><div class=a>{menu}</div><table><tr><td>{own}</td><td>Always here</td></tr></table></body></html>")
+        return (k, f"http://{host}/{k}", f"<html><body><div class=top>Welcome to {host}</div><div class=mid>{own}</div><div class=end>All rights kept by {host}{menu}</div></body></html>")
+    rows = [(0, "http://h.org/0", ""), (1, "http://h.org/1", "<html><body><h1>Error 500</h1></body></html>")]
+    rows += [made(k, "h.org", k % 2) for k in range(2, 42)]
+    got = {r.page_id: r.text for r in wrappers.extract(llm.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got[0] == "" and got[1] == "Error 500"
+    assert {k: got[k] for k in range(2, 42)} == {k: f"Head {k}\n\n{prose(k, 25)}" for k in range(2, 42)}
+    without = {k: wrappers.main_text(page) for k, _, page in rows[2:]}
+    assert all(without[k] != got[k] for k in without)                 # only the template tells
