@@ -7,8 +7,8 @@ that its own hash names, some four words to a block, so a changed word touches
 the block that it leaves and the one that it enters and no other.  Two lines
 whose changes touch fewer than all blocks have an equal one (pigeonhole), and
 all lines that share a block are candidates.  As blocks meet only when they are
-equal, a block's votes are taken as one hash of the words that vote in it.
-Blocks are a power of two by the line's content words; a line near the border of
+equal, no majority of each bit is taken: a block's value are its least and its
+greatest vote, which copies of a line leave as they are.  Blocks are a power of two by the line's content words; a line near the border of
 two powers has both, so lines of slightly different length still meet.
 
 Candidates whose edit similarity (1 - Levenshtein / longer length, on normalised
@@ -78,44 +78,28 @@ def _normal_lines(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def line_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_doc, _key, _pos, node): each line's place and its normalised hash."""
-    return _normal_lines(docs, min_words).select("_doc", "_key", "_pos", F.xxhash64("_words").alias("node"))
-
-
-def _bits(n: str) -> str:
-    """The number of blocks of a line with ``n`` content words, as a power of two."""
-    return f"case when {n} < {SHORT} then {SHORT_BITS} else greatest({LEAST_BITS}, cast(floor(log2({n} / {BLOCK_WORDS}) + 1e-9) as int)) end"
-
-
-def block_keys(words: Column) -> list[tuple[str, Column]]:
-    """The steps, each over the columns of those before, that lead from a line's
-    words to ``_keys``, its blocks' SimHashes."""
-    common = F.array(*[F.lit(w) for w in sorted(COMMON)])
-    content = F.array_except(words, common)
-    # Equal high bits of a word's hash are one block, so in order of the hashes blocks are runs.
-    edge = ("filter(transform(_h, (x, i) -> if(i = 0 or shiftright(x, 64 - b) <> shiftright(_h[i - 1], 64 - b), i, cast(null as int))), "
-            "i -> i is not null)")
-    runs = f"transform({edge}, s -> s)"
-    cut = (f"transform(array({runs}), e -> transform(e, (s, j) -> slice(_h, s + 1, if(j + 1 < size(e), e[j + 1], size(_h)) - s)))[0]")
-    held = f"filter({cut}, g -> size(g) >= if(size(_h) < {SHORT}, 1, {VOTES}))"
-    return [
-        ("_content", F.when(F.size(content) > 0, content).otherwise(F.array_distinct(words))),
-        ("_h", F.expr("sort_array(transform(_content, w -> xxhash64(w)))")),
-        ("_powers", F.expr(f"array_distinct(array({_bits(f'(size(_h) * {BORDER})')}, {_bits(f'(size(_h) / {BORDER})')}))")),
-        ("_keys", F.expr(f"flatten(transform(_powers, b -> transform({held}, g -> xxhash64(b, g))))")),
-    ]
+    """(_doc, _key, _pos, node, size): each line's place, its normalised hash and length."""
+    size = F.expr("aggregate(_words, size(_words) - 1, (n, w) -> n + length(w))")
+    return _normal_lines(docs, min_words).select("_doc", "_key", "_pos", F.xxhash64("_words").alias("node"), size.alias("size"))
 
 
 def line_blocks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Distinct (key, node, copies, size): every line's blocks; ``copies`` are the
-    line's occurrences, ``size`` its normalised length."""
-    rows = _normal_lines(docs, min_words).select(
-        F.xxhash64("_words").alias("node"), "_words",
-        F.expr("aggregate(_words, size(_words) - 1, (n, w) -> n + length(w))").alias("size"))
-    for name, step in block_keys(F.col("_words")):
-        rows = rows.withColumn(name, step)
-    keyed = rows.select(F.explode("_keys").alias("key"), "node", "size")
-    return keyed.groupBy("key", "node").agg(F.count(F.lit(1)).alias("copies"), F.min("size").alias("size"))
+    """Distinct (key, node): the blocks of every line.  A line's words lie in one
+    task, so its blocks leave the task as one row each, copies merged."""
+    common = F.array(*[F.lit(w) for w in sorted(COMMON)])
+    rows = _normal_lines(docs, min_words).select(F.xxhash64("_words").alias("node"), F.array_except("_words", common).alias("_content"), "_words")
+    rows = rows.select("node", F.when(F.size("_content") > 0, F.col("_content")).otherwise(F.array_distinct("_words")).alias("_content"))
+    rows = rows.select("node", "_content", F.size("_content").alias("n"))
+    # The number of blocks as a power of two; near a border both of its sides.
+    bits = [f"case when n * {x} < {SHORT} then {SHORT_BITS} else greatest({LEAST_BITS}, cast(floor(log2(n * {x} / {BLOCK_WORDS}) + 1e-9) as int)) end"
+            for x in (BORDER, 1 / BORDER)]
+    rows = rows.select("node", F.explode(F.array_distinct(F.array(*map(F.expr, bits)))).alias("b"), (F.col("n") < SHORT).cast("long").alias("short"), "_content")
+    votes = rows.select("node", "b", "short", F.explode("_content").alias("w")).select("node", "b", "short", F.xxhash64("w").alias("h"))
+    block = F.expr("shiftleft(short, 50) | shiftleft(cast(b as bigint), 40) | shiftrightunsigned(h, 64 - b)")
+    blocks = votes.select("node", block.alias("block"), "h").groupBy("node", "block").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    # One vote alone is a short line's reason only.
+    told = blocks.where("lo <> hi or block >= shiftleft(1L, 50)")
+    return told.select(F.xxhash64("block", "lo", "hi").alias("key"), "node")
 
 
 def line_links(docs: DataFrame, occurrences: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -124,8 +108,11 @@ def line_links(docs: DataFrame, occurrences: DataFrame, min_words: int = MIN_WOR
     free_shuffles(docs.sparkSession)
     # Which blocks are shared is told by two numbers a block, whatever its number of lines.
     shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
-    met = materialize(keyed.join(small(materialize(shared)), "key").select("key", "node", (-F.col("copies")).alias("rank"), "size"))
+    met = materialize(keyed.join(small(materialize(shared)), "key").select("key", "node"))
     free_shuffles(docs.sparkSession)
+    nodes = materialize(occurrences.join(small(materialize(met.select("node").distinct())), "node")
+                        .groupBy("node").agg((-F.count(F.lit(1))).alias("rank"), F.min("size").alias("size")))
+    met = materialize(met.join(small(nodes), "node").select("key", "node", "rank", "size"))
     wanted = met.select("node").distinct()
     # Any occurrence shows a node's text; it is fetched for these nodes alone.
     place = materialize(occurrences.join(small(materialize(wanted)), "node").groupBy("node").agg(F.min(F.struct("_key", "_pos")).alias("p")).select("node", "p._key", "p._pos"))

@@ -22,18 +22,17 @@ def normal(line):
 
 
 def blocks(norm):
-    """The keys of a line's blocks, as sets of words with the number of blocks."""
+    """The keys of a line's blocks."""
     words = set(norm.split(" "))
     content = words - COMMON or words
-    n, out = len(content), []
-    for v in {min(max(n * f, 0), 1e9) for f in (line_dedup.BORDER, 1 / line_dedup.BORDER)}:
+    n, out = len(content), set()
+    for v in (n * line_dedup.BORDER, n / line_dedup.BORDER):
         bits = 2 if v < 12 else max(3, int(math.floor(math.log2(v / 4) + 1e-9)))
         held = {}
-        for w in content:
-            held.setdefault((h64(w) ^ 1 << 63) >> (64 - bits), []).append(w)
-        need = 1 if n < 12 else 2
-        out += [(bits, frozenset(x)) for x in held.values() if len(x) >= need]
-    return set(out)
+        for h in map(h64, content):
+            held.setdefault(h >> (64 - bits), []).append((h ^ 1 << 63))
+        out |= {(n < 12, bits, k, min(x), max(x)) for k, x in held.items() if len(x) > 1 or n < 12}
+    return out
 
 
 def edits(a, b):
