@@ -29,9 +29,9 @@ from ..functions.text import cloud_weight, normalize_title
 from ..session import materialize
 from ..sources.feed import in_language
 
-# Function words of the stop list that break candidate runs.
-BREAK_WORDS = ["the", "is", "at", "which", "and", "or", "in", "to", "for", "of",
-               "with", "by", "on", "this", "that", "our", "via", "using", "from", "towards"]
+# Function words of the stop list that break candidate runs: those that open
+# it, before its first noun, and the prepositions among the others.
+BREAK_WORDS = [*fixed.STOP_WORDS[:fixed.STOP_WORDS.index("method")], "via", "using", "from", "towards"]
 BREAK_PATTERN = r"\b(" + "|".join(BREAK_WORDS) + r")\b|\b\w{1,2}\b"
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions import text as tf
 from ..operators import dedup
 from ..session import apply_confs
@@ -64,8 +65,8 @@ REPORT_SQL = """
          CAST((SELECT count(*) FROM t JOIN h USING (id)) AS BIGINT) AS duplicates,
          CAST(coalesce((SELECT sum(n) FROM t JOIN h USING (id)), 0) AS BIGINT) AS removed,
          CAST(coalesce((SELECT sum(n) FROM t WHERE id NOT IN (SELECT id FROM h)), 0) AS BIGINT) AS remaining)
-SELECT *, CASE WHEN today_total = 0 THEN 'no_data' WHEN remaining = 0 THEN 'no_new_content'
-               ELSE 'has_new_content' END AS status FROM r"""
+SELECT *, CASE WHEN today_total = 0 THEN '%s' WHEN remaining = 0 THEN '%s' ELSE '%s' END AS status FROM r""" % (
+    fixed.STATUS_NO_DATA, fixed.STATUS_NO_NEW, fixed.STATUS_HAS_NEW)
 
 
 @register("a5_dedup_report", with_(EVENT_FEED) + REPORT_SQL.format(f="feed", d=D, lb=LOOKBACK))

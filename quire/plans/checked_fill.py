@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions import papers as pf
 from ..operators import fill
 from ..session import apply_confs
@@ -79,11 +80,9 @@ stats AS (
          concat('2024-01-', lpad(CAST(max(s_suppkey) % 28 + 1 AS VARCHAR), 2, '0'), 'T10:00:00Z') AS pushed_at
   FROM supplier GROUP BY ALL)"""
 
-OWNER = "nullif(regexp_extract(text, 'https?://github\\.com/([a-zA-Z0-9-_]+)/([a-zA-Z0-9-_\\.]+)', 1), '')"
-REPO = ("nullif(regexp_replace(regexp_extract(text, 'https?://github\\.com/([a-zA-Z0-9-_]+)/([a-zA-Z0-9-_\\.]+)', 2), "
-        "'(\\.git)?\\.*$', ''), '')")
-PAGES = ("nullif(regexp_replace(regexp_extract(text, 'https?://[a-zA-Z0-9-_]+\\.github\\.io(?:/[a-zA-Z0-9-_\\.]+)*', 0), "
-         "'\\.+$', ''), '')")
+OWNER = f"nullif(regexp_extract(text, '{fixed.GITHUB_REPO_PATTERN}', 1), '')"
+REPO = f"nullif(regexp_replace(regexp_extract(text, '{fixed.GITHUB_REPO_PATTERN}', 2), '(\\.git)?\\.*$', ''), '')"
+PAGES = f"nullif(regexp_replace(regexp_extract(text, '{fixed.GITHUB_PAGES_PATTERN}', 0), '\\.+$', ''), '')"
 
 
 def repo_stats(spark, sf_dir):
@@ -110,7 +109,7 @@ def link_texts(spark, sf_dir):
 
 
 @register("p11_code_links", with_(LINK_SQL) + f"""
-SELECT c_custkey, coalesce(CASE WHEN {OWNER} IS NOT NULL THEN concat('https://github.com/', {OWNER}, '/', coalesce({REPO}, '')) END,
+SELECT c_custkey, coalesce(CASE WHEN {OWNER} IS NOT NULL THEN concat('{fixed.GITHUB_URL_PREFIX}', {OWNER}, '/', coalesce({REPO}, '')) END,
                            {PAGES}) AS code_url
 FROM links""")
 def p11_code_links(spark, sf_dir):
@@ -120,7 +119,7 @@ def p11_code_links(spark, sf_dir):
 @register("j3_repo_facts", with_(LINK_SQL) + f"""
 , x AS (SELECT c_custkey, text, {OWNER} AS owner, {REPO} AS repo FROM links)
 SELECT x.c_custkey,
-       coalesce(CASE WHEN x.owner IS NOT NULL THEN concat('https://github.com/', x.owner, '/', coalesce(x.repo, '')) END,
+       coalesce(CASE WHEN x.owner IS NOT NULL THEN concat('{fixed.GITHUB_URL_PREFIX}', x.owner, '/', coalesce(x.repo, '')) END,
                 {PAGES.replace('text', 'x.text')}) AS code_url,
        CAST(coalesce(s.stars, 0) AS BIGINT) AS code_stars, coalesce(substring(s.pushed_at, 1, 10), '') AS code_last_update
 FROM x LEFT JOIN stats s ON s.owner = x.owner AND s.repo = x.repo""")

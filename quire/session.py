@@ -73,9 +73,9 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application (``addPyFile``).
 
-    Python functions defined in the package (batch model calls, the
-    automaton UDF, listing extraction, streaming state) are pickled by
-    reference; executors import them from the shipped archive.
+    Python functions defined in the package (batch model calls, listing
+    extraction, streaming state) are pickled by reference; executors import
+    them, and read the package's text files, from the shipped archive.
     """
     sc = spark.sparkContext
     app = sc.applicationId
@@ -88,7 +88,7 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for d, _, files in os.walk(pkg):
             for f in files:
-                if f.endswith(".py"):
+                if f.endswith((".py", ".txt")):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(path)
