@@ -1,5 +1,7 @@
 import zlib
 
+import numpy as np
+
 from cases import edge_docs, edge_rows, no_docs
 from quire.llm import quality, queries
 
@@ -40,3 +42,29 @@ def test_equal_texts_equal_scores_and_labels_stay_out(llm, docs):
     a = {r.doc_id: r.score for r in quality.score(feats(docs), model).collect()}
     b = {r.doc_id - 1000000: r.score for r in quality.score(feats(moved), model).collect()}
     assert a == b
+
+
+def test_scores_are_those_of_a_plain_discriminant(llm):
+    """A dense quadratic discriminant of one machine: covariances by numpy,
+    inverses and determinants instead of Cholesky factors."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = (llm.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    feats = quality.with_features(docs)
+    rows = {r.doc_id: np.array(r.x) for r in feats.collect()}
+    y = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 5}
+    x = {c: np.array([rows[i] for i, q in y.items() if q == c and i in rows]) for c in (0, 1)}
+    k = len(quality.FEATURES)
+    n = sum(map(len, x.values()))
+    own = {c: np.cov(x[c].T, bias=True) for c in x}
+    pooled = sum(len(x[c]) * own[c] for c in x) / n
+    pooled = (1 - quality.BETA) * pooled + quality.BETA * np.diag(np.diag(pooled)) + quality.RIDGE * np.eye(k)
+    density = {}
+    for c in x:
+        a = max(quality.ALPHA, min(1.0, k / len(x[c])))
+        cov = (1 - a) * own[c] + a * pooled + quality.RIDGE * np.eye(k)
+        z = np.array(list(rows.values())) - x[c].mean(axis=0)
+        distance = np.einsum("ij,jk,ik->i", z, np.linalg.inv(cov), z)
+        density[c] = np.log((len(x[c]) + 1) / (n + 2)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * distance
+    want = dict(zip(rows, 1 / (1 + np.exp(np.clip(density[0] - density[1], -700, 700)))))
+    got = {r.doc_id: r.score for r in quality.score(feats, quality.train(feats, labels)).collect()}
+    assert set(got) == set(want) and max(abs(got[i] - want[i]) for i in want) < 1e-6

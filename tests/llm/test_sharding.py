@@ -1,6 +1,8 @@
+import math
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from pyspark.sql import functions as F
 
 from cases import edge_docs, edge_rows, no_docs
@@ -45,3 +47,23 @@ def test_weights_and_growth(llm):
     moved = sharding.shard(keys).where("shard <> grown_shard")
     assert moved.where("grown_shard <> 24").count() == 0 and abs(moved.count() / 20000 - 1 / 25) < 0.01
     assert sharding.shard(keys, weights=[1.0]).select("shard").distinct().collect()[0][0] == 0
+
+
+def hashed(name, *numbers):
+    """The engine's hash of a text and then of numbers (int or long), each seeded by the last."""
+    h = xxhash.xxh64(name.encode(), seed=42).intdigest()
+    for value, size in numbers:
+        h = xxhash.xxh64(value.to_bytes(size, "little", signed=True), seed=h).intdigest()
+    return h
+
+
+def test_each_key_goes_to_its_highest_score(llm):
+    """The argmax of rendezvous hashing, computed again key by key."""
+    for weights in ([1.0] * 24, [1.0, 2.5, 0.5]):
+        rows = sharding.shard(llm.range(300).select(F.col("id").alias("doc_id"), F.lit("").alias("text")), weights=weights).collect()
+        for r in rows:
+            def score(k, w):
+                u = ((hashed("shard", (k, 4), (r.doc_id, 8)) >> 11) + 0.5) / (1 << 53)
+                return -w / math.log(u), -k
+            best = [-max(score(k, w) for k, w in enumerate(ws))[1] for ws in (weights, [*weights, 1.0])]
+            assert [r.shard, r.grown_shard] == best

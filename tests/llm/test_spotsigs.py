@@ -89,3 +89,39 @@ def test_signatures_depend_on_the_text_alone():
     v, first = spotsigs.signatures(*bw.text_bytes(pa.array(texts)))
     each = [spotsigs.signatures(*bw.text_bytes(pa.array([x])))[0].tolist() for x in texts]
     assert [v[a:b].tolist() for a, b in zip(first, first[1:])] == each and each[0] == each[3] and each[1] == []
+
+
+def plain_spots(text):
+    """The chains of a text, read word by word: (anchor or None for a sentence start, next content words)."""
+    word, stop, out, words, fresh = "", False, set(), [], True
+    for c in text.translate({c: c + 32 for c in range(65, 91)}) + "\n":
+        if c.isascii() and not c.isalnum():
+            if word:
+                words.append((word, fresh))
+                word, fresh = "", False
+            if c in ".!?\n":
+                fresh = True
+        else:
+            word += c
+    content = [i for i, (w, _) in enumerate(words) if w not in spotsigs.COMMON]
+    for i, (w, opens) in enumerate(words):
+        if w in spotsigs.COMMON:
+            out.add((w, *[words[k][0] for k in content if k > i][:spotsigs.CHAIN]))
+        if opens:
+            out.add((None, *[words[k][0] for k in content if k >= i][:spotsigs.CHAIN]))
+    return out
+
+
+def test_signatures_are_the_chains_of_a_plain_reading(docs):
+    """One signature a chain: as many as a plain reading finds, equal where its chains are."""
+    texts = [r.text or "" for r in docs.collect()] + ["The stone of a river. And then! of", "", "of of the", "x", "ÉTÉ été. The É", "a.b.the c"]
+    v, first = spotsigs.signatures(*bw.text_bytes(pa.array(texts, pa.large_string())))
+    plain = [plain_spots(x) for x in texts]
+    code = {}
+    for k, chains in enumerate(plain):
+        own = set(v[first[k]:first[k + 1]].tolist())
+        assert len(own) == len(chains)
+        for c in chains:
+            # A chain's signature is in every text that has the chain, and one of its own exists.
+            code[c] = code[c] & own if c in code else own
+    assert all(code.values())
