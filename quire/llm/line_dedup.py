@@ -1,4 +1,4 @@
-"""Fuzzy line dedup in DataFrame operations only.
+"""Fuzzy line dedup by SimHash blocks.
 
 Every line is normalised to its words (lower case, split at ASCII signs and
 blanks).  Its SimHash is made in blocks: each content word (common words of the
@@ -7,17 +7,19 @@ that its own hash names, some four words to a block, so a changed word touches
 the block that it leaves and the one that it enters and no other.  Two lines
 whose changes touch fewer than all blocks have an equal one (pigeonhole), and
 all lines that share a block are candidates.  As blocks meet only when they are
-equal, no majority of each bit is taken: a block's value are its least and its
-greatest vote, which copies of a line leave as they are.  Blocks are a power of two by the line's content words; a line near the border of
+equal, a block's votes are taken as one hash of the words that vote in it.
+Blocks are a power of two by the line's content words; a line near the border of
 two powers has both, so lines of slightly different length still meet.
 
 Candidates whose edit similarity (1 - Levenshtein / longer length, on normalised
 lines) reaches the threshold link; of each connected group of lines the first
 occurrence by (doc_id, line) stays and the others go.
 
-Equal lines are one node, so copies are never paired; inside a block value
-members are compared with pivots across groups only.  Only line numbers and
-hashes are shuffled; line texts are fetched for candidates alone.
+Words are found and hashed in one pass over whole arrays of bytes, each line
+leaving it as its place, its hash and its blocks' hashes; everything after that
+is joins.  Equal lines are one node, so copies are never paired; inside a block
+value members are compared with pivots across groups only.  Line texts are
+fetched for candidates alone.
 
 Not found are linked lines whose changes touch every block: the tests measure
 the share against all pairs of lines.
@@ -33,10 +35,15 @@ follows the text; an empty table gives no row.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, free_shuffles, materialize, small
+from . import bytewords as bw
+from .common import BROADCAST_ROWS, chunked, free_shuffles, materialize, small
 from .components import components, linked_groups
 from .spotsigs import COMMON
 
@@ -71,51 +78,116 @@ def _lines(rows: DataFrame) -> DataFrame:
     return rows.select("_doc", "_key", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
 
 
-def _normal_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(_doc, _key, _pos, _words) of every line of enough words."""
-    return (_lines(_identity(docs)).select("_doc", "_key", "_pos", words_of(F.col("_line")).alias("_words"))
-            .where(F.size("_words") >= min_words))
-
-
-def line_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_doc, _key, _pos, node, size): each line's place, its normalised hash and length."""
-    size = F.expr("aggregate(_words, size(_words) - 1, (n, w) -> n + length(w))")
-    return _normal_lines(docs, min_words).select("_doc", "_key", "_pos", F.xxhash64("_words").alias("node"), size.alias("size"))
-
-
-def line_blocks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Distinct (key, node): the blocks of every line.  A line's words lie in one
-    task, so its blocks leave the task as one row each, copies merged."""
-    common = F.array(*[F.lit(w) for w in sorted(COMMON)])
-    rows = _normal_lines(docs, min_words).select(F.xxhash64("_words").alias("node"), F.array_except("_words", common).alias("_content"), "_words")
-    rows = rows.select("node", F.when(F.size("_content") > 0, F.col("_content")).otherwise(F.array_distinct("_words")).alias("_content"))
-    rows = rows.select("node", "_content", F.size("_content").alias("n"))
-    # The number of blocks as a power of two; near a border both of its sides.
-    bits = [f"case when n * {x} < {SHORT} then {SHORT_BITS} else greatest({LEAST_BITS}, cast(floor(log2(n * {x} / {BLOCK_WORDS}) + 1e-9) as int)) end"
-            for x in (BORDER, 1 / BORDER)]
-    rows = rows.select("node", F.explode(F.array_distinct(F.array(*map(F.expr, bits)))).alias("b"), (F.col("n") < SHORT).cast("long").alias("short"), "_content")
-    votes = rows.select("node", "b", "short", F.explode("_content").alias("w")).select("node", "b", "short", F.xxhash64("w").alias("h"))
-    block = F.expr("shiftleft(short, 50) | shiftleft(cast(b as bigint), 40) | shiftrightunsigned(h, 64 - b)")
-    blocks = votes.select("node", block.alias("block"), "h").groupBy("node", "block").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
-    # One vote alone is a short line's reason only.
-    told = blocks.where("lo <> hi or block >= shiftleft(1L, 50)")
-    return told.select(F.xxhash64("block", "lo", "hi").alias("key"), "node")
-
-
-def line_links(docs: DataFrame, occurrences: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b): linked normalised lines (nodes) among the occurrences."""
-    keyed = materialize(line_blocks(docs, min_words))
+_SIGN = np.ones(256, bool)
+_SIGN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
+
+def _common_words() -> np.ndarray:
+    data, offsets = bw.text_bytes(pa.array(sorted(COMMON), pa.large_string()))
+    return np.sort(bw.words(data, offsets, _SIGN)[3])
+
+
+_COMMON = _common_words()
+
+
+def _bits(n: np.ndarray) -> np.ndarray:
+    """The number of blocks, as a power of two, of lines with ``n`` content words."""
+    long_line = np.maximum(LEAST_BITS, np.floor(np.log2(np.maximum(n, 1) / BLOCK_WORDS) + 1e-9)).astype(np.int64)
+    return np.where(n < SHORT, SHORT_BITS, long_line)
+
+
+def _blocks(h: np.ndarray, first: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, line) of the blocks of lines: line i has the distinct content words
+    h[first[i]:first[i + 1]], ascending, in 2 ** bits[i] blocks."""
+    n = np.diff(first)
+    owner = np.repeat(np.arange(len(n)), n)
+    if not len(h):
+        return h, owner
+    block = h >> (np.uint64(64) - bits.astype(np.uint64))[owner]
+    start = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])]))
+    votes = np.diff(np.append(start, len(h)))
+    line = owner[start]
+    with np.errstate(over="ignore"):
+        key = bw.mix(np.add.reduceat(bw.mix(h), start) + bits.astype(np.uint64)[line] * bw._STEP[3])
+    keep = (votes >= VOTES) | (n[line] < SHORT)
+    return key[keep], line[keep]
+
+
+def lines_of(texts: list[str | None], min_words: int):
+    """(text, line number, node, length, keys, first) of every line of enough
+    words: ``node`` is the hash of its normalised words, ``length`` theirs in bytes
+    with blanks between, line i's blocks are keys[first[i]:first[i + 1]]."""
+    lower = [(x or "").lower().encode() for x in texts]
+    data = np.frombuffer(b"".join(lower), np.uint8)
+    ends = np.cumsum([len(x) for x in lower])
+    breaks = np.flatnonzero(data == 10)
+    # A line ends at its break or with its text.
+    offsets = np.sort(np.concatenate([[0], breaks + 1, ends]))
+    text = np.searchsorted(ends, np.concatenate([breaks, ends]), "left")
+    text[len(breaks):] = np.arange(len(ends))
+    place = np.lexsort((np.concatenate([breaks, ends]), text))
+    text = text[place]
+    number = np.arange(len(text)) - np.searchsorted(text, text)
+    start, end, first, h = bw.words(data, offsets, _SIGN)
+    n = np.diff(first)
+    owner = np.repeat(np.arange(len(n)), n)
+    place = np.arange(len(h)) - np.repeat(first[:-1], n)
+    with np.errstate(over="ignore"):
+        node = bw.mix(_sums(h * bw._powers(int(n.max(initial=0)))[0][place], first) + n.astype(np.uint64) * bw._STEP[2])
+    length = _sums(end - start, first) + n - 1
+    # Distinct content words a line, or all of them where there is no other.
+    at = np.minimum(np.searchsorted(_COMMON, h), len(_COMMON) - 1)
+    content = _COMMON[at] != h
+    content |= (_sums(content.astype(np.int64), first) == 0)[owner]
+    distinct, begin = bw.distinct_sorted(h[content], np.concatenate([[0], np.cumsum(_sums(content.astype(np.int64), first))]))
+    size = np.diff(begin)
+    one, two = _bits(size * BORDER), _bits(size / BORDER)
+    key, line = _blocks(distinct, begin, one)
+    other = np.flatnonzero(one != two)
+    more_h = np.concatenate([distinct[begin[i]:begin[i + 1]] for i in other]) if len(other) else distinct[:0]
+    more, more_line = _blocks(more_h, np.concatenate([[0], np.cumsum(size[other])]), two[other])
+    key, line = np.concatenate([key, more]), np.concatenate([line, other[more_line]])
+    order = np.argsort(line, kind="stable")
+    keep = n >= max(min_words, 1)
+    kept_key = keep[line[order]]
+    counts = np.bincount(line, minlength=len(n))[keep]
+    return text[keep], number[keep], node[keep], length[keep], key[order][kept_key], np.concatenate([[0], np.cumsum(counts)])
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs, 0 for an empty one (wrapping)."""
+    with np.errstate(over="ignore"):
+        total = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
+        return total[first[1:]] - total[first[:-1]]
+
+
+def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(_doc, _key, _pos, node, size, keys) of every line of enough words; map-only."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunked(batches, "_text"):
+            text, number, node, length, keys, first = lines_of(part.column("_text").to_pylist(), min_words)
+            at = pa.array(text)
+            blocks = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(keys.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*(part.column(c).combine_chunks().take(at) for c in ("_doc", "_key")), pa.array(number.astype(np.int32)),
+                                              pa.array(node.view(np.int64)), pa.array(length.astype(np.int64)), blocks],
+                                             names=["_doc", "_key", "_pos", "node", "size", "keys"])
+    return _identity(docs).mapInArrow(run, "_doc long, _key long, _pos int, node long, size long, keys array<long>")
+
+
+def line_links(docs: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): linked normalised lines (nodes) among the lines of ``line_table``."""
+    keyed = materialize(lines.select(F.explode("keys").alias("key"), "node").distinct())
     free_shuffles(docs.sparkSession)
     # Which blocks are shared is told by two numbers a block, whatever its number of lines.
     shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
     met = materialize(keyed.join(small(materialize(shared)), "key").select("key", "node"))
     free_shuffles(docs.sparkSession)
-    nodes = materialize(occurrences.join(small(materialize(met.select("node").distinct())), "node")
+    nodes = materialize(lines.join(small(materialize(met.select("node").distinct())), "node")
                         .groupBy("node").agg((-F.count(F.lit(1))).alias("rank"), F.min("size").alias("size")))
     met = materialize(met.join(small(nodes), "node").select("key", "node", "rank", "size"))
     wanted = met.select("node").distinct()
     # Any occurrence shows a node's text; it is fetched for these nodes alone.
-    place = materialize(occurrences.join(small(materialize(wanted)), "node").groupBy("node").agg(F.min(F.struct("_key", "_pos")).alias("p")).select("node", "p._key", "p._pos"))
+    place = materialize(lines.join(small(materialize(wanted)), "node").groupBy("node").agg(F.min(F.struct("_key", "_pos")).alias("p")).select("node", "p._key", "p._pos"))
     rows = _identity(docs).join(small(place.select("_key").distinct()), "_key", "left_semi")
     texts = materialize(_lines(rows).join(small(place), ["_key", "_pos"]).select("node", F.array_join(words_of(F.col("_line")), " ").alias("norm")).dropDuplicates(["node"]))
     free_shuffles(docs.sparkSession)
@@ -136,8 +208,8 @@ def line_links(docs: DataFrame, occurrences: DataFrame, min_words: int = MIN_WOR
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(_key, gone): the line numbers (from 0) that each document loses."""
-    occurrences = materialize(line_places(docs, min_words))
-    comp = materialize(components(line_links(docs, occurrences, min_words, similarity)))
+    occurrences = materialize(line_table(docs, min_words))
+    comp = materialize(components(line_links(docs, occurrences, similarity)))
     repeated = occurrences.groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
     grouped = (repeated.join(comp, "node", "left").where("component is not null or copies > 1")
                .select("node", F.coalesce("component", "node").alias("component")))

@@ -4,17 +4,20 @@ import re
 
 import duckdb
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cases import Groups, edge_docs, edge_rows, no_docs, prose
+from quire.llm import bytewords as bw
 from quire.llm import line_dedup, queries
 from quire.llm.components import components
 from quire.llm.spotsigs import COMMON
 
 
 def h64(word):
-    return xxhash.xxh64(word.encode(), seed=42).intdigest()
+    """The library's hash of one word (a test of its own compares words by it)."""
+    data, offsets = bw.text_bytes(pa.array([word], pa.large_string()))
+    return int(bw.words(data, offsets, line_dedup._SIGN)[3][0])
 
 
 def normal(line):
@@ -22,16 +25,16 @@ def normal(line):
 
 
 def blocks(norm):
-    """The keys of a line's blocks."""
+    """The keys of a line's blocks, as sets of words."""
     words = set(norm.split(" "))
     content = words - COMMON or words
     n, out = len(content), set()
     for v in (n * line_dedup.BORDER, n / line_dedup.BORDER):
         bits = 2 if v < 12 else max(3, int(math.floor(math.log2(v / 4) + 1e-9)))
         held = {}
-        for h in map(h64, content):
-            held.setdefault(h >> (64 - bits), []).append((h ^ 1 << 63))
-        out |= {(n < 12, bits, k, min(x), max(x)) for k, x in held.items() if len(x) > 1 or n < 12}
+        for w in content:
+            held.setdefault(h64(w) >> (64 - bits), []).append(w)
+        out |= {(bits, frozenset(x)) for x in held.values() if len(x) > 1 or n < 12}
     return out
 
 
@@ -93,10 +96,11 @@ def test_fuzzy_lines_against_brute_force(llm):
 def found_share(llm, frame):
     """(share of linked pairs of distinct lines that end in one group, their
     number), against all pairs, whatever their blocks."""
-    places = line_dedup.line_places(frame, line_dedup.ALL_LINES)
-    texts = line_dedup._normal_lines(frame, 1).select(F.xxhash64("_words").alias("node"), F.array_join("_words", " ").alias("norm")).distinct()
+    table = line_dedup.materialize(line_dedup.line_table(frame, line_dedup.ALL_LINES))
+    rows = line_dedup._lines(line_dedup._identity(frame)).select("_key", "_pos", F.array_join(line_dedup.words_of(F.col("_line")), " ").alias("norm"))
+    texts = table.join(rows, ["_key", "_pos"]).select("node", "norm").distinct()
     lines = pd.DataFrame([tuple(r) for r in texts.collect()], columns=["node", "norm"])
-    group = {r.node: r.component for r in components(line_dedup.line_links(frame, places, line_dedup.ALL_LINES)).collect()}
+    group = {r.node: r.component for r in components(line_dedup.line_links(frame, table)).collect()}
     con = duckdb.connect()
     con.register("lines", lines)
     pairs = con.execute("""SELECT a.node, b.node FROM lines a JOIN lines b ON a.node < b.node AND length(a.norm) >= 0.8 * length(b.norm) AND length(b.norm) >= 0.8 * length(a.norm)
@@ -138,9 +142,19 @@ def test_table_keeps_one_of_each_equal_line(llm, sf, docs):
     assert {normal(x) for t in text.values() for x in t.split("\n") if len(normal(x).split(" ")) >= 5} >= seen
 
 
-def test_only_native_operators(llm, docs):
-    plan = "".join(f(docs)._jdf.queryExecution().executedPlan().toString() for f in (line_dedup.line_blocks, line_dedup.line_places))
-    assert not re.search("Python|Pandas|Arrow", plan)
+def test_lines_of_whole_texts():
+    texts = ["", None, "a b\n\nA, b!\n", "über  ALLES\n--\nüber alles", "x\ny", "\n", "the of the\nof the of"]
+    text, number, node, length, keys, first = line_dedup.lines_of(texts, 1)
+    want = [(i, p, normal(line)) for i, x in enumerate(texts) for p, line in enumerate((x or "").split("\n")) if normal(line)]
+    assert list(zip(text.tolist(), number.tolist())) == [w[:2] for w in want]
+    assert length.tolist() == [len(w[2].encode()) for w in want]
+    for i, a in enumerate(want):
+        for j, b in enumerate(want):
+            assert (node[i] == node[j]) == (a[2] == b[2])
+            assert bool(set(keys[first[i]:first[i + 1]].tolist()) & set(keys[first[j]:first[j + 1]].tolist())) == bool(blocks(a[2]) & blocks(b[2]))
+    long_line = " ".join(f"w{k}" for k in range(60000))
+    assert len(line_dedup.lines_of([long_line], 1)[4]) > 5000
+    assert len(line_dedup.lines_of([], 1)[0]) == 0
 
 
 def test_edges(llm):
