@@ -11,7 +11,9 @@ equal, a block's votes are taken as one hash of the words that vote in it.
 Blocks are a power of two by the line's content words; a line near the border of
 two powers has both, so lines of slightly different length still meet.
 
-Candidates whose edit similarity (1 - Levenshtein / longer length, on normalised
+A line's SimHash as a whole (64 bits, the majority of its content words' hash
+bits) passes over candidates that have only a block in common: beyond
+``DISTANCE`` bits they are not compared, short lines apart.  Candidates whose edit similarity (1 - Levenshtein / longer length, on normalised
 lines) reaches the threshold link; of each connected group of lines the first
 occurrence by (doc_id, line) stays and the others go.
 
@@ -21,8 +23,8 @@ is joins.  Equal lines are one node, so copies are never paired; inside a block
 value members are compared with pivots across groups only.  Line texts are
 fetched for candidates alone.
 
-Not found are linked lines whose changes touch every block: the tests measure
-the share against all pairs of lines.
+Not found are linked lines whose changes touch every block or more bits: the
+tests measure the share against all pairs of lines.
 
 Defined results: a null text has one empty line and becomes an empty text;
 lines of fewer than ``min_words`` words are never removed and never keep
@@ -58,6 +60,9 @@ SHORT, SHORT_BITS, LEAST_BITS = 12, 2, 3
 VOTES = 2
 #: Lines this near (by ratio of content words) to the border of two powers have both.
 BORDER = 1.06
+#: Bits in which the SimHashes of compared lines differ at most, where the
+#: shorter line has this many characters or more.
+DISTANCE, DISTANCE_LENGTH = 22, 40
 PAIR_ROWS = 1_500_000        # pairs up to which they are broadcast
 _SIGNS = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 
@@ -113,10 +118,21 @@ def _blocks(h: np.ndarray, first: np.ndarray, bits: np.ndarray) -> tuple[np.ndar
     return key[keep], line[keep]
 
 
+def _simhash(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The majority of each of 64 bits over consecutive runs of hashes (0 for an empty run)."""
+    out = np.zeros(len(first) - 1, np.uint64)
+    some = np.flatnonzero(np.diff(first))
+    if len(some):
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
+        votes = np.add.reduceat(bits, first[:-1][some], axis=0, dtype=np.int32)
+        out[some] = np.packbits(2 * votes > np.diff(first)[some][:, None], axis=1).view(np.uint64).ravel()
+    return out
+
+
 def lines_of(texts: list[str | None], min_words: int):
-    """(text, line number, node, length, keys, first) of every line of enough
-    words: ``node`` is the hash of its normalised words, ``length`` theirs in bytes
-    with blanks between, line i's blocks are keys[first[i]:first[i + 1]]."""
+    """(text, line number, node, length, simhash, keys, first) of every line of
+    enough words: ``node`` is the hash of its normalised words, ``length`` theirs in
+    characters with blanks between, line i's blocks are keys[first[i]:first[i + 1]]."""
     lower = [(x or "").lower().encode() for x in texts]
     data = np.frombuffer(b"".join(lower), np.uint8)
     ends = np.cumsum([len(x) for x in lower])
@@ -134,7 +150,8 @@ def lines_of(texts: list[str | None], min_words: int):
     place = np.arange(len(h)) - np.repeat(first[:-1], n)
     with np.errstate(over="ignore"):
         node = bw.mix(_sums(h * bw._powers(int(n.max(initial=0)))[0][place], first) + n.astype(np.uint64) * bw._STEP[2])
-    length = _sums(end - start, first) + n - 1
+    inner = np.concatenate([np.zeros(1, np.int64), np.cumsum((data & 0xC0) == 0x80)])          # bytes that begin no character
+    length = _sums(end - start - (inner[end] - inner[start]), first) + n - 1
     # Distinct content words a line, or all of them where there is no other.
     at = np.minimum(np.searchsorted(_COMMON, h), len(_COMMON) - 1)
     content = _COMMON[at] != h
@@ -151,7 +168,7 @@ def lines_of(texts: list[str | None], min_words: int):
     keep = n >= max(min_words, 1)
     kept_key = keep[line[order]]
     counts = np.bincount(line, minlength=len(n))[keep]
-    return text[keep], number[keep], node[keep], length[keep], key[order][kept_key], np.concatenate([[0], np.cumsum(counts)])
+    return text[keep], number[keep], node[keep], length[keep], _simhash(distinct, begin)[keep], key[order][kept_key], np.concatenate([[0], np.cumsum(counts)])
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -162,47 +179,52 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_doc, _key, _pos, node, size, keys) of every line of enough words; map-only."""
+    """(_doc, _key, _pos, node, size, sim, keys) of every line of enough words; map-only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunked(batches, "_text"):
-            text, number, node, length, keys, first = lines_of(part.column("_text").to_pylist(), min_words)
+            text, number, node, length, sim, keys, first = lines_of(part.column("_text").to_pylist(), min_words)
             at = pa.array(text)
             blocks = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(keys.view(np.int64)))
             yield pa.RecordBatch.from_arrays([*(part.column(c).combine_chunks().take(at) for c in ("_doc", "_key")), pa.array(number.astype(np.int32)),
-                                              pa.array(node.view(np.int64)), pa.array(length.astype(np.int64)), blocks],
-                                             names=["_doc", "_key", "_pos", "node", "size", "keys"])
-    return _identity(docs).mapInArrow(run, "_doc long, _key long, _pos int, node long, size long, keys array<long>")
+                                              pa.array(node.view(np.int64)), pa.array(length.astype(np.int64)), pa.array(sim.view(np.int64)), blocks],
+                                             names=["_doc", "_key", "_pos", "node", "size", "sim", "keys"])
+    return _identity(docs).mapInArrow(run, "_doc long, _key long, _pos int, node long, size long, sim long, keys array<long>")
 
 
 def line_links(docs: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): linked normalised lines (nodes) among the lines of ``line_table``."""
-    keyed = materialize(lines.select(F.explode("keys").alias("key"), "node").distinct())
-    free_shuffles(docs.sparkSession)
+    spark = docs.sparkSession
+    keyed = lines.select(F.explode("keys").alias("key"), "node")
     # Which blocks are shared is told by two numbers a block, whatever its number of lines.
-    shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
-    met = materialize(keyed.join(small(materialize(shared)), "key").select("key", "node"))
-    free_shuffles(docs.sparkSession)
+    shared = materialize(keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key"))
+    free_shuffles(spark)
+    met = materialize(keyed.join(small(shared, PAIR_ROWS), "key").distinct())
     nodes = materialize(lines.join(small(materialize(met.select("node").distinct())), "node")
-                        .groupBy("node").agg((-F.count(F.lit(1))).alias("rank"), F.min("size").alias("size")))
-    met = materialize(met.join(small(nodes), "node").select("key", "node", "rank", "size"))
-    wanted = met.select("node").distinct()
-    # Any occurrence shows a node's text; it is fetched for these nodes alone.
-    place = materialize(lines.join(small(materialize(wanted)), "node").groupBy("node").agg(F.min(F.struct("_key", "_pos")).alias("p")).select("node", "p._key", "p._pos"))
-    rows = _identity(docs).join(small(place.select("_key").distinct()), "_key", "left_semi")
-    texts = materialize(_lines(rows).join(small(place), ["_key", "_pos"]).select("node", F.array_join(words_of(F.col("_line")), " ").alias("norm")).dropDuplicates(["node"]))
-    free_shuffles(docs.sparkSession)
+                        .groupBy("node").agg((-F.count(F.lit(1))).alias("rank"), F.min("size").alias("size"), F.min("sim").alias("sim")))
+    met = materialize(met.join(small(nodes), "node").select("key", "node", "rank", "size", "sim"))
+    del shared, nodes
+    free_shuffles(spark)
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """(node, norm): any occurrence shows a node's text."""
+        place = materialize(lines.join(small(materialize(nodes)), "node").groupBy("node").agg(F.min(F.struct("_key", "_pos")).alias("p")).select("node", "p._key", "p._pos"))
+        rows = _identity(docs).join(small(place.select("_key").distinct()), "_key", "left_semi")
+        return materialize(_lines(rows).join(small(place), ["_key", "_pos"]).select("node", F.array_join(words_of(F.col("_line")), " ").alias("norm")).dropDuplicates(["node"]))
+
     most = f"cast(floor((1 - {similarity}) * greatest(length(x), length(y)) + 1e-9) as int)"
     # The distance is banded by its limit: most copies pass a narrow band first.
     near = " or ".join(f"levenshtein(x, y, cast({most} / {k} as int)) >= 0" for k in (16, 4)) + f" or levenshtein(x, y, {most}) >= 0"
 
     def verify(pairs: DataFrame) -> DataFrame:
         # The pairs (two numbers each) travel to the texts; a pair's second text and each pivot's move once.
+        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         p = small(pairs, PAIR_ROWS)
         others = texts.join(p, F.col("node") == F.col("b")).select("a", "b", F.col("norm").alias("y"))
         hubs = texts.join(small(materialize(pairs.select("a").distinct())), F.col("node") == F.col("a"), "left_semi").select(F.col("node").alias("a"), F.col("norm").alias("x"))
         p = others.join(hubs, "a")
         return p.where(f"abs(length(x) - length(y)) <= {most}").where(near).select("a", "b")
-    like = f"least(l_size, r_size) >= {similarity} * greatest(l_size, r_size) - 1e-9"
+    like = (f"least(l_size, r_size) >= {similarity} * greatest(l_size, r_size) - 1e-9 and "
+            f"(least(l_size, r_size) < {DISTANCE_LENGTH} or bit_count(l_sim ^ r_sim) <= {DISTANCE})")
     return linked_groups(met, verify, like, size="size")
 
 
