@@ -44,7 +44,7 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType = PAPER_JSON,
     lines = lines.withColumn("_file", F.col("_metadata.file_path"))
     if layout != "hive":
         fname = F.col("_metadata.file_name")
-        lines = (lines.withColumn("date", F.to_date(F.regexp_extract(fname, pattern, 1)))
+        lines = (lines.withColumn("date", F.try_to_date(F.regexp_extract(fname, pattern, 1)))
                  .withColumn("language", F.nullif(F.regexp_extract(fname, pattern, 2), F.lit("")))
                  .where(F.col("language").isin(*languages)))
     parsed = lines.withColumn("_j", F.from_json("value", s, opts))
@@ -203,7 +203,7 @@ def list_files(spark: SparkSession, path: str, date_from: str | None = None, dat
 
 def slices(files: DataFrame, pattern: str = fixed.ENRICHED_FILE_PATTERN, languages: Sequence[str] | None = None) -> DataFrame:
     """The ``(date, language)`` slices behind a file listing with
-    ``listing_pos``, the slice's place in the sorted listing.
+    ``listing_pos``, the name by which the slice is placed in the sorted listing.
 
     Folder keys tell a slice where the layout has them, else the file's name
     does (``languages`` are then the ones that count); contents never do, so an
@@ -219,10 +219,7 @@ def slices(files: DataFrame, pattern: str = fixed.ENRICHED_FILE_PATTERN, languag
         languages, name = wanted, slice_name("date", "language")
     if languages is not None:
         found = found.where(F.col("language").isin(*languages))
-    # One row a slice: a calendar-bounded table, so its numbering is one small task.
-    w = Window.orderBy("name")
-    one = found.where(F.col("language").isNotNull()).distinct().withColumn("name", name)
-    return one.select("date", "language", (F.row_number().over(w) - 1).cast("long").alias("listing_pos"))
+    return found.where(F.col("language").isNotNull()).distinct().select("date", "language", name.alias("listing_pos"))
 
 
 def slice_name(date: str, language: str) -> Column:

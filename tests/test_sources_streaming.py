@@ -33,6 +33,7 @@ def test_flat_files_languages_broken_lines(spark, tmpdir_path):
     # Files decide by their names, the empty one too; other names do not count.
     _write(tmpdir_path, "2026-01-03.jsonl", [_paper(5, ["cs.LG"])])
     _write(tmpdir_path, "notes.txt", ["x"])
+    assert feed.read_feed(spark, tmpdir_path, layout="flat")[0].count() == 3
     files = feed.list_files(spark, tmpdir_path)
     assert [(r.date, r.languages) for r in feed.discover(feed.slices(files)).collect()] == [
         (dt.date(2026, 1, 2), ["English"]), (dt.date(2026, 1, 1), ["Chinese", "English"])]

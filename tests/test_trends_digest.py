@@ -110,7 +110,7 @@ def test_section_totals_count_skipped_rows(spark):
 def test_numbering_is_skew_safe_and_exact(spark):
     rows = [("hot" if i % 3 else f"g{i % 7}", i) for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, v long").repartition(5)
-    got = numbering.number_rows(df, [F.col("v").desc()], ["g"], size_name="n", num_partitions=6)
+    got = numbering.number_rows(df, [-F.col("v")], ["g"], size_name="n", num_partitions=6)      # keys ascend: negated to descend
     expect = {}
     for g in {r[0] for r in rows}:
         vs = sorted((v for gg, v in rows if gg == g), reverse=True)
