@@ -1,6 +1,7 @@
 """Helpers shared by the training-data operators."""
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..session import apply_confs, checkpoint_dir, materialize  # noqa: F401
 
+#: The C library's way to give free memory back, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 #: Rows of text that one Arrow batch may hold: bounds a Python worker's memory
 #: whatever the texts' length.
 ARROW_ROWS = 256
@@ -59,6 +62,14 @@ def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def release_memory() -> None:
+    """Give back what a worker's finished task has freed: allocators keep it for
+    themselves, and workers live as long as their executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def chunked(batches: Iterable[pa.RecordBatch], text: str | list[str], size: int = CHUNK_BYTES) -> Iterator[pa.Table]:
     """Regroup Arrow batches into tables of about ``size`` bytes of text (one
     row at least), so vectorised work is long enough and memory stays bounded."""
@@ -81,6 +92,8 @@ def chunked(batches: Iterable[pa.RecordBatch], text: str | list[str], size: int
             hold.append(batch.slice(start))
     if hold:
         yield pa.Table.from_batches(hold)
+    hold.clear()
+    release_memory()
 
 
 def drop_rows(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:

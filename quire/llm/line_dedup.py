@@ -62,7 +62,7 @@ VOTES = 2
 BORDER = 1.06
 #: Bits in which the SimHashes of compared lines differ at most, where the
 #: shorter line has this many characters or more.
-DISTANCE, DISTANCE_LENGTH = 22, 40
+DISTANCE, DISTANCE_LENGTH = 22, 16
 PAIR_ROWS = 1_500_000        # pairs up to which they are broadcast
 _SIGNS = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 

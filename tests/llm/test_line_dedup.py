@@ -44,7 +44,7 @@ def alike(a, b):
         words = set(norm.split(" "))
         hashes = [h64(w) for w in words - COMMON or words]
         return [2 * sum(h >> i & 1 for h in hashes) > len(hashes) for i in range(64)]
-    return min(len(a), len(b)) < 40 or sum(x != y for x, y in zip(bits(a), bits(b))) <= 22
+    return min(len(a), len(b)) < line_dedup.DISTANCE_LENGTH or sum(x != y for x, y in zip(bits(a), bits(b))) <= 22
 
 
 def edits(a, b):
