@@ -44,7 +44,7 @@ from .common import chunked
 LIMIT = 2048
 #: Stretches between blanks (each half of the store) and pairs of tokens that a
 #: worker keeps; what is met again stays.
-KEPT_UNITS = 120_000
+KEPT_UNITS = 300_000
 KEPT_PAIRS = 250_000
 #: Characters up to which a stretch is kept.
 KEPT_LENGTH = 48
@@ -187,7 +187,7 @@ class PrefixTokens:
         got = self._known(unit)
         if got is not None:
             return got
-        pieces = self.split.findall(unit)
+        pieces = [unit] if unit.isalpha() else self.split.findall(unit)
         if len(pieces) == 1:
             return self._keep(unit, self.piece_steps(unit))
         out = []
