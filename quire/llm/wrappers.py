@@ -94,10 +94,14 @@ def _prose(n: Node) -> bool:
 def _outside(n: Node, in_article: bool) -> bool:
     if n.tag in NOT_ARTICLE or n.role in NOT_ARTICLE_ROLES or n.hidden or n.tag == "header" and not in_article:
         return True
+    if not n.names:
+        return False
     names = set(n.names)
     if n.tag in TEXT_TAGS:
         return n.tag == "article" and bool({"comment", "reply"} & names)
-    if (ADVERTS | COMMENT_NAMES) & names:
+    if names.isdisjoint(NOT_ARTICLE_NAMES):
+        return False
+    if not names.isdisjoint(COMMENT_NAMES) or not names.isdisjoint(ADVERTS):
         return True
     hints = NOT_ARTICLE_NAMES & names
     if in_article:
@@ -107,19 +111,29 @@ def _outside(n: Node, in_article: bool) -> bool:
     return not _prose(n)
 
 
-def _roots(node: Node, wanted) -> list[Node]:
-    """Topmost nodes that ``wanted`` accepts, in page order, outside of what is
+def _kind(n: Node) -> int:
+    """How clearly an element says that it is the article: 0 most, 3 not at all."""
+    if n.tag == "article":
+        return 0
+    if n.tag == "main" or n.role == "main":
+        return 1
+    return 2 if n.names and n.tag in ("div", "section") and not ARTICLE_NAMES.isdisjoint(n.names) else 3
+
+
+def _roots(root: Node) -> list[list[Node]]:
+    """For each kind the topmost nodes of it, in page order, outside of what is
     not the article."""
-    out: list[Node] = []
-    stack = [node]
+    out: list[list[Node]] = [[], [], []]
+    stack = [(root, 0)]
     while stack:
-        n = stack.pop()
-        if n is not node and _outside(n, False):
+        n, within = stack.pop()
+        if n is not root and _outside(n, False):
             continue
-        if wanted(n):
-            out.append(n)
-        else:
-            stack += reversed(n.nodes())
+        kind = _kind(n)
+        if kind < 3 and not within >> kind & 1:
+            out[kind].append(n)
+            within |= 1 << kind
+        stack += [(kid, within) for kid in reversed(n.nodes())]
     return out
 
 
@@ -139,9 +153,7 @@ def _letters(nodes: list[Node]) -> int:
 def article_roots(root: Node) -> list[Node]:
     """The elements that hold the article, by the clearest sign that holds a
     fair share of the text; the whole page without one."""
-    kinds = [_roots(root, wanted) for wanted in (
-        lambda n: n.tag == "article", lambda n: n.tag == "main" or n.role == "main",
-        lambda n: n.tag in ("div", "section") and bool(ARTICLE_NAMES & set(n.names)))]
+    kinds = _roots(root)
     if not any(kinds):
         return [root]
     if sum(map(bool, kinds)) == 1:
