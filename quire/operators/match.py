@@ -4,7 +4,7 @@ matching with match reasons, term tables, match-first reading lists.
 Matching is case-insensitive substring search.  A literal term list becomes
 one ``contains`` per term inside a single projection (whole-stage codegen, no
 shuffle, no Python).  A term *table* (J5/J7) of any size is matched by one
-plan: each distinct term is keyed by one of its character runs (its seed),
+plan: each distinct term is keyed by one of its runs of bytes (its seed),
 texts offer those of their runs that a bitmap of all seeds lets through, an
 equi-join on the seed gives candidates, and ``contains`` verifies them.
 """
@@ -176,11 +176,12 @@ def term_hits(df: DataFrame, terms: DataFrame, hay: Column, key: str = "id",
 
     Distinct terms are matched once, case-insensitively (lower-cased on the
     JVM like the haystack).  One seed a term (``seeds.py``) stands for it; a
-    bitmap of the seeds' hashes is tested inside each row, so only runs that
-    may be a seed leave it, and the candidates that meet a term on an equal
-    seed are verified with ``contains``.  A term table within a measured size
-    is sent to the texts, and no text moves; beyond it only (key, seed) pairs
-    are shuffled and the texts are joined back by key.
+    bitmap of the seeds is tested over the texts' bytes, so only runs that may
+    be a seed become rows, and the candidates that meet a term on an equal seed
+    are verified with ``contains`` (a term that is its own seed needs none).  A
+    term table within a measured size is sent to the texts, and no text moves;
+    beyond it only (key, seed) pairs are shuffled and the texts are joined back
+    by key and verified there, as a key may repeat.
     """
     dterms = _distinct_terms(terms, term_col).select("term", F.lower("term").alias("lt"))
     seeded = seeds.seeded_terms(dterms)
@@ -191,10 +192,9 @@ def term_hits(df: DataFrame, terms: DataFrame, hay: Column, key: str = "id",
     candidates = F.explode(table.runs(F.col("_hay"))).alias("_seed")
     if table.small:
         near = base.select(key, "_hay", candidates).join(F.broadcast(seeded), "_seed")
-    else:
-        pairs = base.select(key, candidates).join(seeded, "_seed").select(key, "term", "lt").distinct()
-        near = base.join(pairs, key)
-    return near.where(F.col("_hay").contains(F.col("lt"))).select(key, "term")
+        return near.where(seeds.is_whole("lt") | F.col("_hay").contains(F.col("lt"))).select(key, "term")
+    pairs = base.select(key, candidates).join(seeded, "_seed").select(key, "term", "lt").distinct()
+    return base.join(pairs, key).where(F.col("_hay").contains(F.col("lt"))).select(key, "term")
 
 
 HAYSTACKS = (("keyword", keyword_haystack), ("author", author_haystack))
