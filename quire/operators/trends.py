@@ -19,7 +19,7 @@ map-side.  A user tagger can replace step 2 via ``candidates_from_tags``.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,10 +62,21 @@ def top_terms(cands: Column | str, k: int = fixed.TERMS_PER_TITLE) -> Column:
 def term_weights(cands: Column | str) -> Column:
     """``array<struct<term, weight>>`` with weight = w / sum(w)."""
     c = F.col(cands) if isinstance(cands, str) else cands
-    w = F.transform(c, lambda x: F.when(F.instr(x, " ") > 0, F.lit(fixed.PHRASE_WEIGHT)).otherwise(F.lit(1.0)))
-    total = F.aggregate(w, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(F.arrays_zip(c.alias("term"), w.alias("w")),
-                       lambda z: F.struct(z.getField("term").alias("term"), (z.getField("w") / total).alias("weight")))
+
+    def weight(x: Column) -> Column:
+        return F.when(F.instr(x, " ") > 0, F.lit(fixed.PHRASE_WEIGHT)).otherwise(F.lit(1.0))
+
+    def weighed(terms: Column) -> Column:
+        total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + weight(x))
+        return _once(total, lambda t: F.transform(terms, lambda x: F.struct(x.alias("term"), (weight(x) / t).alias("weight"))))
+
+    return _once(c, weighed)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value found once, however often it is used (an
+    expression that stands inside a lambda is found anew for every element)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def title_keywords(papers: DataFrame, title_col: str = "title") -> DataFrame:
