@@ -21,6 +21,8 @@ SQL_CONFS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A Python worker holds a few batches: rows may be whole texts or pages, so bytes bound them.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Partition overwrite replaces only the (date, language) slices a job writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Model output with a repeated key keeps the last value, as a JSON decoder does.
