@@ -21,8 +21,9 @@ A copy of the reference says nothing about its template, so a page whose
 article is the reference's does not vote; a layout with one page has no
 template.  Votes are summed inside tasks before they are shuffled, and the
 wrapper of a layout (one page and its constant texts) travels to the pages: by
-broadcast within a byte bound, else by a join on (layout, salt), so a host that
-holds a large part of all pages is spread.
+broadcast within a byte bound, where a page is parsed once for its layout and
+what it is compared for, else by a join on (layout, salt), so a host that holds
+a large part of all pages is spread.
 
 Defined results: null or empty html gives an empty text; a null url or one
 without a host has no template; repeated rows are answered each; other columns
@@ -32,9 +33,10 @@ from __future__ import annotations
 
 import hashlib
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -304,7 +306,11 @@ def layout(root: Node) -> str:
 
 def main_text(page: str | None, reference: Reference | None = None, template: set[tuple[int, int]] = frozenset()) -> str:
     """A page's main text: article blocks that are not the host's template."""
-    root = parse(page)
+    return tree_text(parse(page), reference, template)
+
+
+def tree_text(root: Node, reference: Reference | None, template: set[tuple[int, int]]) -> str:
+    """``main_text`` of a page that is parsed already."""
     gone: set[tuple[int, str]] = set()
     if reference and template:
         for x, y in tree_match(reference.slots[0], reduced(root)[0]):
@@ -328,13 +334,46 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def _with_wrapper(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """Each page beside its host's columns of ``wrappers`` (materialised, one row a host)."""
+def _held(wrappers: DataFrame) -> Broadcast | None:
+    """``wrappers`` (materialised, one row a host and layout) as a broadcast table,
+    if it is within the bound: host -> (reference, template, seed)."""
     size = wrappers.agg(F.sum(F.octet_length("reference") + F.lit(16) * F.coalesce(F.size("template"), F.lit(0)))).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        return pages.join(F.broadcast(wrappers), "host", "left")
+    if size > BROADCAST_BYTES:
+        return None
+    held = {r["host"]: (r["reference"], {tuple(t) for t in r["template"]}, r["seed"]) for r in wrappers.collect()}
+    return wrappers.sparkSession.sparkContext.broadcast(held)
+
+
+def _with_wrapper(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """Each page, by host and layout, beside its columns of ``wrappers`` that are
+    beyond the bound of a broadcast: pages of a host are spread by a salt."""
     salted = wrappers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return pages.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left").drop("salt")
+    return with_layout(pages).withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left").drop("salt")
+
+
+def _beside(pages: DataFrame, wrappers: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``run`` over each page (page_id, url, host, html) and its wrapper: its
+    batches hold (row, tree, key, reference, template, seed), None and empty where
+    there is none.  A page is parsed once where the wrappers are broadcast."""
+    held = _held(wrappers)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts():
+            for part in chunked(batches, "html" if held else ["html", "reference"]):
+                yield part, rows(part)
+
+        def rows(part):
+            for row in part.to_pylist():
+                tree = parse(row["html"])
+                if held:
+                    key = layout_key(row["host"], tree)
+                    yield (row, tree, key, *held.value.get(key, (None, set(), None)))
+                else:
+                    yield row, tree, row["host"], row["reference"], {(t["slot"], t["mark"]) for t in row["template"] or ()}, row["seed"]
+        return run(parts())
+    names = ["page_id", "url", "host", "html"]
+    rows = pages.select(*names) if held else _with_wrapper(pages, wrappers).select(*names, "reference", "template", "seed")
+    return rows.mapInArrow(read, schema)
 
 
 class _References:
@@ -352,6 +391,12 @@ class _References:
         return self.held[name]
 
 
+def layout_key(name: str, root: Node | None) -> str:
+    """The key of a page's host and layout, '' for pages without a host or without text."""
+    kind = layout(root) if name else ""
+    return f"{name} {kind}" if kind else ""
+
+
 def with_layout(rows: DataFrame) -> DataFrame:
     """(page_id, url, host, html) -> the same with ``host`` made the key of host
     and layout, '' for pages without a host or without text."""
@@ -359,19 +404,21 @@ def with_layout(rows: DataFrame) -> DataFrame:
         for part in chunked(batches, "html"):
             keys = []
             for name, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
-                kind = layout(parse(page)) if name else ""
-                keys.append(f"{name} {kind}" if kind else "")
+                keys.append(layout_key(name, parse(page) if name else None))
             yield pa.RecordBatch.from_arrays([part.column(c).combine_chunks() if c != "host" else pa.array(keys, pa.string()) for c in part.column_names], names=part.column_names)
     return rows.mapInArrow(run, rows.schema)
 
 
-def induce(pages: DataFrame) -> DataFrame:
-    """pages (page_id, url, host, html), by host and layout -> (host, reference,
-    template): the reference page and the (slot, mark) pairs of its constant texts."""
-    first = materialize(pages.where("host <> '' and html is not null").groupBy("host").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n")).where("n > 1").select("host", "page_id"))
-    seeds = materialize(pages.where("html is not null").join(small(first), ["host", "page_id"]).groupBy("host").agg(F.min("html").alias("reference"), F.first("page_id").alias("seed")).withColumn("template", F.expr("cast(array() as array<long>)")))
+def induce(rows: DataFrame) -> DataFrame:
+    """rows (page_id, url, host, html) -> by host and layout (host, reference,
+    template, seed): the reference page and the (slot, mark) pairs of its constant texts."""
+    first = materialize(with_layout(rows).where("host <> '' and html is not null").groupBy("host").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n")).where("n > 1").select("host", "page_id"))
+    # Pages that are nobody's first are not parsed for it.
+    some = with_layout(rows.where("html is not null").join(small(first.select("page_id").distinct()), "page_id", "left_semi"))
+    seeds = materialize(some.join(small(first), ["host", "page_id"]).groupBy("host").agg(F.min("html").alias("reference"), F.first("page_id").alias("seed"))
+                        .withColumn("template", F.expr("cast(array() as array<struct<slot: int, mark: long>>)")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts) -> Iterator[pa.RecordBatch]:
         refs, count = _References(), {}
 
         def out():
@@ -380,34 +427,31 @@ def induce(pages: DataFrame) -> DataFrame:
             cols = zip(*rows)
             kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["host", "slot", "mark", "constant", "votes"])
-        for part in chunked(batches, ["html", "reference"]):
-            for name, page, ref in zip(*[part.column(c).to_pylist() for c in ("host", "html", "reference")]):
-                for slot, mark, same in votes(refs.get(name, ref), reduced(parse(page))):
+        for _, pages in parts:
+            for row, tree, name, ref, _, seed in pages:
+                if ref is None or row["page_id"] is None or row["page_id"] == seed:
+                    continue
+                for slot, mark, same in votes(refs.get(name, ref), reduced(tree)):
                     c, t = count.get((name, slot, mark), (0, 0))
                     count[(name, slot, mark)] = (c + same, t + 1)
             if len(count) > 200_000:
                 yield out()
         if count:
             yield out()
-    beside = _with_wrapper(pages.where("html is not null"), seeds.select("host", "reference", "template", "seed")).where("reference is not null and page_id <> seed")
-    counted = beside.select("host", "html", "reference").mapInArrow(run, "host string, slot int, mark long, constant long, votes long")
+    counted = _beside(rows.where("html is not null"), seeds, run, "host string, slot int, mark long, constant long, votes long")
     constant = (counted.groupBy("host", "slot", "mark").agg(F.sum("constant").alias("c"), F.sum("votes").alias("v"))
                 .where((F.col("v") >= LEAST_VOTES) & (F.col("c") > CONSTANT_SHARE * F.col("v"))))
     templates = constant.groupBy("host").agg(F.collect_list(F.struct("slot", "mark")).alias("template"))   # at most the reference's texts
-    return materialize(seeds.select("host", "reference").join(templates, "host"))
+    return materialize(seeds.select("host", "reference", "seed").join(templates, "host"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """pages (page_id, url, html) -> (page_id, url, text, n_chars)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts) -> Iterator[pa.RecordBatch]:
         refs = _References()
-        for part in chunked(batches, ["html", "reference"]):
-            texts = []
-            for name, page, ref, template in zip(*[part.column(c).to_pylist() for c in ("host", "html", "reference", "template")]):
-                marks = {(t["slot"], t["mark"]) for t in template or ()}
-                texts.append(main_text(page, refs.get(name, ref) if marks else None, marks))
+        for part, pages in parts:
+            texts = [tree_text(tree, refs.get(name, ref) if template else None, template) for _, tree, name, ref, template, _ in pages]
             yield pa.RecordBatch.from_arrays([part.column("page_id").combine_chunks(), part.column("url").combine_chunks(), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
-    rows = with_layout(rows)
-    return _with_wrapper(rows, induce(rows)).select("page_id", "url", "host", "html", "reference", "template").mapInArrow(run, SCHEMA)
+    return _beside(rows, induce(rows), run, SCHEMA)

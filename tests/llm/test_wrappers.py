@@ -101,3 +101,11 @@ def test_the_template_decides_where_nothing_says_article(llm):
     assert {k: got[k] for k in range(2, 42)} == {k: f"Head {k}\n\n{prose(k, 25)}" for k in range(2, 42)}
     without = {k: wrappers.main_text(page) for k, _, page in rows[2:]}
     assert all(without[k] != got[k] for k in without)                 # only the template tells
+
+
+def test_a_page_is_parsed_once_for_its_text(llm):
+    """op10's CPU seconds: a page's layout and its text come from one parse where the wrappers are broadcast."""
+    rows = [(i, "http://a.b/x", f"<body><article><p>same<p>text {i}</article></body>") for i in range(6)]
+    out = wrappers.extract(llm.createDataFrame(rows, "page_id long, url string, html string"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert [r.text for r in out.orderBy("page_id").collect()] == [f"text {i}" for i in range(6)]
