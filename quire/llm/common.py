@@ -21,6 +21,8 @@ ARROW_ROWS = 256
 CHUNK_BYTES = 512 << 10
 #: Rows up to which a narrow (few numbers a row) table may be broadcast.
 BROADCAST_ROWS = 400_000
+#: Rows of a narrow table that are worth a task of their own.
+TASK_ROWS = 20_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -47,6 +49,14 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = No
     return F.broadcast(df) if rows <= limit else df
 
 
+def compact(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` (narrow, of ``rows`` rows at most, else counted) in no more
+    partitions than its rows need: steps over small tables are then a few tasks
+    and files each, however many partitions the session shuffles into."""
+    rows = df.count() if rows is None else rows
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Ask the driver to drop shuffle files of finished steps whose frames are
     no longer referenced (their results are in the checkpoint folder)."""

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, free_shuffles, materialize, small
+from .common import BROADCAST_ROWS, compact, free_shuffles, materialize, small
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,18 +23,19 @@ def components(edges: DataFrame) -> DataFrame:
     e = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .where("u <> v").distinct())
     n, state = e.count(), None
+    e = compact(e, n)
     while True:
         # Both tables have at most two rows an edge: counted, so a broadcast has a known bound.
         hint = F.broadcast if 2 * n <= BROADCAST_ROWS else (lambda df: df)
         # Large star: every larger neighbour of u is hung onto u's smallest one.
         sym = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = sym.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = sym.where("v > u").join(hint(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = compact(sym.where("v > u").join(hint(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), n)
         # Small star: u and its smaller neighbours are hung onto the smallest.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(hint(low), "u")
-        e = materialize(hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(hung.select("u", F.col("m").alias("v")))
-                        .where("u <> v").distinct())
+        e = materialize(compact(hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(hung.select("u", F.col("m").alias("v")))
+                                .where("u <> v").distinct(), 2 * n))
         row = e.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if tuple(row) == state:
             break
@@ -61,7 +62,7 @@ def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
     """
     spark = entries.sparkSession
     extra = [c for c in entries.columns if c not in ("key", "node")]
-    left = entries
+    left = compact(entries)
     edges = None
     for i in range(rounds + 1):
         if i < rounds:
@@ -80,8 +81,8 @@ def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
                      .join(r, ["key", "band"]).where("l_node < r_node and l_comp <> r_comp"))
         if pair_filter is not None:
             pairs = pairs.where(pair_filter)
-        pairs = materialize(pairs.select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct())
-        found = materialize(verify(pairs))
+        pairs = compact(materialize(pairs.select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct()))
+        found = compact(materialize(verify(pairs)))
         free_shuffles(spark)
         edges = found if edges is None else edges.unionByName(found)
         if i == rounds:
@@ -92,7 +93,7 @@ def linked_groups(entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
         left = (left.select(*cols).join(pivot.select("key", F.col("p.node").alias("_p")), "key").where("node <> _p").drop("_p")
                 .join(small(comp), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component"))
         many = left.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("key")
-        left = materialize(left.join(small(materialize(many)), "key", "left_semi"))
+        left = compact(materialize(left.join(small(materialize(many)), "key", "left_semi")))
         extra = [c for c in left.columns if c not in ("key", "node")]
         if left.isEmpty():
             break

@@ -13,9 +13,14 @@ two powers has both, so lines of slightly different length still meet.
 
 A line's SimHash as a whole (64 bits, the majority of its content words' hash
 bits) passes over candidates that have only a block in common: beyond
-``DISTANCE`` bits they are not compared, short lines apart.  Candidates whose edit similarity (1 - Levenshtein / longer length, on normalised
+``DISTANCE`` bits they are not compared, short lines apart.  Lines of at most
+``GRAM_LENGTH`` characters have a bitmap of their character pairs too: an edit
+changes four of its bits at most, so pairs further apart than their edits allow
+cannot link and are no candidates.  Candidates whose edit similarity (1 - Levenshtein / longer length, on normalised
 lines) reaches the threshold link; of each connected group of lines the first
-occurrence by (doc_id, line) stays and the others go.
+occurrence by (doc_id, line) stays and the others go.  Most linked lines differ
+in a few words: the edits of an alignment word by word are counted first (no
+fewer than the distance), and only pairs that it leaves open take the distance.
 
 Words are found and hashed in one pass over whole arrays of bytes, each line
 leaving it as its place, its hash and its blocks' hashes; everything after that
@@ -64,6 +69,8 @@ BORDER = 1.06
 #: shorter line has this many characters or more.
 DISTANCE, DISTANCE_LENGTH = 22, 16
 PAIR_ROWS = 1_500_000        # pairs up to which they are broadcast
+#: Lines of this many characters at most have a bitmap of character pairs, of so many numbers.
+GRAM_LENGTH, GRAM_WORDS = 128, 4
 _SIGNS = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 
 
@@ -129,10 +136,41 @@ def _simhash(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def lines_of(texts: list[str | None], min_words: int):
+def _pair_maps(data: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A bitmap (``GRAM_WORDS`` numbers) per line of its normalised text's pairs of
+    characters, each told by its first byte; line i has the words first[i]:first[i + 1]."""
+    size = end - start
+    word = np.repeat(np.arange(len(start)), size)
+    at = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size) + start[word]
+    begins = (data[at] & 0xC0) != 0x80
+    sign, word = data[at[begins]].astype(np.uint64), word[begins]
+    line = np.repeat(np.arange(len(first) - 1), np.diff(first))[word]
+    inside = word[1:] == word[:-1]
+    within = line[1:] == line[:-1]
+    blank = np.uint64(32)
+
+    def place(a: np.ndarray | np.uint64, b: np.ndarray) -> np.ndarray:
+        return bw.mix(a * np.uint64(256) + b) >> np.uint64(64 - (64 * GRAM_WORDS).bit_length() + 1)
+
+    pair = place(sign[:-1], np.where(inside, sign[1:], blank))
+    after = place(blank, sign[1:])
+    out = np.zeros((len(first) - 1, GRAM_WORDS), np.uint64)
+    line = line[:-1]
+    heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else line
+    for k in range(GRAM_WORDS if len(line) else 0):
+        bits = np.zeros(len(line), np.uint64)
+        for g, held in ((pair, within), (after, within & ~inside)):
+            bits |= np.where(held & (g >> np.uint64(6) == k), np.uint64(1) << (g & np.uint64(63)), np.uint64(0))
+        out[line[heads], k] = np.bitwise_or.reduceat(bits, heads)
+    return out
+
+
+def lines_of(texts: list[str | None], min_words: int, maps: bool = False):
     """(text, line number, node, length, simhash, keys, first) of every line of
     enough words: ``node`` is the hash of its normalised words, ``length`` theirs in
-    characters with blanks between, line i's blocks are keys[first[i]:first[i + 1]]."""
+    characters with blanks between, line i's blocks are keys[first[i]:first[i + 1]];
+    with ``maps``, the bitmaps of character pairs of those of at most
+    ``GRAM_LENGTH`` characters too."""
     lower = [(x or "").lower().encode() for x in texts]
     data = np.frombuffer(b"".join(lower), np.uint8)
     ends = np.cumsum([len(x) for x in lower])
@@ -168,7 +206,12 @@ def lines_of(texts: list[str | None], min_words: int):
     keep = n >= max(min_words, 1)
     kept_key = keep[line[order]]
     counts = np.bincount(line, minlength=len(n))[keep]
-    return text[keep], number[keep], node[keep], length[keep], _simhash(distinct, begin)[keep], key[order][kept_key], np.concatenate([[0], np.cumsum(counts)])
+    found = (text[keep], number[keep], node[keep], length[keep], _simhash(distinct, begin)[keep], key[order][kept_key], np.concatenate([[0], np.cumsum(counts)]))
+    if not maps:
+        return found
+    mapped = keep & (length <= GRAM_LENGTH)
+    held = mapped[owner]
+    return *found, _pair_maps(data, start[held], end[held], np.concatenate([[0], np.cumsum(n[mapped])]))
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -179,16 +222,42 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_doc, _key, _pos, node, size, sim, keys) of every line of enough words; map-only."""
+    """(_doc, _key, _pos, node, size, sim, grams, keys) of every line of enough
+    words, ``grams`` null for longer lines; map-only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunked(batches, "_text"):
-            text, number, node, length, sim, keys, first = lines_of(part.column("_text").to_pylist(), min_words)
+            text, number, node, length, sim, keys, first, maps = lines_of(part.column("_text").to_pylist(), min_words, maps=True)
             at = pa.array(text)
+            mapped = length <= GRAM_LENGTH
+            offsets = np.concatenate([[0], np.cumsum(np.where(mapped, GRAM_WORDS, 0))]).astype(np.int32)
+            grams = pa.ListArray.from_arrays(pa.array(offsets), pa.array(maps.view(np.int64).ravel()), mask=pa.array(~mapped))
             blocks = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(keys.view(np.int64)))
             yield pa.RecordBatch.from_arrays([*(part.column(c).combine_chunks().take(at) for c in ("_doc", "_key")), pa.array(number.astype(np.int32)),
-                                              pa.array(node.view(np.int64)), pa.array(length.astype(np.int64)), pa.array(sim.view(np.int64)), blocks],
-                                             names=["_doc", "_key", "_pos", "node", "size", "sim", "keys"])
-    return _identity(docs).mapInArrow(run, "_doc long, _key long, _pos int, node long, size long, sim long, keys array<long>")
+                                              pa.array(node.view(np.int64)), pa.array(length.astype(np.int64)), pa.array(sim.view(np.int64)), grams, blocks],
+                                             names=["_doc", "_key", "_pos", "node", "size", "sim", "grams", "keys"])
+    return _identity(docs).mapInArrow(run, "_doc long, _key long, _pos int, node long, size long, sim long, grams array<long>, keys array<long>")
+
+
+def _aligned(most: str) -> str:
+    """SQL: the edits of an alignment of ``x`` and ``y`` word by word, at least
+    their distance: each word of x is kept, replaced or deleted, and one or two
+    of y's are inserted where that meets an equal word; it ends beyond ``most``."""
+    def step(j: str, edits: str) -> str:
+        return f"named_struct('i', s.i + 1, 'j', s.j + {j}, 'c', s.c + {edits})"
+    gone, put, put_next = "length(w) + 1", "length(get(t.y, s.j)) + 1", "length(get(t.y, s.j + 1)) + 1"
+    replaced = step("1", "levenshtein(w, get(t.y, s.j))")
+    return f"""element_at(transform(array(named_struct('x', split(x, ' '), 'y', split(y, ' '), 'most', {most})), t ->
+        aggregate(t.x, named_struct('i', 0, 'j', 0, 'c', 0), (s, w) -> case
+            when s.c > t.most then s
+            when get(t.y, s.j) = w then {step("1", "0")}
+            when s.j >= size(t.y) then {step("0", gone)}
+            when get(t.x, s.i + 1) = get(t.y, s.j + 1) then {replaced}
+            when get(t.y, s.j + 1) = w then {step("2", put)}
+            when get(t.x, s.i + 1) = get(t.y, s.j) then {step("0", gone)}
+            when get(t.y, s.j + 2) = w then {step("3", f"{put} + {put_next}")}
+            when get(t.x, s.i + 2) = get(t.y, s.j) then {step("0", gone)}
+            else {replaced} end,
+        s -> aggregate(slice(t.y, s.j + 1, size(t.y)), s.c, (c, w) -> c + {gone}))), 1)"""
 
 
 def line_links(docs: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -199,21 +268,23 @@ def line_links(docs: DataFrame, lines: DataFrame, similarity: float = SIMILARITY
     shared = materialize(keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key"))
     free_shuffles(spark)
     met = materialize(keyed.join(small(shared, PAIR_ROWS), "key").distinct())
+    # Any occurrence shows a node's text: the place of the first is kept.
     nodes = materialize(lines.join(small(materialize(met.select("node").distinct())), "node")
-                        .groupBy("node").agg((-F.count(F.lit(1))).alias("rank"), F.min("size").alias("size"), F.min("sim").alias("sim")))
-    met = materialize(met.join(small(nodes), "node").select("key", "node", "rank", "size", "sim"))
+                        .groupBy("node").agg((-F.count(F.lit(1))).alias("rank"), F.min("size").alias("size"), F.min("sim").alias("sim"),
+                                             F.min("grams").alias("grams"), F.min(F.struct("_key", "_pos")).alias("place")))
+    met = materialize(met.join(small(nodes.drop("place")), "node").select("key", "node", "rank", "size", "sim", "grams"))
+    places = materialize(nodes.select("node", "place._key", "place._pos"))
     del shared, nodes
     free_shuffles(spark)
 
     def texts_of(nodes: DataFrame) -> DataFrame:
-        """(node, norm): any occurrence shows a node's text."""
-        place = materialize(lines.join(small(materialize(nodes)), "node").groupBy("node").agg(F.min(F.struct("_key", "_pos")).alias("p")).select("node", "p._key", "p._pos"))
+        """(node, norm) of nodes (distinct)."""
+        place = materialize(places.join(small(materialize(nodes)), "node"))
         rows = _identity(docs).join(small(place.select("_key").distinct()), "_key", "left_semi")
         return materialize(_lines(rows).join(small(place), ["_key", "_pos"]).select("node", F.array_join(words_of(F.col("_line")), " ").alias("norm")).dropDuplicates(["node"]))
 
     most = f"cast(floor((1 - {similarity}) * greatest(length(x), length(y)) + 1e-9) as int)"
-    # The distance is banded by its limit: most copies pass a narrow band first.
-    near = " or ".join(f"levenshtein(x, y, cast({most} / {k} as int)) >= 0" for k in (16, 4)) + f" or levenshtein(x, y, {most}) >= 0"
+    near = f"{_aligned(most)} <= {most} or levenshtein(x, y, {most}) >= 0"
 
     def verify(pairs: DataFrame) -> DataFrame:
         # The pairs (two numbers each) travel to the texts; a pair's second text and each pivot's move once.
@@ -224,7 +295,9 @@ def line_links(docs: DataFrame, lines: DataFrame, similarity: float = SIMILARITY
         p = others.join(hubs, "a")
         return p.where(f"abs(length(x) - length(y)) <= {most}").where(near).select("a", "b")
     like = (f"least(l_size, r_size) >= {similarity} * greatest(l_size, r_size) - 1e-9 and "
-            f"(least(l_size, r_size) < {DISTANCE_LENGTH} or bit_count(l_sim ^ r_sim) <= {DISTANCE})")
+            f"(least(l_size, r_size) < {DISTANCE_LENGTH} or bit_count(l_sim ^ r_sim) <= {DISTANCE}) and (l_grams is null or r_grams is null or "
+            + " + ".join(f"bit_count(l_grams[{k}] ^ r_grams[{k}])" for k in range(GRAM_WORDS))
+            + f" <= 4 * floor((1 - {similarity}) * greatest(l_size, r_size) + 1e-9))")
     return linked_groups(met, verify, like, size="size")
 
 

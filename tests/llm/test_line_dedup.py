@@ -191,3 +191,52 @@ def test_short_lines_are_part_of_the_job(llm, sf, docs):
     left = [n for r in rows for n in map(normal, r.text.split("\n")) if n]
     assert len(left) == len(set(left))
     assert {n.count(" ") < 4 for n in left} == {True, False}
+
+
+def pair_map_distance(a, b):
+    maps = [line_dedup.lines_of([x], 1, maps=True)[7] for x in (a, b)]
+    assert all(m.shape == (1, line_dedup.GRAM_WORDS) for m in maps)
+    return sum(int(x).bit_count() for x in (maps[0] ^ maps[1])[0])
+
+
+def test_pair_maps_never_part_linked_lines():
+    rng = random.Random(12)
+    letters = "abcdefgh éüß第一 "
+    for _ in range(400):
+        a = normal("".join(rng.choice(letters) for _ in range(rng.randint(1, 110)))) or "x"
+        b = list(a)
+        for _ in range(rng.randint(0, 1 + len(a) // 4)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.choice([0, 1])] = rng.choice(["", rng.choice(letters)])
+        b = normal("".join(b)) or "y"
+        assert pair_map_distance(a, b) <= 4 * edits(a, b)
+    one, other = (" ".join(rng.choice(prose(k, 400).split()) for _ in range(8)) for k in (1, 2))
+    assert pair_map_distance(one, other) > 4 * int(0.2 * max(len(one), len(other)))      # what was compared before
+    text = "a b\n" + "long " * 40 + "\n\nb c d"
+    found = line_dedup.lines_of([text], 1, maps=True)
+    assert len(found[0]) == 3 and len(found[7]) == 2 and (found[7] == line_dedup.lines_of(["a b\nb c d"], 1, maps=True)[7]).all()
+
+
+def test_alignment_bounds_the_distance(llm):
+    rng = random.Random(3)
+    vocabulary = prose(5, 60).split()
+    rows = []
+    for _ in range(120):
+        a = [rng.choice(vocabulary) for _ in range(rng.randint(1, 25))]
+        b = list(a)
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randint(0, 3)] = [rng.choice(vocabulary) for _ in range(rng.randint(0, 3))]
+        rows.append((" ".join(a), " ".join(b) or "x"))
+    rows += [("a b c d e f", "a b x c d e f"), ("a b x c d e f", "a b c d e f"), ("a", "b c"), ("b c", "a")]
+    frame = llm.createDataFrame(rows, "x string, y string").selectExpr("x", "y", f"{line_dedup._aligned('1000000')} as c", f"{line_dedup._aligned('0')} as over")
+    got = frame.collect()
+    assert all(r.c >= edits(r.x, r.y) and (r.over == 0) == (r.x == r.y) for r in got)
+    assert [r.c for r in got[-4:-2]] == [2, 2] and sum(r.c == edits(r.x, r.y) for r in got) > 40
+
+
+def test_small_tables_are_few_tasks(llm):
+    from quire.llm.common import TASK_ROWS, compact
+    assert compact(llm.range(0, 1000, 1, 40)).rdd.getNumPartitions() == 1
+    assert compact(llm.range(0, 3 * TASK_ROWS, 1, 40)).rdd.getNumPartitions() == 3
+    assert compact(llm.range(0, 3 * TASK_ROWS, 1, 2)).rdd.getNumPartitions() == 2
