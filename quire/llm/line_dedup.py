@@ -42,6 +42,7 @@ follows the text; an empty table gives no row.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +51,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import BROADCAST_ROWS, chunked, free_shuffles, materialize, small
-from .components import components, linked_groups
+from .common import BROADCAST_ROWS, chunked, compact, free_shuffles, materialize, small
+from .components import components
 from .spotsigs import COMMON
 
 MIN_WORDS = 5
@@ -68,9 +69,9 @@ BORDER = 1.06
 #: Bits in which the SimHashes of compared lines differ at most, where the
 #: shorter line has this many characters or more.
 DISTANCE, DISTANCE_LENGTH = 22, 16
-PAIR_ROWS = 1_500_000        # pairs up to which they are broadcast
 #: Lines of this many characters at most have a bitmap of character pairs, of so many numbers.
 GRAM_LENGTH, GRAM_WORDS = 128, 4
+TASK_PAIRS = 500             # pairs of long lines that are worth a task of their own
 _SIGNS = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 
 
@@ -165,12 +166,25 @@ def _pair_maps(data: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.n
     return out
 
 
+def _short_texts(data: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of lines' normalised texts; line i has the words first[i]:first[i + 1], one at least."""
+    size = end - start + 1                  # with the blank after it, but for a line's last word
+    size[first[1:] - 1] -= 1
+    begin = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+    word = np.repeat(np.arange(len(start)), size)
+    at = np.arange(len(word)) - begin[word] + start[word]
+    out = np.full(len(word), 32, np.uint8)
+    held = at < end[word]
+    out[held] = data[at[held]]
+    return out, begin[first]
+
+
 def lines_of(texts: list[str | None], min_words: int, maps: bool = False):
     """(text, line number, node, length, simhash, keys, first) of every line of
     enough words: ``node`` is the hash of its normalised words, ``length`` theirs in
     characters with blanks between, line i's blocks are keys[first[i]:first[i + 1]];
-    with ``maps``, the bitmaps of character pairs of those of at most
-    ``GRAM_LENGTH`` characters too."""
+    with ``maps``, of those of at most ``GRAM_LENGTH`` characters the bitmaps of
+    character pairs and the (bytes, offsets) of their normalised texts too."""
     lower = [(x or "").lower().encode() for x in texts]
     data = np.frombuffer(b"".join(lower), np.uint8)
     ends = np.cumsum([len(x) for x in lower])
@@ -211,7 +225,8 @@ def lines_of(texts: list[str | None], min_words: int, maps: bool = False):
         return found
     mapped = keep & (length <= GRAM_LENGTH)
     held = mapped[owner]
-    return *found, _pair_maps(data, start[held], end[held], np.concatenate([[0], np.cumsum(n[mapped])]))
+    words = start[held], end[held], np.concatenate([[0], np.cumsum(n[mapped])])
+    return *found, _pair_maps(data, *words), _short_texts(data, *words)
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -222,20 +237,24 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_doc, _key, _pos, node, size, sim, grams, keys) of every line of enough
-    words, ``grams`` null for longer lines; map-only."""
+    """(_doc, _key, _pos, node, size, sim, grams, short, keys) of every line of
+    enough words, ``grams`` and ``short`` (the normalised text) null for longer
+    lines; map-only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunked(batches, "_text"):
-            text, number, node, length, sim, keys, first, maps = lines_of(part.column("_text").to_pylist(), min_words, maps=True)
+            text, number, node, length, sim, keys, first, maps, (data, ends) = lines_of(part.column("_text").to_pylist(), min_words, maps=True)
             at = pa.array(text)
             mapped = length <= GRAM_LENGTH
             offsets = np.concatenate([[0], np.cumsum(np.where(mapped, GRAM_WORDS, 0))]).astype(np.int32)
             grams = pa.ListArray.from_arrays(pa.array(offsets), pa.array(maps.view(np.int64).ravel()), mask=pa.array(~mapped))
+            begin = np.zeros(len(mapped) + 1, np.int32)
+            begin[1:][mapped] = np.diff(ends)
+            short = pa.StringArray.from_buffers(len(mapped), pa.py_buffer(np.cumsum(begin, dtype=np.int32)), pa.py_buffer(data), pa.array(mapped).buffers()[1])
             blocks = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(keys.view(np.int64)))
             yield pa.RecordBatch.from_arrays([*(part.column(c).combine_chunks().take(at) for c in ("_doc", "_key")), pa.array(number.astype(np.int32)),
-                                              pa.array(node.view(np.int64)), pa.array(length.astype(np.int64)), pa.array(sim.view(np.int64)), grams, blocks],
-                                             names=["_doc", "_key", "_pos", "node", "size", "sim", "grams", "keys"])
-    return _identity(docs).mapInArrow(run, "_doc long, _key long, _pos int, node long, size long, sim long, grams array<long>, keys array<long>")
+                                              pa.array(node.view(np.int64)), pa.array(length.astype(np.int64)), pa.array(sim.view(np.int64)), grams, short, blocks],
+                                             names=["_doc", "_key", "_pos", "node", "size", "sim", "grams", "short", "keys"])
+    return _identity(docs).mapInArrow(run, "_doc long, _key long, _pos int, node long, size long, sim long, grams array<long>, short string, keys array<long>")
 
 
 def _aligned(most: str) -> str:
@@ -263,42 +282,75 @@ def _aligned(most: str) -> str:
 def line_links(docs: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): linked normalised lines (nodes) among the lines of ``line_table``."""
     spark = docs.sparkSession
-    keyed = lines.select(F.explode("keys").alias("key"), "node")
-    # Which blocks are shared is told by two numbers a block, whatever its number of lines.
-    shared = materialize(keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key"))
+    # Entries move to their blocks once; a block that is shared is told by two numbers, whatever its number of lines.
+    keyed = lines.select(F.explode("keys").alias("key"), "node").repartition("key")
+    shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
+    met = materialize(keyed.join(shared.hint("shuffle_hash"), "key").distinct())
     free_shuffles(spark)
-    met = materialize(keyed.join(small(shared, PAIR_ROWS), "key").distinct())
     # Any occurrence shows a node's text: the place of the first is kept.
-    nodes = materialize(lines.join(small(materialize(met.select("node").distinct())), "node")
-                        .groupBy("node").agg((-F.count(F.lit(1))).alias("rank"), F.min("size").alias("size"), F.min("sim").alias("sim"),
-                                             F.min("grams").alias("grams"), F.min(F.struct("_key", "_pos")).alias("place")))
-    met = materialize(met.join(small(nodes.drop("place")), "node").select("key", "node", "rank", "size", "sim", "grams"))
-    places = materialize(nodes.select("node", "place._key", "place._pos"))
-    del shared, nodes
+    nodes = materialize(lines.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        (-F.count(F.lit(1))).alias("rank"), *[F.min(c).alias(c) for c in ("size", "sim", "grams", "short")], F.min(F.struct("_key", "_pos")).alias("place")))
     free_shuffles(spark)
 
-    def texts_of(nodes: DataFrame) -> DataFrame:
-        """(node, norm) of nodes (distinct)."""
-        place = materialize(places.join(small(materialize(nodes)), "node"))
-        rows = _identity(docs).join(small(place.select("_key").distinct()), "_key", "left_semi")
-        return materialize(_lines(rows).join(small(place), ["_key", "_pos"]).select("node", F.array_join(words_of(F.col("_line")), " ").alias("norm")).dropDuplicates(["node"]))
+    def side(name: str) -> DataFrame:
+        return nodes.select(*[F.col(c).alias(f"{name}_{c}") for c in ("node", "size", "sim", "grams", "short")])
 
     most = f"cast(floor((1 - {similarity}) * greatest(length(x), length(y)) + 1e-9) as int)"
     near = f"{_aligned(most)} <= {most} or levenshtein(x, y, {most}) >= 0"
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        # The pairs (two numbers each) travel to the texts; a pair's second text and each pivot's move once.
-        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        p = small(pairs, PAIR_ROWS)
-        others = texts.join(p, F.col("node") == F.col("b")).select("a", "b", F.col("norm").alias("y"))
-        hubs = texts.join(small(materialize(pairs.select("a").distinct())), F.col("node") == F.col("a"), "left_semi").select(F.col("node").alias("a"), F.col("norm").alias("x"))
-        p = others.join(hubs, "a")
-        return p.where(f"abs(length(x) - length(y)) <= {most}").where(near).select("a", "b")
+    edits = f"cast(floor((1 - {similarity}) * greatest(l_size, r_size) + 1e-9) as int)"
+    both = "l_short is not null and r_short is not null"
+    # Two short lines bring their texts: their pair is decided where it meets.
     like = (f"least(l_size, r_size) >= {similarity} * greatest(l_size, r_size) - 1e-9 and "
             f"(least(l_size, r_size) < {DISTANCE_LENGTH} or bit_count(l_sim ^ r_sim) <= {DISTANCE}) and (l_grams is null or r_grams is null or "
             + " + ".join(f"bit_count(l_grams[{k}] ^ r_grams[{k}])" for k in range(GRAM_WORDS))
-            + f" <= 4 * floor((1 - {similarity}) * greatest(l_size, r_size) + 1e-9))")
-    return linked_groups(met, verify, like, size="size")
+            + f" <= 4 * {edits}) and (l_short is null or r_short is null or levenshtein(l_short, r_short, {edits}) >= 0)")
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """(node, norm) of nodes (distinct): each document is read once for all lines that it shows."""
+        place = nodes.join(wanted, "node", "left_semi").select("place._key", F.struct("place._pos", "node").alias("at"))
+        want = materialize(place.groupBy("_key").agg(F.collect_list("at").alias("want")))
+        rows = _identity(docs).join(small(want, weight=F.size("want")), "_key")
+        rows = rows.selectExpr("""inline(element_at(transform(array(named_struct('parts', split(_text, '\n'), 'want', want)), t ->
+            transform(t.want, w -> named_struct('node', w.node, '_line', get(t.parts, w._pos)))), 1))""")
+        return materialize(rows.select("node", F.array_join(words_of(F.col("_line")), " ").alias("norm")).dropDuplicates(["node"]))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The links among pairs (l_, r_) of entries that are alike."""
+        pairs = compact(materialize(pairs.where(like).select(F.col("l_node").alias("a"), F.col("r_node").alias("b"), F.expr(both).alias("sure")).distinct()))
+        sure, p = pairs.where("sure").select("a", "b"), pairs.where("not sure").select("a", "b")
+        n = p.count()
+        if not n:
+            return sure
+        # The pairs (two numbers each) travel to the texts; a pair's second text and each pivot's move once.
+        texts = texts_of(p.select("a").unionByName(p.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node"))
+        others = texts.join(p, F.col("node") == F.col("b")).select("a", "b", F.col("norm").alias("y")).repartition(-(-n // TASK_PAIRS), "a")
+        hubs = texts.select(F.col("node").alias("a"), F.col("norm").alias("x"))
+        p = others.join(hubs, "a").where(f"abs(length(x) - length(y)) <= {most}").where(near).select("a", "b")
+        return materialize(sure.unionByName(p))
+
+    # Each block's members are compared with its pivot, the most frequent line.
+    ranked = met.join(nodes.select("node", "rank"), "node")
+    pivot = materialize(ranked.groupBy("key").agg(F.min(F.struct("rank", "node")).alias("p")).select("key", F.col("p.node").alias("pivot")))
+    pairs = met.join(pivot, "key").where("node <> pivot").select(F.col("pivot").alias("l_node"), F.col("node").alias("r_node")).distinct()
+    links = compact(linked(pairs.join(side("l"), "l_node").join(side("r"), "r_node")))
+    free_shuffles(spark)
+    # What is left of a block, in more than one component, is compared across them; the
+    # sizes of a linked pair are one band apart at most (a little wider, for rounding).
+    comp = materialize(components(links))
+    left = (met.join(pivot, "key").where("node <> pivot").drop("pivot").join(small(comp), "node", "left")
+            .select("key", "node", F.coalesce("component", "node").alias("comp")))
+    left = materialize(left)
+    many = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    left = compact(materialize(left.join(many, "key", "left_semi")))
+    del pivot, pairs, comp, many
+    free_shuffles(spark)
+    if left.isEmpty():
+        return links
+    band = F.floor(F.log(F.greatest(F.col("l_size"), F.lit(1))) / math.log(1.26))
+    entry = left.withColumnRenamed("node", "l_node").join(side("l"), "l_node").withColumn("band", band)
+    other = entry.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    other = other.select("key", "band", *[F.col(c).alias(c if c in ("key", "band") else "r_comp" if c == "comp" else f"r_{c[2:]}") for c in entry.columns if c not in ("key", "band")])
+    return links.unionByName(linked(entry.join(other, ["key", "band"]).where("comp <> r_comp and (l_size, l_node) < (r_size, r_node)")))
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:

@@ -240,3 +240,24 @@ def test_small_tables_are_few_tasks(llm):
     assert compact(llm.range(0, 1000, 1, 40)).rdd.getNumPartitions() == 1
     assert compact(llm.range(0, 3 * TASK_ROWS, 1, 40)).rdd.getNumPartitions() == 3
     assert compact(llm.range(0, 3 * TASK_ROWS, 1, 2)).rdd.getNumPartitions() == 2
+
+
+def test_short_lines_that_meet_by_chance_are_no_pairs(llm, monkeypatch):
+    # Lines of the same words in other orders share all blocks, bits and most pairs of characters.
+    from quire.llm import components as c
+    rng = random.Random(6)
+    vocabulary = "garden window purple machine silver basket copper thunder".split()
+    texts = [(k, " ".join(rng.sample(vocabulary, 8))) for k in range(60)] + [(90, "garden window purple machine silver basket copper thunders"), (91, "garden window purple machine silver basket copper thunder")]
+    handed = []
+    for module in (line_dedup, c):
+        monkeypatch.setattr(module, "materialize", lambda df, f=module.materialize: (out := f(df), handed.append(out.count() if out.columns[:2] == ["a", "b"] else 0))[0])
+    frame = llm.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.report(frame).collect()}
+    assert got == brute(texts) and 0 < sum(handed) < 100
+
+
+def test_short_lines_bring_their_texts(llm):
+    texts = [(1, "The  Cat,\n--\nüber ALLES!"), (2, "x" * 129 + "\n" + "y" * 128), (3, None)]
+    table = line_dedup.line_table(llm.createDataFrame(texts, "doc_id long, text string"), 1)
+    got = {(r._doc, r._pos): r.short for r in table.collect()}
+    assert got == {(1, 0): "the cat", (1, 2): "über alles", (2, 0): None, (2, 1): "y" * 128}
