@@ -24,9 +24,10 @@ fewer than the distance), and only pairs that it leaves open take the distance.
 
 Words are found and hashed in one pass over whole arrays of bytes, each line
 leaving it as its place, its hash and its blocks' hashes; everything after that
-is joins.  Equal lines are one node, so copies are never paired; inside a block
-value members are compared with pivots across groups only.  Line texts are
-fetched for candidates alone.
+is joins.  Equal lines are one node, so copies are never paired; a block's
+members are compared with its pivot first, then across groups only.  Lines of at
+most ``GRAM_LENGTH`` characters bring their texts, so their pairs are decided
+where they meet; texts of longer lines are fetched for candidates alone.
 
 Not found are linked lines whose changes touch every block or more bits: the
 tests measure the share against all pairs of lines.
